@@ -115,4 +115,21 @@ scored AS (
 
 
 def with_ctes(body: str, *ctes: str) -> str:
+    b = body.lstrip()
+    if b[:4].upper() == "WITH":
+        return "WITH " + ",".join(ctes) + ",\n" + b[4:]
     return "WITH " + ",".join(ctes) + "\n" + body
+
+
+def pct(a: str, b: str) -> str:
+    """SQL twin of functions.derive.pct."""
+    return f"CAST(100 AS DOUBLE) * CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0)"
+
+
+def cnt(cond: str) -> str:
+    return f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT)"
+
+
+def q(expr: str, level: float) -> str:
+    """Rounded linear quantile of a DOUBLE expression."""
+    return f"round(quantile_cont(CAST({expr} AS DOUBLE), {level}), 9)"
