@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,6 +64,9 @@ def cumulative(df: DataFrame, value_col: str, measures: dict[str, Column],
     else:
         dv = (df.where(F.col(value_col).isNotNull())
               .groupBy(*g, value_col).agg(*[F.sum(c).alias(m) for m, c in measures.items()]))
+    # the distinct table feeds the edge sketch and the final plan: compute it once
+    # (persisted blocks are recomputed from lineage if an executor is lost)
+    dv = dv.persist(StorageLevel.MEMORY_AND_DISK)
     edges = bucket_edges(dv, value_col, cfg)
     dv = _with_bucket(dv, value_col, edges)
     names = list(measures)
@@ -81,32 +85,28 @@ def cumulative(df: DataFrame, value_col: str, measures: dict[str, Column],
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols: list[str] | tuple = (),
                     cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Linear-interpolation quantiles (as quantile_cont / numpy 'linear'): (group..., q, value).
+    """Linear-interpolation quantiles (as numpy 'linear'): (group..., q, value).
 
     value = lo + (hi - lo) * (pos - floor(pos)), pos = q * (n - 1), on DOUBLE values.
+    The two neighbours of every requested position are found in one pass over
+    the distinct-value table against a broadcast table of groups x len(qs)
+    positions (bounded by the request, not by the data).
     """
     g = list(group_cols)
     src = df.select(*g, F.col(value_col).cast("double").alias("__v"))
-    cum = cumulative(src, "__v", {"n": F.lit(1)}, g, cfg)
-    # bucket ranges per group (small) and the requested positions (small)
-    bt = cum.groupBy(*g, "__bk").agg(F.min(F.col("cum_n") - F.col("n")).alias("b_lo"),
-                                     F.max("cum_n").alias("b_hi"), F.first("tot_n").alias("tot"))
+    cum = cumulative(src, "__v", {"n": F.lit(1).cast("long")}, g, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     qdf = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")
-    totals = bt.groupBy(*g).agg(F.first("tot").alias("tot"))
+    totals = cum.groupBy(*g).agg(F.max("tot_n").alias("tot"))
     pos = (totals.crossJoin(F.broadcast(qdf))
            .withColumn("pos", F.col("q") * (F.col("tot") - 1).cast("double"))
            .withColumn("i_lo", F.floor("pos").cast("long")).withColumn("i_hi", F.ceil("pos").cast("long")))
-    idx = (pos.select(*g, "q", F.col("i_lo").alias("idx"))
-           .unionByName(pos.select(*g, "q", F.col("i_hi").alias("idx"))).distinct())
-    bsel = F.broadcast(bt.select(*g, "__bk", "b_lo", "b_hi"))
-    idx = (idx.join(bsel, g, "inner") if g else idx.crossJoin(bsel)) \
-             .where((F.col("idx") >= F.col("b_lo")) & (F.col("idx") < F.col("b_hi"))) \
-             .select(*g, "q", "idx", "__bk")
-    hit = cum.join(F.broadcast(idx), g + ["__bk"]) \
-             .where((F.col("idx") >= F.col("cum_n") - F.col("n")) & (F.col("idx") < F.col("cum_n"))) \
-             .select(*g, "q", "idx", "__v")
-    res = (pos.join(hit.withColumnRenamed("idx", "i_lo").withColumnRenamed("__v", "v_lo"), g + ["q", "i_lo"])
-              .join(hit.withColumnRenamed("idx", "i_hi").withColumnRenamed("__v", "v_hi"), g + ["q", "i_hi"]))
+    lo_in = (F.col("i_lo") >= F.col("cum_n") - F.col("n")) & (F.col("i_lo") < F.col("cum_n"))
+    hi_in = (F.col("i_hi") >= F.col("cum_n") - F.col("n")) & (F.col("i_hi") < F.col("cum_n"))
+    bpos = F.broadcast(pos)
+    j = cum.join(bpos, g) if g else cum.crossJoin(bpos)
+    res = j.where(lo_in | hi_in).groupBy(*g, "q").agg(
+        F.first("pos").alias("pos"), F.first("i_lo").alias("i_lo"), F.first("i_hi").alias("i_hi"),
+        F.max(F.when(lo_in, F.col("__v"))).alias("v_lo"), F.max(F.when(hi_in, F.col("__v"))).alias("v_hi"))
     frac = F.col("pos") - F.col("i_lo").cast("double")
     val = F.when(F.col("i_lo") == F.col("i_hi"), F.col("v_lo")) \
            .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac)

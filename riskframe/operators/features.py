@@ -12,7 +12,7 @@ key family is computed in three levels:
   L1  chunk table: aggregate rows by (key, step, blk), blk = txn_id div B, so
       a chunk holds at most B rows and chunks are ordered like (step, txn_id);
   L2  prefix over the chunk table per key (one row per chunk, not per txn);
-      RANGE windows run on the per-(key, step) table (<= #steps rows per key);
+      RANGE windows run on the same chunk table (frame over step);
   L3  rows join their chunk's prefix and add a window partitioned by the
       chunk itself (<= B rows) for the part of the history inside the chunk.
 
@@ -76,21 +76,19 @@ def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
         l2.append(F.lag("c_last_type").over(wk).alias("p_prev_type"))
     if flag_col:
         l2.append(F.coalesce(F.sum("c_f").over(ex), F.lit(0)).alias("p_f"))
-    prefix_tbl = chunks.select(*part, *l2)
 
     if ranges:
-        per_step = chunks.groupBy(*keys, "step").agg(F.sum("c_n").alias("s_n"), F.sum("c_s").alias("s_s"))
+        # RANGE frames run on the chunk table itself: a frame over `step` takes
+        # every chunk whose step is in [step-lo, step-hi], which is exactly the
+        # row-level frame; same partitioning as the prefix window, no new shuffle.
         ws = Window.partitionBy(*keys).orderBy("step")
-        rcols = []
         for name, (lo, hi, measure) in ranges.items():
             frame = ws.rangeBetween(-lo, -hi)
             if measure == "count":
-                rcols.append(F.coalesce(F.sum("s_n").over(frame), F.lit(0)).alias(name))
+                l2.append(F.coalesce(F.sum("c_n").over(frame), F.lit(0)).alias(name))
             else:
-                rcols.append(F.sum("s_s").over(frame).alias(name))
-        per_step = per_step.select(*keys, "step", *rcols)
-        # chunk-level join: both sides have one row per chunk / per step
-        prefix_tbl = prefix_tbl.join(per_step, keys + ["step"])
+                l2.append(F.sum("c_s").over(frame).alias(name))
+    prefix_tbl = chunks.select(*part, *l2)
 
     # L3 -- within-chunk window (<= B rows per partition)
     w3 = Window.partitionBy(*part).orderBy("txn_id")
@@ -172,15 +170,19 @@ def pair_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     )
 
 
-def dest_history(txns: DataFrame, pair: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Destination history, RANGE velocity, fan-in."""
+def dest_history(txns: DataFrame, pair: DataFrame | None, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Destination history, RANGE velocity, fan-in.
+
+    Without `pair` (first-contact flags) the fan-in column is left out, which
+    saves the pair family when only velocity or history is needed."""
     rng = {f"d_v{h}": (h, 1, "count") for h in cfg.velocity_windows}
     rng["d_a24"] = (24, 1, "sum")
     rng["d_v1"] = (1, 1, "count")
-    rows = txns.select("txn_id", "step", "amount", "name_dest").join(
-        pair.select("txn_id", "is_first_contact"), "txn_id")
-    d = past_only(rows, ["name_dest"], cfg, want_max=True, want_prev=True, flag_col="is_first_contact",
-                  ranges=rng, prefix="d")
+    rows = txns.select("txn_id", "step", "amount", "name_dest")
+    if pair is not None:
+        rows = rows.join(pair.select("txn_id", "is_first_contact"), "txn_id")
+    d = past_only(rows, ["name_dest"], cfg, want_max=True, want_prev=True,
+                  flag_col="is_first_contact" if pair is not None else None, ranges=rng, prefix="d")
     long_w = max(cfg.velocity_windows)
     v24, vlong = F.col("d_v24"), F.col(f"d_v{long_w}")
     return d.select(
@@ -192,7 +194,7 @@ def dest_history(txns: DataFrame, pair: DataFrame, cfg: RiskConfig = DEFAULT) ->
         F.col("d_prev_step").alias("_d_prev_step"),
         F.when(F.col("d_n") > 0, 1).otherwise(0).alias("dest_has_history"),
         F.when(F.col("d_n") == 0, 1).otherwise(0).alias("dest_is_new"),
-        F.col("d_f").alias("dest_prior_unique_senders"),
+        *([F.col("d_f").alias("dest_prior_unique_senders")] if pair is not None else []),
         *[F.col(f"d_v{h}").alias(f"dest_txn_prev_{h}h") for h in cfg.velocity_windows],
         F.coalesce(_dbl("d_a24"), F.lit(0.0)).alias("dest_amount_prev_24h"),
         F.col("d_v1").alias("dest_txn_prev_1h"),
