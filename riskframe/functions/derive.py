@@ -38,8 +38,7 @@ def entity_kind(name) -> Column:
 
 def entity_number(name) -> Column:
     """P1: 'C123' -> 123; NULL when the rest is not numeric (the full name stays the key)."""
-    return F.expr(f"try_cast(substring({name}, 2) AS BIGINT)") if isinstance(name, str) else \
-        F.try_to_number(F.substring(name, 2, 1 << 30), F.lit("9" * 19))
+    return F.expr(f"try_cast(substring({name}, 2) AS BIGINT)")
 
 
 def entity_split(df: DataFrame) -> DataFrame:

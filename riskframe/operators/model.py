@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
@@ -54,3 +54,152 @@ def split_guard(summary: DataFrame) -> DataFrame:
     if bad:
         raise SplitError(f"split(s) without fraud: {[r['split'] for r in bad]}")
     return summary.withColumn("usable", F.lit(True))
+
+
+# ---------------------------------------------------------------------------
+# MLlib models.  Features go through fill_missing (DOUBLE, NULL -> 0) and a
+# VectorAssembler; the Vector type exists only at the model boundary.
+# ---------------------------------------------------------------------------
+
+from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier  # noqa: E402
+from pyspark.ml.feature import StandardScaler, VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from riskframe.operators.features import MODEL_COLUMNS, fill_missing  # noqa: E402
+
+RF_FULL = dict(numTrees=120, maxDepth=14, minInstancesPerNode=40, subsamplingRate=1.0)
+RF_FAST = dict(numTrees=40, maxDepth=10, minInstancesPerNode=100, subsamplingRate=0.3)
+GBT_PARAMS = dict(maxIter=300, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8")
+
+
+def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Fix row layout before fitting so a seeded model is repeatable (range on txn_id, sorted)."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(n, "txn_id").sortWithinPartitions("txn_id")
+
+
+def class_weights(rows: DataFrame, label: str = "is_fraud") -> DataFrame:
+    """M3w: 'balanced' weights n / (2 * n_class) as a column (small per-class table, broadcast)."""
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    total = rows.agg(F.count(F.lit(1)).alias("_n"))
+    w = counts.crossJoin(total).select(label, (dbl("_n") / (F.lit(2.0) * dbl("_nc"))).alias("class_weight"))
+    return rows.join(F.broadcast(w), label)
+
+
+def _assembler(columns):
+    return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="keep")
+
+
+def fit_logreg(train: DataFrame, columns=MODEL_COLUMNS, weight_col: str | None = None,
+               cfg: RiskConfig = DEFAULT) -> PipelineModel:
+    """M3: standardise (mean and std) then L2 logistic regression, C = 1 expressed as regParam = 1 / n."""
+    from pyspark import StorageLevel
+    data = stable_layout(fill_missing(train, list(columns))).persist(StorageLevel.MEMORY_AND_DISK)
+    n = data.count()
+    # tol 1e-4 is the reference solver's default stopping tolerance (MLlib's own default is 1e-6)
+    lr = LogisticRegression(featuresCol="scaled", labelCol="is_fraud", regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+                            standardization=False, maxIter=1000, tol=1e-4, **({"weightCol": weight_col} if weight_col else {}))
+    pipe = Pipeline(stages=[_assembler(columns), StandardScaler(inputCol="features", outputCol="scaled",
+                                                                withMean=True, withStd=True), lr])
+    return pipe.fit(data)
+
+
+def fit_random_forest(train: DataFrame, columns=MODEL_COLUMNS, fast: bool = False, weight_col: str | None = None,
+                      cfg: RiskConfig = DEFAULT) -> PipelineModel:
+    """M4: random forest, sqrt feature subsets, seeded; `fast` mirrors the reduced configuration."""
+    p = RF_FAST if fast else RF_FULL
+    rf = RandomForestClassifier(labelCol="is_fraud", featureSubsetStrategy="sqrt", seed=cfg.seed, **p,
+                                **({"weightCol": weight_col} if weight_col else {}))
+    return Pipeline(stages=[_assembler(columns), rf]).fit(stable_layout(fill_missing(train, list(columns))))
+
+
+def fit_gbt(train: DataFrame, columns=MODEL_COLUMNS, max_iter: int | None = None, weight_col: str | None = None,
+            cfg: RiskConfig = DEFAULT) -> PipelineModel:
+    """M5: gradient-boosted trees (MLlib's GBT, not XGBoost: a different algorithm with the same knobs)."""
+    p = dict(GBT_PARAMS)
+    if max_iter is not None:
+        p["maxIter"] = max_iter
+    gbt = GBTClassifier(labelCol="is_fraud", seed=cfg.seed, **p, **({"weightCol": weight_col} if weight_col else {}))
+    return Pipeline(stages=[_assembler(columns), gbt]).fit(stable_layout(fill_missing(train, list(columns))))
+
+
+def score_rows(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, score_col: str = "score") -> DataFrame:
+    """P(fraud) per row."""
+    out = model.transform(fill_missing(rows, list(columns)))
+    keep = [c for c in rows.columns]
+    return out.select(*keep, vector_to_array("probability")[1].alias(score_col))
+
+
+def builtin_importance(model: PipelineModel, columns=MODEL_COLUMNS) -> DataFrame:
+    """Impurity importance for trees, |standardised coefficient| for LR (a <= #features table)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    last = model.stages[-1]
+    if hasattr(last, "featureImportances"):
+        vals, kind = last.featureImportances.toArray().tolist(), "impurity_decrease"
+    else:
+        vals, kind = [abs(x) for x in last.coefficients.toArray().tolist()], "absolute_standardised_coefficient"
+    return spark.createDataFrame([(c, float(v), kind) for c, v in zip(columns, vals)],
+                                 "feature string, importance double, importance_type string")
+
+
+def top_importance(importance: DataFrame, k: int = 25) -> DataFrame:
+    """T5."""
+    return importance.orderBy(F.col("importance").desc(), "feature").limit(k)
+
+
+def linear_attribution(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS) -> DataFrame:
+    """Mean |coef_j * (x_j - mean_j) / sd_j| over all rows -- exact SHAP for a linear model
+    with independent features, as one distributed aggregate (no sampling, no per-row library)."""
+    scaler, lr = model.stages[1], model.stages[-1]
+    mean, std = scaler.mean.toArray().tolist(), scaler.std.toArray().tolist()
+    coef = lr.coefficients.toArray().tolist()
+    x = fill_missing(rows, list(columns))
+    aggs = []
+    for c, m, s, w in zip(columns, mean, std, coef):
+        z = (dbl(c) - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
+        aggs.append(F.avg(F.abs(F.lit(w) * z)).alias(c))
+    wide = x.agg(*aggs)
+    long = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_attribution"))
+                                           for c in columns])).alias("s")).select("s.*")
+    return long
+
+
+def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, sample_size: int = 50_000,
+                           repeats: int = 3, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """AP drop when one feature is shuffled; sample keeps every positive plus sampled negatives.
+
+    All (feature, repeat) permutations are scored in ONE transform: rows are
+    exploded to (feature, repeat), each group is permuted by a seeded random
+    rank (<= sample_size rows per group), and AP is computed per group.
+    """
+    from riskframe.operators.ranking import ranking_metrics
+    x = fill_missing(rows, list(columns)).select("txn_id", "is_fraud", *columns)
+    n_pos = x.where(F.col("is_fraud") == 1).count()
+    n_neg = x.where(F.col("is_fraud") == 0).count()
+    keep = max(sample_size - n_pos, 1)
+    frac = min(1.0, keep / max(n_neg, 1))
+    sample = x.where(F.col("is_fraud") == 1).unionByName(
+        x.where(F.col("is_fraud") == 0).sample(False, frac, seed=cfg.seed) if frac < 1.0 else x.where(F.col("is_fraud") == 0))
+    spark = rows.sparkSession
+    fr = spark.createDataFrame([(c, r) for c in columns for r in range(repeats)], "pfeature string, rep int")
+    ex = sample.crossJoin(F.broadcast(fr))
+    w_orig = Window.partitionBy("pfeature", "rep").orderBy("txn_id")
+    w_perm = Window.partitionBy("pfeature", "rep").orderBy(F.rand(cfg.seed), "txn_id")
+    ex = ex.withColumn("pos", F.row_number().over(w_orig)).withColumn("ppos", F.row_number().over(w_perm))
+    value = F.coalesce(*[F.when(F.col("pfeature") == c, dbl(c)) for c in columns])
+    donor = ex.select("pfeature", "rep", F.col("ppos").alias("pos"), value.alias("shuffled"))
+    perm = ex.join(donor, ["pfeature", "rep", "pos"])
+    perm = perm.select("txn_id", "is_fraud", "pfeature", "rep",
+                       *[F.when(F.col("pfeature") == c, F.col("shuffled")).otherwise(dbl(c)).alias(c) for c in columns])
+    scored = model.transform(perm).select("pfeature", "rep", "is_fraud",
+                                          vector_to_array("probability")[1].alias("score"))
+    base = model.transform(sample).select("is_fraud", vector_to_array("probability")[1].alias("score"))
+    base_ap = ranking_metrics(base, cfg=cfg).select(F.col("pr_auc").alias("base_ap"))
+    ap = ranking_metrics(scored, group_cols=["pfeature", "rep"], cfg=cfg)
+    drop = ap.crossJoin(base_ap).select(F.col("pfeature").alias("feature"), (F.col("base_ap") - F.col("pr_auc")).alias("d"))
+    return drop.groupBy("feature").agg(F.avg("d").alias("pr_auc_drop_when_shuffled"), F.stddev_pop("d").alias("std"))
+
+
+LEAKAGE_DEMO_COLUMNS = ["old_balance_orig", "new_balance_orig", "old_balance_dest", "new_balance_dest", "is_flagged_fraud"]
