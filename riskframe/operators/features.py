@@ -251,14 +251,28 @@ MODEL_COLUMNS = [
 ]
 
 
+def keyed_input(txns: DataFrame, columns: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """The narrow canonical projection, hash-partitioned by txn_id and persisted.
+
+    Every key family reads it (no re-scan / re-derivation per branch), and the
+    final join on txn_id finds one side already partitioned, so this shuffle
+    replaces one the join would do anyway.  Persisted blocks are recomputed
+    from lineage if an executor is lost.
+    """
+    from pyspark import StorageLevel
+    cols = columns or ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "is_fraud"]
+    n = partitions or int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return txns.select(*cols).repartition(n, "txn_id").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The full feature table, one row per transaction, target last."""
-    narrow = txns.select("txn_id", "step", "txn_type", "amount", "name_orig", "name_dest")
+    narrow = keyed_input(txns)
     pair = pair_history(narrow, cfg)
     orig = origin_history(narrow, cfg)
     dest = dest_history(narrow, pair, cfg)
     typ = type_baseline(narrow, cfg)
-    f = (base_columns(txns, cfg)
+    f = (base_columns(narrow, cfg)
          .join(orig, "txn_id").join(dest, "txn_id")
          .join(pair.drop("is_first_contact"), "txn_id").join(typ, "txn_id"))
     amt = _dbl("amount")

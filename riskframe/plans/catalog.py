@@ -22,7 +22,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the query modules fills CATALOG
     from riskframe.plans import q_sources, q_features  # noqa: F401
-    for mod in ("q_audit", "q_analysis", "q_ranking", "q_cost", "q_dashboard", "q_model", "q_streaming"):
+    for mod in ("q_audit", "q_analysis", "q_ranking", "q_cost", "q_dashboard", "q_model", "q_scale", "q_streaming"):
         try:
             __import__(f"riskframe.plans.{mod}")
         except ModuleNotFoundError as e:
