@@ -110,6 +110,24 @@ def with_txn_id(df: DataFrame, id_col: str = "txn_id") -> DataFrame:
     return out.drop("_fp", "_fb", "_mono", "_m0", "_off")
 
 
+def sequential_ids(df: DataFrame, base: int = 0, id_col: str = "txn_id") -> DataFrame:
+    """Load-order ids base+1.. for rows fresh from a file read (also inside a streaming micro-batch).
+
+    Groups are (scan partition, file): within one, monotonically_increasing_id
+    is consecutive; the group table (one row per split/file) gets a prefix sum
+    and is joined back, so no step orders the whole batch in one task.
+    """
+    from pyspark.sql import Window as W
+    tagged = df.select("*", F.spark_partition_id().alias("_p"), F.input_file_name().alias("_f"),
+                       F.monotonically_increasing_id().alias("_mono"))
+    groups = tagged.groupBy("_p", "_f").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_m0"))
+    groups = groups.withColumn("_off", F.coalesce(
+        F.sum("_n").over(W.orderBy("_f", "_m0").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    out = tagged.join(F.broadcast(groups.select("_p", "_f", "_m0", "_off")), ["_p", "_f"]) \
+        .withColumn(id_col, (F.lit(base) + F.col("_off") + F.col("_mono") - F.col("_m0") + 1).cast("bigint"))
+    return out.drop("_p", "_f", "_mono", "_m0", "_off")
+
+
 def early_window(txns: DataFrame, max_txn_id: int | None = None, max_step: int | None = None) -> DataFrame:
     """The first N rows as an early *time window* (never a bare limit)."""
     out = txns
