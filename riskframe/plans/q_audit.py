@@ -252,7 +252,13 @@ def q_univariate_auc(spark, sf):
     return au.univariate_auc(T(spark, sf))
 
 
-@register("leakage_decisions")
+_DECISIONS_VALUES = ", ".join(f"('{c}', '{r}', '{d}')" for c, r, d in au.LEAKAGE_DECISIONS)
+
+
+@register("leakage_decisions", with_ctes(f"""
+SELECT d."column", d.leakage_risk, d.primary_model_decision, u.roc_auc AS roc_auc_single_feature, u.pr_auc AS pr_auc_single_feature
+FROM (VALUES {_DECISIONS_VALUES}) d("column", leakage_risk, primary_model_decision)
+LEFT JOIN rm u ON u."column" = d."column" """, TXN, _RESID, ranking_sql(_SUSPECT_UNION, '"column"')))
 def q_leakage_decisions(spark, sf):
     return au.leakage_decisions(T(spark, sf))
 
