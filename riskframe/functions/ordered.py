@@ -26,23 +26,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
+from riskframe.session import cached
 
 _LEVELS = 1024  # resolution of the edge sketch; buckets are a subset of these edges
 
 
 def bucket_edges(dv: DataFrame, value_col: str, cfg: RiskConfig = DEFAULT) -> list[float]:
-    """Approximate-quantile edges over distinct values; count of edges scales with the data."""
-    levels = [i / _LEVELS for i in range(1, _LEVELS)]
-    row = dv.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(F.col(value_col).cast("double"), levels, 20_000).alias("e")).first()
-    n = row["n"] or 0
-    edges = row["e"] or []
+    """Approximate-quantile edges over distinct values; the bucket count scales with the data.
+
+    `dv` is persisted by the caller, so the count and the sketch read it from
+    memory; only k - 1 levels are requested, at an accuracy proportional to k.
+    """
+    n = dv.count()
     k = max(cfg.order_min_buckets, math.ceil(n / max(cfg.order_bucket_rows, 1)))
     k = min(k, _LEVELS)
-    step = max(1, _LEVELS // k)
-    chosen = sorted({float(e) for i, e in enumerate(edges) if (i + 1) % step == 0 and e is not None
-                     and not math.isnan(e) and not math.isinf(e)})
-    return chosen
+    if n <= k:
+        return []
+    levels = [i / k for i in range(1, k)]
+    edges = dv.agg(F.percentile_approx(F.col(value_col).cast("double"), levels, max(1_000, 20 * k)).alias("e")).first()["e"]
+    return sorted({float(e) for e in (edges or []) if e is not None and not math.isnan(e) and not math.isinf(e)})
 
 
 def _with_bucket(dv: DataFrame, value_col: str, edges: list[float]) -> DataFrame:
@@ -66,7 +68,7 @@ def cumulative(df: DataFrame, value_col: str, measures: dict[str, Column],
               .groupBy(*g, value_col).agg(*[F.sum(c).alias(m) for m, c in measures.items()]))
     # the distinct table feeds the edge sketch and the final plan: compute it once
     # (persisted blocks are recomputed from lineage if an executor is lost)
-    dv = dv.persist(StorageLevel.MEMORY_AND_DISK)
+    dv = cached(dv)
     edges = bucket_edges(dv, value_col, cfg)
     dv = _with_bucket(dv, value_col, edges)
     names = list(measures)
@@ -94,7 +96,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     """
     g = list(group_cols)
     src = df.select(*g, F.col(value_col).cast("double").alias("__v"))
-    cum = cumulative(src, "__v", {"n": F.lit(1).cast("long")}, g, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    cum = cached(cumulative(src, "__v", {"n": F.lit(1).cast("long")}, g, cfg))
     qdf = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")
     totals = cum.groupBy(*g).agg(F.max("tot_n").alias("tot"))
     pos = (totals.crossJoin(F.broadcast(qdf))

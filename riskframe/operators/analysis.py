@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
+from riskframe.session import cached
 from riskframe.functions.derive import (class_label, count_if, dbl, fan_in_band, pct, risk_type,
                                         sql_amount_band, velocity_band)
 from riskframe.functions.ordered import exact_quantiles, median_map
@@ -28,7 +29,7 @@ def feature_coverage(features: DataFrame, columns: list[str] | None = None, cfg:
     columns = columns or MODEL_COLUMNS
     stacked = features.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), dbl(c).alias("v")) for c in columns])).alias("s")).select("s.*")
-    stacked = stacked.persist(StorageLevel.MEMORY_AND_DISK)  # read by the aggregate and the quantile branch
+    stacked = cached(stacked)  # read by the aggregate and the quantile branch
     g = stacked.groupBy("feature").agg(
         _n().alias("_n"), F.count("v").alias("_def"), count_if(F.coalesce("v", F.lit(0.0)) != 0).alias("_nz"),
         F.avg("v").alias("_mean"))
@@ -51,7 +52,7 @@ def class_separation(features: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFram
     """B3 (Q1): per class medians/averages of the behavioural features."""
     def avg_int(c):
         return dbl(F.sum(c)) / dbl(_n())
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)  # aggregate + median branch
+    features = cached(features)  # aggregate + median branch
     g = features.groupBy(class_label().alias("class")).agg(
         _n().alias("transactions"),
         avg_int("dest_prior_txn_count").alias("avg_dest_prior_txns"),

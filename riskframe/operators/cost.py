@@ -57,6 +57,9 @@ def sweep_counts(scored: DataFrame, grid: DataFrame, score: str = "score", label
     """Confusion counts at every grid threshold (flag = score >= t), via one bucketing pass."""
     g = list(group_cols)
     rows = grid.orderBy("threshold").collect()  # <= ~180 control values
+    # re-create the grid from the collected rows so its plan (quantiles) is not executed twice
+    grid = scored.sparkSession.createDataFrame([(r["threshold"], r["grid_source"]) for r in rows],
+                                               "threshold double, grid_source string")
     ts = [r["threshold"] for r in rows]
     src = sorted({t for t in ts if t is not None and not math.isnan(t)})
     splits = [-math.inf] + src + [math.inf]

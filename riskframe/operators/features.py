@@ -259,10 +259,10 @@ def keyed_input(txns: DataFrame, columns: list[str] | None = None, partitions: i
     replaces one the join would do anyway.  Persisted blocks are recomputed
     from lineage if an executor is lost.
     """
-    from pyspark import StorageLevel
     cols = columns or ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "is_fraud"]
     n = partitions or int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return txns.select(*cols).repartition(n, "txn_id").persist(StorageLevel.MEMORY_AND_DISK)
+    from riskframe.session import cached
+    return cached(txns.select(*cols).repartition(n, "txn_id"))
 
 
 def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:

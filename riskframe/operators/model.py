@@ -94,8 +94,8 @@ def _assembler(columns):
 def fit_logreg(train: DataFrame, columns=MODEL_COLUMNS, weight_col: str | None = None,
                cfg: RiskConfig = DEFAULT) -> PipelineModel:
     """M3: standardise (mean and std) then L2 logistic regression, C = 1 expressed as regParam = 1 / n."""
-    from pyspark import StorageLevel
-    data = stable_layout(fill_missing(train, list(columns))).persist(StorageLevel.MEMORY_AND_DISK)
+    from riskframe.session import cached
+    data = cached(stable_layout(fill_missing(train, list(columns))))
     n = data.count()
     # tol 1e-4 is the reference solver's default stopping tolerance (MLlib's own default is 1e-6)
     lr = LogisticRegression(featuresCol="scaled", labelCol="is_fraud", regParam=1.0 / max(n, 1), elasticNetParam=0.0,

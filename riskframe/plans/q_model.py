@@ -21,9 +21,9 @@ T = events_transactions
 
 
 def _split_features(spark, sf):
-    from pyspark import StorageLevel
+    from riskframe.session import cached
     # one feature computation feeds the three splits and every fit/score below
-    f = fe.build_features(T(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    f = cached(fe.build_features(T(spark, sf)))
     tr, ve, _ = md.split_steps(f)
     return f, f.where(F.col("step") <= tr), f.where((F.col("step") > tr) & (F.col("step") <= ve)), f.where(F.col("step") > ve)
 

@@ -48,3 +48,24 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint dir (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+# Bounded persistence: every persisted intermediate goes through here, and only
+# the most recent few stay cached.  Unpersisting never changes results (an
+# evicted table is recomputed from lineage); it keeps executor memory and the
+# session's cache registry bounded over long sessions.
+_LIVE: list = []
+_KEEP = 6
+
+
+def cached(df: DataFrame, keep: int | None = None) -> DataFrame:
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _LIVE.append(out)
+    while len(_LIVE) > (keep or _KEEP):
+        old = _LIVE.pop(0)
+        try:
+            old.unpersist(blocking=False)
+        except Exception:  # noqa: BLE001 - a stopped session has nothing to release
+            pass
+    return out
