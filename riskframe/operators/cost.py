@@ -107,10 +107,17 @@ def threshold_sweep(scored: DataFrame, score: str = "score", label: str = "is_fr
     """Confusion and cost at every threshold of the grid."""
     cost_fn = cfg.cost_fn if cost_fn is None else cost_fn
     cost_fp = cfg.cost_fp if cost_fp is None else cost_fp
+    scored = _narrow_scores(scored, score, label)
     grid = threshold_grid(scored, score, cfg, use_quantile_grid, extra_thresholds)
     return with_sweep_metrics(sweep_counts(scored, grid, score, label), cost_fn, cost_fp)
 
 
+def _narrow_scores(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """(score, label) only, persisted: the grid quantiles and the histogram both read it."""
+    from riskframe.session import cached
+    return cached(scored.select(F.col(score), F.col(label)))
+
+
 _SUMMARY_COLS = ["TP", "FP", "FN", "TN", "precision", "recall", "fraud_capture_rate", "false_positive_rate",
                  "legitimate_transactions_blocked", "alert_volume", "alert_rate"]
 
@@ -152,6 +159,7 @@ def summarise_at(sweep: DataFrame, threshold, cfg: RiskConfig = DEFAULT) -> Data
 def risk_band_thresholds(scored: DataFrame, score: str = "score", label: str = "is_fraud",
                          cfg: RiskConfig = DEFAULT) -> DataFrame:
     """C5 core: one sweep, two cost columns (block / verify), two argmins; verify <= block."""
+    scored = _narrow_scores(scored, score, label)
     c = sweep_counts(scored, threshold_grid(scored, score, cfg), score, label)
     fn = F.lit(cfg.cost_fn)
     c = c.select("threshold", (dbl("FN") * fn + dbl("FP") * F.lit(cfg.cost_fp)).alias("block_cost"),
@@ -188,6 +196,7 @@ def sensitivity_grid(scored: DataFrame, score: str = "score", label: str = "is_f
     spark = scored.sparkSession
     sc = spark.createDataFrame([(float(a), float(b)) for a in fn_costs for b in fp_costs],
                                "cost_false_negative double, cost_false_positive double")
+    scored = _narrow_scores(scored, score, label)
     base = with_sweep_metrics(sweep_counts(scored, threshold_grid(scored, score, cfg), score, label), 1.0, 1.0)
     x = base.crossJoin(F.broadcast(sc)).withColumn(
         "scenario_cost", dbl("FN") * F.col("cost_false_negative") + dbl("FP") * F.col("cost_false_positive"))
