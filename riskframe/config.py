@@ -49,6 +49,7 @@ class RiskConfig:
     repeat_origin_share_pct: float = 30.0
     # plan-shape knobs (not business values)
     history_block: int = 1 << 20          # max rows per (key, step, block) group
+    hot_key_rows: int = 1 << 22           # keys with more rows take the chunked (split) history plan
     order_bucket_rows: int = 1 << 20      # target distinct values per ordered bucket
     order_min_buckets: int = 16
     extras: dict = field(default_factory=dict)

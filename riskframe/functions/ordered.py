@@ -48,6 +48,8 @@ def bucket_edges(dv: DataFrame, value_col: str, cfg: RiskConfig = DEFAULT) -> li
 
 
 def _with_bucket(dv: DataFrame, value_col: str, edges: list[float]) -> DataFrame:
+    if not edges:  # few distinct values: one bucket
+        return dv.withColumn("__bk", F.lit(0))
     tmp = "__v_dbl"
     splits = [-math.inf] + edges + [math.inf]
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol="__bk", handleInvalid="keep")

@@ -375,3 +375,16 @@ def full_audit(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> dict[str, DataFram
             spark: SparkSession = txns.sparkSession
             out[name] = spark.createDataFrame([(f"{type(exc).__name__}: {exc}",)], "error string")
     return out
+
+
+def share_over_total(txns: DataFrame) -> DataFrame:
+    """SUM(COUNT(*)) OVER () and SUM(SUM(is_fraud)) OVER () -- a window over the <= #types
+    aggregate (never over rows), giving each type's share of volume and of fraud."""
+    g = txns.groupBy("txn_type").agg(F.count(F.lit(1)).alias("transactions"),
+                                     F.sum("is_fraud").cast("bigint").alias("fraud"))
+    all_ = Window.partitionBy()
+    return g.select("txn_type", "transactions", "fraud",
+                    F.sum("transactions").over(all_).alias("total_transactions"),
+                    F.sum("fraud").over(all_).cast("bigint").alias("total_fraud"),
+                    pct("transactions", F.sum("transactions").over(all_)).alias("pct_of_volume"),
+                    pct("fraud", F.sum("fraud").over(all_)).alias("share_of_all_fraud_pct"))

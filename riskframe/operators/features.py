@@ -6,8 +6,10 @@ current row; RANGE (velocity) frames cover steps [step-h, step-1] and so
 exclude the whole current step.
 
 Plan shape (skew-proof).  A plain `Window.partitionBy(key)` puts all rows of a
-key in one task, and one receiver may hold a third of all rows.  Instead every
-key family is computed in three levels:
+key in one task, and one receiver may hold a third of all rows.  Each key
+family therefore first counts rows per key (partial aggregation); keys above
+`hot_key_rows` (at most rows / hot_key_rows of them, broadcast) are split,
+the rest take one plain window.  Hot keys are computed in three levels:
 
   L1  chunk table: aggregate rows by (key, step, blk), blk = txn_id div B, so
       a chunk holds at most B rows and chunks are ordered like (step, txn_id);
@@ -42,7 +44,58 @@ def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
               want_max: bool = False, want_prev: bool = False, prev_type: bool = False,
               flag_col: str | None = None, ranges: dict[str, tuple[int, int, str]] | None = None,
               prefix: str = "k") -> DataFrame:
-    """Expanding past-only count/sum(/max/previous step/previous type/flag sum) per key.
+    """Expanding past-only statistics per key, skew-safe.
+
+    Keys with more than `cfg.hot_key_rows` rows are found by one partially
+    aggregated count; there are at most rows / hot_key_rows of them, so that
+    key set is broadcast.  Cold keys take one plain window (a task holds at
+    most hot_key_rows rows of a key); hot keys take the chunked plan, which
+    never holds more than `history_block` rows of a key in one task.
+    """
+    opts = dict(want_max=want_max, want_prev=want_prev, prev_type=prev_type, flag_col=flag_col,
+                ranges=ranges, prefix=prefix)
+    cols = ["txn_id", "step", "amount", *keys, *(["txn_type"] if prev_type else []), *([flag_col] if flag_col else [])]
+    src = rows.select(*cols)
+    hot = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn")).where(F.col("_kn") > cfg.hot_key_rows).select(*keys)
+    if hot.isEmpty():  # one small job; no hot key -> no split branch in the plan at all
+        return _past_only_plain(src, keys, **opts)
+    hot = F.broadcast(hot)  # bounded: at most rows / hot_key_rows keys
+    cold_rows = src.join(hot, keys, "left_anti")
+    hot_rows = src.join(hot, keys, "left_semi")
+    return _past_only_plain(cold_rows, keys, **opts).unionByName(_past_only_chunked(hot_rows, keys, cfg, **opts))
+
+
+def _past_only_plain(src: DataFrame, keys: list[str], *, want_max, want_prev, prev_type, flag_col, ranges,
+                     prefix) -> DataFrame:
+    """One window per key over rows (cold keys only): ROWS frames on (step, txn_id), RANGE frames on step."""
+    w = Window.partitionBy(*keys).orderBy("step", "txn_id")
+    ex = w.rowsBetween(_UNB, -1)
+    out = [F.col("txn_id"), F.count(F.lit(1)).over(ex).alias(f"{prefix}_n"),
+           F.sum("amount").over(ex).cast("decimal(38,2)").alias(f"{prefix}_s")]
+    if want_max:
+        out.append(F.max("amount").over(ex).alias(f"{prefix}_mx"))
+    if want_prev:
+        out.append(F.lag("step").over(w).alias(f"{prefix}_prev_step"))
+    if prev_type:
+        out.append(F.lag("txn_type").over(w).alias(f"{prefix}_prev_type"))
+    if flag_col:
+        out.append(F.coalesce(F.sum(flag_col).over(ex), F.lit(0)).cast("bigint").alias(f"{prefix}_f"))
+    if ranges:
+        ws = Window.partitionBy(*keys).orderBy("step")
+        for name, (lo, hi, measure) in ranges.items():
+            frame = ws.rangeBetween(-lo, -hi)
+            if measure == "count":
+                out.append(F.count(F.lit(1)).over(frame).alias(name))
+            else:
+                out.append(F.sum("amount").over(frame).cast("decimal(38,2)").alias(name))
+    return src.select(*out)
+
+
+def _past_only_chunked(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
+                       want_max: bool = False, want_prev: bool = False, prev_type: bool = False,
+                       flag_col: str | None = None, ranges: dict[str, tuple[int, int, str]] | None = None,
+                       prefix: str = "k") -> DataFrame:
+    """Chunked plan (hot keys): expanding past-only count/sum(/max/previous step/previous type/flag sum) per key.
 
     `rows` needs txn_id, step, amount and the key columns (plus txn_type when
     prev_type, and `flag_col` when given).  `ranges` maps an output name to
@@ -98,7 +151,8 @@ def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
     n = (F.col("p_n") + rn - 1)
     s_in = F.sum("amount").over(e3)
     out = [F.col("txn_id"), n.alias(f"{prefix}_n"),
-           F.when(n > 0, F.coalesce(F.col("p_s"), F.lit(0)) + F.coalesce(s_in, F.lit(0))).alias(f"{prefix}_s")]
+           F.when(n > 0, F.coalesce(F.col("p_s"), F.lit(0)) + F.coalesce(s_in, F.lit(0))).cast("decimal(38,2)")
+           .alias(f"{prefix}_s")]
     if want_max:
         out.append(F.greatest(F.col("p_mx"), F.max("amount").over(e3)).alias(f"{prefix}_mx"))
     if want_prev:
@@ -107,9 +161,10 @@ def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
         out.append(F.when(rn > 1, F.lag("txn_type").over(w3)).otherwise(F.col("p_prev_type"))
                    .alias(f"{prefix}_prev_type"))
     if flag_col:
-        out.append((F.col("p_f") + F.coalesce(F.sum(flag_col).over(e3), F.lit(0))).alias(f"{prefix}_f"))
+        out.append((F.col("p_f") + F.coalesce(F.sum(flag_col).over(e3), F.lit(0))).cast("bigint").alias(f"{prefix}_f"))
     if ranges:
-        out.extend(F.col(name) for name in ranges)
+        out.extend(F.col(name).cast("decimal(38,2)").alias(name) if m == "sum" else F.col(name)
+                   for name, (_, _, m) in ranges.items())
     return j.select(*out)
 
 

@@ -343,3 +343,12 @@ def q_full_audit(spark, sf):
         err = df.first()["error"] if df.columns == ["error"] else None
         rows.append((name, None if err else df.count(), err))
     return spark.createDataFrame(rows, "section string, rows long, error string").withColumn("ok", F.col("error").isNull())
+
+
+@register("share_over_total", _sql(f"""
+SELECT txn_type, COUNT(*) AS transactions, CAST(SUM(is_fraud) AS BIGINT) AS fraud,
+  CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total_transactions, CAST(SUM(SUM(is_fraud)) OVER () AS BIGINT) AS total_fraud,
+  {pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct_of_volume, {pct('SUM(is_fraud)', 'SUM(SUM(is_fraud)) OVER ()')} AS share_of_all_fraud_pct
+FROM transactions GROUP BY txn_type"""))
+def q_share_over_total(spark, sf):
+    return au.share_over_total(T(spark, sf))

@@ -130,3 +130,11 @@ def q_prior_count_only(spark, sf_dir):
     o = fe.past_only(n, ["name_orig"], prefix="o").select("txn_id", F.col("o_n").alias("orig_prior_count"))
     d = fe.past_only(n, ["name_dest"], prefix="d").select("txn_id", F.col("d_n").alias("dest_prior_count"))
     return o.join(d, "txn_id")
+
+
+@register("features_hot_keys", _fsql("*"))
+def q_features_hot_keys(spark, sf_dir):
+    """The same feature table with a tiny hot-key threshold and block size, so most accounts take
+    the chunked (split) plan and the rest the plain window: both paths against one oracle."""
+    from riskframe.config import RiskConfig
+    return fe.build_features(_txn(spark, sf_dir), RiskConfig(hot_key_rows=20, history_block=64))

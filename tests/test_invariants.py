@@ -56,12 +56,12 @@ def test_window_count_equals_brute_force(spark):
     data = [(i, s, "PAYMENT", 10.0, "C1", f"E{e}") for i, (e, s) in enumerate(rows)]
     df = spark.createDataFrame(data, "txn_id long, step int, txn_type string, amount double, name_orig string, name_dest string") \
               .withColumn("amount", F.col("amount").cast("decimal(18,2)"))
-    small = DEFAULT.__class__(history_block=16)  # tiny blocks: exercise the cross-chunk prefix
-    got = {r["txn_id"]: r["v"] for r in fe.past_only(df, ["name_dest"], small, ranges={"v": (24, 1, "count")})
-           .select("txn_id", "v").collect()}
-    for i, (e, s) in enumerate(rows):
-        expect = sum(1 for (e2, s2) in rows if e2 == e and s - 24 <= s2 <= s - 1)
-        assert got[i] == expect
+    for cfg in (DEFAULT, DEFAULT.__class__(history_block=16, hot_key_rows=30)):  # plain, then mostly chunked
+        got = {r["txn_id"]: r["v"] for r in fe.past_only(df, ["name_dest"], cfg, ranges={"v": (24, 1, "count")})
+               .select("txn_id", "v").collect()}
+        for i, (e, s) in enumerate(rows):
+            expect = sum(1 for (e2, s2) in rows if e2 == e and s - 24 <= s2 <= s - 1)
+            assert got[i] == expect
 
 
 def test_expanding_history_equals_brute_force(spark):
@@ -69,8 +69,12 @@ def test_expanding_history_equals_brute_force(spark):
     data = [(i, rng.randint(1, 50), "PAYMENT", float(rng.randint(1, 500)), "C1", f"E{rng.randint(0, 3)}") for i in range(300)]
     df = spark.createDataFrame(data, "txn_id long, step int, txn_type string, amount double, name_orig string, name_dest string") \
               .withColumn("amount", F.col("amount").cast("decimal(18,2)"))
-    small = DEFAULT.__class__(history_block=8)
-    got = {r["txn_id"]: r for r in fe.past_only(df, ["name_dest"], small, want_max=True, want_prev=True, prefix="d").collect()}
+    for cfg in (DEFAULT, DEFAULT.__class__(history_block=8, hot_key_rows=70)):
+        _check_expanding(fe.past_only(df, ["name_dest"], cfg, want_max=True, want_prev=True, prefix="d"), data)
+
+
+def _check_expanding(result, data):
+    got = {r["txn_id"]: r for r in result.collect()}
     for i, s, _, a, _, d in data:
         prior = [(s2, i2, a2) for (i2, s2, _, a2, _, d2) in data if d2 == d and (s2, i2) < (s, i)]
         r = got[i]
