@@ -90,7 +90,7 @@ def compare_models(long_scores: DataFrame, model_col: str = "model", score: str
     b = b.select(model_col, *[F.col(c).alias(f"at_0_5_{c}") for c in b.columns if c != model_col])
     out = r.join(b, model_col)
     w = Window.orderBy(F.col("pr_auc").desc_nulls_last(), F.col(model_col))  # one row per model
-    return out.withColumn("selection_rank", F.row_number().over(w))
+    return out.withColumn("selection_rank", F.row_number().over(w).cast("bigint"))
 
 
 def top_k_capture(scored: DataFrame, score: str = "score", label: str = "is_fraud",
