@@ -171,8 +171,8 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_
     """AP drop when one feature is shuffled; sample keeps every positive plus sampled negatives.
 
     All (feature, repeat) permutations are scored in ONE transform: rows are
-    exploded to (feature, repeat), each group is permuted by a seeded random
-    rank (<= sample_size rows per group), and AP is computed per group.
+    exploded to (feature, repeat), permuted by a seeded random rank inside
+    random buckets of <= ~100k rows, and AP is computed per (feature, repeat).
     """
     from riskframe.operators.ranking import ranking_metrics
     x = fill_missing(rows, list(columns)).select("txn_id", "is_fraud", *columns)
@@ -184,13 +184,18 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_
         x.where(F.col("is_fraud") == 0).sample(False, frac, seed=cfg.seed) if frac < 1.0 else x.where(F.col("is_fraud") == 0))
     spark = rows.sparkSession
     fr = spark.createDataFrame([(c, r) for c in columns for r in range(repeats)], "pfeature string, rep int")
-    ex = sample.crossJoin(F.broadcast(fr))
-    w_orig = Window.partitionBy("pfeature", "rep").orderBy("txn_id")
-    w_perm = Window.partitionBy("pfeature", "rep").orderBy(F.rand(cfg.seed), "txn_id")
+    # permute inside random buckets of <= ~100k rows: a uniform permutation within randomly assigned
+    # buckets breaks the feature/label link like a global one, and no task holds a whole (feature, repeat)
+    n_sample = n_pos + min(keep, n_neg)
+    buckets = max(1, -(-n_sample // 100_000))
+    ex = sample.crossJoin(F.broadcast(fr)).withColumn(
+        "pb", F.pmod(F.xxhash64("txn_id", "pfeature", "rep", F.lit(cfg.seed)), F.lit(buckets)))
+    w_orig = Window.partitionBy("pfeature", "rep", "pb").orderBy("txn_id")
+    w_perm = Window.partitionBy("pfeature", "rep", "pb").orderBy(F.rand(cfg.seed), "txn_id")
     ex = ex.withColumn("pos", F.row_number().over(w_orig)).withColumn("ppos", F.row_number().over(w_perm))
     value = F.coalesce(*[F.when(F.col("pfeature") == c, dbl(c)) for c in columns])
-    donor = ex.select("pfeature", "rep", F.col("ppos").alias("pos"), value.alias("shuffled"))
-    perm = ex.join(donor, ["pfeature", "rep", "pos"])
+    donor = ex.select("pfeature", "rep", "pb", F.col("ppos").alias("pos"), value.alias("shuffled"))
+    perm = ex.join(donor, ["pfeature", "rep", "pb", "pos"])
     perm = perm.select("txn_id", "is_fraud", "pfeature", "rep",
                        *[F.when(F.col("pfeature") == c, F.col("shuffled")).otherwise(dbl(c)).alias(c) for c in columns])
     scored = model.transform(perm).select("pfeature", "rep", "is_fraud",
