@@ -322,8 +322,10 @@ def keyed_input(txns: DataFrame, columns: list[str] | None = None, partitions: i
 
 def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The full feature table, one row per transaction, target last."""
+    from riskframe.session import cached
     narrow = keyed_input(txns)
-    pair = pair_history(narrow, cfg)
+    # the pair family feeds the fan-in flag of the destination family and the final join: compute it once
+    pair = cached(pair_history(narrow, cfg))
     orig = origin_history(narrow, cfg)
     dest = dest_history(narrow, pair, cfg)
     typ = type_baseline(narrow, cfg)
