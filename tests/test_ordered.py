@@ -61,3 +61,13 @@ def test_top_k_breaks_ties_by_txn_id(spark):
     assert r[0.05]["transactions_reviewed"] == 50
     assert r[0.05]["fraud_captured"] == sum(1 for i in range(50) if i % 3 == 0)
     assert r[0.2]["fraud_captured"] == sum(1 for i in range(100) if i % 3 == 0) + sum(1 for i in range(100, 200) if i % 3 == 0)
+
+
+def test_many_buckets_stay_exact(spark):
+    vals = list(range(4000)) * 2
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    cfg = RiskConfig(order_bucket_rows=1, order_min_buckets=16)  # ~4000 buckets
+    out = cumulative(df, "v", {"n": F.lit(1).cast("long")}, [], cfg)
+    assert out.agg(F.countDistinct("__bk")).first()[0] > 1000
+    bad = out.where(F.col("cum_n") != (F.col("v") + 1) * 2).count()
+    assert bad == 0
