@@ -315,9 +315,11 @@ def keyed_input(txns: DataFrame, columns: list[str] | None = None, partitions: i
     from lineage if an executor is lost.
     """
     cols = columns or ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "is_fraud"]
-    n = partitions or int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     from riskframe.session import cached
-    return cached(txns.select(*cols).repartition(n, "txn_id"))
+    narrow = txns.select(*cols)
+    # without an explicit count the exchange follows spark.sql.shuffle.partitions and AQE may coalesce it
+    narrow = narrow.repartition(partitions, "txn_id") if partitions else narrow.repartition("txn_id")
+    return cached(narrow)
 
 
 def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
