@@ -39,8 +39,8 @@ def bucket_edges(dv: DataFrame, value_col: str, cfg: RiskConfig = DEFAULT) -> li
     """
     n = dv.count()
     k = max(cfg.order_min_buckets, math.ceil(n / max(cfg.order_bucket_rows, 1)))
-    if n <= cfg.order_min_buckets:  # tiny: one bucket, no sketch job
-        return []
+    if n <= max(cfg.order_min_buckets, cfg.order_bucket_rows):
+        return []  # one bucket already holds no more than the per-bucket target: no sketch job
     k = min(k, _LEVELS, n)
     levels = [i / k for i in range(1, k)]
     accuracy = min(max(1_000, 20 * k), 200_000)  # relative rank error 1/accuracy, small against 1/k
