@@ -43,9 +43,12 @@ def _money_dbl(df):
 
 @register("scan_contract")
 def q_scan_contract(spark, sf):
-    """Write the fixture as raw CSV (two files), read it back through the header contract."""
+    """Write the fixture as raw CSV (two files) plus a non-conforming file, read back through the contract."""
     path = _scratch(spark, "raw-csv")
-    _raw(spark, sf).repartition(2).write.mode("overwrite").option("header", True).csv(path)
+    raw = _raw(spark, sf)
+    raw.repartition(2).write.mode("overwrite").option("header", True).csv(path)
+    # a file with a different header in the same folder: the contract skips it
+    raw.select("step", "amount").coalesce(1).write.mode("append").option("header", True).csv(path)
     return ct.scan_contract(spark, path)
 
 

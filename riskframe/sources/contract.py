@@ -52,16 +52,55 @@ def validate_columns(columns, required=RAW_COLUMNS) -> list[str]:
     return list(required)
 
 
+def conforming_files(spark: SparkSession, path: str, sep: str = ",", required=RAW_COLUMNS) -> list[str]:
+    """Data files under `path` whose header line holds every required column.
+
+    Reads one line per file through the Hadoop FileSystem API (compressed
+    files through their codec), so the work is bounded by the number of files,
+    not by their size.  Non-conforming files are skipped with a warning.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    statuses = [fs.getFileStatus(root)] if fs.isFile(root) else list(fs.listStatus(root))
+    keep, skipped = [], []
+    for st in statuses:
+        fp = st.getPath()
+        name = fp.getName()
+        if not st.isFile() or name.startswith("_") or name.startswith("."):
+            continue
+        stream = fs.open(fp)
+        codec = codecs.getCodec(fp)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            header = reader.readLine() or ""
+        finally:
+            reader.close()
+        cols = [c.strip().strip('"') for c in header.split(sep)]
+        (keep if all(c in cols for c in required) else skipped).append(fp.toString())
+    if skipped:
+        log.warning("skipping files without the required header: %s", skipped)
+    if not keep:
+        raise ContractError(f"no file under {path} carries all required columns {list(required)}")
+    return sorted(keep)
+
+
 def scan_contract(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Read every CSV under `path` whose header satisfies the contract.
+    """Read every CSV under `path` whose header satisfies the contract (several files allowed).
 
-    The header is validated on a one-line read (a bounded action); data is then
-    read with the explicit schema, so no inference pass touches the data.
+    Headers are checked per file (one line each); conforming files are read
+    with the explicit schema, so no inference pass touches the data, and
+    Spark still checks each file's header against that schema.
     """
-    header = spark.read.option("header", True).option("sep", sep).csv(path).columns
+    files = conforming_files(spark, path, sep)
+    header = spark.read.option("header", True).option("sep", sep).csv(files[0]).columns
     validate_columns(header)
     df = (spark.read.option("header", True).option("sep", sep)
-          .option("enforceSchema", False).schema(_schema_for(header)).csv(path))
+          .option("enforceSchema", False).schema(_schema_for(header)).csv(files))
     return df.select(*RAW_COLUMNS)
 
 

@@ -42,3 +42,14 @@ def test_metadata_txn_id_matches_file_order(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     got = contract.with_txn_id(ev)
     assert got.where(F.col("txn_id") != F.col("event_id") + 1).count() == 0
+
+
+def test_scan_contract_skips_nonconforming_files(spark):
+    df = E.queries()["scan_contract"](spark, "/root/testdata/sf0.001")
+    assert df.count() == 1000 and df.columns[0] == "step" and len(df.columns) == 11
+
+
+def test_stream_ingest_appends_every_row_once(spark):
+    df = E.queries()["stream_ingest"](spark, "/root/testdata/sf0.001")
+    r = df.agg(F.count("*"), F.countDistinct("txn_id")).first()
+    assert r[0] == r[1] == 1000
