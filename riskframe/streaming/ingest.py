@@ -25,8 +25,9 @@ def raw_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | N
 
 
 def ingest(spark: SparkSession, src_dir: str, out_path: str, checkpoint: str | None = None,
-           available_now: bool = True):
-    """Append canonical rows for every new raw file; returns the (finished or running) StreamingQuery.
+           available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Write canonical rows for every new raw file, one `batch_id=<n>` folder per micro-batch
+    (idempotent on retry); returns the (finished or running) StreamingQuery.
 
     Streamed rows carry no id, so each micro-batch gets load-order ids above
     the current maximum of the sink (file, then position; see sequential_ids).
@@ -34,13 +35,16 @@ def ingest(spark: SparkSession, src_dir: str, out_path: str, checkpoint: str | N
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{abs(hash(out_path))}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # idempotent per micro-batch: a retried batch overwrites its own folder instead of appending twice,
+        # and its id base only looks at earlier batches
         typed = rename_and_cast(batch)
         try:
-            base = spark.read.parquet(out_path).agg(F.max("txn_id")).first()[0] or 0
+            prior = spark.read.parquet(out_path).where(F.col("batch_id") < F.lit(batch_id))
+            base = prior.agg(F.max("txn_id")).first()[0] or 0
         except Exception:  # noqa: BLE001 - first batch: the sink does not exist yet
             base = 0
-        sequential_ids(typed, base).write.mode("append").parquet(out_path)
+        sequential_ids(typed, base).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
-    q = raw_stream(spark, src_dir).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    q = raw_stream(spark, src_dir, max_files_per_trigger).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="30 seconds")
     return q.start()

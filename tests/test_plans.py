@@ -53,3 +53,16 @@ def test_stream_ingest_appends_every_row_once(spark):
     df = E.queries()["stream_ingest"](spark, "/root/testdata/sf0.001")
     r = df.agg(F.count("*"), F.countDistinct("txn_id")).first()
     assert r[0] == r[1] == 1000
+
+
+def test_stream_ingest_many_batches_unique_ids(spark, tmp_path):
+    from riskframe.sources.contract import raw_from_canonical
+    from riskframe.sources.fixtures import events_transactions
+    from riskframe.streaming.ingest import ingest
+    base = str(tmp_path)
+    raw_from_canonical(events_transactions(spark, "/root/testdata/sf0.001")).repartition(4) \
+        .write.option("header", True).csv(f"{base}/raw")
+    ingest(spark, f"{base}/raw", f"{base}/sink", f"{base}/ckpt", max_files_per_trigger=1).awaitTermination()
+    out = spark.read.parquet(f"{base}/sink")
+    r = out.agg(F.count("*"), F.countDistinct("txn_id"), F.countDistinct("batch_id"), F.max("txn_id")).first()
+    assert r[0] == r[1] == r[3] == 1000 and r[2] == 4
