@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

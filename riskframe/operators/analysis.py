@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
