@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontam, packing, quality, secret_scan, simhash
+from riskframe.llm import decontam, packing, quality, secret_scan, sharding, simhash
 from riskframe.llm.catalog import register
 from riskframe.llm.spans import count_column, joined_column
 
@@ -65,3 +65,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.scored(docs, quality_model(docs, table(spark, sf_dir, "labels")))
     return scores.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+TREE = sharding.HashTree.regular(regions=3, racks=2, shards=4)
+
+
+@register("op3_sharding", sharding.oracle(TREE))
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 23 by document id, and where each row would be with one shard more."""
+    rows = sharding.assign(table(spark, sf_dir, "documents"), TREE)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
