@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontam, packing, quality, secret_scan, sharding, simhash
+from riskframe.llm import decontam, html_extract, langid, line_rules, packing, quality, secret_scan, sharding, simhash
 from riskframe.llm.catalog import register
 from riskframe.llm.spans import count_column, joined_column
 
@@ -75,3 +75,24 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 23 by document id, and where each row would be with one shard more."""
     rows = sharding.assign(table(spark, sf_dir, "documents"), TREE)
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@register("op8_line_rules")
+def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and verdict of the line labelling for every document."""
+    docs = table(spark, sf_dir, "documents")
+    return line_rules.ruled(docs, line_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identified(docs, langid.fit(docs, remainder("doc_id", 4) != 2))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
