@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontam, html_extract, langid, line_rules, packing, quality, secret_scan, sharding, simhash
+from riskframe.llm import (decontam, html_extract, langid, line_rules, packing, pii, quality, secret_scan, sharding,
+                           simhash)
 from riskframe.llm.catalog import register
 from riskframe.llm.spans import count_column, joined_column
 
@@ -96,3 +97,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
+@register("op4_personal_data")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.learn(docs))
+    return found.select("doc_id", *(count_column("spans", k).alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2(joined_column("spans", only_base=True).cast("binary"), 256).alias("base_sha256"),
+                        joined_column("spans").alias("spans"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.automaton import CLASSES, Automaton
 from riskframe.llm.common import id_and_text
-from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, masked, ordered, pattern_spans
+from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked, ordered, pattern_spans
 
 KINDS = ["assign", "access", "hex"]
 LEAST = 12
@@ -38,10 +38,10 @@ def _names_one(text: str) -> bool:
 
 
 RULES: list[Rule] = [
-    ("assign", _names_one, _ASSIGN, lambda m: len(m[2]) >= LEAST),
-    ("access", lambda t: "AKIA" in t, re.compile(r"AKIA[A-Z0-9]+"), lambda m: m.end() - m.start() >= 18),
+    ("assign", _names_one, found_by(_ASSIGN, lambda m: len(m[2]) >= LEAST)),
+    ("access", lambda t: "AKIA" in t, found_by(re.compile(r"AKIA[A-Z0-9]+"), lambda m: m.end() - m.start() >= 18)),
     # runs are maximal, so asking for 16 characters at once keeps the same matches
-    ("hex", lambda t: True, re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}"), lambda m: True),
+    ("hex", lambda t: True, found_by(re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}"))),
 ]
 _DIGIT = re.compile(r"[0-9]")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z+/_.=-]*+[0-9][A-Za-z0-9+/_.=-]*+")

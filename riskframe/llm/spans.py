@@ -15,20 +15,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Span = tuple[str, int, int]
-Rule = tuple[str, Callable[[str], bool], re.Pattern, Callable[[re.Match], bool]]
+Find = Callable[[str], Iterable[tuple[int, int]]]
+Rule = tuple[str, Callable[[str], bool], Find]
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                                   T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType())]))
 ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
 
+def found_by(pattern: re.Pattern, check: Callable[[re.Match], bool] = lambda m: True) -> Find:
+    """Leftmost non-overlapping matches that pass a check."""
+    return lambda text: [m.span() for m in pattern.finditer(text) if check(m)]
+
+
 def pattern_spans(text: str, rules: Iterable[Rule]) -> list[Span]:
-    """Leftmost non-overlapping matches per kind. A rule is (kind, quick test on the text, pattern, check of a match)."""
-    out = []
-    for kind, may, pattern, check in rules:
-        if may(text):
-            out += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if check(m)]
-    return out
+    """Spans of all rules. A rule is (kind, quick test on the text, finder)."""
+    return [(kind, s, e) for kind, may, find in rules if may(text) for s, e in find(text)]
 
 
 def ordered(spans: Iterable[Span], kinds: list[str]) -> list[Span]:
