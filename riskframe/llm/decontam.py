@@ -5,9 +5,11 @@ document is scanned against every slice.
 
 1. The n-grams of an item occur in documents by chance if they are common, so
    their document frequency over the whole corpus is counted first (partial
-   counts per task, one row per benchmark n-gram) and an item keeps the rarest
-   half of its n-grams, ties included. A passage that a third of all documents
-   share keeps its seeds too, as the choice is made within the item.
+   counts per task, one row per benchmark n-gram). An item's n-grams that are
+   found in at most RARE times as many documents as its median one are its
+   seeds. A passage that a third of all documents share keeps its seeds too, as
+   the choice is made within the item, and an item always keeps over half of
+   its n-grams that occur at all.
 2. A seed found in a document points at a passage: where the item would start,
    with room for edits on both sides.
 3. Passage and item are aligned word by word (local alignment, linear gaps).
@@ -30,15 +32,16 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import id_and_bytes
 
-#: ASCII letters folded, digits kept, other ASCII to a space; bytes of other scripts are kept
-_FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+#: ASCII letters and digits kept, other ASCII to a space; bytes of other scripts are kept
+_FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+RARE = 4
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
-    """Words of a text: runs of ASCII letters, digits and any non-ASCII characters, A-Z lower-cased."""
-    return (raw or b"").translate(_FOLD).split()
+    """Words of a UTF-8 text, lower-cased: runs of ASCII letters, digits and any non-ASCII characters."""
+    return raw.decode("utf-8", "replace").lower().encode().translate(_FOLD).split() if raw else []
 
 
 @dataclass
@@ -102,14 +105,14 @@ def build_index(rows: list[tuple[int, bytes | None]], n: int = 3) -> Index:
 
 
 def keep_rare(index: Index, frequency: dict[int, int]) -> Index:
-    """The index with, for each item, only its n-grams of at most median document frequency."""
+    """The index with, for each item, only its n-grams found in at most RARE times the median number of documents."""
     df = np.array([frequency.get(g, 0) for g in range(len(index.grams))], np.int64)
     keep = np.zeros(len(index.places), bool)
     for k in range(len(index.items)):
         own = np.flatnonzero(index.places[:, 1] == k)
-        if len(own):
-            f = df[index.places[own, 0]]
-            keep[own[f <= np.median(f)]] = True
+        f = df[index.places[own, 0]]
+        if f.any():
+            keep[own[f <= RARE * np.median(f[f > 0])]] = True
     places = index.places[keep]
     return Index(index.n, index.vocab, index.items, index.grams, places,
                  np.searchsorted(places[:, 0], np.arange(len(index.grams) + 1)))
