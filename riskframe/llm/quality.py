@@ -26,6 +26,7 @@ from riskframe.llm.common import id_and_bytes
 _SYMBOLS = np.frombuffer(b"#*$%&|<>{}[]^~\\_=+@", np.uint8)
 _PAUSES = np.frombuffer(b".,;:'\"()-", np.uint8)
 N_FEATURES = 18
+LEAST_ROWS = 20
 
 
 def features(raw: bytes | None) -> np.ndarray:
@@ -137,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int =
     """Train on the documents for which `learn_from` (a condition on doc_id) holds.
 
     At most fit_rows positives and fit_rows unlabelled documents are read.
-    Without positives or documents, the model scores everything 0.5.
+    With fewer than LEAST_ROWS of either, nothing is learned and the model
+    scores everything 0.5.
     """
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where(learn_from & F.col("doc_id").isNotNull())
     order = [F.xxhash64("doc_id"), "doc_id"]
@@ -145,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int =
             .where(learn_from).distinct())
     unl = [r[0] for r in ids.distinct().orderBy(*order).limit(fit_rows).collect()]
     pos = [r[0] for r in ids.join(good, "doc_id", "left_semi").distinct().orderBy(*order).limit(fit_rows).collect()]
-    if not unl or not pos:
+    if min(len(unl), len(pos)) < LEAST_ROWS:
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros((N_FEATURES, 1)), np.zeros(1), np.zeros(1), 0.0, 0.5)
     wanted = sorted({*unl, *pos})
 
