@@ -5,21 +5,25 @@ expanding frames are ordered by (step, txn_id) and end one row before the
 current row; RANGE (velocity) frames cover steps [step-h, step-1] and so
 exclude the whole current step.
 
-Plan shape (skew-proof).  A plain `Window.partitionBy(key)` puts all rows of a
-key in one task, and one receiver may hold a third of all rows.  Each key
-family therefore first counts rows per key (partial aggregation); keys above
-`hot_key_rows` (at most rows / hot_key_rows of them, broadcast) are split,
-the rest take one plain window.  Hot keys are computed in three levels:
-
-  L1  chunk table: aggregate rows by (key, step, blk), blk = txn_id div B, so
-      a chunk holds at most B rows and chunks are ordered like (step, txn_id);
-  L2  prefix over the chunk table per key (one row per chunk, not per txn);
-      RANGE windows run on the same chunk table (frame over step);
-  L3  rows join their chunk's prefix and add a window partitioned by the
-      chunk itself (<= B rows) for the part of the history inside the chunk.
-
-Families are computed on narrow projections and joined back on the unique
-`txn_id`, so no wide row is shuffled more than once.
+Plan shape.  `history` adds the columns of one key family to the growing row,
+so nothing is joined back: rows are dealt by origin once (origin and pair
+families share that layout), by destination once, and by (type, step) once.
+
+A plain `Window.partitionBy(key)` puts all rows of a key in one task, and one
+receiver may hold a third of all rows.  Each family therefore counts rows per
+key first (partial aggregation); keys above `hot_key_rows` (at most
+rows / hot_key_rows of them) are split, the rest take one plain window:
+
+  L1  one row per (key, step): bounded by the number of steps whatever the ids
+      are.  A (key, step) group above `history_block` rows (B) is cut into
+      n div B + 1 ranges of txn_id, in order, so L1 holds at most
+      steps + rows / B rows of a key;
+  L2  prefix sums and RANGE frames over L1 per key;
+  L3  rows join their group's prefix and add a window inside the group for the
+      history within the step.
+
+Keys are compared as structs, so a NULL key is a key like any other on both
+paths.
 """
 
 from __future__ import annotations
@@ -30,48 +34,60 @@ from pyspark.sql import functions as F
 from riskframe.config import DEFAULT, TXN_TYPES, RiskConfig
 
 _UNB = Window.unboundedPreceding
-
-
-def _blk(cfg: RiskConfig) -> Column:
-    return F.expr(f"txn_id div {int(cfg.history_block)}").alias("blk")
+_SMALL_TABLE = 1 << 18  # rows of a control table that may be broadcast
 
 
 def _dbl(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
-              want_max: bool = False, want_prev: bool = False, prev_type: bool = False,
-              flag_col: str | None = None, ranges: dict[str, tuple[int, int, str]] | None = None,
-              prefix: str = "k") -> DataFrame:
-    """Expanding past-only statistics per key, skew-safe.
+def _small(df: DataFrame) -> tuple[DataFrame, int]:
+    """df with a broadcast hint if its counted size allows one, and that count (one small job)."""
+    n = df.count()
+    return (F.broadcast(df) if n <= _SMALL_TABLE else df), n
+
+
+def history(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *, source: DataFrame | None = None,
+            split_all: bool = False, prefix: str = "k", want_max: bool = False, want_prev: bool = False,
+            prev_type: bool = False, flag_col: str | None = None,
+            ranges: dict[str, tuple[int, int, str]] | None = None) -> DataFrame:
+    """rows plus expanding past-only statistics per key: `{prefix}_n`, `_s` and, as asked, `_mx`, `_prev_step`,
+    `_prev_type`, `_f` (sum of flag_col); `ranges` maps a column name to (lo, hi, "count" | "sum") over steps
+    [step-lo, step-hi].
 
-    Keys with more than `cfg.hot_key_rows` rows are found by one partially
-    aggregated count; there are at most rows / hot_key_rows of them, so that
-    key set is broadcast.  Cold keys take one plain window (a task holds at
-    most hot_key_rows rows of a key); hot keys take the chunked plan, which
-    never holds more than `history_block` rows of a key in one task.
+    `source` is a cheaper frame with the same transactions (and the columns
+    read here) for the key counts and L1.  `split_all` skips the key count and
+    takes the split plan for every key (few keys, each with many rows).
     """
-    opts = dict(want_max=want_max, want_prev=want_prev, prev_type=prev_type, flag_col=flag_col,
-                ranges=ranges, prefix=prefix)
-    cols = ["txn_id", "step", "amount", *keys, *(["txn_type"] if prev_type else []), *([flag_col] if flag_col else [])]
-    src = rows.select(*cols)
-    hot = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn")).where(F.col("_kn") > cfg.hot_key_rows).select(*keys)
-    if hot.isEmpty():  # one small job; no hot key -> no split branch in the plan at all
-        return _past_only_plain(src, keys, **opts)
-    hot = F.broadcast(hot)  # bounded: at most rows / hot_key_rows keys
-    cold_rows = src.join(hot, keys, "left_anti")
-    hot_rows = src.join(hot, keys, "left_semi")
-    return _past_only_plain(cold_rows, keys, **opts).unionByName(_past_only_chunked(hot_rows, keys, cfg, **opts))
-
-
-def _past_only_plain(src: DataFrame, keys: list[str], *, want_max, want_prev, prev_type, flag_col, ranges,
-                     prefix) -> DataFrame:
-    """One window per key over rows (cold keys only): ROWS frames on (step, txn_id), RANGE frames on step."""
+    opts = dict(prefix=prefix, want_max=want_max, want_prev=want_prev, prev_type=prev_type, flag_col=flag_col,
+                ranges=ranges or {})
+    src = (rows if source is None else source).select(
+        "txn_id", "step", "amount", F.struct(*keys).alias("_key"), *(["txn_type"] if prev_type else []),
+        *([flag_col] if flag_col else []))
+    if split_all:
+        return _split(rows, src, keys, cfg, **opts)
+    hot, n = _small(src.groupBy("_key").agg(F.count(F.lit(1)).alias("_kn"))
+                    .where(F.col("_kn") > cfg.hot_key_rows).select(F.col("_key").alias("_hot")))
+    if not n:
+        return _plain(rows, keys, **opts)
+    is_hot = F.struct(*[rows[k] for k in keys]) == F.col("_hot")
+    cold = _plain(rows.join(hot, is_hot, "left_anti"), keys, **opts)
+    split = _split(rows.join(hot, is_hot, "left_semi"), src.join(hot, src["_key"] == F.col("_hot"), "left_semi"),
+                   keys, cfg, **opts)
+    return cold.unionByName(split)
+
+
+def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, **opts) -> DataFrame:
+    """`history` without the input columns: txn_id and the statistics."""
+    out = history(rows, keys, cfg, **opts)
+    return out.select("txn_id", *[c for c in out.columns if c not in rows.columns])
+
+
+def _plain(rows: DataFrame, keys: list[str], *, prefix, want_max, want_prev, prev_type, flag_col, ranges) -> DataFrame:
+    """One window per key over rows: ROWS frames on (step, txn_id), RANGE frames on step."""
     w = Window.partitionBy(*keys).orderBy("step", "txn_id")
     ex = w.rowsBetween(_UNB, -1)
-    out = [F.col("txn_id"), F.count(F.lit(1)).over(ex).alias(f"{prefix}_n"),
-           F.sum("amount").over(ex).cast("decimal(38,2)").alias(f"{prefix}_s")]
+    out = [F.count(F.lit(1)).over(ex).alias(f"{prefix}_n"), F.sum("amount").over(ex).cast("decimal(38,2)").alias(f"{prefix}_s")]
     if want_max:
         out.append(F.max("amount").over(ex).alias(f"{prefix}_mx"))
     if want_prev:
@@ -80,34 +96,29 @@ def _past_only_plain(src: DataFrame, keys: list[str], *, want_max, want_prev, pr
         out.append(F.lag("txn_type").over(w).alias(f"{prefix}_prev_type"))
     if flag_col:
         out.append(F.coalesce(F.sum(flag_col).over(ex), F.lit(0)).cast("bigint").alias(f"{prefix}_f"))
-    if ranges:
-        ws = Window.partitionBy(*keys).orderBy("step")
-        for name, (lo, hi, measure) in ranges.items():
-            frame = ws.rangeBetween(-lo, -hi)
-            if measure == "count":
-                out.append(F.count(F.lit(1)).over(frame).alias(name))
-            else:
-                out.append(F.sum("amount").over(frame).cast("decimal(38,2)").alias(name))
-    return src.select(*out)
-
-
-def _past_only_chunked(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *,
-                       want_max: bool = False, want_prev: bool = False, prev_type: bool = False,
-                       flag_col: str | None = None, ranges: dict[str, tuple[int, int, str]] | None = None,
-                       prefix: str = "k") -> DataFrame:
-    """Chunked plan (hot keys): expanding past-only count/sum(/max/previous step/previous type/flag sum) per key.
-
-    `rows` needs txn_id, step, amount and the key columns (plus txn_type when
-    prev_type, and `flag_col` when given).  `ranges` maps an output name to
-    (lo, hi, measure) for RANGE frames [step-lo, step-hi] over the per-step
-    table, measure in {"count", "sum"}.  Output: txn_id + `{prefix}_*` columns.
-    """
-    part = keys + ["step", "blk"]
-    src = rows.select("txn_id", "step", "amount", *keys,
-                      *(["txn_type"] if prev_type else []),
-                      *([flag_col] if flag_col else []), _blk(cfg))
-
-    # L1 -- chunk aggregates
+    ws = Window.partitionBy(*keys).orderBy("step")
+    for name, (lo, hi, measure) in ranges.items():
+        frame = ws.rangeBetween(-lo, -hi)
+        out.append((F.count(F.lit(1)).over(frame) if measure == "count"
+                    else F.sum("amount").over(frame).cast("decimal(38,2)")).alias(name))
+    return rows.select("*", *out)
+
+
+def _blocked(src: DataFrame, cfg: RiskConfig):
+    """A function that adds `_blk`, the txn_id range of a row inside its (key, step) group, to frames with `_key`."""
+    big, n = _small(src.groupBy("_key", "step")
+                    .agg(F.count(F.lit(1)).alias("_n"), F.min("txn_id").alias("_lo"), F.max("txn_id").alias("_hi"))
+                    .where(F.col("_n") > cfg.history_block)
+                    .select(F.col("_key").alias("_bk"), F.col("step").alias("_bs"), "_lo",
+                            F.expr(f"(_hi - _lo) div (_n div {int(cfg.history_block)} + 1) + 1").alias("_wide")))
+    if not n:
+        return lambda df: df.withColumn("_blk", F.lit(0).cast("long"))
+    return lambda df: df.join(big, (df["_key"] == F.col("_bk")) & (df["step"] == F.col("_bs")), "left").withColumn(
+        "_blk", F.coalesce(F.expr("(txn_id - _lo) div _wide"), F.lit(0).cast("long"))).drop("_bk", "_bs", "_lo", "_wide")
+
+
+def chunk_table(src: DataFrame, block, *, want_max=False, prev_type=False, flag_col=None) -> DataFrame:
+    """L1: one row per (key, step), or per txn_id range of a large (key, step) group."""
     aggs = [F.count(F.lit(1)).alias("c_n"), F.sum("amount").alias("c_s")]
     if want_max:
         aggs.append(F.max("amount").alias("c_mx"))
@@ -115,10 +126,16 @@ def _past_only_chunked(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAU
         aggs.append(F.max_by("txn_type", "txn_id").alias("c_last_type"))
     if flag_col:
         aggs.append(F.sum(flag_col).alias("c_f"))
-    chunks = src.groupBy(*part).agg(*aggs)
+    return block(src).groupBy("_key", "step", "_blk").agg(*aggs)
+
+
+def _split(rows: DataFrame, src: DataFrame, keys: list[str], cfg: RiskConfig, *, prefix, want_max, want_prev, prev_type,
+           flag_col, ranges) -> DataFrame:
+    """The three-level plan of the module text; src has `_key` and the aggregated columns of the same transactions."""
+    block = _blocked(src, cfg)
+    l1 = chunk_table(src, block, want_max=want_max, prev_type=prev_type, flag_col=flag_col)
 
-    # L2 -- prefix over chunks of the same key (one row per chunk)
-    wk = Window.partitionBy(*keys).orderBy("step", "blk")
+    wk = Window.partitionBy("_key").orderBy("step", "_blk")
     ex = wk.rowsBetween(_UNB, -1)
     l2 = [F.coalesce(F.sum("c_n").over(ex), F.lit(0)).alias("p_n"), F.sum("c_s").over(ex).alias("p_s")]
     if want_max:
@@ -129,43 +146,31 @@ def _past_only_chunked(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAU
         l2.append(F.lag("c_last_type").over(wk).alias("p_prev_type"))
     if flag_col:
         l2.append(F.coalesce(F.sum("c_f").over(ex), F.lit(0)).alias("p_f"))
-
-    if ranges:
-        # RANGE frames run on the chunk table itself: a frame over `step` takes
-        # every chunk whose step is in [step-lo, step-hi], which is exactly the
-        # row-level frame; same partitioning as the prefix window, no new shuffle.
-        ws = Window.partitionBy(*keys).orderBy("step")
-        for name, (lo, hi, measure) in ranges.items():
-            frame = ws.rangeBetween(-lo, -hi)
-            if measure == "count":
-                l2.append(F.coalesce(F.sum("c_n").over(frame), F.lit(0)).alias(name))
-            else:
-                l2.append(F.sum("c_s").over(frame).alias(name))
-    prefix_tbl = chunks.select(*part, *l2)
-
-    # L3 -- within-chunk window (<= B rows per partition)
-    w3 = Window.partitionBy(*part).orderBy("txn_id")
+    ws = Window.partitionBy("_key").orderBy("step")
+    for name, (lo, hi, measure) in ranges.items():
+        frame = ws.rangeBetween(-lo, -hi)
+        l2.append((F.coalesce(F.sum("c_n").over(frame), F.lit(0)) if measure == "count"
+                   else F.sum("c_s").over(frame).cast("decimal(38,2)")).alias(name))
+    table = l1.select(F.col("_key").alias("t_key"), F.col("step").alias("t_step"), F.col("_blk").alias("t_blk"), *l2)
+
+    keyed = block(rows.withColumn("_key", F.struct(*keys)))
+    j = keyed.join(table, (keyed["_key"] == table["t_key"]) & (keyed["step"] == table["t_step"]) & (keyed["_blk"] == table["t_blk"]))
+    w3 = Window.partitionBy("_key", "step", "_blk").orderBy("txn_id")
     e3 = w3.rowsBetween(_UNB, -1)
-    j = src.join(prefix_tbl, part)
     rn = F.row_number().over(w3)
-    n = (F.col("p_n") + rn - 1)
-    s_in = F.sum("amount").over(e3)
-    out = [F.col("txn_id"), n.alias(f"{prefix}_n"),
-           F.when(n > 0, F.coalesce(F.col("p_s"), F.lit(0)) + F.coalesce(s_in, F.lit(0))).cast("decimal(38,2)")
-           .alias(f"{prefix}_s")]
+    n = F.col("p_n") + rn - 1
+    out = [n.alias(f"{prefix}_n"),
+           F.when(n > 0, F.coalesce(F.col("p_s"), F.lit(0)) + F.coalesce(F.sum("amount").over(e3), F.lit(0)))
+           .cast("decimal(38,2)").alias(f"{prefix}_s")]
     if want_max:
         out.append(F.greatest(F.col("p_mx"), F.max("amount").over(e3)).alias(f"{prefix}_mx"))
     if want_prev:
         out.append(F.when(rn > 1, F.col("step")).otherwise(F.col("p_prev_step")).alias(f"{prefix}_prev_step"))
     if prev_type:
-        out.append(F.when(rn > 1, F.lag("txn_type").over(w3)).otherwise(F.col("p_prev_type"))
-                   .alias(f"{prefix}_prev_type"))
+        out.append(F.when(rn > 1, F.lag("txn_type").over(w3)).otherwise(F.col("p_prev_type")).alias(f"{prefix}_prev_type"))
     if flag_col:
         out.append((F.col("p_f") + F.coalesce(F.sum(flag_col).over(e3), F.lit(0))).cast("bigint").alias(f"{prefix}_f"))
-    if ranges:
-        out.extend(F.col(name).cast("decimal(38,2)").alias(name) if m == "sum" else F.col(name)
-                   for name, (_, _, m) in ranges.items())
-    return j.select(*out)
+    return j.select(*[keyed[c] for c in rows.columns], *out, *ranges)
 
 
 def _avg(s: str, n: str) -> Column:
@@ -177,95 +182,98 @@ def _ratio(num: Column, den: Column) -> Column:
     return num / F.when(den != 0, den)
 
 
-def base_columns(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """P1, P3, P5-P7, P12 on the canonical table (row-local, no shuffle)."""
+def base_expressions(cfg: RiskConfig = DEFAULT) -> list[Column]:
+    """P1, P3, P5-P7 on the canonical columns (row-local)."""
     spd = cfg.steps_per_day
-    cols = [
-        "txn_id", "step",
+    kind = F.substring("name_dest", 1, 1)
+    return [
         (F.floor((F.col("step") - 1) / spd) + 1).cast("int").alias("sim_day"),
         ((F.col("step") - 1) % spd).cast("int").alias("hour_of_day"),
-        "txn_type", "amount",
         F.round(F.log10(_dbl(F.greatest(F.col("amount"), F.lit(0))) + F.lit(1.0)), 9).alias("log_amount"),
         F.when(F.col("amount") % 1000 == 0, 1).otherwise(0).alias("amount_is_round_1000"),
-        "name_orig", "name_dest",
-        F.substring("name_dest", 1, 1).alias("dest_kind"),
-        F.when(F.substring("name_dest", 1, 1) == "M", 1).otherwise(0).alias("dest_is_merchant"),
-        "is_fraud",
+        kind.alias("dest_kind"), F.when(kind == "M", 1).otherwise(0).alias("dest_is_merchant"),
     ]
-    return txns.select(*cols)
 
 
-def origin_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Expanding origin history, gap, previous type, 24h origin velocity."""
-    o = past_only(txns, ["name_orig"], cfg, want_max=True, want_prev=True, prev_type=True,
-                  ranges={"o_v24": (24, 1, "count")}, prefix="o")
-    avg = _avg("o_s", "o_n")
-    return o.select(
-        "txn_id",
-        F.col("o_n").alias("orig_prior_txn_count"),
-        avg.alias("orig_prior_avg_amount"),
-        _dbl("o_mx").alias("orig_prior_max_amount"),
-        F.coalesce(_dbl("o_s"), F.lit(0.0)).alias("orig_prior_total_amount"),
-        F.col("o_prev_step").alias("_o_prev_step"),
+def _add_origin(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
+    df = history(df, ["name_orig"], cfg, source=source, prefix="o", want_max=True, want_prev=True, prev_type=True,
+                 ranges={"o_v24": (24, 1, "count")})
+    amt, avg, mx = _dbl("amount"), _avg("o_s", "o_n"), _dbl("o_mx")
+    return df.select(
+        *[c for c in df.columns if not c.startswith("o_")],
+        F.col("o_n").alias("orig_prior_txn_count"), avg.alias("orig_prior_avg_amount"),
+        mx.alias("orig_prior_max_amount"), F.coalesce(_dbl("o_s"), F.lit(0.0)).alias("orig_prior_total_amount"),
         F.when(F.col("o_n") > 0, 1).otherwise(0).alias("orig_has_history"),
-        F.col("o_prev_type").alias("orig_prev_txn_type"),
-        F.col("o_v24").alias("orig_txn_prev_24h"),
-    )
-
+        F.col("o_prev_type").alias("orig_prev_txn_type"), F.col("o_v24").alias("orig_txn_prev_24h"),
+        (F.col("step") - F.col("o_prev_step")).alias("orig_steps_since_prev_txn"),
+        _ratio(amt, avg).alias("orig_amount_to_prior_avg"), (amt - avg).alias("orig_amount_minus_prior_avg"),
+        _ratio(amt, mx).alias("orig_amount_to_prior_max"))
 
-def pair_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Expanding (origin, destination) history and first-contact flag."""
-    p = past_only(txns, ["name_orig", "name_dest"], cfg, prefix="p")
-    return p.select(
-        "txn_id",
-        F.col("p_n").alias("pair_prior_txn_count"),
-        F.when(F.col("p_n") == 0, 1).otherwise(0).alias("pair_is_new"),
-        F.coalesce(_dbl("p_s"), F.lit(0.0)).alias("pair_prior_total_amount"),
-        F.when(F.col("p_n") == 0, 1).otherwise(0).alias("is_first_contact"),
-    )
 
+def _add_pair(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
+    df = history(df, ["name_orig", "name_dest"], cfg, source=source, prefix="p")
+    new = F.when(F.col("p_n") == 0, 1).otherwise(0)
+    return df.select(
+        *[c for c in df.columns if not c.startswith("p_")], F.col("p_n").alias("pair_prior_txn_count"),
+        new.alias("pair_is_new"), F.coalesce(_dbl("p_s"), F.lit(0.0)).alias("pair_prior_total_amount"),
+        new.alias("is_first_contact"))
 
-def dest_history(txns: DataFrame, pair: DataFrame | None, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Destination history, RANGE velocity, fan-in.
 
-    Without `pair` (first-contact flags) the fan-in column is left out, which
-    saves the pair family when only velocity or history is needed."""
+def _add_dest(df: DataFrame, cfg: RiskConfig, source: DataFrame, fan_in: bool) -> DataFrame:
     rng = {f"d_v{h}": (h, 1, "count") for h in cfg.velocity_windows}
     rng["d_a24"] = (24, 1, "sum")
     rng["d_v1"] = (1, 1, "count")
-    rows = txns.select("txn_id", "step", "amount", "name_dest")
-    if pair is not None:
-        rows = rows.join(pair.select("txn_id", "is_first_contact"), "txn_id")
-    d = past_only(rows, ["name_dest"], cfg, want_max=True, want_prev=True,
-                  flag_col="is_first_contact" if pair is not None else None, ranges=rng, prefix="d")
+    # the first-contact flag is on the growing row only, so the split of a hot receiver reads that
+    df = history(df, ["name_dest"], cfg, source=None if fan_in else source, prefix="d", want_max=True, want_prev=True,
+                 flag_col="is_first_contact" if fan_in else None, ranges=rng)
     long_w = max(cfg.velocity_windows)
     v24, vlong = F.col("d_v24"), F.col(f"d_v{long_w}")
-    return d.select(
-        "txn_id",
-        F.col("d_n").alias("dest_prior_txn_count"),
-        _avg("d_s", "d_n").alias("dest_prior_avg_amount"),
+    avg = _avg("d_s", "d_n")
+    return df.select(
+        *[c for c in df.columns if not c.startswith("d_")],
+        F.col("d_n").alias("dest_prior_txn_count"), avg.alias("dest_prior_avg_amount"),
         _dbl("d_mx").alias("dest_prior_max_amount"),
         F.coalesce(_dbl("d_s"), F.lit(0.0)).alias("dest_prior_total_amount"),
-        F.col("d_prev_step").alias("_d_prev_step"),
         F.when(F.col("d_n") > 0, 1).otherwise(0).alias("dest_has_history"),
         F.when(F.col("d_n") == 0, 1).otherwise(0).alias("dest_is_new"),
-        *([F.col("d_f").alias("dest_prior_unique_senders")] if pair is not None else []),
+        *([F.col("d_f").alias("dest_prior_unique_senders")] if fan_in else []),
         *[F.col(f"d_v{h}").alias(f"dest_txn_prev_{h}h") for h in cfg.velocity_windows],
         F.coalesce(_dbl("d_a24"), F.lit(0.0)).alias("dest_amount_prev_24h"),
         F.col("d_v1").alias("dest_txn_prev_1h"),
         _ratio(_dbl(v24), _dbl(vlong) / F.lit(float(long_w) / cfg.steps_per_day)).alias(
             f"dest_velocity_ratio_24h_vs_{long_w}h"),
-    )
+        (F.col("step") - F.col("d_prev_step")).alias("dest_steps_since_prev_txn"),
+        _ratio(_dbl("amount"), avg).alias("dest_amount_to_prior_avg"))
 
 
-def type_baseline(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Expanding past-only average amount per transaction type.
+def _add_type(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
+    """Five keys would be five tasks as a plain window, so every type takes the split plan."""
+    df = history(df, ["txn_type"], cfg, source=source, split_all=True, prefix="t")
+    avg = _avg("t_s", "t_n")
+    return df.select(*[c for c in df.columns if not c.startswith("t_")], avg.alias("type_prior_avg_amount"),
+                     _ratio(_dbl("amount"), avg).alias("amount_to_type_prior_avg"))
 
-    Five keys would mean five tasks as a plain window; the chunked prefix keeps
-    every task bounded by B rows plus one chunk row per (type, step, blk).
-    """
-    t = past_only(txns, ["txn_type"], cfg, prefix="t")
-    return t.select("txn_id", _avg("t_s", "t_n").alias("type_prior_avg_amount"))
+
+def origin_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """The input with expanding origin history, gap, ratios, previous type, 24h origin velocity."""
+    return _add_origin(txns, cfg, txns)
+
+
+def pair_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """The input with expanding (origin, destination) history and first-contact flag."""
+    return _add_pair(txns, cfg, txns)
+
+
+def dest_history(txns: DataFrame, fan_in: bool = True, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """The input with destination history, RANGE velocity and, unless fan_in is off, fan-in.
+
+    Only fan-in needs the pair family."""
+    return _add_dest(_add_pair(txns, cfg, txns) if fan_in else txns, cfg, txns, fan_in)
+
+
+def type_baseline(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """The input with the expanding past-only average amount per transaction type and the ratio to it."""
+    return _add_type(txns, cfg, txns)
 
 
 def one_hot_type(txn_type: str = "txn_type") -> list[Column]:
@@ -290,7 +298,7 @@ FEATURE_ORDER = [
     "is_fraud",
 ]
 
-# The model input list (never step, target, balances or the simulator flag)
+# P15, fixed values: the model input list (never step, target, balances or the simulator flag)
 MODEL_COLUMNS = [
     "amount", "log_amount", "amount_is_round_1000", "amount_to_type_prior_avg", "hour_of_day",
     "orig_prior_txn_count", "orig_prior_avg_amount", "orig_prior_max_amount", "orig_prior_total_amount",
@@ -306,47 +314,19 @@ MODEL_COLUMNS = [
 ]
 
 
-def keyed_input(txns: DataFrame, columns: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """The narrow canonical projection, hash-partitioned by txn_id and persisted.
-
-    Every key family reads it (no re-scan / re-derivation per branch), and the
-    final join on txn_id finds one side already partitioned, so this shuffle
-    replaces one the join would do anyway.  Persisted blocks are recomputed
-    from lineage if an executor is lost.
-    """
-    cols = columns or ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "is_fraud"]
-    from riskframe.session import cached
-    narrow = txns.select(*cols)
-    # without an explicit count the exchange follows spark.sql.shuffle.partitions and AQE may coalesce it
-    narrow = narrow.repartition(partitions, "txn_id") if partitions else narrow.repartition("txn_id")
-    return cached(narrow)
+NARROW = ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "is_fraud"]
 
 
 def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """The full feature table, one row per transaction, target last."""
-    from riskframe.session import cached
-    narrow = keyed_input(txns)
-    # the pair family feeds the fan-in flag of the destination family and the final join: compute it once
-    pair = cached(pair_history(narrow, cfg))
-    orig = origin_history(narrow, cfg)
-    dest = dest_history(narrow, pair, cfg)
-    typ = type_baseline(narrow, cfg)
-    f = (base_columns(narrow, cfg)
-         .join(orig, "txn_id").join(dest, "txn_id")
-         .join(pair.drop("is_first_contact"), "txn_id").join(typ, "txn_id"))
-    amt = _dbl("amount")
-    f = f.select(
-        "*",
-        (F.col("step") - F.col("_o_prev_step")).alias("orig_steps_since_prev_txn"),
-        _ratio(amt, F.col("orig_prior_avg_amount")).alias("orig_amount_to_prior_avg"),
-        (amt - F.col("orig_prior_avg_amount")).alias("orig_amount_minus_prior_avg"),
-        _ratio(amt, F.col("orig_prior_max_amount")).alias("orig_amount_to_prior_max"),
-        (F.col("step") - F.col("_d_prev_step")).alias("dest_steps_since_prev_txn"),
-        _ratio(amt, F.col("dest_prior_avg_amount")).alias("dest_amount_to_prior_avg"),
-        _ratio(amt, F.col("type_prior_avg_amount")).alias("amount_to_type_prior_avg"),
-        *one_hot_type(),
-    )
-    return f.select(*FEATURE_ORDER)
+    """The full feature table, one row per transaction, target last.
+
+    One chain on the growing row: origin and pair windows on the layout by
+    origin, destination windows on the layout by destination, then the type
+    prefix."""
+    narrow = txns.select(*NARROW)
+    f = _add_pair(_add_origin(narrow, cfg, narrow), cfg, narrow)
+    f = _add_type(_add_dest(f, cfg, narrow, True), cfg, narrow)
+    return f.select("*", *base_expressions(cfg), *one_hot_type()).select(*FEATURE_ORDER)
 
 
 def fill_missing(features: DataFrame, columns: list[str] | None = None) -> DataFrame:

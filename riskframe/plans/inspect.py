@@ -21,7 +21,7 @@ def scan_summary(df: DataFrame) -> list[dict]:
     return out
 
 
-def exchange_count(df: DataFrame) -> int:
-    """Shuffle exchanges in the (pre-AQE) physical plan."""
+def exchanges(df: DataFrame) -> list[str]:
+    """Shuffle exchanges in the (pre-AQE) physical plan, as printed."""
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", plan))
+    return re.findall(r"Exchange (?:hash|range)partitioning\([^\n]*|Exchange SinglePartition[^\n]*", plan)

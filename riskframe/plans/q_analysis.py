@@ -112,9 +112,7 @@ _VEL_CASE = ("CASE WHEN dest_txn_prev_24h = 0 THEN '0' WHEN dest_txn_prev_24h =
 
 @register("q4_fan_in_bands", _band_sql(_FAN_CASE, "dest_prior_unique_senders", "fan_in_band"))
 def q_fan_in_bands(spark, sf):
-    n = fe.keyed_input(T(spark, sf))
-    d = fe.dest_history(n, fe.pair_history(n)).select("txn_id", "dest_prior_unique_senders")
-    return an.fan_in_bands(n.select("txn_id", "is_fraud").join(d, "txn_id"))
+    return an.fan_in_bands(fe.dest_history(T(spark, sf).select(*fe.NARROW)))
 
 
 @register("q5_relationship", _fsql(f"""
@@ -122,16 +120,13 @@ SELECT CASE WHEN pair_is_new = 1 THEN 'first transaction to this counterparty' E
   COUNT(*) AS transactions, CAST(SUM(is_fraud) AS BIGINT) AS fraud, {pct('SUM(is_fraud)', 'COUNT(*)')} AS fraud_rate_pct
 FROM features GROUP BY 1"""))
 def q_relationship(spark, sf):
-    n = fe.keyed_input(T(spark, sf))
-    return an.relationship(n.select("txn_id", "is_fraud").join(fe.pair_history(n), "txn_id"))
+    return an.relationship(fe.pair_history(T(spark, sf).select(*fe.NARROW)))
 
 
 @register("q6_velocity_bands", _band_sql(_VEL_CASE, "dest_txn_prev_24h", "dest_txns_in_prev_24h"))
 def q_velocity_bands(spark, sf):
-    """B9, the flagship: events -> transactions -> RANGE velocity (chunked) -> bands."""
-    n = fe.keyed_input(T(spark, sf))
-    d = fe.dest_history(n, None).select("txn_id", "dest_txn_prev_24h")
-    return an.velocity_bands(n.select("txn_id", "is_fraud").join(d, "txn_id"))
+    """B9, the flagship: events -> transactions -> RANGE velocity -> bands."""
+    return an.velocity_bands(fe.dest_history(T(spark, sf).select(*fe.NARROW), fan_in=False))
 
 
 @register("q7_daily_trend", with_ctes(f"""

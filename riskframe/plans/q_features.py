@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import features as fe
-from riskframe.oracles.base import FEATURES, TXN, with_ctes
+from riskframe.oracles.base import FEATURES, LINEITEM_TXN, TXN, with_ctes
 from riskframe.plans.catalog import register
-from riskframe.sources.fixtures import events_transactions
+from riskframe.sources.fixtures import events_transactions, lineitem_transactions
 
 
 def _txn(spark, sf_dir):
@@ -38,12 +38,12 @@ def q_origin_history(spark, sf_dir):
 
 @register("orig_gap", _fsql("txn_id, orig_steps_since_prev_txn"))
 def q_orig_gap(spark, sf_dir):
-    return fe.build_features(_txn(spark, sf_dir)).select("txn_id", "orig_steps_since_prev_txn")
+    return fe.origin_history(_narrow(spark, sf_dir)).select("txn_id", "orig_steps_since_prev_txn")
 
 
 @register("orig_ratios", _fsql("txn_id, orig_amount_to_prior_avg, orig_amount_minus_prior_avg, orig_amount_to_prior_max"))
 def q_orig_ratios(spark, sf_dir):
-    return fe.build_features(_txn(spark, sf_dir)).select(
+    return fe.origin_history(_narrow(spark, sf_dir)).select(
         "txn_id", "orig_amount_to_prior_avg", "orig_amount_minus_prior_avg", "orig_amount_to_prior_max")
 
 
@@ -54,15 +54,13 @@ def q_orig_prev_type(spark, sf_dir):
 
 @register("velocity", _fsql("txn_id, dest_txn_prev_24h, dest_txn_prev_72h, dest_txn_prev_168h"))
 def q_velocity(spark, sf_dir):
-    n = _narrow(spark, sf_dir)
-    return fe.dest_history(n, fe.pair_history(n)).select(
+    return fe.dest_history(_narrow(spark, sf_dir), fan_in=False).select(
         "txn_id", "dest_txn_prev_24h", "dest_txn_prev_72h", "dest_txn_prev_168h")
 
 
 @register("velocity_amount", _fsql("txn_id, dest_amount_prev_24h"))
 def q_velocity_amount(spark, sf_dir):
-    n = _narrow(spark, sf_dir)
-    return fe.dest_history(n, fe.pair_history(n)).select("txn_id", "dest_amount_prev_24h")
+    return fe.dest_history(_narrow(spark, sf_dir), fan_in=False).select("txn_id", "dest_amount_prev_24h")
 
 
 @register("orig_velocity", _fsql("txn_id, orig_txn_prev_24h"))
@@ -72,14 +70,12 @@ def q_orig_velocity(spark, sf_dir):
 
 @register("prev_hour_count", _fsql("txn_id, dest_txn_prev_1h"))
 def q_prev_hour_count(spark, sf_dir):
-    n = _narrow(spark, sf_dir)
-    return fe.dest_history(n, fe.pair_history(n)).select("txn_id", "dest_txn_prev_1h")
+    return fe.dest_history(_narrow(spark, sf_dir), fan_in=False).select("txn_id", "dest_txn_prev_1h")
 
 
 @register("velocity_ratio", _fsql("txn_id, dest_velocity_ratio_24h_vs_168h"))
 def q_velocity_ratio(spark, sf_dir):
-    n = _narrow(spark, sf_dir)
-    return fe.dest_history(n, fe.pair_history(n)).select("txn_id", "dest_velocity_ratio_24h_vs_168h")
+    return fe.dest_history(_narrow(spark, sf_dir), fan_in=False).select("txn_id", "dest_velocity_ratio_24h_vs_168h")
 
 
 _DEST = ("txn_id, dest_prior_txn_count, dest_prior_avg_amount, dest_prior_max_amount, dest_prior_total_amount, "
@@ -88,12 +84,12 @@ _DEST = ("txn_id, dest_prior_txn_count, dest_prior_avg_amount, dest_prior_max_am
 
 @register("dest_history", _fsql(_DEST))
 def q_dest_history(spark, sf_dir):
-    return fe.build_features(_txn(spark, sf_dir)).select(*[c.strip() for c in _DEST.split(",")])
+    return fe.dest_history(_narrow(spark, sf_dir), fan_in=False).select(*[c.strip() for c in _DEST.split(",")])
 
 
 @register("dest_gap", _fsql("txn_id, dest_steps_since_prev_txn"))
 def q_dest_gap(spark, sf_dir):
-    return fe.build_features(_txn(spark, sf_dir)).select("txn_id", "dest_steps_since_prev_txn")
+    return fe.dest_history(_narrow(spark, sf_dir), fan_in=False).select("txn_id", "dest_steps_since_prev_txn")
 
 
 @register("pair_history", _fsql("txn_id, pair_prior_txn_count, pair_is_new, pair_prior_total_amount"))
@@ -111,13 +107,12 @@ def q_first_contact(spark, sf_dir):
 
 @register("fan_in", _fsql("txn_id, dest_prior_unique_senders"))
 def q_fan_in(spark, sf_dir):
-    n = _narrow(spark, sf_dir)
-    return fe.dest_history(n, fe.pair_history(n)).select("txn_id", "dest_prior_unique_senders")
+    return fe.dest_history(_narrow(spark, sf_dir)).select("txn_id", "dest_prior_unique_senders")
 
 
 @register("type_baseline", _fsql("txn_id, type_prior_avg_amount, amount_to_type_prior_avg"))
 def q_type_baseline(spark, sf_dir):
-    return fe.build_features(_txn(spark, sf_dir)).select(
+    return fe.type_baseline(_narrow(spark, sf_dir)).select(
         "txn_id", "type_prior_avg_amount", "amount_to_type_prior_avg")
 
 
@@ -125,11 +120,10 @@ def q_type_baseline(spark, sf_dir):
     "SELECT txn_id, ROW_NUMBER() OVER (PARTITION BY name_orig ORDER BY step, txn_id) - 1 AS orig_prior_count, "
     "ROW_NUMBER() OVER (PARTITION BY name_dest ORDER BY step, txn_id) - 1 AS dest_prior_count FROM transactions", TXN))
 def q_prior_count_only(spark, sf_dir):
-    """Cumcount per account (the same chunked prefix, count only)."""
+    """Cumcount per account, both sides on the growing row."""
     n = _narrow(spark, sf_dir)
-    o = fe.past_only(n, ["name_orig"], prefix="o").select("txn_id", F.col("o_n").alias("orig_prior_count"))
-    d = fe.past_only(n, ["name_dest"], prefix="d").select("txn_id", F.col("d_n").alias("dest_prior_count"))
-    return o.join(d, "txn_id")
+    both = fe.history(fe.history(n, ["name_orig"], prefix="o"), ["name_dest"], source=n, prefix="d")
+    return both.select("txn_id", F.col("o_n").alias("orig_prior_count"), F.col("d_n").alias("dest_prior_count"))
 
 
 @register("features_hot_keys", _fsql("*"))
@@ -138,3 +132,10 @@ def q_features_hot_keys(spark, sf_dir):
     the chunked (split) plan and the rest the plain window: both paths against one oracle."""
     from riskframe.config import RiskConfig
     return fe.build_features(_txn(spark, sf_dir), RiskConfig(hot_key_rows=20, history_block=64))
+
+
+@register("features_hot_keys_lineitem", with_ctes("SELECT * FROM features", LINEITEM_TXN, FEATURES))
+def q_features_hot_keys_lineitem(spark, sf_dir):
+    """The split plan where ids do not follow steps: daily steps, order keys as ids."""
+    from riskframe.config import RiskConfig
+    return fe.build_features(lineitem_transactions(spark, sf_dir), RiskConfig(hot_key_rows=200, history_block=16))

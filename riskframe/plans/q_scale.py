@@ -33,9 +33,7 @@ SELECT dest_txns_in_prev_24h, band_floor, transactions, fraud,
   SELECT {_VEL} AS dest_txns_in_prev_24h, MIN(dest_txn_prev_24h) AS band_floor, COUNT(*) AS transactions,
          CAST(SUM(is_fraud) AS BIGINT) AS fraud FROM features GROUP BY 1)""", LINEITEM_TXN, FEATURES))
 def q_velocity_bands_lineitem(spark, sf):
-    n = fe.keyed_input(L(spark, sf))
-    d = fe.dest_history(n, None).select("txn_id", "dest_txn_prev_24h")
-    return an.velocity_bands(n.select("txn_id", "is_fraud").join(d, "txn_id"))
+    return an.velocity_bands(fe.dest_history(L(spark, sf).select(*fe.NARROW), fan_in=False))
 
 
 @register("threshold_sweep_lineitem", with_ctes("SELECT * FROM sweep", LINEITEM_TXN, SCORED, FIXED, *sweep_ctes("scored")))

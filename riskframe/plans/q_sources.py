@@ -199,8 +199,7 @@ def q_amount_band(spark, sf):
     "THEN '1-4 senders' WHEN dest_prior_unique_senders < 20 THEN '5-19 senders' WHEN dest_prior_unique_senders < 50 "
     "THEN '20-49 senders' ELSE '50+ senders' END AS fan_in_band FROM features", TXN, FEATURES))
 def q_fan_in_band(spark, sf):
-    n = T(spark, sf)
-    d = fe.dest_history(n, fe.pair_history(n))
+    d = fe.dest_history(T(spark, sf))
     return d.select("txn_id", dv.fan_in_band().alias("fan_in_band"))
 
 
@@ -208,7 +207,7 @@ def q_fan_in_band(spark, sf):
     "SELECT txn_id, CASE WHEN dest_txn_prev_24h = 0 THEN '0' WHEN dest_txn_prev_24h = 1 THEN '1' WHEN dest_txn_prev_24h < 5 "
     "THEN '2-4' WHEN dest_txn_prev_24h < 10 THEN '5-9' ELSE '10+' END AS velocity_band FROM features", TXN, FEATURES))
 def q_velocity_band(spark, sf):
-    d = fe.dest_history(T(spark, sf), None)
+    d = fe.dest_history(T(spark, sf), fan_in=False)
     return d.select("txn_id", dv.velocity_band().alias("velocity_band"))
 
 

@@ -1,12 +1,14 @@
 """Plan-shape checks: pruning and pushdown reach the scan; the split path and ids behave at small scale."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from riskframe.config import RiskConfig
 from riskframe.operators import features as fe
-from riskframe.plans.inspect import scan_summary
+from riskframe.plans.inspect import exchanges, scan_summary
 from riskframe.sources import contract
+from riskframe.sources.fixtures import events_transactions, lineitem_transactions
 
 SF = "/root/testdata/sf0.01"
 
@@ -30,6 +32,49 @@ def test_hot_and_cold_paths_agree(spark, txns):
     assert cold.exceptAll(hot).count() == 0 and hot.exceptAll(cold).count() == 0
 
 
+@pytest.mark.parametrize("fixture", [events_transactions, lineitem_transactions])
+def test_chunk_rows_stay_below_steps_plus_rows_over_block(spark, fixture):
+    """L1 of the hot-key plan, also where ids do not follow steps."""
+    for block in (16, 256):
+        src = fixture(spark, SF).select("txn_id", "step", "amount", F.struct("txn_type").alias("_key"))
+        l1 = fe.chunk_table(src, fe._blocked(src, RiskConfig(history_block=block)))
+        per = {r["_key"]: r["n"] for r in l1.groupBy("_key").agg(F.count("*").alias("n")).collect()}
+        rows = {r["_key"]: (r["s"], r["n"]) for r in src.groupBy("_key").agg(
+            F.countDistinct("step").alias("s"), F.count("*").alias("n")).collect()}
+        assert per and all(per[k] <= s + n / block for k, (s, n) in rows.items())
+
+
+def test_null_keys_are_split_like_any_other(spark):
+    data = [(i, 1 + i // 7, "PAYMENT", float(i % 13), None if i % 3 else "C1", "D") for i in range(400)]
+    df = spark.createDataFrame(data, "txn_id long, step int, txn_type string, amount double, name_orig string, name_dest string") \
+              .withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    opts = dict(want_max=True, want_prev=True, prev_type=True, ranges={"v": (3, 1, "count"), "a": (3, 1, "sum")})
+    plain = fe.past_only(df, ["name_orig"], **opts)
+    split = fe.past_only(df, ["name_orig"], RiskConfig(hot_key_rows=50, history_block=4), **opts)
+    forced = fe.past_only(df, ["name_orig"], RiskConfig(history_block=4), split_all=True, **opts)
+    want = sorted(plain.collect())
+    assert sorted(split.collect()) == want and sorted(forced.collect()) == want
+    # the hot keys (the null one too) leave the plain branch
+    hot = df.groupBy("name_orig").count().where("count > 50").collect()
+    assert len(hot) == 2
+
+
+def test_feature_chain_deals_full_rows_three_times(spark):
+    """By origin (shared by pairs), by destination and by (type, step); the others carry one row per type and step."""
+    df = fe.build_features(events_transactions(spark, SF))
+    by = exchanges(df)
+    assert sum("name_orig" in x for x in by) == 1 and sum("name_dest" in x for x in by) == 1
+    assert len(by) <= 6
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # the type prefix alone is joined
+
+
+def test_one_family_queries_build_no_other_family(spark):
+    for name, other in (("orig_gap", "name_dest"), ("velocity", "name_orig"), ("dest_gap", "name_orig"), ("type_baseline", "name_dest")):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window")]
+        assert windows and not any(other in line for line in windows), name
+
+
 def test_sequential_ids_are_dense_in_file_order(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     got = contract.sequential_ids(ev).select("event_id", "txn_id")
