@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values: the raw contract and the business assumptions -----------
 RAW_COLUMNS = (
@@ -51,17 +51,11 @@ class RiskConfig:
     history_block: int = 1 << 20          # max rows per (key, step, block) group
     hot_key_rows: int = 1 << 22           # keys with more rows take the chunked (split) history plan
     order_bucket_rows: int = 1 << 20      # target distinct values per ordered bucket
-    order_min_buckets: int = 16
-    extras: dict = field(default_factory=dict)
+    order_fanout: int = 1024              # most buckets of one level
 
     def fixed_thresholds(self) -> list[float]:
         n = int(round((self.grid_stop - self.grid_start) / self.grid_step)) + 1
         return [round(self.grid_start + i * self.grid_step, 4) for i in range(n)]
 
-    def quantile_levels(self) -> list[float]:
-        k = self.quantile_points
-        span = self.quantile_max - self.quantile_min
-        return [self.quantile_min + span * i / (k - 1) for i in range(k)]
-
 
 DEFAULT = RiskConfig()

@@ -140,3 +140,9 @@ def risk_band(score="score", verify: Column | float = 0.5, block: Column | float
     v = verify if isinstance(verify, Column) else F.lit(float(verify))
     b = block if isinstance(block, Column) else F.lit(float(block))
     return F.when(s >= b, "HIGH").when(s >= v, "MEDIUM").otherwise("LOW")
+
+
+def with_score(scored: DataFrame, score: str = "score") -> DataFrame:
+    """Rows that have a score: NULL and NaN take no part in any ranking, sweep or confusion count."""
+    v = F.col(score).cast("double")
+    return scored.where(v.isNotNull() & ~F.isnan(v))

@@ -6,14 +6,16 @@ top-K capture, curve points) goes through `cumulative`:
 
   1. pre-aggregate to distinct (group, value) -- ties collapse, a value shared
      by a third of all rows becomes one row;
-  2. bucket the distinct values by approximate-quantile edges (one bounded
-     collect of <= max_buckets numbers, sized from the distinct count);
-  3. prefix-sum the tiny (group, bucket) table and broadcast it back (its size
-     is groups x buckets, bounded by construction);
+  2. put the distinct values into buckets of about `order_bucket_rows`.  Edges
+     only place buckets and never change results, so they come from a hash
+     sample of the distinct values, sized to the number of edges.  One level
+     has at most `order_fanout` buckets; where more are needed, every bucket is
+     cut again by edges from its own sample, level by level, without a cap;
+  3. prefix-sum the (group, bucket) totals and join them back;
   4. finish with a window partitioned by (group, bucket).
 
 Ties share a bucket because the bucket is a function of the value, so results
-are exact.
+are exact.  NULL values are dropped; NaN sorts above every number, as in Spark.
 """
 
 from __future__ import annotations
@@ -27,61 +29,82 @@ from pyspark.sql import functions as F
 from riskframe.config import DEFAULT, RiskConfig
 from riskframe.session import cached
 
-_LEVELS = 16384  # most buckets: 16,383 edges (~128 KB of control values) at ~1e12 distinct values
+_PER_EDGE = 64  # sampled values per edge
+_DEEP_FANOUT = 64  # buckets that a bucket is cut into on deeper levels
 
 
-def bucket_edges(dv: DataFrame, value_col: str, cfg: RiskConfig = DEFAULT) -> list[float]:
-    """Approximate-quantile edges over distinct values; the bucket count scales with the data.
+def _sampled(dv: DataFrame, value: str, keep_one_in: int) -> DataFrame:
+    """A share of the distinct values, chosen by hash; NaN and infinities place no edge."""
+    v = F.col(value).cast("double")
+    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf))
+    return dv.where(finite & (F.pmod(F.xxhash64(value), F.lit(max(1, keep_one_in))) == 0))
 
-    `dv` is persisted by the caller, so the count and the sketch read it from
-    memory; only k - 1 levels are requested, at an accuracy proportional to k.
-    """
+
+def _with_bucket(dv: DataFrame, value_col: str, cfg: RiskConfig) -> DataFrame:
+    """dv with `__bk`, a bigint that grows with the value; about order_bucket_rows distinct values share one."""
     n = dv.count()
-    k = max(cfg.order_min_buckets, math.ceil(n / max(cfg.order_bucket_rows, 1)))
-    if n <= max(cfg.order_min_buckets, cfg.order_bucket_rows):
-        return []  # one bucket already holds no more than the per-bucket target: no sketch job
-    k = min(k, _LEVELS, n)
-    levels = [i / k for i in range(1, k)]
-    accuracy = min(max(1_000, 20 * k), 200_000)  # relative rank error 1/accuracy, small against 1/k
-    edges = dv.agg(F.percentile_approx(F.col(value_col).cast("double"), levels, accuracy).alias("e")).first()["e"]
-    return sorted({float(e) for e in (edges or []) if e is not None and not math.isnan(e) and not math.isinf(e)})
-
-
-def _with_bucket(dv: DataFrame, value_col: str, edges: list[float]) -> DataFrame:
-    if not edges:  # few distinct values: one bucket
-        return dv.withColumn("__bk", F.lit(0))
-    tmp = "__v_dbl"
-    splits = [-math.inf] + edges + [math.inf]
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol="__bk", handleInvalid="keep")
-    return b.transform(dv.withColumn(tmp, F.col(value_col).cast("double"))).drop(tmp) \
-        .withColumn("__bk", F.col("__bk").cast("int"))
+    need = math.ceil(n / max(cfg.order_bucket_rows, 1))
+    if need <= 1:
+        return dv.withColumn("__bk", F.lit(0).cast("long"))
+    k = min(need, cfg.order_fanout)
+    rows = _sampled(dv, value_col, n // (_PER_EDGE * k)).select(F.col(value_col).cast("double").alias("v")).collect()
+    values = sorted(r["v"] for r in rows)  # about _PER_EDGE * order_fanout doubles
+    edges = sorted({values[i * len(values) // k] for i in range(1, k)}) if values else []
+    if not edges:
+        return dv.withColumn("__bk", F.lit(0).cast("long"))
+    # NaN goes to a bucket of its own above all others
+    tmp = dv.withColumn("__dbl", F.col(value_col).cast("double"))
+    dv = (Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="__dbl", outputCol="__b", handleInvalid="keep")
+          .transform(tmp).withColumn("__bk", F.col("__b").cast("long")).drop("__dbl", "__b"))
+    need = math.ceil(need / k)
+    while need > 1:  # cut every bucket again, by edges from its own sample
+        k = min(need, _DEEP_FANOUT)
+        buckets = dv.agg(F.count_distinct("__bk")).first()[0]
+        own = _sampled(dv, value_col, n // (_PER_EDGE * k * buckets)).groupBy("__bk").agg(
+            F.sort_array(F.collect_list(F.col(value_col).cast("double"))).alias("s"))
+        at = [F.get("s", (F.size("s") * i / k).cast("int")) for i in range(1, k)]
+        own = own.select(F.col("__bk").alias("__of"), F.array(*at).alias("__e"))
+        inside = F.size(F.filter("__e", lambda e: e <= F.col(value_col).cast("double")))
+        dv = (dv.join(own, F.col("__bk") == F.col("__of"), "left")
+              .withColumn("__bk", F.col("__bk") * (k + 1) + F.when(F.col("__e").isNull(), 0).otherwise(inside))
+              .drop("__of", "__e"))
+        need = math.ceil(need / k)
+    return dv
+
+
+def _bucketed(df: DataFrame, value_col: str, measures: dict[str, Column], g: list[str],
+              cfg: RiskConfig) -> tuple[DataFrame, DataFrame]:
+    """Distinct (group, value) rows with measure sums, `d` = 1 and bucket, and per (group, bucket) the sums before it
+    (`__off_<m>`), in it (`__b_<m>`) and of the group (`tot_<m>`)."""
+    dv = (df.where(F.col(value_col).isNotNull())
+          .groupBy(*g, value_col).agg(*[F.sum(c).alias(m) for m, c in measures.items()])
+          .withColumn("d", F.lit(1).cast("long")))
+    # read by the count, the sample and the final plan: computed once (persisted blocks are rebuilt from lineage)
+    dv = _with_bucket(cached(dv), value_col, cfg)
+    names = [*measures, "d"]
+    bt = dv.groupBy(*g, "__bk").agg(*[F.sum(m).alias(f"__b_{m}") for m in names])
+    before = Window.partitionBy(*g).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select("*",
+                   *[F.coalesce(F.sum(f"__b_{m}").over(before), F.lit(0)).alias(f"__off_{m}") for m in names],
+                   *[F.sum(f"__b_{m}").over(Window.partitionBy(*g)).alias(f"tot_{m}") for m in names])
+    return dv, bt
+
+
+def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join that lets NULL group keys meet; the right side's keys go."""
+    named = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in keys]
+    return left.join(named, cond).drop(*[f"__r_{c}" for c in keys])
 
 
 def cumulative(df: DataFrame, value_col: str, measures: dict[str, Column],
-               group_cols: list[str] | tuple = (), cfg: RiskConfig = DEFAULT,
-               pre_aggregated: bool = False) -> DataFrame:
+               group_cols: list[str] | tuple = (), cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Distinct (group, value) rows with measure sums, ascending inclusive running sums
-    `cum_<m>` and per-group totals `tot_<m>`.  Rows with a NULL value are dropped."""
-    g = list(group_cols)
-    if pre_aggregated:
-        dv = df.select(*g, value_col, *[c.alias(m) for m, c in measures.items()])
-    else:
-        dv = (df.where(F.col(value_col).isNotNull())
-              .groupBy(*g, value_col).agg(*[F.sum(c).alias(m) for m, c in measures.items()]))
-    # the distinct table feeds the edge sketch and the final plan: compute it once
-    # (persisted blocks are recomputed from lineage if an executor is lost)
-    dv = cached(dv)
-    edges = bucket_edges(dv, value_col, cfg)
-    dv = _with_bucket(dv, value_col, edges)
-    names = list(measures)
-    bt = dv.groupBy(*g, "__bk").agg(*[F.sum(m).alias(f"__b_{m}") for m in names])
-    wg = Window.partitionBy(*g).orderBy("__bk")
-    bt = bt.select(*g, "__bk",
-                   *[F.coalesce(F.sum(f"__b_{m}").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)).alias(f"__off_{m}") for m in names],
-                   *[F.sum(f"__b_{m}").over(Window.partitionBy(*g)).alias(f"tot_{m}") for m in names])
+    `cum_<m>` and per-group totals `tot_<m>`; `cum_d` counts the distinct values.  Rows with a NULL value are dropped."""
+    g, names = list(group_cols), [*measures, "d"]
+    dv, bt = _bucketed(df, value_col, measures, g, cfg)
     wb = Window.partitionBy(*g, "__bk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = dv.join(F.broadcast(bt), g + ["__bk"])
+    out = _on(dv, bt, [*g, "__bk"])
     return out.select(*g, value_col, "__bk", *names,
                       *[(F.col(f"__off_{m}") + F.sum(m).over(wb)).alias(f"cum_{m}") for m in names],
                       *[F.col(f"tot_{m}") for m in names])
@@ -91,29 +114,32 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
                     cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Linear-interpolation quantiles (as numpy 'linear'): (group..., q, value).
 
-    value = lo + (hi - lo) * (pos - floor(pos)), pos = q * (n - 1), on DOUBLE values.
-    The two neighbours of every requested position are found in one pass over
-    the distinct-value table against a broadcast table of groups x len(qs)
-    positions (bounded by the request, not by the data).
+    value = lo + (hi - lo) * (pos - floor(pos)), pos = q * (n - 1), on DOUBLE
+    values.  The bucket of each position comes from the (group, bucket) totals;
+    only the rows of those buckets are read, and a position takes the last value
+    that starts at or before it, in one ordered pass over rows and positions.
     """
     g = list(group_cols)
     src = df.select(*g, F.col(value_col).cast("double").alias("__v"))
-    cum = cached(cumulative(src, "__v", {"n": F.lit(1).cast("long")}, g, cfg))
-    qdf = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")
-    totals = cum.groupBy(*g).agg(F.max("tot_n").alias("tot"))
-    pos = (totals.crossJoin(F.broadcast(qdf))
-           .withColumn("pos", F.col("q") * (F.col("tot") - 1).cast("double"))
-           .withColumn("i_lo", F.floor("pos").cast("long")).withColumn("i_hi", F.ceil("pos").cast("long")))
-    lo_in = (F.col("i_lo") >= F.col("cum_n") - F.col("n")) & (F.col("i_lo") < F.col("cum_n"))
-    hi_in = (F.col("i_hi") >= F.col("cum_n") - F.col("n")) & (F.col("i_hi") < F.col("cum_n"))
-    bpos = F.broadcast(pos)
-    j = cum.join(bpos, g) if g else cum.crossJoin(bpos)
-    res = j.where(lo_in | hi_in).groupBy(*g, "q").agg(
-        F.first("pos").alias("pos"), F.first("i_lo").alias("i_lo"), F.first("i_hi").alias("i_hi"),
-        F.max(F.when(lo_in, F.col("__v"))).alias("v_lo"), F.max(F.when(hi_in, F.col("__v"))).alias("v_hi"))
-    frac = F.col("pos") - F.col("i_lo").cast("double")
-    val = F.when(F.col("i_lo") == F.col("i_hi"), F.col("v_lo")) \
-           .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac)
+    dv, bt = _bucketed(src, "__v", {"n": F.lit(1).cast("long")}, g, cfg)
+    pos = F.col("q") * (F.col("tot_n") - 1).cast("double")
+    asked = bt.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+    asked = asked.withColumn("pos", pos).withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "i", F.when(F.col("side") == 0, F.floor("pos")).otherwise(F.ceil("pos")).cast("long"))
+    asked = asked.where((F.col("i") >= F.col("__off_n")) & (F.col("i") < F.col("__off_n") + F.col("__b_n")))
+    needed = asked.select(*g, "__bk", "__off_n").distinct()
+    wb = Window.partitionBy(*g, "__bk").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    rows = _on(dv, needed, [*g, "__bk"]).select(
+        *g, "__bk", (F.col("__off_n") + F.coalesce(F.sum("n").over(wb), F.lit(0))).alias("i"), F.lit(0).alias("asked"),
+        F.col("__v").alias("v"), F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("pos"),
+        F.lit(None).cast("int").alias("side"))
+    points = asked.select(*g, "__bk", "i", F.lit(1).alias("asked"), F.lit(None).cast("double").alias("v"), "q", "pos", "side")
+    order = Window.partitionBy(*g, "__bk").orderBy("i", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.unionAll(points).withColumn("v", F.last("v", ignorenulls=True).over(order)).where("asked = 1")
+    res = found.groupBy(*g, "q").agg(F.first("pos").alias("pos"), F.max(F.when(F.col("side") == 0, F.col("v"))).alias("v_lo"),
+                                     F.max(F.when(F.col("side") == 1, F.col("v"))).alias("v_hi"))
+    frac = F.col("pos") - F.floor("pos").cast("double")
+    val = F.when(frac == 0, F.col("v_lo")).otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac)
     return res.select(*g, "q", val.alias("value"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
-from riskframe.functions.derive import dbl
+from riskframe.functions.derive import dbl, with_score
 from riskframe.functions.ordered import exact_quantiles
 
 
@@ -64,7 +64,7 @@ def sweep_counts(scored: DataFrame, grid: DataFrame, score: str = "score", label
     src = sorted({t for t in ts if t is not None and not math.isnan(t)})
     splits = [-math.inf] + src + [math.inf]
     b = Bucketizer(splits=splits, inputCol="__s", outputCol="__b", handleInvalid="keep")
-    hist = b.transform(scored.select(*g, dbl(score).alias("__s"), F.col(label).alias("__y"))) \
+    hist = b.transform(with_score(scored, score).select(*g, dbl(score).alias("__s"), F.col(label).alias("__y"))) \
         .groupBy(*g, F.col("__b").cast("int").alias("__b")) \
         .agg(F.sum("__y").cast("long").alias("pos"), F.count(F.lit(1)).alias("n"))
     spark: SparkSession = scored.sparkSession
@@ -115,7 +115,7 @@ def threshold_sweep(scored: DataFrame, score: str = "score", label: str = "is_fr
 def _narrow_scores(scored: DataFrame, score: str, label: str) -> DataFrame:
     """(score, label) only, persisted: the grid quantiles and the histogram both read it."""
     from riskframe.session import cached
-    return cached(scored.select(F.col(score), F.col(label)))
+    return cached(with_score(scored, score).select(F.col(score), F.col(label)))
 
 
 _SUMMARY_COLS = ["TP", "FP", "FN", "TN", "precision", "recall", "fraud_capture_rate", "false_positive_rate",

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
-from riskframe.functions.derive import count_if, dbl
+from riskframe.functions.derive import count_if, dbl, with_score
 from riskframe.functions.ordered import cumulative
 
 
 def _desc_cum(scored: DataFrame, score: str, label: str, group_cols: list[str], cfg: RiskConfig) -> DataFrame:
     """Distinct scores, highest first: pos/n per score and inclusive running pos/n from the top."""
-    src = scored.select(*group_cols, (-F.col(score).cast("double")).alias("__neg"), F.col(label).alias("__y"))
+    src = with_score(scored, score).select(*group_cols, (-F.col(score).cast("double")).alias("__neg"), F.col(label).alias("__y"))
     return cumulative(src, "__neg", {"pos": F.col("__y").cast("long"), "n": F.lit(1).cast("long")},
                       group_cols, cfg)
 
@@ -25,13 +25,15 @@ def _desc_cum(scored: DataFrame, score: str, label: str, group_cols: list[str],
 def ranking_metrics(scored: DataFrame, score: str = "score", label: str = "is_fraud",
                     group_cols: list[str] | tuple = (), cfg: RiskConfig = DEFAULT) -> DataFrame:
     """M6 average precision (sum of dRecall * Precision over distinct scores) and
-    M7 ROC-AUC (Mann-Whitney, ties count one half); NULL when only one class exists."""
+    M7 ROC-AUC (Mann-Whitney, ties count one half); NULL when a group has one class only, no row for no rows.
+
+    Rows without a score (NULL or NaN) take no part."""
     g = list(group_cols)
     c = _desc_cum(scored, score, label, g, cfg)
     P, N = dbl("tot_pos"), dbl("tot_n") - dbl("tot_pos")
     neg = dbl("n") - dbl("pos")
     cum_neg = dbl("cum_n") - dbl("cum_pos")
-    ap_term = dbl("pos") / P * (dbl("cum_pos") / dbl("cum_n"))
+    ap_term = dbl("pos") / F.when(P > 0, P) * (dbl("cum_pos") / dbl("cum_n"))
     auc_term = dbl("pos") * ((N - cum_neg) + F.lit(0.5) * neg)
     agg = c.groupBy(*g).agg(F.sum(ap_term).alias("ap"), F.sum(auc_term).alias("auc_num"),
                             F.first("tot_pos").alias("P"), F.first("tot_n").alias("n"))
@@ -52,7 +54,8 @@ def binary_metrics(scored: DataFrame, threshold: float = 0.5, score: str = "scor
     g = list(group_cols)
     pred = (F.col(flag) == 1) if flag else (F.col(score) >= F.lit(float(threshold)))
     y = F.col(label) == 1
-    c = scored.groupBy(*g).agg(count_if(pred & y).alias("TP"), count_if(pred & ~y).alias("FP"),
+    rows = scored if flag else with_score(scored, score)
+    c = rows.groupBy(*g).agg(count_if(pred & y).alias("TP"), count_if(pred & ~y).alias("FP"),
                                count_if(~pred & y).alias("FN"), count_if(~pred & ~y).alias("TN"))
     return with_confusion_ratios(c)
 
@@ -109,7 +112,7 @@ def top_k_capture(scored: DataFrame, score: str = "score", label: str = "is_frau
            .select("review_fraction", "reviewed", "n_rows", "P", F.col("__neg").alias("b_neg"),
                    (F.col("cum_pos") - F.col("pos")).alias("pos_before"),
                    (F.col("reviewed") - (F.col("cum_n") - F.col("n"))).alias("m"))
-    ties = scored.select("txn_id", (-F.col(score).cast("double")).alias("b_neg"), F.col(label).alias("__y")) \
+    ties = with_score(scored, score).select("txn_id", (-F.col(score).cast("double")).alias("b_neg"), F.col(label).alias("__y")) \
                  .join(F.broadcast(bnd.select("review_fraction", "b_neg", "m")), "b_neg")
     tc = cumulative(ties, "txn_id", {"tp": F.col("__y").cast("long"), "k": F.lit(1).cast("long")},
                     ["review_fraction"], cfg)
@@ -124,28 +127,49 @@ def top_k_capture(scored: DataFrame, score: str = "score", label: str = "is_frau
     )
 
 
+def _thinned(points: DataFrame, index: str, size: DataFrame, max_points: int) -> DataFrame:
+    """Rows of a curve at evenly spaced indices (all of them if there are max_points at most)."""
+    j = F.explode(F.sequence(F.lit(0), F.least(F.col("size"), F.lit(max_points)).cast("int") - 1))
+    at = F.when(F.col("size") <= max_points, F.col("j").cast("long")).otherwise(
+        F.floor(dbl("j") * ((dbl("size") - 1) / F.lit(float(max_points - 1)))).cast("long"))
+    wanted = size.select("size", j.alias("j")).select(at.alias(index)).distinct()
+    return points.join(F.broadcast(wanted), index)  # max_points rows at most
+
+
 def curve_points(scored: DataFrame, score: str = "score", label: str = "is_fraud", max_points: int = 500,
                  cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """ROC/PR points, one per distinct score from the top, thinned to `max_points`
-    by evenly spaced index (idx = floor(j * (L-1) / (max_points-1)))."""
-    c = _desc_cum(scored, score, label, [], cfg)
-    c = cumulative(c.select("__neg", "pos", "n", "cum_pos", "cum_n", "tot_pos", "tot_n"), "__neg",
-                   {"d": F.lit(1).cast("long")}, [], cfg) \
-        .join(c.select("__neg", "pos", "n", "cum_pos", "cum_n", "tot_pos", "tot_n"), "__neg")
-    c = c.withColumn("point_index", F.col("cum_d") - 1)
-    L = c.agg(F.max("cum_d").alias("L"))
-    spark = scored.sparkSession
-    js = spark.range(max_points).withColumnRenamed("id", "j").crossJoin(L).where(
-        (F.col("L") > max_points) | (F.col("j") < F.col("L")))
-    js = js.select(F.when(F.col("L") > max_points,
-                          F.floor(dbl("j") * (dbl("L") - 1) / F.lit(float(max_points - 1))).cast("long"))
-                   .otherwise(F.col("j")).alias("point_index")).distinct()
-    sel = c.join(F.broadcast(js), "point_index")
+    """(curve, point_index, threshold, x, y), each curve thinned on its own to max_points.
+
+    `roc`: x = false, y = true positive rate from the top score down, starting
+    at (0, 0) without a threshold; points on a straight line between their
+    neighbours are left out.  `pr`: x = recall, y = precision from the lowest
+    score up, ending at (0, 1) without a threshold.  Rates with an empty class
+    are NULL.
+    """
+    c = _desc_cum(scored, score, label, [], cfg).withColumn("neg", F.col("n") - F.col("pos"))
+    here = F.struct("pos", "neg")
+    # the next distinct score: in the same bucket, or the first of the next one (one row per bucket)
+    firsts = c.groupBy("__bk").agg(F.min_by(here, "__neg").alias("f"), F.count("*").alias("rows"))
+    after = firsts.select(F.col("__bk").alias("of"), F.lead("f").over(Window.orderBy("__bk")).alias("after"))
+    in_bucket = Window.partitionBy("__bk").orderBy("__neg")
+    c = c.join(after, F.col("__bk") == F.col("of")).withColumn("next", F.coalesce(F.lead(here).over(in_bucket), F.col("after")))
+    c = c.withColumn("kept", ((F.col("cum_d") == 1) | F.col("next").isNull() | (F.col("next") != here)).cast("long"))
+    kept = c.groupBy("__bk").agg(F.sum("kept").alias("k"))
+    base = kept.select(F.col("__bk").alias("kb"), F.coalesce(
+        F.sum("k").over(Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    c = c.join(base, F.col("__bk") == F.col("kb")).withColumn(
+        "i", F.col("base") + F.sum("kept").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
     P, N = dbl("tot_pos"), dbl("tot_n") - dbl("tot_pos")
-    return sel.select(
-        "point_index", (-F.col("__neg")).alias("threshold"),
-        F.when(N > 0, (dbl("cum_n") - dbl("cum_pos")) / N).alias("fpr"),
-        F.when(P > 0, dbl("cum_pos") / P).alias("tpr"),
-        (dbl("cum_pos") / dbl("cum_n")).alias("precision"),
-        F.when(P > 0, dbl("cum_pos") / P).alias("recall"),
-    )
+    fpr = F.when(N > 0, (dbl("cum_n") - dbl("cum_pos")) / F.when(N > 0, N))
+    tpr = F.when(P > 0, dbl("cum_pos") / F.when(P > 0, P))
+    threshold = -F.col("__neg")
+    ends = c.agg(F.sum("kept").alias("k"), F.max("tot_d").alias("d")).where("d is not null")
+    null, zero, one = F.lit(None).cast("double"), F.lit(0.0), F.lit(1.0)
+    roc = c.where("kept = 1").select("i", threshold.alias("threshold"), fpr.alias("x"), tpr.alias("y")).unionAll(
+        ends.select(F.lit(0).cast("long"), null, zero, zero))
+    pr = c.select((F.col("tot_d") - F.col("cum_d")).alias("i"), threshold.alias("threshold"), tpr.alias("x"),
+                  (dbl("cum_pos") / dbl("cum_n")).alias("y")).unionAll(ends.select("d", null, zero, one))
+    roc = _thinned(roc, "i", ends.select((F.col("k") + 1).alias("size")), max_points)
+    pr = _thinned(pr, "i", ends.select((F.col("d") + 1).alias("size")), max_points)
+    return roc.select(F.lit("roc").alias("curve"), F.col("i").alias("point_index"), "threshold", "x", "y").unionAll(
+        pr.select(F.lit("pr").alias("curve"), F.col("i").alias("point_index"), "threshold", "x", "y"))

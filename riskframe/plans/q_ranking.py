@@ -88,18 +88,39 @@ def q_top_k_capture(spark, sf):
     return rk.top_k_capture(S(spark, sf))
 
 
-@register("curve_points", with_ctes("""
-SELECT point_index, -neg AS threshold,
-  CASE WHEN NN - P > 0 THEN (CAST(cum_n AS DOUBLE) - CAST(cum_pos AS DOUBLE)) / (CAST(NN AS DOUBLE) - CAST(P AS DOUBLE)) END AS fpr,
-  CASE WHEN P > 0 THEN CAST(cum_pos AS DOUBLE) / CAST(P AS DOUBLE) END AS tpr,
-  CAST(cum_pos AS DOUBLE) / CAST(cum_n AS DOUBLE) AS precision,
-  CASE WHEN P > 0 THEN CAST(cum_pos AS DOUBLE) / CAST(P AS DOUBLE) END AS recall
-FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY neg) - 1 AS point_index, COUNT(*) OVER () AS L,
-        SUM(pos) OVER (ORDER BY neg) AS cum_pos, SUM(n) OVER (ORDER BY neg) AS cum_n,
-        SUM(pos) OVER () AS P, SUM(n) OVER () AS NN
-      FROM (SELECT -score AS neg, SUM(is_fraud) AS pos, COUNT(*) AS n FROM scored GROUP BY 1)) c
-WHERE L <= 500 OR point_index IN (
-  SELECT DISTINCT CAST(floor(CAST(j AS DOUBLE) * (CAST(L AS DOUBLE) - 1) / CAST(499 AS DOUBLE)) AS BIGINT) FROM range(500) t(j))""",
-    TXN, SCORED))
+_THIN = """(L <= 500 OR i IN (SELECT CAST(floor(CAST(j AS DOUBLE) * ((CAST(L AS DOUBLE) - 1) / CAST(499 AS DOUBLE))) AS BIGINT)
+  FROM range(500) t(j)))"""
+
+
+@register("curve_points", with_ctes(f"""
+SELECT 'roc' AS curve, i AS point_index, threshold, x, y FROM roc WHERE {_THIN}
+UNION ALL SELECT 'pr', i, threshold, x, y FROM pr WHERE {_THIN}""", TXN, SCORED, """pts AS (
+  SELECT *, SUM(pos) OVER (ORDER BY score DESC) AS cp, SUM(n) OVER (ORDER BY score DESC) AS cn, SUM(pos) OVER () AS p,
+    SUM(n) OVER () AS t, ROW_NUMBER() OVER (ORDER BY score) - 1 AS up, COUNT(*) OVER () AS d,
+    LEAD(pos) OVER (ORDER BY score DESC) AS pos2, LEAD(n) OVER (ORDER BY score DESC) AS n2, ROW_NUMBER() OVER (ORDER BY score DESC) AS dn
+  FROM (SELECT score, SUM(is_fraud) AS pos, COUNT(*) AS n FROM scored GROUP BY 1))""", """roc AS (
+  SELECT *, COUNT(*) OVER () AS L FROM (
+    SELECT ROW_NUMBER() OVER (ORDER BY score DESC) AS i, score AS threshold,
+      CASE WHEN t > p THEN CAST(cn - cp AS DOUBLE) / CAST(t - p AS DOUBLE) END AS x,
+      CASE WHEN p > 0 THEN CAST(cp AS DOUBLE) / CAST(p AS DOUBLE) END AS y
+    FROM pts WHERE dn = 1 OR pos2 IS NULL OR pos2 <> pos OR n2 <> n
+    UNION ALL SELECT 0, NULL, 0.0, 0.0))""", """pr AS (
+  SELECT *, COUNT(*) OVER () AS L FROM (
+    SELECT up AS i, score AS threshold, CASE WHEN p > 0 THEN CAST(cp AS DOUBLE) / CAST(p AS DOUBLE) END AS x,
+      CAST(cp AS DOUBLE) / CAST(cn AS DOUBLE) AS y FROM pts
+    UNION ALL SELECT MAX(d), NULL, 0.0, 1.0 FROM pts))"""))
 def q_curve_points(spark, sf):
     return rk.curve_points(S(spark, sf))
+
+
+@register("compare_models_one_class", with_ctes("""
+SELECT model, roc_auc, pr_auc, pr_auc_no_skill_baseline, pr_auc_lift_over_no_skill FROM rm""",
+    TXN, SCORED, """val AS (SELECT 'all_negative' AS model, score, 0 AS is_fraud FROM scored
+      UNION ALL SELECT 'all_positive', score, 1 FROM scored UNION ALL SELECT 'mixed', score, is_fraud FROM scored)""",
+    ranking_sql("SELECT model, score AS value, is_fraud AS y FROM val", "model")))
+def q_compare_models_one_class(spark, sf):
+    """M6, M7 with groups that hold one class only: their metrics are NULL."""
+    s = S(spark, sf)
+    sets = [s.select(F.lit(m).alias("model"), "score", F.lit(y).alias("is_fraud") if y is not None else F.col("is_fraud"))
+            for m, y in (("all_negative", 0), ("all_positive", 1), ("mixed", None))]
+    return rk.ranking_metrics(sets[0].unionByName(sets[1]).unionByName(sets[2]), group_cols=["model"])
