@@ -35,34 +35,58 @@ _MONEY_DBL = ("txn_id, step, txn_type, CAST(amount AS DOUBLE) AS amount, name_or
               "is_fraud, is_flagged_fraud")
 
 
+def _fsql(cols: str) -> str:
+    return with_ctes(f"SELECT {cols} FROM features", TXN, FEATURES)
+
+
 def _money_dbl(df):
     money = {"amount", "old_balance_orig", "new_balance_orig", "old_balance_dest", "new_balance_dest"}
     return df.select(*[F.col(c).cast("double").alias(c) if c in money else F.col(c) for c in df.columns])
 
 
-@register("scan_contract")
-def q_scan_contract(spark, sf):
-    """Write the fixture as raw CSV (two files) plus a non-conforming file, read back through the contract."""
+_RAW_SQL = ('step, txn_type AS "type", CAST(amount AS DOUBLE) AS amount, name_orig AS "nameOrig", '
+            'CAST(old_balance_orig AS DOUBLE) AS "oldbalanceOrg", CAST(new_balance_orig AS DOUBLE) AS "newbalanceOrig", '
+            'name_dest AS "nameDest", CAST(old_balance_dest AS DOUBLE) AS "oldbalanceDest", '
+            'CAST(new_balance_dest AS DOUBLE) AS "newbalanceDest", is_fraud AS "isFraud", is_flagged_fraud AS "isFlaggedFraud"')
+
+
+def _raw_dbl(df):
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if "decimal" in f.dataType.simpleString() else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _raw_folder(spark, sf) -> str:
+    """The fixture as CSV files in one folder: three header forms, dealt by id, and a foreign file."""
     path = _scratch(spark, "raw-csv")
-    raw = _raw(spark, sf)
-    raw.repartition(2).write.mode("overwrite").option("header", True).csv(path)
-    # a file with a different header in the same folder: the contract skips it
-    raw.select("step", "amount").coalesce(1).write.mode("append").option("header", True).csv(path)
-    return ct.scan_contract(spark, path)
+    keyed = T(spark, sf)
+    raw = [ct.raw_from_canonical(keyed.where(F.pmod("txn_id", F.lit(3)) == k)) for k in range(3)]
+    raw[1] = raw[1].select(*reversed(raw[1].columns))
+    raw[2] = raw[2].select(F.lit("x").alias("note"), "*")
+    for df in (*raw, raw[0].select("step", "amount")):
+        df.write.mode("append").option("header", True).csv(path)
+    return path
+
+
+@register("scan_contract", with_ctes(f"SELECT {_RAW_SQL} FROM transactions", TXN))
+def q_scan_contract(spark, sf):
+    """Raw CSV files in contract order, reordered and with an extra column; a foreign file is skipped."""
+    return _raw_dbl(ct.scan_contract(spark, _raw_folder(spark, sf)))
 
 
-@register("validate_columns")
+@register("validate_columns", with_ctes(f"SELECT {_RAW_SQL} FROM transactions", TXN))
 def q_validate_columns(spark, sf):
     """Missing columns raise, extra columns are ignored (an extra column is added here on purpose)."""
     raw = _raw(spark, sf).withColumn("extra_note", F.lit("x"))
-    cols = ct.validate_columns(raw.columns)
-    return raw.select(*cols)
+    return _raw_dbl(raw.select(*ct.validate_columns(raw.columns)))
 
 
-@register("load_transactions", with_ctes(f"SELECT {_MONEY_DBL} FROM transactions", TXN))
+@register("load_transactions", with_ctes(f"SELECT {_MONEY_DBL.replace('txn_id', 'txn_id + 1 AS txn_id', 1)} FROM transactions", TXN))
 def q_load_transactions(spark, sf):
-    """S3: the typed canonical table (money shown as DOUBLE for the comparison)."""
-    return _money_dbl(T(spark, sf))
+    """S3: CSV files -> canonical table with ids in load order (money shown as DOUBLE for the comparison)."""
+    path = _scratch(spark, "ordered-csv")
+    ordered = T(spark, sf).repartitionByRange("txn_id").sortWithinPartitions("txn_id")
+    ct.raw_from_canonical(ordered).write.option("header", True).csv(path)
+    return _money_dbl(ct.load_csv(spark, path))
 
 
 @register("rename_and_cast", with_ctes(
@@ -89,10 +113,10 @@ def q_txn_id(spark, sf):
         F.col("value").cast("decimal(18,2)").cast("double").alias("amount"))
 
 
-@register("early_window", with_ctes(f"SELECT {_MONEY_DBL} FROM transactions WHERE txn_id <= 2500", TXN))
+@register("early_window", with_ctes(f"SELECT {_MONEY_DBL} FROM transactions ORDER BY txn_id LIMIT 2500", TXN))
 def q_early_window(spark, sf):
     """The first rows as an early window on the id (never a bare limit)."""
-    return _money_dbl(ct.early_window(T(spark, sf), max_txn_id=2500))
+    return _money_dbl(ct.early_window(T(spark, sf), n_rows=2500, first_id=0))
 
 
 @register("load_summary", with_ctes("""
@@ -103,7 +127,7 @@ def q_load_summary(spark, sf):
     return ct.load_summary(T(spark, sf))
 
 
-@register("write_features")
+@register("write_features", _fsql("*"))
 def q_write_features(spark, sf):
     """Feature table written partitioned by sim_day, then read back (prunable by day)."""
     path = _scratch(spark, "features")
@@ -111,13 +135,14 @@ def q_write_features(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("write_table")
+@register("write_table", with_ctes("""
+SELECT txn_type, COUNT(*) AS transactions, CAST(SUM(is_fraud) AS BIGINT) AS fraud FROM transactions GROUP BY 1""", TXN))
 def q_write_table(spark, sf):
     """A result table written as CSV with header and read back."""
-    from riskframe.operators.analysis import daily_trend
     path = _scratch(spark, "table")
-    sinks.write_table(daily_trend(T(spark, sf)), path, "csv")
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    by_type = T(spark, sf).groupBy("txn_type").agg(F.count("*").alias("transactions"), F.sum("is_fraud").alias("fraud"))
+    sinks.write_table(by_type, path, "csv")
+    return spark.read.option("header", True).schema("txn_type string, transactions bigint, fraud bigint").csv(path)
 
 
 # ---- P1-P18 ----------------------------------------------------------------
@@ -132,12 +157,12 @@ def q_entity_split(spark, sf):
 @register("compact", with_ctes("""
 SELECT txn_id, step, txn_type, CAST(amount AS DOUBLE) AS amount, substr(name_orig, 1, 1) AS orig_kind,
   TRY_CAST(substr(name_orig, 2) AS BIGINT) AS orig_number, substr(name_dest, 1, 1) AS dest_kind,
-  TRY_CAST(substr(name_dest, 2) AS BIGINT) AS dest_number, is_fraud FROM transactions""", TXN))
+  TRY_CAST(substr(name_dest, 2) AS BIGINT) AS dest_number, CAST(old_balance_orig AS DOUBLE) AS old_balance_orig,
+  CAST(new_balance_orig AS DOUBLE) AS new_balance_orig, CAST(old_balance_dest AS DOUBLE) AS old_balance_dest,
+  CAST(new_balance_dest AS DOUBLE) AS new_balance_dest, is_fraud, is_flagged_fraud FROM transactions""", TXN))
 def q_compact(spark, sf):
-    """Names replaced by kind + number columns."""
-    s = dv.entity_split(T(spark, sf))
-    return s.select("txn_id", "step", "txn_type", F.col("amount").cast("double").alias("amount"), "orig_kind",
-                    "orig_number", "dest_kind", "dest_number", "is_fraud")
+    """Names replaced by kind + number columns; every other column stays."""
+    return _money_dbl(dv.entity_split(T(spark, sf)).drop("name_orig", "name_dest"))
 
 
 @register("time_columns", with_ctes("""

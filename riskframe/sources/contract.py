@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +28,13 @@ _MONEY = T.DecimalType(18, 2)
 RAW_SCHEMA = T.StructType([
     T.StructField("step", T.IntegerType(), False),
     T.StructField("type", T.StringType(), False),
-    T.StructField("amount", T.DoubleType(), True),
+    T.StructField("amount", _MONEY, True),
     T.StructField("nameOrig", T.StringType(), False),
-    T.StructField("oldbalanceOrg", T.DoubleType(), True),
-    T.StructField("newbalanceOrig", T.DoubleType(), True),
+    T.StructField("oldbalanceOrg", _MONEY, True),
+    T.StructField("newbalanceOrig", _MONEY, True),
     T.StructField("nameDest", T.StringType(), False),
-    T.StructField("oldbalanceDest", T.DoubleType(), True),
-    T.StructField("newbalanceDest", T.DoubleType(), True),
+    T.StructField("oldbalanceDest", _MONEY, True),
+    T.StructField("newbalanceDest", _MONEY, True),
     T.StructField("isFraud", T.IntegerType(), False),
     T.StructField("isFlaggedFraud", T.IntegerType(), False),
 ])
@@ -52,56 +52,46 @@ def validate_columns(columns, required=RAW_COLUMNS) -> list[str]:
     return list(required)
 
 
-def conforming_files(spark: SparkSession, path: str, sep: str = ",", required=RAW_COLUMNS) -> list[str]:
-    """Data files under `path` whose header line holds every required column.
+def files_by_header(spark: SparkSession, path: str, sep: str = ",", required=RAW_COLUMNS) -> dict[str, list[str]]:
+    """Header line -> files under `path` that begin with it, for headers that hold every required column.
 
-    Reads one line per file through the Hadoop FileSystem API (compressed
-    files through their codec), so the work is bounded by the number of files,
-    not by their size.  Non-conforming files are skipped with a warning.
+    The lines are read and filtered by Spark; a header names all required
+    columns, which no data row does.  The driver gets one path per file, as any
+    read of a list of files needs.  Other files are skipped.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    statuses = [fs.getFileStatus(root)] if fs.isFile(root) else list(fs.listStatus(root))
-    keep, skipped = [], []
-    for st in statuses:
-        fp = st.getPath()
-        name = fp.getName()
-        if not st.isFile() or name.startswith("_") or name.startswith("."):
-            continue
-        stream = fs.open(fp)
-        codec = codecs.getCodec(fp)
-        if codec is not None:
-            stream = codec.createInputStream(stream)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        try:
-            header = reader.readLine() or ""
-        finally:
-            reader.close()
-        cols = [c.strip().strip('"') for c in header.split(sep)]
-        (keep if all(c in cols for c in required) else skipped).append(fp.toString())
-    if skipped:
-        log.warning("skipping files without the required header: %s", skipped)
-    if not keep:
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("at"), "value")
+    names = F.transform(F.split("value", f"\\Q{sep}\\E"), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    found = F.size(F.array_intersect(names, F.array(*map(F.lit, required)))) == len(required)
+    rows = lines.where((F.col("at") == 0) & found).groupBy("value").agg(F.sort_array(F.collect_set("file")).alias("files")).collect()
+    if not rows:
         raise ContractError(f"no file under {path} carries all required columns {list(required)}")
-    return sorted(keep)
+    return {r["value"]: r["files"] for r in sorted(rows)}
 
 
 def scan_contract(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Read every CSV under `path` whose header satisfies the contract (several files allowed).
+    """The contract columns of every CSV under `path` whose header satisfies the contract.
 
-    Headers are checked per file (one line each); conforming files are read
-    with the explicit schema, so no inference pass touches the data, and
-    Spark still checks each file's header against that schema.
+    Column order and extra columns may differ from file to file: files are
+    grouped by header, each group is read with the explicit schema in its own
+    order (no inference; Spark checks each header against it), and the contract
+    columns are put together by name.
     """
-    files = conforming_files(spark, path, sep)
-    header = spark.read.option("header", True).option("sep", sep).csv(files[0]).columns
-    validate_columns(header)
-    df = (spark.read.option("header", True).option("sep", sep)
-          .option("enforceSchema", False).schema(_schema_for(header)).csv(files))
-    return df.select(*RAW_COLUMNS)
+    out = None
+    for header, files in files_by_header(spark, path, sep).items():
+        columns = [c.strip().strip('"') for c in header.split(sep)]
+        validate_columns(columns)
+        df = (spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+              .schema(_schema_for(columns)).csv(files).select(*RAW_COLUMNS))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def load_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Raw CSV files -> canonical transactions, ids 1.. in order of file and line.
+
+    Chronological order needs no sort: it is carried by (step, txn_id)."""
+    return sequential_ids(rename_and_cast(scan_contract(spark, path, sep))).select("txn_id", *CANONICAL_NAMES.values())
 
 
 def _schema_for(header: list[str]) -> T.StructType:
@@ -162,16 +152,16 @@ def sequential_ids(df: DataFrame, base: int = 0, id_col: str = "txn_id") -> Data
     groups = tagged.groupBy("_p", "_f").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_m0"))
     groups = groups.withColumn("_off", F.coalesce(
         F.sum("_n").over(W.orderBy("_f", "_m0").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    out = tagged.join(F.broadcast(groups.select("_p", "_f", "_m0", "_off")), ["_p", "_f"]) \
+    out = tagged.join(groups.select("_p", "_f", "_m0", "_off"), ["_p", "_f"]) \
         .withColumn(id_col, (F.lit(base) + F.col("_off") + F.col("_mono") - F.col("_m0") + 1).cast("bigint"))
     return out.drop("_p", "_f", "_mono", "_m0", "_off")
 
 
-def early_window(txns: DataFrame, max_txn_id: int | None = None, max_step: int | None = None) -> DataFrame:
-    """The first N rows as an early *time window* (never a bare limit)."""
+def early_window(txns: DataFrame, n_rows: int | None = None, max_step: int | None = None, first_id: int = 1) -> DataFrame:
+    """The first N rows as an early *time window* on the dense id (never a bare limit)."""
     out = txns
-    if max_txn_id is not None:
-        out = out.where(F.col("txn_id") <= F.lit(max_txn_id))
+    if n_rows is not None:
+        out = out.where(F.col("txn_id") < F.lit(first_id + n_rows))
     if max_step is not None:
         out = out.where(F.col("step") <= F.lit(max_step))
     return out
@@ -192,14 +182,4 @@ def load_summary(txns: DataFrame) -> DataFrame:
 
 def raw_from_canonical(txns: DataFrame) -> DataFrame:
     """Inverse naming (canonical -> raw contract names); used to feed S1/S4 from the fixtures."""
-    inverse = {v: k for k, v in CANONICAL_NAMES.items()}
-    money = {"amount", "old_balance_orig", "new_balance_orig", "old_balance_dest", "new_balance_dest"}
-    return txns.select(*[
-        (F.col(c).cast("double") if c in money else F.col(c)).alias(inverse[c])
-        for c in CANONICAL_NAMES.values()
-    ])
-
-
-def money(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(_MONEY)
+    return txns.select(*[F.col(c).alias(raw) for raw, c in CANONICAL_NAMES.items()])

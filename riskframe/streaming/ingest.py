@@ -4,11 +4,15 @@ The reference is batch-only; this is the same contract read and rename/cast,
 driven incrementally: new raw CSV files are picked up with the explicit
 schema, every micro-batch is validated, renamed, typed and appended to the
 canonical Parquet table.  The checkpoint lives under the shared
-`spark.checkpoint.dir`, so a restarted query resumes exactly once.
+`spark.checkpoint.dir`, in a folder named by a digest of the sink's path, so a
+restarted query finds it.  A sink with rows and no checkpoint is refused, as
+its source files would be written twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,33 +21,46 @@ from riskframe.sources.contract import RAW_SCHEMA, rename_and_cast, sequential_i
 
 
 def raw_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New CSV files under `src_dir`, read with the contract schema (never inferred)."""
-    r = spark.readStream.option("header", True).schema(RAW_SCHEMA)
+    """New CSV files under `src_dir`, read with the contract schema (never inferred).
+
+    Spark checks every file's header against the schema, so a file with other
+    or reordered columns stops the query instead of being read by position."""
+    r = spark.readStream.option("header", True).option("enforceSchema", False).schema(RAW_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(src_dir)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def ingest(spark: SparkSession, src_dir: str, out_path: str, checkpoint: str | None = None,
            available_now: bool = True, max_files_per_trigger: int | None = None):
     """Write canonical rows for every new raw file, one `batch_id=<n>` folder per micro-batch
     (idempotent on retry); returns the (finished or running) StreamingQuery.
 
-    Streamed rows carry no id, so each micro-batch gets load-order ids above
-    the current maximum of the sink (file, then position; see sequential_ids).
+    Streamed rows carry no id, so each micro-batch gets load-order ids after
+    the last one of the batch before it, which is kept beside the checkpoint.
     """
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{abs(hash(out_path))}"
+    out_path = out_path.rstrip("/")
+    digest = hashlib.sha256(out_path.encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{digest}"
+    if _exists(spark, out_path) and not _exists(spark, checkpoint):
+        raise ValueError(f"{out_path} holds rows but {checkpoint} does not exist: its files would be read again")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # idempotent per micro-batch: a retried batch overwrites its own folder instead of appending twice,
-        # and its id base only looks at earlier batches
-        typed = rename_and_cast(batch)
-        try:
-            prior = spark.read.parquet(out_path).where(F.col("batch_id") < F.lit(batch_id))
-            base = prior.agg(F.max("txn_id")).first()[0] or 0
-        except Exception:  # noqa: BLE001 - first batch: the sink does not exist yet
-            base = 0
-        sequential_ids(typed, base).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        # idempotent per micro-batch: a retried batch overwrites its own folder and id mark instead of appending twice
+        mark = f"{checkpoint.rstrip('/')}/last_id"
+        base = 0
+        if batch_id > 0:
+            base = spark.read.parquet(f"{mark}/batch_id={batch_id - 1}").first()["last_id"]
+        keyed = sequential_ids(rename_and_cast(batch), base)
+        path = f"{out_path}/batch_id={batch_id}"
+        keyed.write.mode("overwrite").parquet(path)
+        spark.read.parquet(path).agg(F.coalesce(F.max("txn_id"), F.lit(base)).alias("last_id")).write.mode("overwrite").parquet(
+            f"{mark}/batch_id={batch_id}")
 
     q = raw_stream(spark, src_dir, max_files_per_trigger).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="30 seconds")
