@@ -22,6 +22,7 @@ sequence and offset.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,41 +36,85 @@ from pyspark.sql import types as T
 from riskframe.llm.common import chunks, stored
 
 _BATCH_CHARS = 1 << 21
-_CACHE_ROWS = 600_000   # of the token cache in one worker: speed only
+_CACHE_ROWS = 500_000   # of each token cache in one worker: speed only
 _CACHE_WORD = 48
+_CLOSING = ".,;:!?"
 
-# white space next to white space, or separators that are white space to one of
-# the libraries only: such texts are tokenised as a whole
-_ODD_SPACE = re.compile(r"\s\s|[\x1c-\x1f\x85]|^ | $")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+def _plain(text: str) -> bool:
+    """No white space but single spaces, single line feeds and pairs of them inside a text: all are pre-tokens' ends."""
+    return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith((" ", "\n"))
+                or _OTHER_SPACE.search(text))
+
+
+class _Pieces(dict):
+    """Pre-token -> its ids as little-endian uint32 bytes, from the tokenizer's model."""
+
+    def __init__(self, model):
+        self.model = model
+        # the byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+    def __missing__(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))
+        ids = array("I", [t.id for t in tokens]).tobytes()
+        if len(self) < _CACHE_ROWS and len(piece) <= _CACHE_WORD:
+            self[piece] = ids
+        return ids
 
 
 class _Words(dict):
-    """' word' -> its ids as little-endian uint16 or uint32 bytes, filled from the tokenizer."""
+    """Part between single spaces -> the ids of ' ' + part.
+
+    A part met for the first time is cut where a pre-token surely ends (a line
+    feed, closing punctuation after letters): words recur far more often than
+    words with what follows them. Other parts go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.pieces = _Pieces(self.tokenizer.model)
         self.extra: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __missing__(self, word: str) -> bytes:
-        return self.extra[word]
+    def __missing__(self, part: str) -> bytes:
+        return self.extra[part]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. A single space opens a new pre-token, so the parts between single spaces are independent."""
-        split = [None if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
-        need = {w for words in split if words for w in words[1:] if w not in self}
-        new = list(need)
-        found = dict(zip(new, self.ids([" " + w for w in new])))
+    def line(self, text: str, lead: str) -> bytes:
+        """Ids of lead + a text without white space."""
+        body = text.rstrip(_CLOSING)
+        if body.isalpha():
+            ids = self.pieces[lead + body]
+            return ids + self.pieces[text[len(body):]] if len(body) < len(text) else ids
+        return self.ids([lead + text])[0] if text else b""
+
+    def learn(self, parts: set[str]) -> None:
+        """Ids of parts not met before."""
         self.extra = {}
-        for w, ids in found.items():
-            if len(w) <= _CACHE_WORD and len(self) < _CACHE_ROWS:
-                self[w] = ids
+        for p in parts:
+            if "\n" in p:
+                first, *rest = p.split("\n")
+                ids = (self.line(first, " ") if first else self.pieces[" "]) + b"".join(
+                    self.pieces["\n"] + self.line(x, "") for x in rest)
+            else:
+                ids = self.line(p, " ")
+            if len(p) <= _CACHE_WORD and len(self) < _CACHE_ROWS:
+                self[p] = ids
             else:
-                self.extra[w] = ids
+                self.extra[p] = ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. A single space opens a new pre-token, so the parts between single spaces are independent."""
+        split = [t.split(" ") if _plain(t) else None for t in texts]
+        self.learn(set().union(*(words for words in split if words)).difference(self))
         whole = self.ids([t if words is None else words[0] for t, words in zip(texts, split)])
         get = self.__getitem__
         return [ids if words is None else ids + b"".join(map(get, words[1:])) for ids, words in zip(whole, split)]
