@@ -126,6 +126,13 @@ def calendar_gap_fill(txns: DataFrame) -> DataFrame:
         F.coalesce("fraud", F.lit(0)).cast("bigint").alias("fraud"))
 
 
+def hour_calendar(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """Volume and fraud rate for every hour of the cycle, hours without a row as 0 (rate NULL)."""
+    cal = txns.sparkSession.range(cfg.steps_per_day).select(F.col("id").cast("int").alias("hour_of_day"))
+    h = cal.join(hourly_profile(txns, cfg).drop("fraud_rate_pct"), "hour_of_day", "left").fillna(0, ["transactions", "fraud"])
+    return h.withColumn("fraud_rate_pct", pct("fraud", "transactions"))
+
+
 def hourly_profile(txns: DataFrame, cfg: RiskConfig = DEFAULT, where=None) -> DataFrame:
     """A7 (and B5 with `where`)."""
     t = txns if where is None else txns.where(where)
@@ -197,22 +204,15 @@ def fan_in_stats(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
 def history_coverage(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Share of rows (all, fraud) with an earlier row of the same origin / destination.
 
-    A row has prior history unless it is its account's first row; first rows
-    are found with a per-account min over (step, txn_id), a plain aggregation.
-    """
-    def firsts(key):
-        return txns.groupBy(key).agg(F.min(F.struct("step", "txn_id")).alias("f")) \
-                   .select(F.col("f.txn_id").alias("txn_id"), F.lit(1).alias(f"first_{key}"))
-    t = txns.select("txn_id", "is_fraud").join(firsts("name_orig"), "txn_id", "left") \
-            .join(firsts("name_dest"), "txn_id", "left")
-    fr = F.col("is_fraud") == 1
-    ho, hd = F.col("first_name_orig").isNull(), F.col("first_name_dest").isNull()
-    a = t.agg(_n().alias("_n"), count_if(fr).alias("_nf"), count_if(ho).alias("_ho"), count_if(hd).alias("_hd"),
-              count_if(ho & fr).alias("_hof"), count_if(hd & fr).alias("_hdf"))
-    return a.select(pct("_ho", "_n").alias("rows_with_prior_origin_history_pct"),
-                    pct("_hd", "_n").alias("rows_with_prior_destination_history_pct"),
-                    pct("_hof", "_nf").alias("fraud_rows_with_prior_origin_history_pct"),
-                    pct("_hdf", "_nf").alias("fraud_rows_with_prior_destination_history_pct"))
+    A row has prior history unless it is its account's first row, so each
+    account takes one row, and its label, from the totals: no join."""
+    total = txns.agg(_n().alias("_n"), count_if(F.col("is_fraud") == 1).alias("_nf"))
+    for key, side in (("name_orig", "origin"), ("name_dest", "destination")):
+        per = txns.groupBy(key).agg(F.min_by("is_fraud", F.struct("step", "txn_id")).alias("first"))
+        total = total.crossJoin(F.broadcast(per.agg(_n().alias(f"_a_{side}"), F.coalesce(F.sum("first"), F.lit(0)).alias(f"_f_{side}"))))
+    return total.select(
+        *[pct(F.col("_n") - F.col(f"_a_{s}"), "_n").alias(f"rows_with_prior_{s}_history_pct") for s in ("origin", "destination")],
+        *[pct(F.col("_nf") - F.col(f"_f_{s}"), "_nf").alias(f"fraud_rows_with_prior_{s}_history_pct") for s in ("origin", "destination")])
 
 
 def counterparty_kind(txns: DataFrame) -> DataFrame:
@@ -224,7 +224,8 @@ def counterparty_kind(txns: DataFrame) -> DataFrame:
 
 def design_decision(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Origin-side history is usable if >= 30 % of transactions come from repeat senders."""
-    o = _repetition(txns, "name_orig", "origin", cfg).select("pct_txns_from_repeat")
+    per = txns.groupBy("name_orig").agg(_n().alias("n"))
+    o = per.agg(pct(F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)), F.sum("n")).alias("pct_txns_from_repeat"))
     usable = F.col("pct_txns_from_repeat") >= F.lit(cfg.repeat_origin_share_pct)
     # fixed values: the two decision texts
     return o.select(F.col("pct_txns_from_repeat").alias("origin_pct_txns_from_repeat"),
@@ -372,11 +373,31 @@ def full_audit(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> dict[str, DataFram
         try:
             out[name] = fn(txns, cfg) if fn.__code__.co_argcount > 1 else fn(txns)
         except Exception as exc:  # noqa: BLE001 - isolate the section, report it as a row
-            spark: SparkSession = txns.sparkSession
-            out[name] = spark.createDataFrame([(f"{type(exc).__name__}: {exc}",)], "error string")
+            out[name] = _failure(txns, exc)
     return out
 
 
+def _failure(txns: DataFrame, exc: Exception) -> DataFrame:
+    return txns.sparkSession.createDataFrame([(f"{type(exc).__name__}: {exc}"[:500],)], "error string")
+
+
+def audit_report(sections: dict[str, DataFrame]) -> DataFrame:
+    """A22 as one table: (section, row, values, error), a section's rows as JSON.
+
+    Every section is a report of a few rows (types, columns, rules, classes), so
+    it is run here; one that fails at run time gives its error and costs no other."""
+    out = []
+    spark = next(iter(sections.values())).sparkSession
+    for name, df in sections.items():
+        try:
+            rows = [r[0] for r in df.select(F.to_json(F.struct("*"))).collect()]
+            broken = df.columns == ["error"]
+            out += [(name, i, None if broken else v, v if broken else None) for i, v in enumerate(sorted(rows))]
+        except Exception as exc:  # noqa: BLE001
+            out.append((name, 0, None, f"{type(exc).__name__}: {exc}"[:500]))
+    return spark.createDataFrame(out, "section string, row int, values string, error string")
+
+
 def share_over_total(txns: DataFrame) -> DataFrame:
     """SUM(COUNT(*)) OVER () and SUM(SUM(is_fraud)) OVER () -- a window over the <= #types
     aggregate (never over rows), giving each type's share of volume and of fraud."""

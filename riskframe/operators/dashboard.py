@@ -32,10 +32,15 @@ class Decision:
     val_end: int
 
 
-def decide(rows: DataFrame, score: str = "score", cfg: RiskConfig = DEFAULT) -> Decision:
-    """Split by step, choose the threshold and band bounds on validation, score the test split."""
-    tr, ve, _ = split_steps(rows, cfg)
-    val = rows.where((F.col("step") > tr) & (F.col("step") <= ve))
+def decide(rows: DataFrame, score: str = "score", cfg: RiskConfig = DEFAULT, thin: DataFrame | None = None) -> Decision:
+    """Split by step, choose the threshold and band bounds on validation, score the test split.
+
+    `thin` is a cheaper frame of the same transactions with step, score and
+    label (before the features are added, say): boundaries and thresholds are
+    read from it, so `rows` itself is computed once, for the output."""
+    thin = rows if thin is None else thin
+    tr, ve, _ = split_steps(thin, cfg)
+    val = thin.where((F.col("step") > tr) & (F.col("step") <= ve))
     test = rows.where(F.col("step") > ve)
     bands = co.risk_band_thresholds(val, score, "is_fraud", cfg).first()   # two control values
     block, verify = float(bands["high_risk_threshold_block"]), float(bands["medium_risk_threshold_verify"])
@@ -226,37 +231,50 @@ def blocked_value(d: DataFrame) -> DataFrame:
 
 
 def hist_log_amount(txns: DataFrame, bins: int = 60, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """60 equal bins of log10(amount) over positive amounts; counts, class densities, class medians."""
+    """log10(amount) over positive amounts.
+
+    `all`: counts in `bins` equal bins.  `legitimate` and `fraudulent` (each if
+    it has rows): counts, densities and the class median over the bins between
+    `bins` edges, so one bin less.  Empty bins are rows with zero.
+    """
     x = txns.where(F.col("amount") > 0).select(F.round(F.log10(dbl("amount")), 9).alias("x"), "is_fraud")
-    mm = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
-               count_if(F.col("is_fraud") == 1).alias("nf"), count_if(F.col("is_fraud") == 0).alias("nl"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    b = x.crossJoin(F.broadcast(mm)).withColumn(
-        "bin", F.least(F.coalesce(F.floor((F.col("x") - F.col("lo")) / F.when(width > 0, width)), F.lit(0)),
-                       F.lit(bins - 1)).cast("int"))
-    g = b.groupBy("bin").agg(F.count(F.lit(1)).alias("n_all"), count_if(F.col("is_fraud") == 1).alias("n_fraud"),
-                             count_if(F.col("is_fraud") == 0).alias("n_legit"),
-                             F.first("lo").alias("lo"), F.first("hi").alias("hi"),
-                             F.first("nf").alias("nf"), F.first("nl").alias("nl"))
-    med = exact_quantiles(x, "x", [0.5], ["is_fraud"], cfg).groupBy().agg(
-        F.max(F.when(F.col("is_fraud") == 1, F.round("value", 9))).alias("median_fraud"),
-        F.max(F.when(F.col("is_fraud") == 0, F.round("value", 9))).alias("median_legit"))
-    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return g.crossJoin(med).select(
-        "bin", (F.col("lo") + dbl("bin") * w).alias("bin_lo"), "n_all", "n_fraud", "n_legit",
-        (dbl("n_fraud") / F.when((F.col("nf") > 0) & (w > 0), dbl("nf") * w)).alias("density_fraud"),
-        (dbl("n_legit") / F.when((F.col("nl") > 0) & (w > 0), dbl("nl") * w)).alias("density_legit"),
-        "median_fraud", "median_legit")
+    mm = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+
+    def bin_of(k: int):
+        width = (F.col("hi") - F.col("lo")) / F.lit(float(k))
+        at = F.floor((F.col("x") - F.col("lo")) / F.when(width > 0, width))
+        return F.least(F.coalesce(at, F.lit(0)), F.lit(k - 1)).cast("int")
+
+    small = x.crossJoin(F.broadcast(mm)).groupBy("lo", "hi", "is_fraud", bin_of(bins).alias("b0"), bin_of(bins - 1).alias("b1")) \
+        .agg(F.count(F.lit(1)).alias("n"))  # bins x 2 x 2 rows at most
+    med = exact_quantiles(x, "x", [0.5], ["is_fraud"], cfg).select(F.col("is_fraud").alias("of"), F.round("value", 9).alias("median"))
+    label = F.when(F.col("is_fraud") == 1, "fraudulent").otherwise("legitimate")
+    every = small.groupBy("lo", "hi", F.lit("all").alias("histogram"), F.lit(None).cast("int").alias("of"), F.col("b0").alias("bin")) \
+        .agg(F.sum("n").alias("n"))
+    classes = small.groupBy("lo", "hi", label.alias("histogram"), F.col("is_fraud").alias("of"), F.col("b1").alias("bin")) \
+        .agg(F.sum("n").alias("n"))
+    counts = every.unionByName(classes)
+    frame = counts.groupBy("lo", "hi", "histogram", "of").agg(F.sum("n").alias("total"))
+    k = F.when(F.col("histogram") == "all", bins).otherwise(bins - 1)
+    frame = frame.withColumn("k", k).withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    full = frame.join(counts.select("histogram", "bin", "n"), ["histogram", "bin"], "left").join(med, "of", "left")
+    width = (F.col("hi") - F.col("lo")) / dbl("k")
+    n = F.coalesce("n", F.lit(0))
+    return full.select("histogram", "bin", (F.col("lo") + dbl("bin") * width).alias("bin_lo"), n.cast("bigint").alias("n"),
+                       F.when(F.col("histogram") != "all", dbl(n) / F.when(width > 0, dbl("total") * width)).alias("density"),
+                       "median")
 
 
 def hist_account_txns(txns: DataFrame, clip: int = 20) -> DataFrame:
-    """accounts by transaction count clipped at 20, per side, with % single-use accounts."""
+    """accounts by transaction count clipped at 20, per side, with % single-use accounts; empty bins are rows with 0."""
     out = None
     for key, side in (("name_orig", "origin"), ("name_dest", "destination")):
         per = txns.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        h = per.groupBy(F.least(F.col("n"), F.lit(clip)).alias("txns_clipped")).agg(F.count(F.lit(1)).alias("accounts"))
-        once = per.agg(pct(count_if(F.col("n") == 1), F.count(F.lit(1))).alias("single_use_pct"))
-        h = h.crossJoin(once).withColumn("side", F.lit(side)).select("side", "txns_clipped", "accounts", "single_use_pct")
+        h = per.groupBy(F.least(F.col("n"), F.lit(clip)).alias("c")).agg(F.count(F.lit(1)).alias("accounts"))
+        once = h.agg(pct(F.sum(F.when(F.col("c") == 1, F.col("accounts")).otherwise(0)), F.sum("accounts")).alias("single_use_pct"))
+        bins = txns.sparkSession.range(1, clip + 1).withColumnRenamed("id", "txns_clipped")
+        h = bins.join(h, F.col("txns_clipped") == F.col("c"), "left").crossJoin(once).select(
+            F.lit(side).alias("side"), "txns_clipped", F.coalesce("accounts", F.lit(0)).cast("bigint").alias("accounts"), "single_use_pct")
         out = h if out is None else out.unionByName(h)
     return out
 

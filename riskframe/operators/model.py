@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from riskframe.config import DEFAULT, RiskConfig
 from riskframe.functions.derive import dbl, pct
 from riskframe.operators.analysis import split_boundaries
 
+log = logging.getLogger(__name__)
+
 
 class SplitError(ValueError):
     pass
@@ -69,14 +73,21 @@ from pyspark.ml.functions import vector_to_array  # noqa: E402
 from riskframe.operators.features import MODEL_COLUMNS, fill_missing  # noqa: E402
 
 RF_FULL = dict(numTrees=120, maxDepth=14, minInstancesPerNode=40, subsamplingRate=1.0)
-RF_FAST = dict(numTrees=40, maxDepth=10, minInstancesPerNode=100, subsamplingRate=0.3)
+RF_FAST = dict(numTrees=40, maxDepth=10, minInstancesPerNode=100, subsamplingRate=0.3)  # opt-in
 GBT_PARAMS = dict(maxIter=300, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8")
 
 
 def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fix row layout before fitting so a seeded model is repeatable (range on txn_id, sorted)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, "txn_id").sortWithinPartitions("txn_id")
+    by = (partitions, "txn_id") if partitions else ("txn_id",)  # else spark.sql.shuffle.partitions, sized by AQE
+    return df.repartitionByRange(*by).sortWithinPartitions("txn_id")
+
+
+def _training_rows(train: DataFrame, columns) -> DataFrame:
+    """The filled model input in a fixed layout, persisted: every fit passes over it many times."""
+    from riskframe.session import cached
+    keep = [c for c in train.columns if c in {"txn_id", "is_fraud", "class_weight", *columns}]
+    return cached(stable_layout(fill_missing(train.select(*keep), list(columns))))
 
 
 def class_weights(rows: DataFrame, label: str = "is_fraud") -> DataFrame:
@@ -94,8 +105,7 @@ def _assembler(columns):
 def fit_logreg(train: DataFrame, columns=MODEL_COLUMNS, weight_col: str | None = None,
                cfg: RiskConfig = DEFAULT) -> PipelineModel:
     """M3: standardise (mean and std) then L2 logistic regression, C = 1 expressed as regParam = 1 / n."""
-    from riskframe.session import cached
-    data = cached(stable_layout(fill_missing(train, list(columns))))
+    data = _training_rows(train, columns)
     n = data.count()
     # tol 1e-4 is the reference solver's default stopping tolerance (MLlib's own default is 1e-6)
     lr = LogisticRegression(featuresCol="scaled", labelCol="is_fraud", regParam=1.0 / max(n, 1), elasticNetParam=0.0,
@@ -111,7 +121,7 @@ def fit_random_forest(train: DataFrame, columns=MODEL_COLUMNS, fast: bool = Fals
     p = RF_FAST if fast else RF_FULL
     rf = RandomForestClassifier(labelCol="is_fraud", featureSubsetStrategy="sqrt", seed=cfg.seed, **p,
                                 **({"weightCol": weight_col} if weight_col else {}))
-    return Pipeline(stages=[_assembler(columns), rf]).fit(stable_layout(fill_missing(train, list(columns))))
+    return Pipeline(stages=[_assembler(columns), rf]).fit(_training_rows(train, columns))
 
 
 def fit_gbt(train: DataFrame, columns=MODEL_COLUMNS, max_iter: int | None = None, weight_col: str | None = None,
@@ -121,7 +131,33 @@ def fit_gbt(train: DataFrame, columns=MODEL_COLUMNS, max_iter: int | None = None
     if max_iter is not None:
         p["maxIter"] = max_iter
     gbt = GBTClassifier(labelCol="is_fraud", seed=cfg.seed, **p, **({"weightCol": weight_col} if weight_col else {}))
-    return Pipeline(stages=[_assembler(columns), gbt]).fit(stable_layout(fill_missing(train, list(columns))))
+    return Pipeline(stages=[_assembler(columns), gbt]).fit(_training_rows(train, columns))
+
+
+def fit_all(train: DataFrame, fitters: dict) -> dict[str, PipelineModel]:
+    """Models by name; a fit that fails is logged and left out.  Raises if none is left."""
+    models = {}
+    for name, fit in fitters.items():
+        try:
+            models[name] = fit(train)
+        except Exception:  # noqa: BLE001 - one model's failure must not cost the others
+            log.exception("fitting %s failed", name)
+    if not models:
+        raise RuntimeError(f"no model could be fitted: {list(fitters)}")
+    return models
+
+
+def select_model(models: dict[str, PipelineModel], validation: DataFrame, columns=MODEL_COLUMNS,
+                 cfg: RiskConfig = DEFAULT) -> tuple[str, DataFrame]:
+    """M9: the name of the model with the best validation PR-AUC, and the comparison table."""
+    from riskframe.operators.ranking import compare_models
+    rows = validation.select("txn_id", "is_fraud", *columns)
+    out = None
+    for name, m in models.items():
+        s = score_rows(m, rows, columns).select(F.lit(name).alias("model"), "score", "is_fraud")
+        out = s if out is None else out.unionByName(s)
+    table = compare_models(out, cfg=cfg)
+    return table.where("selection_rank = 1").first()["model"], table
 
 
 def score_rows(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, score_col: str = "score") -> DataFrame:
@@ -166,44 +202,42 @@ def linear_attribution(model: PipelineModel, rows: DataFrame, columns=MODEL_COLU
     return long
 
 
-def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, sample_size: int = 50_000,
-                           repeats: int = 3, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """AP drop when one feature is shuffled; sample keeps every positive plus sampled negatives.
+def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, repeats: int = 3,
+                           sample_fraction: float | None = None, bucket_rows: int = 20_000,
+                           cfg: RiskConfig = DEFAULT) -> DataFrame:
+    """AP drop when one feature is shuffled, over all rows (sample_fraction: a hash sample of both classes, opt-in).
 
-    All (feature, repeat) permutations are scored in ONE transform: rows are
-    exploded to (feature, repeat), permuted by a seeded random rank inside
-    random buckets of <= ~100k rows, and AP is computed per (feature, repeat).
+    A feature is permuted inside random buckets of about bucket_rows rows, by
+    the order of a hash of (txn_id, feature, repeat, seed), so a retried task
+    gives the same permutation.  Only (row, feature, repeat, value) is dealt
+    out; the wide copies exist where they are scored and leave as one score.
     """
     from riskframe.operators.ranking import ranking_metrics
-    x = fill_missing(rows, list(columns)).select("txn_id", "is_fraud", *columns)
-    n_pos = x.where(F.col("is_fraud") == 1).count()
-    n_neg = x.where(F.col("is_fraud") == 0).count()
-    keep = max(sample_size - n_pos, 1)
-    frac = min(1.0, keep / max(n_neg, 1))
-    sample = x.where(F.col("is_fraud") == 1).unionByName(
-        x.where(F.col("is_fraud") == 0).sample(False, frac, seed=cfg.seed) if frac < 1.0 else x.where(F.col("is_fraud") == 0))
-    spark = rows.sparkSession
-    fr = spark.createDataFrame([(c, r) for c in columns for r in range(repeats)], "pfeature string, rep int")
-    # permute inside random buckets of <= ~100k rows: a uniform permutation within randomly assigned
-    # buckets breaks the feature/label link like a global one, and no task holds a whole (feature, repeat)
-    n_sample = n_pos + min(keep, n_neg)
-    buckets = max(1, -(-n_sample // 100_000))
-    ex = sample.crossJoin(F.broadcast(fr)).withColumn(
-        "pb", F.pmod(F.xxhash64("txn_id", "pfeature", "rep", F.lit(cfg.seed)), F.lit(buckets)))
-    w_orig = Window.partitionBy("pfeature", "rep", "pb").orderBy("txn_id")
-    w_perm = Window.partitionBy("pfeature", "rep", "pb").orderBy(F.rand(cfg.seed), "txn_id")
-    ex = ex.withColumn("pos", F.row_number().over(w_orig)).withColumn("ppos", F.row_number().over(w_perm))
-    value = F.coalesce(*[F.when(F.col("pfeature") == c, dbl(c)) for c in columns])
-    donor = ex.select("pfeature", "rep", "pb", F.col("ppos").alias("pos"), value.alias("shuffled"))
-    perm = ex.join(donor, ["pfeature", "rep", "pb", "pos"])
-    perm = perm.select("txn_id", "is_fraud", "pfeature", "rep",
-                       *[F.when(F.col("pfeature") == c, F.col("shuffled")).otherwise(dbl(c)).alias(c) for c in columns])
-    scored = model.transform(perm).select("pfeature", "rep", "is_fraud",
-                                          vector_to_array("probability")[1].alias("score"))
-    base = model.transform(sample).select("is_fraud", vector_to_array("probability")[1].alias("score"))
+    columns = list(columns)
+    x = fill_missing(rows.select("txn_id", "is_fraud", *columns), columns)
+    if sample_fraction is not None:
+        x = x.where(F.pmod(F.xxhash64("txn_id", F.lit(cfg.seed)), F.lit(1_000_000)) < F.lit(int(sample_fraction * 1_000_000)))
+    buckets = -(-x.count() // bucket_rows) or 1
+    pairs = [(c, r) for c in columns for r in range(repeats)]
+    value = F.array(*[F.struct(F.lit(i).alias("pair"), dbl(c).alias("v")) for i, (c, _) in enumerate(pairs)])
+    long = x.select("txn_id", F.pmod(F.xxhash64("txn_id", F.lit(cfg.seed + 1)), F.lit(buckets)).alias("pb"), F.explode(value).alias("s"))
+    long = long.select("txn_id", "pb", "s.pair", "s.v")
+    own = F.sort_array(F.collect_list("txn_id"))
+    other = F.sort_array(F.collect_list(F.struct(F.xxhash64("txn_id", "pair", F.lit(cfg.seed)).alias("h"), "txn_id", "v")))
+    dealt = long.groupBy("pb", "pair").agg(own.alias("own"), other.alias("other")).select(
+        "pair", F.explode(F.arrays_zip("own", "other")).alias("z")).select(
+        F.col("z.own").alias("t"), "pair", F.col("z.other.v").alias("v"))
+    by_row = dealt.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("pair", "v"))).alias("given"))
+    wide = x.join(by_row, x["txn_id"] == by_row["t"]).select("is_fraud", *columns, F.explode("given").alias("g"))
+    of = {c: [i for i, (f, _) in enumerate(pairs) if f == c] for c in columns}
+    wide = wide.select("is_fraud", F.col("g.pair").alias("pair"),
+                       *[F.when(F.col("g.pair").isin(of[c]), F.col("g.v")).otherwise(F.col(c)).alias(c) for c in columns])
+    scored = model.transform(wide).select("pair", "is_fraud", vector_to_array("probability")[1].alias("score"))
+    base = model.transform(x).select("is_fraud", vector_to_array("probability")[1].alias("score"))
     base_ap = ranking_metrics(base, cfg=cfg).select(F.col("pr_auc").alias("base_ap"))
-    ap = ranking_metrics(scored, group_cols=["pfeature", "rep"], cfg=cfg)
-    drop = ap.crossJoin(base_ap).select(F.col("pfeature").alias("feature"), (F.col("base_ap") - F.col("pr_auc")).alias("d"))
+    ap = ranking_metrics(scored, group_cols=["pair"], cfg=cfg)
+    name = F.element_at(F.array(*[F.lit(c) for c, _ in pairs]), F.col("pair") + 1)
+    drop = ap.crossJoin(base_ap).select(name.alias("feature"), (F.col("base_ap") - F.col("pr_auc")).alias("d"))
     return drop.groupBy("feature").agg(F.avg("d").alias("pr_auc_drop_when_shuffled"), F.stddev_pop("d").alias("std"))
 
 

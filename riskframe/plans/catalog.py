@@ -3,18 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskframe.session import release_cached
+
 Builder = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, tuple[Builder, str | None]] = {}
 
 
+def _owning(fn: Builder) -> Builder:
+    """fn that first releases the frames persisted for the query built before it."""
+    @wraps(fn)
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        release_cached()
+        return fn(spark, sf_dir)
+    return build
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         if name in CATALOG:
             raise KeyError(f"duplicate query {name}")
-        CATALOG[name] = (fn, sql)
+        CATALOG[name] = (_owning(fn), sql)
         return fn
     return deco
 

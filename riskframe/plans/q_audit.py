@@ -101,6 +101,14 @@ def q_calendar_gap_fill(spark, sf):
     return au.calendar_gap_fill(T(spark, sf))
 
 
+@register("hour_calendar", _sql(f"""
+SELECT CAST(h.h AS INTEGER) AS hour_of_day, CAST(COUNT(t.txn_id) AS BIGINT) AS transactions,
+  CAST(COALESCE(SUM(t.is_fraud), 0) AS BIGINT) AS fraud, {pct('COALESCE(SUM(t.is_fraud), 0)', 'COUNT(t.txn_id)')} AS fraud_rate_pct
+FROM range(24) h(h) LEFT JOIN transactions t ON (t.step - 1) % 24 = h.h GROUP BY 1"""))
+def q_hour_calendar(spark, sf):
+    return au.hour_calendar(T(spark, sf))
+
+
 _HOURLY = f"""
 SELECT CAST((step - 1) % 24 AS INTEGER) AS hour_of_day, COUNT(*) AS transactions, CAST(SUM(is_fraud) AS BIGINT) AS fraud,
   {pct('SUM(is_fraud)', 'COUNT(*)')} AS fraud_rate_pct FROM transactions {{where}} GROUP BY 1"""
@@ -335,14 +343,8 @@ def q_structure(spark, sf):
 
 @register("full_audit")
 def q_full_audit(spark, sf):
-    """One row per section with its row count; a failing section shows its error."""
-    from pyspark.sql import functions as F
-    secs = au.full_audit(T(spark, sf))
-    rows = []
-    for name, df in secs.items():
-        err = df.first()["error"] if df.columns == ["error"] else None
-        rows.append((name, None if err else df.count(), err))
-    return spark.createDataFrame(rows, "section string, rows long, error string").withColumn("ok", F.col("error").isNull())
+    """The rows of every section; a failing section shows its error."""
+    return au.audit_report(au.full_audit(T(spark, sf)))
 
 
 @register("share_over_total", _sql(f"""

@@ -8,6 +8,7 @@ from riskframe.operators import features as fe
 from riskframe.oracles.base import FEATURES, LINEITEM_TXN, TXN, cnt, pct, with_ctes
 from riskframe.oracles.cost_sql import FIXED, counts_cte, grid_ctes, metrics_cte, summary_sql, sweep_ctes
 from riskframe.plans.catalog import register
+from riskframe.session import cached
 from riskframe.plans.q_analysis import SPLIT_SQL
 from riskframe.plans.q_audit import ranking_sql
 from riskframe.sources.fixtures import events_transactions, lineitem_transactions, scorecard
@@ -47,7 +48,8 @@ def _li_sql(body: str, *more: str) -> str:
 
 
 def _ev(spark, sf):
-    return db.decide(scorecard(fe.build_features(events_transactions(spark, sf))))
+    t = events_transactions(spark, sf)
+    return db.decide(scorecard(fe.build_features(t)), thin=scorecard(t))
 
 
 def _ev_txn(spark, sf):
@@ -55,7 +57,7 @@ def _ev_txn(spark, sf):
 
 
 def _li(spark, sf):
-    return db.decide(scorecard(lineitem_transactions(spark, sf)))
+    return db.decide(cached(scorecard(lineitem_transactions(spark, sf))))
 
 
 _D1_COLS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "amount" else c for c in db.CONTEXT_COLUMNS)
@@ -223,28 +225,34 @@ def q_blocked_value(spark, sf):
     return db.blocked_value(_ev_txn(spark, sf).scored_test)
 
 
-@register("hist_log_amount", with_ctes("""
+def _bin_sql(k: int) -> str:
+    return f"CAST(least(COALESCE(floor((x - lo) / NULLIF((hi - lo) / CAST({k} AS DOUBLE), 0)), 0), {k - 1}) AS INTEGER)"
+
+
+def _hist_sql(name: str, k: int, where: str, density: bool) -> str:
+    width = f"((hi - lo) / CAST({k} AS DOUBLE))"
+    return f"""SELECT '{name}' AS histogram, CAST(r.bin AS INTEGER) AS bin, lo + CAST(r.bin AS DOUBLE) * {width} AS bin_lo,
+  CAST(COUNT(x.x) AS BIGINT) AS n,
+  {f"CAST(COUNT(x.x) AS DOUBLE) / (CAST(ANY_VALUE(t.n) AS DOUBLE) * {width})" if density else "CAST(NULL AS DOUBLE)"} AS density,
+  {"round(ANY_VALUE(t.med), 9)" if density else "CAST(NULL AS DOUBLE)"} AS median
+FROM range({k}) r(bin) CROSS JOIN mm CROSS JOIN (SELECT COUNT(*) AS n, quantile_cont(x, 0.5) AS med FROM x WHERE {where}) t
+LEFT JOIN (SELECT x, {_bin_sql(k)} AS b FROM x, mm WHERE {where}) x ON x.b = r.bin
+WHERE t.n > 0 GROUP BY r.bin, lo, hi"""
+
+
+@register("hist_log_amount", with_ctes(f"""
 WITH x AS (SELECT round(log10(CAST(amount AS DOUBLE)), 9) AS x, is_fraud FROM transactions WHERE amount > 0),
-mm AS (SELECT MIN(x) AS lo, MAX(x) AS hi, COUNT(*) FILTER (WHERE is_fraud = 1) AS nf, COUNT(*) FILTER (WHERE is_fraud = 0) AS nl FROM x),
-b AS (SELECT x.*, CAST(least(COALESCE(floor((x - lo) / NULLIF((hi - lo) / CAST(60 AS DOUBLE), 0)), 0), 59) AS INTEGER) AS bin FROM x, mm),
-med AS (SELECT round(quantile_cont(x, 0.5) FILTER (WHERE is_fraud = 1), 9) AS median_fraud,
-               round(quantile_cont(x, 0.5) FILTER (WHERE is_fraud = 0), 9) AS median_legit FROM x)
-SELECT bin, lo + CAST(bin AS DOUBLE) * ((hi - lo) / CAST(60 AS DOUBLE)) AS bin_lo, COUNT(*) AS n_all,
-  CAST(COUNT(*) FILTER (WHERE is_fraud = 1) AS BIGINT) AS n_fraud, CAST(COUNT(*) FILTER (WHERE is_fraud = 0) AS BIGINT) AS n_legit,
-  CASE WHEN nf > 0 AND (hi - lo) / CAST(60 AS DOUBLE) > 0 THEN CAST(COUNT(*) FILTER (WHERE is_fraud = 1) AS DOUBLE)
-       / (CAST(nf AS DOUBLE) * ((hi - lo) / CAST(60 AS DOUBLE))) END AS density_fraud,
-  CASE WHEN nl > 0 AND (hi - lo) / CAST(60 AS DOUBLE) > 0 THEN CAST(COUNT(*) FILTER (WHERE is_fraud = 0) AS DOUBLE)
-       / (CAST(nl AS DOUBLE) * ((hi - lo) / CAST(60 AS DOUBLE))) END AS density_legit,
-  ANY_VALUE(median_fraud) AS median_fraud, ANY_VALUE(median_legit) AS median_legit
-FROM b, mm, med GROUP BY bin, lo, hi, nf, nl""", TXN))
+mm AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM x)
+{_hist_sql("all", 60, "true", False)} UNION ALL {_hist_sql("legitimate", 59, "is_fraud = 0", True)}
+UNION ALL {_hist_sql("fraudulent", 59, "is_fraud = 1", True)}""", TXN))
 def q_hist_log_amount(spark, sf):
     return db.hist_log_amount(events_transactions(spark, sf))
 
 
 def _f2(key, side):
-    return f"""SELECT '{side}' AS side, least(n, 20) AS txns_clipped, COUNT(*) AS accounts,
+    return f"""SELECT '{side}' AS side, CAST(b.c AS BIGINT) AS txns_clipped, CAST(COUNT(p.n) AS BIGINT) AS accounts,
   ANY_VALUE(o.single_use_pct) AS single_use_pct
-FROM (SELECT {key}, COUNT(*) AS n FROM transactions GROUP BY {key}) p,
+FROM range(1, 21) b(c) LEFT JOIN (SELECT COUNT(*) AS n FROM transactions GROUP BY {key}) p ON least(p.n, 20) = b.c,
      (SELECT {pct('COUNT(*) FILTER (WHERE n = 1)', 'COUNT(*)')} AS single_use_pct FROM (SELECT COUNT(*) AS n FROM transactions GROUP BY {key})) o
 GROUP BY 1, 2"""
 

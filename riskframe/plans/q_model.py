@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskframe.operators import dashboard as db
 from riskframe.operators import features as fe
 from riskframe.operators import model as md
 from riskframe.operators.ranking import ranking_metrics
@@ -39,9 +40,12 @@ def q_time_split(spark, sf):
     return md.time_split(T(spark, sf))[1]
 
 
-@register("split_guard")
+@register("split_guard", with_ctes("""
+SELECT split, rows, fraud, true AS usable FROM (
+  SELECT CASE WHEN step <= train_end_step THEN 'train' WHEN step <= validation_end_step THEN 'validation' ELSE 'test' END AS split,
+    COUNT(*) AS rows, CAST(SUM(is_fraud) AS BIGINT) AS fraud FROM transactions, bounds GROUP BY 1)""", TXN, SPLIT_SQL))
 def q_split_guard(spark, sf):
-    return md.split_guard(md.time_split(T(spark, sf))[1])
+    return md.split_guard(md.time_split(T(spark, sf))[1]).select("split", "rows", "fraud", "usable")
 
 
 @register("class_weight", with_ctes("""
@@ -63,14 +67,13 @@ def q_fit_logreg(spark, sf):
 @register("fit_random_forest")
 def q_fit_random_forest(spark, sf):
     _, train, _, _ = _split_features(spark, sf)
-    return md.builtin_importance(md.fit_random_forest(train, fast=True))
+    return md.builtin_importance(md.fit_random_forest(train))
 
 
 @register("fit_gbt")
 def q_fit_gbt(spark, sf):
-    """M5 with a short boosting run for the check (max_iter is a parameter; the library default is 300)."""
     _, train, _, _ = _split_features(spark, sf)
-    return md.builtin_importance(md.fit_gbt(train, max_iter=20))
+    return md.builtin_importance(md.fit_gbt(train))
 
 
 @register("score_rows")
@@ -80,16 +83,37 @@ def q_score_rows(spark, sf):
              .select("txn_id", "is_fraud", "score")
 
 
+_FITTERS = {"logistic_regression": md.fit_logreg, "random_forest": md.fit_random_forest}
+
+
 @register("model_selection")
 def q_model_selection(spark, sf):
     """M9 on real models: LR and RF scored on validation, ranked by PR-AUC (rank 1 is selected)."""
-    from riskframe.operators.ranking import compare_models
     _, train, val, _ = _split_features(spark, sf)
-    cols = ["txn_id", "is_fraud", *fe.MODEL_COLUMNS]
-    a = md.score_rows(md.fit_logreg(train), val.select(*cols)).select(F.lit("logistic_regression").alias("model"), "score", "is_fraud")
-    b = md.score_rows(md.fit_random_forest(train, fast=True), val.select(*cols)).select(
-        F.lit("random_forest").alias("model"), "score", "is_fraud")
-    return compare_models(a.unionByName(b))
+    return md.select_model(md.fit_all(train, _FITTERS), val)[1]
+
+
+def _model_decision(spark, sf):
+    """The selected model's scores on validation and test, and the decision context they give."""
+    from riskframe.session import cached
+    f, train, val, _ = _split_features(spark, sf)
+    models = md.fit_all(train, _FITTERS)
+    name, _ = md.select_model(models, val)
+    scored = cached(md.score_rows(models[name], f))
+    return name, db.decide(scored)
+
+
+@register("model_kpi_summary")
+def q_model_kpi_summary(spark, sf):
+    """C2-C5 and D2 for the selected model: threshold and bands from its validation scores, KPIs on the test split."""
+    name, d = _model_decision(spark, sf)
+    return db.kpi_summary(d).withColumn("model", F.lit(name))
+
+
+@register("model_scored_table")
+def q_model_scored_table(spark, sf):
+    """D1 for the selected model."""
+    return db.scored_table(_model_decision(spark, sf)[1])
 
 
 @register("leakage_demo")
@@ -100,7 +124,7 @@ def q_leakage_demo(spark, sf):
     cols = md.LEAKAGE_DEMO_COLUMNS
     train = t.where(F.col("step") <= tr)
     test = t.where(F.col("step") > ve)
-    m = md.fit_random_forest(train, columns=cols, fast=True)
+    m = md.fit_random_forest(train, columns=cols)
     s = md.score_rows(m, test.select("txn_id", "is_fraud", *cols), columns=cols)
     return ranking_metrics(s).withColumn("note", F.lit("LEAKAGE DEMONSTRATION - NOT VALID FOR DEPLOYMENT"))
 
@@ -114,7 +138,7 @@ def q_builtin_importance(spark, sf):
 @register("top_importance")
 def q_top_importance(spark, sf):
     _, train, _, _ = _split_features(spark, sf)
-    return md.top_importance(md.builtin_importance(md.fit_random_forest(train, fast=True)), 25)
+    return md.top_importance(md.builtin_importance(md.fit_random_forest(train)), 25)
 
 
 @register("permutation_importance")

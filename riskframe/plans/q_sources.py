@@ -256,15 +256,20 @@ def q_class_label(spark, sf):
     return T(spark, sf).select("txn_id", dv.class_label().alias("class"))
 
 
-@register("model_columns")
+@register("model_columns", with_ctes(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS feature, COUNT({c}) AS defined, COUNT(*) FILTER (WHERE {c} <> 0) AS non_zero FROM features"
+    for i, c in enumerate(fe.MODEL_COLUMNS)), TXN, FEATURES))
 def q_model_columns(spark, sf):
-    """The model input list, asserted free of step, target, balances and the simulator flag."""
+    """The model input list with how many rows define each column and how many are not zero."""
     from riskframe.config import LEAKAGE_SUSPECTS
     banned = set(LEAKAGE_SUSPECTS) | {"step", "is_fraud", "txn_id"}
     assert not banned & set(fe.MODEL_COLUMNS)
     f = fe.build_features(T(spark, sf))
-    return spark.createDataFrame([(i, c, dict(f.dtypes)[c]) for i, c in enumerate(fe.MODEL_COLUMNS)],
-                                 "position int, feature string, dtype string")
+    one = f.agg(*[F.count(c).alias(f"d_{c}") for c in fe.MODEL_COLUMNS],
+                *[F.count(F.when(F.col(c) != 0, 1)).alias(f"z_{c}") for c in fe.MODEL_COLUMNS])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.col(f"d_{c}").alias("defined"), F.col(f"z_{c}").alias("non_zero"))
+        for i, c in enumerate(fe.MODEL_COLUMNS)])).alias("s")).select("s.*")
 
 
 _SCORE = ("CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + CAST(250 AS DOUBLE)) * CASE WHEN txn_type IN "

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,7 +29,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared `spark.checkpoint.dir`; set a scratch one only when unset (tests)."""
+    """The cluster's shared `spark.checkpoint.dir`.
+
+    Where it is unset, a scratch folder stands in, on a local master only: on a
+    cluster every executor would write to its own disk.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -38,34 +42,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint dir (never localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
-# Bounded persistence: every persisted intermediate goes through here, and only
-# the most recent few stay cached.  Unpersisting never changes results (an
-# evicted table is recomputed from lineage); it keeps executor memory and the
-# session's cache registry bounded over long sessions.
-_LIVE: list = []
-_KEEP = 6
+# Frames persisted for one query: its builder's caller owns them and releases them when the next one is built.
+_HELD: list[DataFrame] = []
 
 
-def cached(df: DataFrame, keep: int | None = None) -> DataFrame:
-    from pyspark import StorageLevel
+def cached(df: DataFrame) -> DataFrame:
+    """df persisted until `release_cached`; blocks lost with an executor are computed again from lineage."""
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _LIVE.append(out)
-    while len(_LIVE) > (keep or _KEEP):
-        old = _LIVE.pop(0)
-        try:
-            old.unpersist(blocking=False)
-        except Exception:  # noqa: BLE001 - a stopped session has nothing to release
-            pass
+    _HELD.append(out)
     return out
+
+
+def release_cached() -> None:
+    """Unpersist what `cached` holds.  A plan that still reads a released frame computes it again."""
+    while _HELD:
+        df = _HELD.pop()
+        if df.sparkSession.sparkContext._jsc is not None:  # a stopped session has nothing to release
+            df.unpersist(blocking=False)

@@ -138,3 +138,75 @@ def test_ap_and_auc_match_fixture_values(txns):
     m = ranking.ranking_metrics(scorecard(txns)).first()
     assert round(m["pr_auc"], 9) == 0.782585845
     assert round(m["roc_auc"], 9) == 0.945774428
+
+
+def test_a_failing_section_costs_no_other(txns):
+    """Analysis errors and run-time errors both become rows."""
+    from riskframe.operators.audit import audit_report
+    ok = txns.agg(F.count("*").alias("n"))
+    boom = txns.select(F.raise_error(F.lit("boom")).cast("int").alias("x"))
+    rows = {r["section"]: r for r in audit_report({"a": ok, "b": boom, "c": ok}).collect()}
+    assert rows["b"]["error"] and "boom" in rows["b"]["error"] and rows["b"]["values"] is None
+    assert rows["a"]["error"] is None and rows["c"]["values"] == rows["a"]["values"]
+
+
+def test_hour_calendar_has_every_hour(txns):
+    from riskframe.operators.audit import hour_calendar
+    rows = hour_calendar(txns.where("(step - 1) % 24 < 5")).orderBy("hour_of_day").collect()
+    assert [r["hour_of_day"] for r in rows] == list(range(24))
+    assert all(r["transactions"] == 0 and r["fraud_rate_pct"] is None for r in rows[5:]) and rows[0]["transactions"] > 0
+
+
+def test_permutation_importance_with_many_positives(spark):
+    """Half of all rows positive: the strong feature keeps its importance, and a rerun gives the same numbers."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    rng = random.Random(3)
+    data = [(i, i % 2, (i % 2) * 2.0 + rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(2000)]
+    df = spark.createDataFrame(data, "txn_id long, is_fraud int, strong double, weak double")
+    m = Pipeline(stages=[VectorAssembler(inputCols=["strong", "weak"], outputCol="features"),
+                         LogisticRegression(labelCol="is_fraud")]).fit(df)
+    runs = [{r["feature"]: r["pr_auc_drop_when_shuffled"] for r in
+             model.permutation_importance(m, df.repartition(n), ["strong", "weak"], repeats=2, bucket_rows=500).collect()} for n in (2, 5)]
+    assert runs[0]["strong"] > 0.2 and abs(runs[0]["weak"]) < 0.05
+    assert all(math.isclose(runs[0][c], runs[1][c], abs_tol=1e-9) for c in runs[0])
+
+
+def test_model_kpis_agree_with_the_confusion_counts(spark, txns):
+    """A trained model carried into the decision tables: alerts equal FP + TP, and one failing fit costs no other."""
+    from riskframe.operators import dashboard
+    f = fe.build_features(txns)
+    tr, ve, _ = model.split_steps(txns)
+    train, val = f.where(F.col("step") <= tr), f.where((F.col("step") > tr) & (F.col("step") <= ve))
+
+    def broken(_):
+        raise ValueError("no")
+    models = model.fit_all(train, {"broken": broken, "logistic_regression": model.fit_logreg})
+    name, table = model.select_model(models, val)
+    assert name == "logistic_regression" and table.count() == 1
+    d = dashboard.decide(model.score_rows(models[name], f))
+    kpi = dashboard.kpi_summary(d).first()
+    out = {r["outcome_class"]: r["count"] for r in d.scored_test.groupBy("outcome_class").count().collect()}
+    assert kpi["alerts_raised"] == out.get("true_positive", 0) + out.get("false_positive", 0)
+    with pytest.raises(RuntimeError):
+        model.fit_all(train, {"broken": broken})
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from riskframe import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
