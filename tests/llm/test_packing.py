@@ -8,7 +8,9 @@ from riskframe.llm import packing
 from riskframe.llm.queries import tokenizer_path
 
 TRICKY = ["a  b", " a", "a ", "a\n b", "a \n", "  a", "x\x1c y z", "<|endoftext|> hi <|endoftext|>", "it's we 'll  go",
-          "日本 語 テスト", "a　 b", "12 345 a1b2", "", "  ", "\t", "é à", "a b  c", "x\x85 y", "word " * 3000]
+          "日本 語 テスト", "a　 b", "12 345 a1b2", "", "  ", "\t", "é à", "a b  c", "x\x85 y", "word " * 3000,
+          "p\n\nq r", "p\n\n\nq", "p\n\n", "p.\n\nq\nr ! s?! ...", "a !\n? b\n", "w%%% x.### q_-_ (y) \"z\" it's don't. a*$' b'll,",
+          "é%%% ü.\nß!! ²³ x² ½. a1. ⅷ"]
 
 
 def reference_ids(texts):
