@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.session import ensure_checkpoint_dir
@@ -48,3 +48,26 @@ def chunks(values: list, weight: Callable, most: int) -> Iterator[tuple[int, lis
         total += w
     if run:
         yield first, run
+
+
+_HASHES = 1 << 40
+
+
+def _hash(*cols: str) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(_HASHES))
+
+
+def least_hashed(rows: DataFrame, k: int, *cols: str, by: str | None = None) -> DataFrame:
+    """The k rows of least hash of `cols`, of each value of `by` if given (a column of few values).
+
+    The rows are counted first, and a cut by hash leaves about 4k of them
+    however many there are, so that no task merges k rows of every other task.
+    """
+    share = lambda n: min(_HASHES, -(-_HASHES * 4 * k // max(n, 1)))
+    if by is None:
+        return rows.where(_hash(*cols) < F.lit(share(rows.count()))).orderBy(_hash(*cols), *cols).limit(k)
+    cut = F.lit(0)
+    for value, n in rows.groupBy(by).count().collect():
+        cut = F.when(F.col(by) == value, F.lit(share(n))).otherwise(cut)
+    nth = F.row_number().over(Window.partitionBy(by).orderBy(_hash(*cols), *cols))
+    return rows.where(_hash(*cols) < cut).withColumn("__nth", nth).where(F.col("__nth") <= k).drop("__nth")

@@ -17,10 +17,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import chunks, id_and_text
+from riskframe.llm.common import chunks, id_and_text, least_hashed
 
 UNKNOWN = "und"
 SWITCH = 6.0           # nats lost where the language changes
@@ -183,9 +183,8 @@ def fit(docs: DataFrame, learn_from: Column, fit_rows: int = 1000, id_col: str =
     `learn_from` (a condition on doc_id) holds. Rows without a language are not used."""
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang")).where(
         learn_from & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen: dict[int, str] = {}
-    for r in known.distinct().withColumn("nth", nth).where(F.col("nth") <= fit_rows).orderBy("doc_id", "lang").collect():
+    for r in least_hashed(known.distinct(), fit_rows, "doc_id", by="lang").orderBy("doc_id", "lang").collect():
         chosen.setdefault(r["doc_id"], r["lang"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import chunks, id_and_bytes
+from riskframe.llm.common import chunks, id_and_bytes, least_hashed
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _RULE_SYMBOLS = b"#*$%&|<>"
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 1500, id_col: str =
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("good"))
     wanted: dict[int, int] = {}
     for good in (0, 1):
-        rows = known.where(F.col("good") == good).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+        rows = least_hashed(known.where(F.col("good") == good).select("doc_id").distinct(), fit_rows, "doc_id")
         wanted |= {r[0]: good for r in rows.collect() if r[0] is not None}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

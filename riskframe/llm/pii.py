@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import chunks, id_and_text
+from riskframe.llm.common import chunks, id_and_text, least_hashed
 from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked, ordered, pattern_spans
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -386,12 +386,10 @@ def learn(docs: DataFrame, fit_rows: int = 300, text_col: str = "text") -> Tagge
 
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, piece string").distinct().persist()
     windows: list[tuple[str, list[Span]]] = []
-    for kind in [*KINDS, ""]:
-        rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("piece"), "piece").limit(fit_rows).collect()
-        for r in rows:
-            spans = ordered(base_spans(r["piece"]), KINDS)
-            windows.append((r["piece"], spans))
-            windows += altered(r["piece"], spans)
+    for r in least_hashed(found, fit_rows, "piece", by="kind").orderBy("kind", "piece").collect():
+        spans = ordered(base_spans(r["piece"]), KINDS)
+        windows.append((r["piece"], spans))
+        windows += altered(r["piece"], spans)
     found.unpersist()
     return train(windows)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.automaton import CLASSES, Automaton
-from riskframe.llm.common import id_and_text
+from riskframe.llm.common import id_and_text, least_hashed
 from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked, ordered, pattern_spans
 
 KINDS = ["assign", "access", "hex"]
@@ -111,10 +111,9 @@ def learn(docs: DataFrame, fit_rows: int = 400, text_col: str = "text") -> Gramm
                                              names=["kind", "symbols"])
 
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, symbols string").distinct().persist()
-    strings: dict[str, list[str]] = {}
-    for kind in [*KINDS, ""]:
-        own = found.where(F.col("kind") == kind).orderBy(F.xxhash64("symbols"), "symbols").limit(fit_rows)
-        strings[kind] = [r["symbols"] for r in own.collect()]
+    strings: dict[str, list[str]] = {kind: [] for kind in [*KINDS, ""]}
+    for r in least_hashed(found, fit_rows, "symbols", by="kind").orderBy("symbols").collect():
+        strings[r["kind"]].append(r["symbols"])
     found.unpersist()
     kinds = {k: Automaton().fit(strings[k]) for k in KINDS if strings[k]}
     if not kinds:

@@ -163,3 +163,13 @@ def test_redaction(spark, odd):
     assert {r.text for r in out.where("doc_id = 3").collect()} == {None}
     assert masked("abcdef", [("x", 1, 3), ("y", 2, 4), ("x", 4, 5)], str.upper) == "aXXf"
     assert pii.redact("at a@b.cc", [("email", 3, 9)]) == "at [EMAIL]"
+
+
+def test_sample_of_least_hash_is_the_same_at_any_size(spark):
+    from riskframe.llm.common import least_hashed
+    df = spark.range(20000).selectExpr("id as doc_id", "cast(id % 3 as string) as lang").repartition(9)
+    want = {r[0] for r in df.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).limit(50).collect()}
+    assert {r[0] for r in least_hashed(df, 50, "doc_id").collect()} == want
+    per = least_hashed(df, 40, "doc_id", by="lang").groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in per} == {"0": 40, "1": 40, "2": 40}
+    assert least_hashed(df.limit(7), 50, "doc_id").count() == 7
