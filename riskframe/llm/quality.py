@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import id_and_bytes
+from riskframe.llm.common import id_and_bytes, least_hashed
 
 _SYMBOLS = np.frombuffer(b"#*$%&|<>{}[]^~\\_=+@", np.uint8)
 _PAUSES = np.frombuffer(b".,;:'\"()-", np.uint8)
 N_FEATURES = 18
 LEAST_ROWS = 20
+SPLITS = 5
 
 
 def features(raw: bytes | None) -> np.ndarray:
@@ -113,24 +114,37 @@ def train(pos: np.ndarray, unl: np.ndarray, prior: float, hidden: int = 12, epoc
 
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 7) -> float:
-    """Share of positives in the unlabelled sample: best bin estimation.
+    """Share of positives in the unlabelled sample: best bin estimation, over SPLITS random halves.
 
     A first network tells the samples apart on half of each; over the other
     halves, the least ratio of the unlabelled to the positive share above a
-    score, with a confidence margin, bounds the prior.
+    score, with a confidence margin, bounds the prior from above. So the least
+    of the bounds is taken.
     """
     hp, hu = len(pos) // 2, len(unl) // 2
     if not hp or not hu:
         return 0.5
-    m = train(pos[:hp], unl[:hu], 0.5, epochs=30, seed=seed)
-    sp, su = np.sort(m.logit(pos[hp:])), np.sort(m.logit(unl[hu:]))
-    best = (np.inf, 1.0)
-    margin = np.sqrt(np.log(20) / 2) * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(len(su)))
-    for q in np.arange(0.05, 1.0, 0.05):
-        t = np.quantile(sp, 1 - q)
-        top_p, top_u = (sp >= t).mean(), (su >= t).mean()
-        best = min(best, ((top_u + margin) / top_p, top_u / top_p))
-    return float(np.clip(best[1], 0.05, 0.98))
+    found = []
+    for k in range(SPLITS):
+        rng = np.random.default_rng(seed + k)
+        p, u = rng.permutation(pos), rng.permutation(unl)
+        m = train(p[:hp], u[:hu], 0.5, epochs=30, seed=seed + k)
+        sp, su = np.sort(m.logit(p[hp:])), np.sort(m.logit(u[hu:]))
+        best = (np.inf, 1.0)
+        margin = np.sqrt(np.log(20) / 2) * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(len(su)))
+        for q in np.arange(0.05, 1.0, 0.05):
+            t = np.quantile(sp, 1 - q)
+            top_p, top_u = (sp >= t).mean(), (su >= t).mean()
+            best = min(best, ((top_u + margin) / top_p, top_u / top_p))
+        found.append(best[1])
+    return float(np.clip(min(found), 0.05, 0.98))
+
+
+def committee(pos: np.ndarray, unl: np.ndarray, prior: float, seed: int = 7) -> Model:
+    """One network that averages the scores (before the logistic function) of SPLITS networks from different starts."""
+    nets = [train(pos, unl, prior, seed=seed + k) for k in range(SPLITS)]
+    return Model(nets[0].mean, nets[0].scale, np.hstack([m.w1 for m in nets]), np.concatenate([m.b1 for m in nets]),
+                 np.concatenate([m.w2 for m in nets]) / SPLITS, float(np.mean([m.b2 for m in nets])), prior)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int = 6000, id_col: str = "doc_id",
@@ -142,11 +156,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int =
     scores everything 0.5.
     """
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where(learn_from & F.col("doc_id").isNotNull())
-    order = [F.xxhash64("doc_id"), "doc_id"]
     good = (labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id"))
             .where(learn_from).distinct())
-    unl = [r[0] for r in ids.distinct().orderBy(*order).limit(fit_rows).collect()]
-    pos = [r[0] for r in ids.join(good, "doc_id", "left_semi").distinct().orderBy(*order).limit(fit_rows).collect()]
+    ids = ids.distinct()
+    unl = [r[0] for r in least_hashed(ids, fit_rows, "doc_id").collect()]
+    pos = [r[0] for r in least_hashed(ids.join(good, "doc_id", "left_semi"), fit_rows, "doc_id").collect()]
     if min(len(unl), len(pos)) < LEAST_ROWS:
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros((N_FEATURES, 1)), np.zeros(1), np.zeros(1), 0.0, 0.5)
     wanted = sorted({*unl, *pos})
@@ -163,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int =
         run, "doc_id long, x array<double>").dropDuplicates(["doc_id"]).collect()
     x = {r["doc_id"]: np.array(r["x"]) for r in rows}
     p, u = (np.array([x[i] for i in own]) for own in (pos, unl))
-    return train(p, u, estimate_prior(p, u))
+    return committee(p, u, estimate_prior(p, u))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
