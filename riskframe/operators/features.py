@@ -323,7 +323,8 @@ def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     One chain on the growing row: origin and pair windows on the layout by
     origin, destination windows on the layout by destination, then the type
     prefix."""
-    narrow = txns.select(*NARROW)
+    from riskframe.session import cached
+    narrow = cached(txns.select(*NARROW))  # read by the key counts, the type prefix and the chain
     f = _add_pair(_add_origin(narrow, cfg, narrow), cfg, narrow)
     f = _add_type(_add_dest(f, cfg, narrow, True), cfg, narrow)
     return f.select("*", *base_expressions(cfg), *one_hot_type()).select(*FEATURE_ORDER)
