@@ -1,23 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Benchmark items are the query set and are held in slices of bounded size; every
 document is scanned against every slice.
 
-1. The n-grams of an item occur in documents by chance if they are common, so
-   their document frequency over the whole corpus is counted first (partial
-   counts per task, one row per benchmark n-gram). An item's n-grams that are
-   found in at most RARE times as many documents as its median one are its
-   seeds. A passage that a third of all documents share keeps its seeds too, as
-   the choice is made within the item, and an item always keeps over half of
-   its n-grams that occur at all.
-2. A seed found in a document points at a passage: where the item would start,
-   with room for edits on both sides.
+1. Every n-gram of an item that a document holds is a seed, however many other
+   documents hold it: an edited copy may be left with common n-grams alone.
+   A seed points at a passage: where the item would start, with room for edits
+   on both sides.
+2. A passage with too few words of the item to reach the threshold is left out.
+   No alignment matches more words than that, so this is exact, and it takes
+   the place of a choice of rare seeds: chance hits cost a count of words.
 3. Passage and item are aligned word by word (local alignment, linear gaps).
    The score is the share of the best possible one, so edited, cut or
    paraphrased copies score between 0 and 1.
 
-Both scans are one map over the documents; nothing but counts of benchmark
-n-grams is shuffled, so a hot source or a copied document is only more rows.
+The scan is one map over the documents; nothing is shuffled, so a hot source or
+a copied document is only more rows.
 """
 
 from __future__ import annotations
@@ -36,7 +34,6 @@ from riskframe.llm.common import id_and_bytes
 _FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 MATCH, MISMATCH, GAP = 2, -1, -1
-RARE = 4
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -104,20 +101,6 @@ def build_index(rows: list[tuple[int, bytes | None]], n: int = 3) -> Index:
     return index
 
 
-def keep_rare(index: Index, frequency: dict[int, int]) -> Index:
-    """The index with, for each item, only its n-grams found in at most RARE times the median number of documents."""
-    df = np.array([frequency.get(g, 0) for g in range(len(index.grams))], np.int64)
-    keep = np.zeros(len(index.places), bool)
-    for k in range(len(index.items)):
-        own = np.flatnonzero(index.places[:, 1] == k)
-        f = df[index.places[own, 0]]
-        if f.any():
-            keep[own[f <= RARE * np.median(f[f > 0])]] = True
-    places = index.places[keep]
-    return Index(index.n, index.vocab, index.items, index.grams, places,
-                 np.searchsorted(places[:, 0], np.arange(len(index.grams) + 1)))
-
-
 def passages(index: Index, at: np.ndarray, gram: np.ndarray, n_words: int) -> list[tuple[int, int, int]]:
     """(item, start, end) stretches of a text to align, from its seed hits: hits of one item that lie close together make
     one passage. A stretch longer than six items is cut into overlapping ones, each wide enough for a whole alignment."""
@@ -176,12 +159,18 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray,
     return best, end
 
 
+def may_reach(item: np.ndarray, text: np.ndarray, threshold: float) -> bool:
+    """Whether the words of the item in a text, all matched, would reach the threshold: exact, as no alignment has more."""
+    return np.count_nonzero(np.isin(text, item)) / len(item) >= threshold
+
+
 def matches(index: Index, numbers: list[np.ndarray], threshold: float, pairs_at_once: int = 512) -> list[tuple]:
     """(text, item_id, score, start word, end word) of the best passage of each text and item at or above the threshold."""
     todo = []
     for d, ids in enumerate(numbers):
         at, gram = index.hits(ids)
-        todo += [(d, *p) for p in passages(index, at, gram, len(ids))]
+        todo += [(d, k, lo, hi) for k, lo, hi in passages(index, at, gram, len(ids))
+                 if may_reach(index.items[k][1], ids[lo:hi], threshold)]
     todo.sort(key=lambda p: p[3] - p[2])
     found: dict[tuple[int, int], tuple] = {}
     for at in range(0, len(todo), pairs_at_once):
@@ -206,24 +195,6 @@ def slices(benchmark: DataFrame, item_col: str, text_col: str, slice_mb: int) ->
         yield sorted(got, key=lambda r: (r[0] is None, r[0], r[1] or b""))
 
 
-def seed_index(docs: DataFrame, rows: list[tuple[int, bytes]], n: int, text_col: str = "text") -> Index:
-    """Index of a benchmark slice with its rare seeds, from document frequencies over all documents."""
-    index = build_index(rows, n)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(index.grams), np.int64)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                _, g = index.hits(index.numbers(words_of(raw)))
-                total[np.unique(g)] += 1
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "docs"])
-
-    counts = docs.select(F.col(text_col).cast("binary").alias("raw")).mapInArrow(run, "gram long, docs long")
-    total = counts.groupBy("gram").agg(F.sum("docs").alias("docs"))
-    return keep_rare(index, {r["gram"]: r["docs"] for r in total.collect()})  # one row per n-gram of the slice at most
-
-
 FOUND = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
@@ -238,7 +209,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int
     """
     out = docs.sparkSession.createDataFrame([], FOUND)
     for rows in slices(benchmark, item_col, item_text, slice_mb):
-        index = seed_index(docs, rows, n, text_col)
+        index = build_index(rows, n)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -257,7 +228,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4,
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents, all columns, that hold no copy of a benchmark item at or above the threshold."""
     for rows in slices(benchmark, item_col, item_text, slice_mb):
-        index = seed_index(docs, rows, n, text_col)
+        index = build_index(rows, n)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -97,3 +97,25 @@ def test_odd_and_empty_tables(spark, odd, benchmark):
     assert decontam.leaks(odd.where("false"), benchmark).collect() == []
     assert decontam.leaks(odd, benchmark.where("false")).collect() == []
     assert decontam.without_leaks(odd, benchmark.where("false")).count() == odd.count()
+
+
+def test_edited_copies_beside_a_verbatim_one(spark):
+    """The n-grams that the copies share are common, those of the one verbatim copy alone are rare: all are found."""
+    item = [f"w{i}" for i in range(40)]
+    verbatim, copy = " ".join(item), " ".join("new" if i % 4 == 3 else w for i, w in enumerate(item))
+    bench = spark.createDataFrame([(7, verbatim)], "item_id long, text string")
+    for others, score in ((20 * [copy], 51 / 80), (6 * [" ".join(item[:18])], 36 / 80)):
+        docs = [(0, f"a b {verbatim} c")] + [(i, f"x{i} y {t} z") for i, t in enumerate(others, 1)]
+        docs += [(200, "w0 w1 w2 alone w9 w9 w9")]
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        got = {r.doc_id: r.score for r in decontam.leaks(df, bench).collect()}
+        assert got == {0: 1.0, **{i: score for i in range(1, len(others) + 1)}}
+        assert [r.doc_id for r in decontam.without_leaks(df, bench).collect()] == [200]
+
+
+def test_the_bound_is_above_every_alignment():
+    rng = np.random.default_rng(3)
+    for _ in range(500):
+        x, y = rng.integers(1, 9, rng.integers(3, 15)), rng.integers(0, 9, rng.integers(1, 30))
+        share = decontam.align([x], [y])[0][0] / (decontam.MATCH * len(x))
+        assert decontam.may_reach(x, y, share)
