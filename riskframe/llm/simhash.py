@@ -226,10 +226,11 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The documents, all columns, with one row left of each near-duplicate group.
 
     The row with the least id stays (rows without an id last; among rows of one
-    id the first as read). docs must give the same rows in the same order when
-    read again, as a file does: rows are told apart by their place in it.
+    id the first as read). The rows are numbered and stored once, and all later
+    jobs read the numbers from there: another reading of docs could be split
+    over other partitions and number its rows anew.
     """
-    numbered = docs.select("*", F.monotonically_increasing_id().alias("__row"))
+    numbered = stored(docs.select("*", F.monotonically_increasing_id().alias("__row")), "numbered")
     rows = numbered.select(F.col("__row").alias("doc_id"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     groups = near_groups(rows, shingle_words=shingle_words, max_bits=max_bits, group_rows=group_rows)
     member = groups.join(rows.select(F.col("doc_id").alias("__r"), "id"), F.col("doc_id") == F.col("__r"))

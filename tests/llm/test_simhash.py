@@ -100,6 +100,30 @@ def test_one_row_stays_of_each_group(spark, odd):
     assert [r.text for r in rows if r.doc_id is None] == ["null id text with some words in it"]
 
 
+def test_rows_keep_their_numbers_when_files_are_split_anew(spark, tmp_path, monkeypatch):
+    """Other file splits between the fingerprints and the last read, as after the loss of an executor."""
+    random.seed(8)
+    texts = [" ".join(random.choices("abcdefghij", k=30)) for _ in range(60)]
+    rows = [(i, texts[i % 60]) for i in range(240)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(12).write.parquet(path)
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = simhash.near_groups
+
+    def split_anew(*args, **kw):
+        out = whole(*args, **kw)
+        spark.conf.set(key, "6000000")
+        return out
+
+    monkeypatch.setattr(simhash, "near_groups", split_anew)
+    try:
+        spark.conf.set(key, "1k")
+        kept = simhash.one_per_group(spark.read.parquet(path)).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(tuple(r) for r in kept) == rows[:60]
+
+
 def test_empty_table(spark, odd):
     assert simhash.near_groups(odd.where("false")).collect() == []
     assert simhash.one_per_group(odd.where("false")).collect() == []
