@@ -1,19 +1,23 @@
 """Secret scan: patterns for known forms, and automata inferred from them for the others.
 
 Credentials that the patterns find are the labelled examples, one automaton per
-kind; tokens that carry a digit and are no credential are the background. Every
-candidate of the whole corpus, any run of 12 or more credential characters with
-a digit, is scored by its likelihood per character under each kind's automaton
-against the background's; it becomes a span of the best kind when that margin
-is above LEAST_MARGIN and above what all but a hundredth of the background examples
-reach.
+kind; other candidates are the background, one automaton of those with a digit
+and one of those without (long words). Every candidate of the whole corpus, any
+run of 12 or more credential characters, is scored by its likelihood per
+character under each kind's automaton against its background's; it becomes a
+span of the best kind when that is above LEAST_MARGIN, however many others are.
+Background examples that a kind explains better than the rest of the background
+does are unlabelled credentials, and the background is fitted without them.
+
+A run that goes on beyond a hexadecimal or access key is a span beside it: the
+key's stretch is only part of a credential.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +30,9 @@ from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked
 KINDS = ["assign", "access", "hex"]
 LEAST = 12
 LEAST_MARGIN = 0.5  # nats a character
+GROUNDS = ["", "word"]  # backgrounds: candidates with a digit and without
+FOLDS = 5
+_CACHE = 200_000  # scored strings kept by one worker: speed only
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.ASCII | re.IGNORECASE)
@@ -43,8 +50,7 @@ RULES: list[Rule] = [
     # runs are maximal, so asking for 16 characters at once keeps the same matches
     ("hex", lambda t: True, found_by(re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}"))),
 ]
-_DIGIT = re.compile(r"[0-9]")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z+/_.=-]*+[0-9][A-Za-z0-9+/_.=-]*+")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}+" % LEAST)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -52,9 +58,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Maximal runs of credential characters, 12 at least, that hold a digit; full stops at the end are punctuation."""
-    if not _DIGIT.search(text):
-        return []
+    """Maximal runs of credential characters, 12 at least; full stops at the end are punctuation."""
     out = []
     for m in _RUN.finditer(text):
         end = m.start() + len(m[0].rstrip("."))
@@ -63,45 +67,103 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def beside(text: str, base: list[Span]) -> tuple[list[Span], list[tuple[int, int]]]:
+    """(runs that hold a base span and more, runs that touch none). base is in order. The value of an assignment ends
+    with its run, so what is left of such a run is the name."""
+    more, free, at = [], [], 0
+    for s, e in candidates(text):
+        while at < len(base) and base[at][2] <= s:
+            at += 1
+        touched, i = [], at
+        while i < len(base) and base[i][1] < e:
+            if s < base[i][2]:
+                touched.append(base[i])
+            i += 1
+        if not touched:
+            free.append((s, e))
+        elif not any(k == "assign" or a <= s and e <= b for k, a, b in touched):
+            more.append((touched[0][0], s, e))
+    return more, free
+
+
+def ground_of(symbols: str) -> str:
+    return "" if "9" in symbols else "word"
+
+
 def examples(text: str) -> list[tuple[str, str]]:
     """(kind, string in symbols): values of credentials found by the patterns, and other candidates as background."""
-    found = base_spans(text)
+    found = ordered(base_spans(text), KINDS)
     out = []
     for kind, s, e in found:
         value = _ASSIGN.match(text, s)[2] if kind == "assign" else text[s:e]
         out.append((kind, value.translate(CLASSES)))
-    out += [("", text[s:e].translate(CLASSES)) for s, e in candidates(text) if not any(s < b and a < e for _, a, b in found)]
-    return out
+    free = (text[s:e].translate(CLASSES) for s, e in beside(text, found)[1])
+    return out + [(ground_of(x), x) for x in free]
 
 
 @dataclass
 class Grammar:
-    """Automata by kind, the background's, and the least margin of a secret. No automata: patterns alone."""
+    """Automata by kind and by background. No automata: patterns alone."""
     kinds: dict[str, Automaton]
-    background: Automaton | None
-    margin: float = 0.0
+    grounds: dict[str, Automaton]
+    cache: dict[str, tuple[float, str]] = field(default_factory=dict, repr=False)
+
+    def __getstate__(self):
+        return {**self.__dict__, "cache": {}}
 
     def best(self, symbols: str) -> tuple[float, str]:
-        n = len(symbols) + 1
-        ground = self.background.log_likelihood(symbols)
-        return max(((a.log_likelihood(symbols) - ground) / n, kind) for kind, a in self.kinds.items())
+        got = self.cache.get(symbols)
+        if got is None:
+            n = len(symbols) + 1
+            ground = self.grounds[ground_of(symbols)].log_likelihood(symbols)
+            got = max(((a.log_likelihood(symbols) - ground) / n, kind) for kind, a in self.kinds.items())
+            if len(symbols) < 100:
+                if len(self.cache) >= _CACHE:
+                    self.cache.clear()
+                self.cache[symbols] = got
+        return got
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """(base, all) spans of a whole text, in order."""
         base = ordered(base_spans(text), KINDS)
-        if not self.kinds or self.background is None:
-            return base, base
-        more = []
-        for s, e in candidates(text):
-            if not any(s < b and a < e for _, a, b in base):
+        if base or self.kinds:
+            more, free = beside(text, base)
+            for s, e in free if self.kinds else ():
                 score, kind = self.best(text[s:e].translate(CLASSES))
-                if score > self.margin:
+                if score > LEAST_MARGIN:
                     more.append((kind, s, e))
-        return base, ordered([*base, *more], KINDS) if more else base
+            if more:
+                return base, ordered([*base, *more], KINDS)
+        return base, base
+
+
+_SMALL, _GREAT = str.maketrans("XU", "xl"), str.maketrans("xl", "XU")
+
+
+def cased(words: list[str]) -> list[str]:
+    """Words in symbols as they are, in small letters, with a capital, and in capitals: any word may be written so."""
+    small = [x.translate(_SMALL) for x in words]
+    return [*words, *small, *(x[:1].translate(_GREAT) + x[1:] for x in small), *(x.translate(_GREAT) for x in words)]
+
+
+def background(kinds: dict[str, Automaton], name: str, strings: list[str]) -> Automaton:
+    """Automaton of background examples, without those that a kind explains better than the examples of the other folds
+    do: these are credentials as well. Without them others show, so this is repeated while any go."""
+    forms = cased if name == "word" else list
+    for _ in range(FOLDS):
+        clean = []
+        for k in range(FOLDS):
+            rest = [x for i, x in enumerate(strings) if i % FOLDS != k]
+            other = Grammar(kinds, {name: Automaton().fit(forms(rest) or ["l9"])})
+            clean += [x for x in strings[k::FOLDS] if other.best(x)[0] <= 0]
+        if len(clean) == len(strings):
+            break
+        strings = sorted(clean)
+    return Automaton().fit(forms(strings) or ["l9"])
 
 
 def learn(docs: DataFrame, fit_rows: int = 400, text_col: str = "text") -> Grammar:
-    """Grammar from at most fit_rows distinct examples of each kind and of the background, those of least hash over all
+    """Grammar from at most fit_rows distinct examples of each kind and of each background, those of least hash over all
     documents. Kinds without an example get no automaton."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,18 +173,12 @@ def learn(docs: DataFrame, fit_rows: int = 400, text_col: str = "text") -> Gramm
                                              names=["kind", "symbols"])
 
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, symbols string").distinct().persist()
-    strings: dict[str, list[str]] = {kind: [] for kind in [*KINDS, ""]}
+    strings: dict[str, list[str]] = {kind: [] for kind in [*KINDS, *GROUNDS]}
     for r in least_hashed(found, fit_rows, "symbols", by="kind").orderBy("symbols").collect():
         strings[r["kind"]].append(r["symbols"])
     found.unpersist()
     kinds = {k: Automaton().fit(strings[k]) for k in KINDS if strings[k]}
-    if not kinds:
-        return Grammar({}, None)
-    ground = Automaton().fit(strings[""] or ["l9"])
-    grammar = Grammar(kinds, ground)
-    margins = sorted(grammar.best(s)[0] for s in strings[""])
-    grammar.margin = max(LEAST_MARGIN, margins[-1 - len(margins) // 100]) if margins else LEAST_MARGIN
-    return grammar
+    return Grammar(kinds, {name: background(kinds, name, strings[name]) for name in GROUNDS} if kinds else {})
 
 
 def scan(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

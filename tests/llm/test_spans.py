@@ -155,6 +155,28 @@ def test_unlabelled_form_is_found_by_likelihood(spark):
     assert got[1001] == []
 
 
+def test_unlabelled_secrets_among_few_background_forms(spark):
+    """More unlabelled secrets than a share of the background, some of letters alone, one with a hex stretch in it."""
+    random.seed(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda n, abc=letters + "0123456789": "".join(random.choice(abc) for _ in range(n))
+    said = [c("".join(random.choices(["con", "si", "de", "ra", "tion", "al", "ly", "inter", "o", "pe"], k=6)))
+            for c in (str.lower, str.lower, str.title, str.upper) for _ in range(20)]
+    rows = [(i, f"api_key = {key(random.choice([16, 24, 40]))} on mail{i % 6}.example.com {said[i % 80]}") for i in range(200)]
+    keys = [key(36) for _ in range(8)] + [key(24, letters) for _ in range(4)]
+    rows += [(1000 + i, f"bare {k} key") for i, k in enumerate(keys)]
+    part = "sk_live_Qz" + "0123456789abcdef" + "XyZw"
+    rows += [(2000, f"bare {part} key"), (2001, "see https://mail3.example.com or interoperability")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    grammar = secret_scan.learn(df)
+    got = {r.doc_id: [(s.start, s.end, s.base) for s in r.spans] for r in secret_scan.scan(df, grammar).collect()}
+    assert [got[1000 + i] for i in range(len(keys))] == [[(5, 5 + len(k), False)] for k in keys]
+    assert got[2000] == [(5, 5 + len(part), False), (15, 31, True)] and got[2001] == []
+    assert all([s[2] for s in got[i]] == [True] for i in range(200))
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(df, grammar).collect()}
+    assert clean[1000] == clean[2000] == "bare [SECRET] key"
+
+
 def test_redaction(spark, odd):
     out = secret_scan.redacted(odd, secret_scan.learn(odd))
     assert out.columns == odd.columns and out.count() == odd.count()
