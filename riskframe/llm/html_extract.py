@@ -7,9 +7,11 @@
 2. Each line gets its text-to-tag ratio (furniture gets none); the ratios are
    smoothed along the page with a Gaussian, and a two-means threshold on their
    logarithms clusters the lines into content and the rest.
-3. The content lines select a region: the deepest container that holds nearly
-   all of their text. Its lines, short ones between long ones included and
-   furniture left out, are the main text.
+3. The content lines select a region: from the deepest container that holds
+   nearly all of their text up to the outermost article or main around it, or
+   without one up to the outermost container that adds more than furniture and
+   lists of links. Its lines, short ones included and furniture left out, are
+   the main text.
 """
 
 from __future__ import annotations
@@ -53,7 +55,9 @@ class Line:
     text: str
     tags: int
     furniture: bool
-    path: tuple[int, ...]  # numbers of the containers it lies in, outermost first
+    path: tuple[int, ...]  # numbers of the containers it lies in, outermost first; 0 is the page
+    article: int = -1      # number of the outermost article or main it lies in
+    linked: int = 0        # characters inside links
 
 
 class _Page(HTMLParser):
@@ -63,7 +67,10 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[tuple[str, bool, bool]] = []  # name, skipped, furniture (own or inherited)
-        self.path: list[int] = []
+        self.path: list[int] = [0]
+        self.articles: list[int] = []
+        self.links = 0   # open links
+        self.linked = 0  # characters inside links of the line so far
         self.numbers = 0
         self.text: list[str] = []
         self.tags = 0
@@ -74,9 +81,11 @@ class _Page(HTMLParser):
     def flush(self) -> None:
         text = _SPACES.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append(Line(text, self.tags, self._state()[1], tuple(self.path)))
+            self.lines.append(Line(text, self.tags, self._state()[1], tuple(self.path),
+                                   self.articles[0] if self.articles else -1, self.linked))
             self.tags = 0
         self.text.clear()
+        self.linked = 0
 
     def _is_furniture(self, tag: str, attrs: list) -> bool:
         if tag in ("html", "body", "main", "article"):
@@ -100,7 +109,10 @@ class _Page(HTMLParser):
         self.flush()
         for name, _, _ in reversed(self.open[at:]):
             if name in CONTAINERS:
-                self.path.pop()
+                number = self.path.pop()
+                if self.articles and self.articles[-1] == number:
+                    self.articles.pop()
+            self.links -= name == "a"
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -127,6 +139,9 @@ class _Page(HTMLParser):
         if tag in CONTAINERS:
             self.numbers += 1
             self.path.append(self.numbers)
+            if tag in ("article", "main"):
+                self.articles.append(self.numbers)
+        self.links += tag == "a"
         self.open.append((tag, skipped or tag in SKIPPED, furniture or bool(attrs or tag in FURNITURE) and self._is_furniture(tag, attrs)))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -139,6 +154,7 @@ class _Page(HTMLParser):
             if self.open[at][0] == tag:
                 if tag in INLINE and at == len(self.open) - 1:
                     self.open.pop()
+                    self.links -= tag == "a"
                 elif tag not in INLINE:
                     self._close(at)
                 return
@@ -148,6 +164,8 @@ class _Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self._state()[0]:
             self.text.append(data)
+            if self.links:
+                self.linked += len(data.strip())
 
 
 def lines_of(html: str) -> list[Line]:
@@ -199,10 +217,19 @@ def select(lines: list[Line]) -> list[Line]:
         for d, k in enumerate(line.path):
             weight[k] = weight.get(k, 0) + len(line.text)
             depth[k] = d
-    inside = [k for k, w in weight.items() if w >= COVER * total]
-    if not inside:
-        return [line for line in lines if not line.furniture]
-    region = max(inside, key=lambda k: depth[k])
+    region = max((k for k, w in weight.items() if w >= COVER * total), key=lambda k: depth[k])
+    first = next(line for line in lines if region in line.path)
+    chain = first.path[:first.path.index(region) + 1]
+    if first.article in chain:
+        region = first.article
+    else:
+        prose: dict[int, int] = {}
+        for line in lines:
+            if not line.furniture and 2 * line.linked < len(line.text):
+                for k in line.path:
+                    prose[k] = prose.get(k, 0) + 1
+        gains = (k for k, inner in zip(chain, chain[1:]) if prose.get(k, 0) > prose.get(inner, 0))
+        region = next(gains, region)
     return [line for line in lines if region in line.path and not line.furniture]
 
 

@@ -184,6 +184,21 @@ def test_extraction_of_made_pages(body, text):
     assert html_extract.main_text(PAGE % body) == text
 
 
+BODY = "A long line of the body that is read as text by anyone. " * 40
+
+
+@pytest.mark.parametrize("body, text", [
+    (f"<article><h1>Title</h1><div class=body><p>{BODY}</div><p>Last paragraph.</article>", f"Title {BODY.strip()} Last paragraph."),
+    (f"<article><header><h1>Title</h1></header><section><p>{BODY}</section><section><p>Short one.</section></article>",
+     f"Title {BODY.strip()} Short one."),
+    (f"<main><p>Before.<table><tr><td>{BODY}<td>x</table><p>After.</main>", f"Before. {BODY.strip()} x After."),
+    (f"<h1>Title</h1><div><div><p>{BODY}</div><p>Last paragraph.</div><ul><li><a href=a>One</a><li><a href=b>Two</a></ul>",
+     f"Title {BODY.strip()} Last paragraph. One Two"),
+    (f"<div><div><p>{BODY}</div></div><div><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></div>", BODY.strip())])
+def test_extraction_keeps_what_lies_around_the_largest_part(body, text):
+    assert html_extract.main_text(PAGE % body) == text
+
+
 def test_extraction_of_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>a"), (3, "u", "plain text"), (3, "u", "plain text"), (4, "u", "<div class=ad>x</div>"),
             (5, "u", "<<<>>&&& </p></div>"), (6, "u", "<p>" + "word " * 100_000), (7, "u", "<div>" * 3000 + "deep" + "</div>" * 3000),
