@@ -4,10 +4,11 @@ The network is trained in numpy, from spans that the patterns label in a bounded
 sample of documents, and from altered copies of them (a phone number without its
 country code, other separators, letters outside ASCII in an address). Every kind
 of span holds a digit or an @, so the network reads all text within CONTEXT
-characters of one, as overlapping windows; the CRF decodes each window, each
-character takes the label of the window in which it lies deepest, and the labels
-of the whole text are read as spans. Found spans are kept if they pass the
-check of their kind and touch no span of the patterns.
+characters of one and on to the next white space, as overlapping windows; the
+CRF decodes each window, each character takes the label of the window in which
+it lies deepest, and the labels of the whole text are read as spans. An address
+goes on to the ends of its run. Found spans are kept if they pass the check of
+their kind; of one that meets spans of the patterns, the parts outside them are.
 """
 
 from __future__ import annotations
@@ -87,6 +88,8 @@ RULES: list[Rule] = [
     ("phone", lambda t: "+" in t, found_by(re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 10 <= len(_digits(m[0])) <= 15)),
 ]
 _TRIGGER = re.compile(r"[0-9@]")
+_REST = re.compile(r"\S*")
+_ADDRESS = re.compile(r"[\w.%+-]*")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -273,14 +276,23 @@ def train(windows: list[tuple[str, list[Span]]], epochs: int = 16, batch: int =
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches within CONTEXT characters of a digit or an @."""
+    """Stretches within CONTEXT characters of a digit or an @, and on to white space on both sides."""
     out: list[list[int]] = []
+    last = 0
     for m in _TRIGGER.finditer(text):
-        lo, hi = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and lo <= out[-1][1]:
+        hi = min(len(text), m.end() + CONTEXT)
+        if out and hi <= last:
+            continue
+        lo = max(0, m.start() - CONTEXT)
+        while lo > last and not text[lo - 1].isspace():
+            lo -= 1
+        if hi < len(text) and not text[hi - 1].isspace():
+            hi = _REST.match(text, hi).end()
+        if out and lo <= last:
             out[-1][1] = hi
         else:
             out.append([lo, hi])
+        last = hi
     return [(a, b) for a, b in out]
 
 
@@ -304,6 +316,13 @@ def read_tags(tags: np.ndarray, at: int) -> list[Span]:
     return out
 
 
+def whole_address(text: str, s: int, e: int) -> tuple[int, int]:
+    """A span with an @, on to the ends of its run of address characters."""
+    while s > 0 and _ADDRESS.fullmatch(text, s - 1, s):
+        s -= 1
+    return s, _ADDRESS.match(text, e).end()
+
+
 def network_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
     """Plausible spans that the network finds in each text."""
     jobs, stretches = [], []
@@ -329,6 +348,8 @@ def network_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
             merged[own][better] = tags[j, :b - a][better]
             deep[own][better] = depth[better]
         for kind, s, e in read_tags(merged, lo):
+            if kind == "email" and "@" in texts[i][s:e]:
+                s, e = whole_address(texts[i], s, e)
             body = texts[i][s:e]
             lead = len(body) - len(body.lstrip(" .,;:-"))
             body = body.strip(" .,;:-")
@@ -337,14 +358,31 @@ def network_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
     return out
 
 
+def outside(span: Span, text: str, base: list[Span]) -> list[Span]:
+    """The parts of a span outside the base spans, without separators at their ends; base is in order."""
+    kind, s, e = span
+    if not any(s < b and a < e for _, a, b in base):
+        return [span]
+    out, at = [], s
+    for a, b in [*((a, b) for _, a, b in base if s < b and a < e), (e, e)]:
+        if at < a:
+            body = text[at:a]
+            lead = len(body) - len(body.lstrip(" .,;:-+()"))
+            body = body.strip(" .,;:-+()")
+            if body:
+                out.append((kind, at + lead, at + lead + len(body)))
+        at = max(at, b)
+    return out
+
+
 def spans_of(model: Tagger | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(base, all) spans of each whole text, in order."""
     base = [ordered(base_spans(t), KINDS) for t in texts]
     if model is None:
         return [(b, b) for b in base]
     out = []
-    for b, more in zip(base, network_spans(model, texts)):
-        new = [x for x in more if not any(x[1] < e and s < x[2] for _, s, e in b)]
+    for t, b, more in zip(texts, base, network_spans(model, texts)):
+        new = [y for x in more for y in outside(x, t, b)]
         out.append((b, ordered([*b, *new], KINDS) if new else b))
     return out
 

@@ -111,6 +111,20 @@ def test_network_learns_the_labelled_spans_and_more(contacts):
     assert b == [] and every == [("phone", 12, 26)]
 
 
+def test_network_spans_are_whole(contacts):
+    model = pii.learn(contacts, fit_rows=120)
+    for address in ("rené@verwaltungsgericht.de", "rené@support.example.com", "a.very.long.local.part.rené@mail1.example.com"):
+        text = f"abc {address} defg"
+        (lo, hi), = pii.regions(text)
+        assert lo <= 4 and hi >= 4 + len(address)
+        (base, every), = pii.spans_of(model, [text])
+        assert base == [] and every == [("email", 4, 4 + len(address))]
+    (base, every), = pii.spans_of(model, ["abc françois.x@host.de defg"])
+    assert base == [("email", 9, 22)] and every == [("email", 4, 9), ("email", 9, 22)]
+    assert pii.regions("x" * 100 + "1" + "y" * 100 + " " + "z" * 100) == [(0, 201)]
+    assert pii.outside(("phone", 0, 10), "12 3456 78", [("ip", 3, 7)]) == [("phone", 0, 2), ("phone", 8, 10)]
+
+
 def digests(df, kinds):
     return df.select("doc_id", *(count_column("spans", k).alias(f"n_{k}") for k in kinds),
                      F.sha2(joined_column("spans", only_base=True).cast("binary"), 256).alias("sha"),
