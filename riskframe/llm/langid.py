@@ -24,8 +24,10 @@ from riskframe.llm.common import chunks, id_and_text, least_hashed
 
 UNKNOWN = "und"
 SWITCH = 6.0           # nats lost where the language changes
-_WORD = re.compile(r"[^\W\d_]+")
-_LONGEST = 40          # characters of a word that are scored; the rest of a longer one adds nothing new
+_LETTER = re.compile(r"[^\W\d_]")
+_LONGEST = 40          # letters of a word; a longer run is as many words as it takes
+_UNSPACED = 8          # the same for scripts that put no space between words
+UNSPACED = frozenset(("thai", "lao", "khmer", "kana", "han"))
 _CACHE_WORDS = 300_000  # scored words kept by one worker: speed only
 _BATCH_CHARS = 1 << 24
 
@@ -50,14 +52,34 @@ def script(char: str) -> str:
     return "other"
 
 
+def _words() -> re.Pattern:
+    """Runs of letters of one script, in pieces."""
+    letters: dict[str, str] = {}
+    for first, last, name in SCRIPTS:
+        here, start = [], None
+        for c in range(first, last + 2):
+            if c <= last and _LETTER.match(chr(c)):
+                start = c if start is None else start
+            elif start is not None:
+                here.append(f"{chr(start)}-{chr(c - 1)}")
+                start = None
+        letters[name] = letters.get(name, "") + "".join(here)
+    parts = [f"[{own}]{{1,{_UNSPACED if name in UNSPACED else _LONGEST}}}" for name, own in letters.items()]
+    return re.compile("|".join([*parts, rf"[^\W\d_{''.join(letters.values())}]{{1,{_LONGEST}}}"]))
+
+
+_WORD = _words()
+
+
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
+    """Runs of letters of one script, lower-cased. Every letter is in one: long runs, and those of scripts without
+    spaces, are cut into pieces."""
     return _WORD.findall(text.lower()) if text else []
 
 
 def grams(word: str) -> list[str]:
     """Trigrams of a word between its ends."""
-    w = f"^{word[:_LONGEST]}$"
+    w = f"^{word}$"
     return [w[i:i + 3] for i in range(len(w) - 2)]
 
 
@@ -210,8 +232,8 @@ def fit(docs: DataFrame, learn_from: Column, fit_rows: int = 1000, id_col: str =
 def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, spans): one row per input row, over the whole text.
 
-    spans: runs of words of one language (lang, first word, words), words being
-    runs of letters. Null texts and texts without a letter are `und` with score
+    spans: runs of words of one language (lang, first word, words), words as in
+    words_of. Null texts and texts without a letter are `und` with score
     0, and so is every text if no language was learned.
     """
     kind = pa.list_(pa.struct([("lang", pa.string()), ("word", pa.int64()), ("words", pa.int64())]))

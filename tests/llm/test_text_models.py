@@ -144,6 +144,21 @@ def test_scripts_narrow_the_candidates_and_spans_switch(spark):
     assert got[4].lang_pred in ("en", "ru")
 
 
+def test_every_letter_of_a_long_run_counts(spark):
+    rows = [(i, "the cat sat on the mat with a hat", "en") for i in range(5)] + [
+        (10 + i, "我们在这里学习中文的语法", "zh") for i in range(5)] + [(20 + i, "私達は日本語の文法を学校で学ぶ", "ja") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = langid.fit(df, F.lit(True))
+    texts = ["cat" + "我们在这里学习中文的语法" * 9, "我们在这里学习中文的语法" * 4 + "私達は日本語の文法を学校で学ぶ" * 20, "x" * 100 + "é" * 7]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identified(docs, m).collect()}
+    assert [s.lang for s in got[0].spans] == ["en", "zh"] and got[0].lang_pred == "zh"
+    assert got[1].lang_pred == "ja" and {s.lang for s in got[1].spans} == {"ja", "zh"}
+    for t in [*texts, "aµb ªº ǅ ﬁnal ᏣᎳᎩ IBM公司 ไทยລາວ кот_1"]:
+        assert "".join(langid.words_of(t)) == "".join(re.findall(r"[^\W\d_]", t.lower()))
+        assert all(len({langid.script(c) for c in w}) == 1 for w in langid.words_of(t))
+
+
 def test_language_of_odd_rows(spark, odd):
     got = langid.identified(odd, langid.fit(odd, F.lit(True))).collect()
     assert len(got) == odd.count()
