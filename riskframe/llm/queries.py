@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (decontam, html_extract, langid, line_rules, packing, pii, quality, secret_scan, sharding,
-                           simhash)
+from riskframe.llm import (decontam, divergence, html_extract, langid, line_rules, negatives, packing, pattern_packing, pii,
+                           quality, secret_scan, sharding, simhash)
 from riskframe.llm.catalog import register
 from riskframe.llm.spans import count_column, joined_column
 
@@ -107,3 +107,24 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count_column("spans", k).alias(f"n_{k}") for k in pii.KINDS),
                         F.sha2(joined_column("spans", only_base=True).cast("binary"), 256).alias("base_sha256"),
                         joined_column("spans").alias("spans"))
+
+
+@register("op11_hard_negatives", negatives.ORACLE)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives of every anchor and positive; every seventh label is moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+@register("op12_source_divergence", divergence.ORACLE)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that set each source off."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@register("op13_pattern_packing")
+def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, whole if it fits, in sequences of at most 4096 tokens."""
+    pieces = pattern_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
