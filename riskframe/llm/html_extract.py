@@ -1,22 +1,31 @@
 """Main text of web pages from the standard library's streaming HTML parser.
 
 1. Parser events give the page as lines: one per block, with its text, the
-   number of tags in it and the containers it lies in. Text of scripts, styles,
-   menus, headers, footers, side bars, notices, adverts, forms and comments is
-   marked as furniture by element name, role and the words of class and id.
-2. Each line gets its text-to-tag ratio (furniture gets none); the ratios are
+   number of tags in it, its container and the furniture it lies in. Furniture
+   is what element names, roles and the words of class and id tell of menus,
+   headers, footers, side bars, notices, adverts, forms and readers' comments.
+2. A mark of furniture is judged when the page is read: a form, or a container
+   marked by words of layout alone, that holds nearly all prose of the page
+   wraps the page and marks nothing. A main, and an article that is no remark, end what
+   an element left open around them would mark.
+3. Each line gets its text-to-tag ratio (furniture gets none); the ratios are
    smoothed along the page with a Gaussian, and a two-means threshold on their
    logarithms clusters the lines into content and the rest.
-3. The content lines select a region: from the deepest container that holds
+4. The content lines select a region: from the deepest container that holds
    nearly all of their text up to the outermost article or main around it, or
    without one up to the outermost container that adds more than furniture and
    lists of links. Its lines, short ones included and furniture left out, are
    the main text.
+
+Containers and marks are numbered and know their parents, and open elements
+are found by name, so a page takes time in proportion to its length however
+deep or unclosed its elements are.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -38,8 +47,20 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation "
                   "menu menubar breadcrumb breadcrumbs sidebar aside rail footer masthead toolbar pagination pager cookie "
                   "cookies consent gdpr notice notices banner popup modal overlay newsletter subscribe signup login search "
-                  "share sharing social related recommended widget comment comments respond disqus reply replies "
-                  "discussion".split())
+                  "share sharing social related recommended widget".split())
+REMARKS = frozenset("comment comments respond disqus reply replies discussion remark remarks".split())
+# never the wrapper of a page, however much prose they hold
+_SURE = REMARKS | frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies "
+                            "consent gdpr notice notices newsletter subscribe signup login".split())
+# words that may stand beside those in a name that is furniture as a whole ("site-nav", "related-posts", "comment-list-2")
+BESIDE = frozenset("site main page top bottom left right primary secondary tertiary global local box list lists item items section "
+                   "area wrapper wrap container block bar bars link links inner outer post posts article articles entry entries "
+                   "blog news story stories mobile desktop header head form button buttons icon icons group panel pane column "
+                   "col row grid slot unit text message content body title heading count thread threads author user node tree "
+                   "the a an my our and more you may also like by for of policy center centre sticky fixed floating large small "
+                   "horizontal vertical responsive google leaderboard skyscraper media tags toggle dropdown sub level mega "
+                   "index home outer bx cont id view module component region footer".split())
+_NEGATED = frozenset("no not non has have with without hide is show hidden remove".split())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACES = re.compile(r"\s+")
 _CLOSES = {"p": ("p",), "li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"),
@@ -50,99 +71,165 @@ SIGMA = 1.5
 COVER = 0.9
 
 
+HEAD_ONLY = frozenset("title meta link base script style noscript template".split())
+_RESET = frozenset("nav header form button menu fieldset dialog".split())  # what an article or main inside cannot belong to
+WRAPS = 0.9       # share of the page's prose in a container that wraps the page
+_PROSE = 40       # characters of a line of prose, at least
+
+
 @dataclass
 class Line:
     text: str
     tags: int
-    furniture: bool
-    path: tuple[int, ...]  # numbers of the containers it lies in, outermost first; 0 is the page
-    article: int = -1      # number of the outermost article or main it lies in
-    linked: int = 0        # characters inside links
+    node: int         # container it lies in; 0 is the page
+    mark: int         # innermost mark of furniture; -1: none
+    linked: int = 0   # characters inside links
+
+    @property
+    def prose(self) -> bool:
+        return len(self.text) >= _PROSE and 2 * self.linked < len(self.text)
 
 
-class _Page(HTMLParser):
+@dataclass
+class Mark:
+    """A container that may be furniture: sure, unless only a form or its words say so."""
+    parent: int
+    sure: bool
+    remark: bool
+
+
+@dataclass
+class Page:
+    lines: list[Line]
+    parent: list[int]          # of each container; containers are numbered as they open
+    articles: frozenset[int]
+    furniture: list[bool]      # of each mark, with the marks around it
+
+
+def furniture_words(value: str) -> frozenset[str]:
+    """The furniture words of a class or id whose names are nothing but furniture; "no-sidebar" and "related-work" are not."""
+    found: set[str] = set()
+    for name in value.split():
+        parts = [w.lower() for w in _PARTS.findall(name)]
+        hits = [w for w in parts if w in WORDS or w in REMARKS]
+        if hits and parts[0] not in _NEGATED and all(w in WORDS or w in REMARKS or w in BESIDE for w in parts):
+            found.update(hits)
+    return frozenset(found)
+
+
+class _Parser(HTMLParser):
     """Collects the lines of a page from parser events. Elements left open are closed by what follows, as browsers do."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, bool]] = []  # name, skipped, furniture (own or inherited)
-        self.path: list[int] = [0]
-        self.articles: list[int] = []
-        self.links = 0   # open links
-        self.linked = 0  # characters inside links of the line so far
-        self.numbers = 0
+        self.open: list[tuple[str, bool, int]] = []               # name, skipped, mark
+        self.at: dict[str, list[int]] = defaultdict(list)         # name -> its places in open
+        self.blocks: list[int] = []                               # places of all but inline elements
+        self.holders: list[int] = []                              # places of containers
+        self.parent = [0]
+        self.node = 0
+        self.articles: set[int] = set()
+        self.marks: list[Mark] = []
+        self.linked = 0
         self.text: list[str] = []
         self.tags = 0
 
-    def _state(self) -> tuple[bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False)
+    def _state(self) -> tuple[bool, int]:
+        return self.open[-1][1:] if self.open else (False, -1)
+
+    def _last(self, *names: str) -> int:
+        """Place of the innermost open element of these names; -1: none."""
+        return max((self.at[n][-1] for n in names if self.at[n]), default=-1)
 
     def flush(self) -> None:
         text = _SPACES.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append(Line(text, self.tags, self._state()[1], tuple(self.path),
-                                   self.articles[0] if self.articles else -1, self.linked))
+            self.lines.append(Line(text, self.tags, self.node, self._state()[1], self.linked))
             self.tags = 0
         self.text.clear()
         self.linked = 0
 
-    def _is_furniture(self, tag: str, attrs: list) -> bool:
-        if tag in ("html", "body", "main", "article"):
-            return False
-        if tag in FURNITURE:
-            # the header of an article holds its title
-            return not (tag == "header" and any(name == "article" for name, _, _ in self.open))
-        for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name == "role" and value and value.strip().lower() in ROLES:
-                return True
-            if name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
-            if name in ("class", "id") and value and any(w.lower() in WORDS for w in _PARTS.findall(value)):
-                return True
-        return False
+    def _mark(self, tag: str, attrs: list, around: int) -> int:
+        """The mark of an element's lines: a new one, or the one around it."""
+        remark = any(m.remark for m in self.marks[around:around + 1]) if around >= 0 else False
+        words = frozenset().union(*(furniture_words(v) for n, v in attrs if n in ("class", "id") and v)) if attrs else frozenset()
+        new = None
+        if tag in ("html", "body"):
+            pass
+        elif tag in ("main", "article"):
+            if words & REMARKS or tag == "article" and words & WORDS:
+                new = Mark(around, True, bool(words & REMARKS))
+            elif around >= 0 and not remark and (tag == "main" or self._reset(around)):
+                return -1
+        elif tag == "header" and self.at["article"]:
+            pass  # it holds the title
+        elif tag in FURNITURE:
+            new = Mark(around, tag != "form", False)
+        else:
+            for name, value in attrs:
+                value = (value or "").strip().lower()
+                if (name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES
+                        or name == "style" and "display:none" in value.replace(" ", "")):
+                    new = Mark(around, True, False)
+            if new is None and words:
+                new = Mark(around, bool(words & _SURE), bool(words & REMARKS))
+        if new is None:
+            return around
+        new.remark |= remark
+        self.marks.append(new)
+        return len(self.marks) - 1
+
+    def _reset(self, mark: int) -> bool:
+        """Whether all that marks an article are elements that end where it begins."""
+        return all(name in _RESET or name in ("article", "main") for name, _, m in self._marking(mark))
+
+    def _marking(self, mark: int) -> Iterator[tuple[str, bool, int]]:
+        """Open elements that brought the marks around, innermost first."""
+        place = len(self.open) - 1
+        while mark >= 0 and place >= 0:
+            while place > 0 and self.open[place - 1][2] == mark:
+                place -= 1
+            yield self.open[place]
+            mark, place = self.marks[mark].parent, place - 1
 
     def _close(self, at: int) -> None:
-        """Close the open elements from position `at` on."""
+        """Close the open elements from place `at` on."""
         self.flush()
         for name, _, _ in reversed(self.open[at:]):
             if name in CONTAINERS:
-                number = self.path.pop()
-                if self.articles and self.articles[-1] == number:
-                    self.articles.pop()
-            self.links -= name == "a"
+                self.node = self.parent[self.node]
+                self.holders.pop()
+            if name not in INLINE:
+                self.blocks.pop()
+            self.at[name].pop()
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
+        if tag not in HEAD_ONLY and tag not in ("head", "html") and self.at["head"]:
+            self._close(self.at["head"][0])
         if tag == "br" or tag == "hr" or tag not in INLINE and tag not in VOID:
             self.flush()
         if tag in VOID:
             return
-        if tag in _ENDS_P:
-            for at in range(len(self.open) - 1, -1, -1):
-                if self.open[at][0] in CONTAINERS:
-                    break
-                if self.open[at][0] == "p":
-                    self._close(at)
-                    break
-        if tag in _CLOSES and tag != "p":
-            for at in range(len(self.open) - 1, -1, -1):
-                if self.open[at][0] in _CLOSES[tag]:
-                    self._close(at)
-                    break
-                if self.open[at][0] in ("ul", "ol", "dl", "table", "select"):
-                    break
-        skipped, furniture = self._state()
+        if tag in _ENDS_P and (p := self._last("p")) > (self.holders[-1] if self.holders else -1):
+            self._close(p)
+        if tag in _CLOSES and tag != "p" and (near := self._last(*_CLOSES[tag])) > self._last("ul", "ol", "dl", "table", "select"):
+            self._close(near)
+        skipped, mark = self._state()
+        if attrs or tag in FURNITURE or tag in ("main", "article"):
+            mark = self._mark(tag, attrs, mark)
         if tag in CONTAINERS:
-            self.numbers += 1
-            self.path.append(self.numbers)
+            self.parent.append(self.node)
+            self.node = len(self.parent) - 1
+            self.holders.append(len(self.open))
             if tag in ("article", "main"):
-                self.articles.append(self.numbers)
-        self.links += tag == "a"
-        self.open.append((tag, skipped or tag in SKIPPED, furniture or bool(attrs or tag in FURNITURE) and self._is_furniture(tag, attrs)))
+                self.articles.add(self.node)
+        if tag not in INLINE:
+            self.blocks.append(len(self.open))
+        self.at[tag].append(len(self.open))
+        self.open.append((tag, skipped or tag in SKIPPED, mark))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -150,30 +237,62 @@ class _Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                if tag in INLINE and at == len(self.open) - 1:
-                    self.open.pop()
-                    self.links -= tag == "a"
-                elif tag not in INLINE:
-                    self._close(at)
-                return
-            if tag in INLINE and self.open[at][0] not in INLINE:
-                return
+        at = self._last(tag)
+        if at < 0:
+            return
+        if tag not in INLINE:
+            self._close(at)
+        elif at == len(self.open) - 1:
+            self.open.pop()
+            self.at[tag].pop()
 
     def handle_data(self, data: str) -> None:
         if not self._state()[0]:
             self.text.append(data)
-            if self.links:
+            if self.at["a"]:
                 self.linked += len(data.strip())
 
 
-def lines_of(html: str) -> list[Line]:
-    page = _Page()
-    page.feed(html)
-    page.close()
-    page.flush()
-    return page.lines
+def _summed(own: list[int], parent: list[int], first: int) -> list[int]:
+    """Own values and those of everything inside; a parent has a smaller number, below `first` it has none."""
+    out = list(own)
+    for k in range(len(out) - 1, first - 1, -1):
+        if parent[k] >= 0 and k != parent[k]:
+            out[parent[k]] += out[k]
+    return out
+
+
+def read_page(html: str) -> Page:
+    """Lines, containers and judged marks of a page."""
+    parser = _Parser()
+    parser.feed(html)
+    parser.close()
+    parser.flush()
+    marks, lines = parser.marks, parser.lines
+    prose, bare = [0] * len(marks), 0
+    for line in lines:
+        if line.prose:
+            if line.mark >= 0:
+                prose[line.mark] += len(line.text)
+            else:
+                bare += len(line.text)
+    prose = _summed(prose, [m.parent for m in marks], 0)
+    # prose inside marks that are sure is furniture whatever wraps it
+    sure = [False] * len(marks)
+    hidden = [0] * len(marks)  # prose inside sure marks inside this one
+    for k, m in enumerate(marks):
+        sure[k] = m.sure or m.parent >= 0 and sure[m.parent]
+    for k in range(len(marks) - 1, -1, -1):
+        up = marks[k].parent
+        if up >= 0:
+            hidden[up] += prose[k] if marks[k].sure else hidden[k]
+    page = bare + sum(prose[k] - (prose[k] if m.sure else hidden[k]) for k, m in enumerate(marks) if m.parent < 0)
+    furniture = [False] * len(marks)
+    for k, m in enumerate(marks):
+        own = prose[k] - hidden[k]
+        wraps = not m.sure and own > 0 and own >= WRAPS * page
+        furniture[k] = not wraps or m.parent >= 0 and furniture[m.parent]
+    return Page(lines, parser.parent, frozenset(parser.articles), furniture)
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -199,43 +318,43 @@ def threshold(values: np.ndarray) -> float:
     return float(np.expm1((low + high) / 2))
 
 
-def select(lines: list[Line]) -> list[Line]:
+def select(page: Page) -> list[Line]:
     """The lines of the content region."""
-    if not any(not line.furniture for line in lines):
+    lines, parent = page.lines, page.parent
+    shown = np.array([line.mark < 0 or not page.furniture[line.mark] for line in lines], bool)
+    if not shown.any():
         return []
-    ratio = np.array([0.0 if line.furniture else len(line.text) / max(1, line.tags) for line in lines])
+    ratio = np.array([len(line.text) / max(1, line.tags) if s else 0.0 for line, s in zip(lines, shown)])
     level = smoothed(ratio)
-    open_text = np.array([not line.furniture for line in lines])
-    content = open_text & (level >= threshold(level)) if len(lines) > 1 else open_text
+    content = shown & (level >= threshold(level)) if len(lines) > 1 else shown
     if not content.any():
-        content = open_text
-    weight: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for line in (line for line, c in zip(lines, content) if c):
-        total += len(line.text)
-        for d, k in enumerate(line.path):
-            weight[k] = weight.get(k, 0) + len(line.text)
-            depth[k] = d
-    region = max((k for k, w in weight.items() if w >= COVER * total), key=lambda k: depth[k])
-    first = next(line for line in lines if region in line.path)
-    chain = first.path[:first.path.index(region) + 1]
-    if first.article in chain:
-        region = first.article
+        content = shown
+    weight, prose, depth = [0] * len(parent), [0] * len(parent), [0] * len(parent)
+    for line, s, c in zip(lines, shown, content):
+        weight[line.node] += len(line.text) if c else 0
+        prose[line.node] += bool(s and 2 * line.linked < len(line.text))
+    weight, prose = _summed(weight, parent, 1), _summed(prose, parent, 1)
+    for k in range(1, len(parent)):
+        depth[k] = depth[parent[k]] + 1
+    region = max((k for k in range(len(parent)) if weight[k] >= COVER * weight[0]), key=lambda k: depth[k])
+    chain = [region]
+    while chain[-1]:
+        chain.append(parent[chain[-1]])
+    around = [k for k in chain if k in page.articles]
+    if around:
+        region = around[-1]
     else:
-        prose: dict[int, int] = {}
-        for line in lines:
-            if not line.furniture and 2 * line.linked < len(line.text):
-                for k in line.path:
-                    prose[k] = prose.get(k, 0) + 1
-        gains = (k for k, inner in zip(chain, chain[1:]) if prose.get(k, 0) > prose.get(inner, 0))
-        region = next(gains, region)
-    return [line for line in lines if region in line.path and not line.furniture]
+        gains = [k for k, inner in zip(chain[1:], chain) if prose[k] > prose[inner]]
+        region = gains[-1] if gains else region
+    inside = [k == region for k in range(len(parent))]
+    for k in range(1, len(parent)):
+        inside[k] = inside[k] or inside[parent[k]]
+    return [line for line, s in zip(lines, shown) if s and inside[line.node]]
 
 
 def main_text(html: str | None) -> str:
     """Main text of a page, blocks joined by one space; empty for null, empty or textless pages."""
-    return " ".join(line.text for line in select(lines_of(html))) if html else ""
+    return " ".join(line.text for line in select(read_page(html))) if html else ""
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality classifier, line rules, language and extraction: brute force, held-out accuracy, odd rows."""
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 from html import unescape
@@ -225,3 +226,45 @@ def test_extraction_of_odd_pages(spark):
     assert (by[1], by[2], by[None], by[3], by[4], by[8]) == ("", "", "a", "plain text", "", "")
     assert by[6] == ("word " * 100_000).strip() and by[7] == "deep" and by[9].endswith("ok")
     assert html_extract.extracted(df.where("false")).collect() == []
+
+
+ARTICLE = f"<article><h1>Title</h1><p>{BODY}</p><p>Last one.</p></article>"
+TEXT = f"Title {BODY.strip()} Last one."
+MORE = "Another paragraph of the page, also long enough to be read as prose by anyone at all."
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<html><head><title>T</title><meta charset=x><body>{ARTICLE}", TEXT),                                   # no </head>
+    (f"<html><head><title>T</title><p>{BODY}<p>{MORE}", f"{BODY.strip()} {MORE}"),                             # neither </head> nor body
+    (f"<body><form action=x><input name=q><nav><a href=a>One</a></nav>{ARTICLE}</form></body>", TEXT),         # a page inside a form
+    (f"<body><form><div><p>{BODY}<p>{MORE}</div><div><label>Name</label><input></div></form>", f"{BODY.strip()} {MORE} Name"),
+    (f"<div class='content no-sidebar'><p>{BODY}</p><p>{MORE}</p></div><div class=sidebar><p>{MORE}</p></div>", f"{BODY.strip()} {MORE}"),
+    (f"<div class='search-wrapper'><p>{BODY}</p><p>{MORE}</p></div>", f"{BODY.strip()} {MORE}"),              # wraps the page
+    (f"<article><p>{BODY}</p><section id=related-work><p>{MORE}</p></section><h2 id=search-algorithms>Search</h2><p>x</p></article>",
+     f"{BODY.strip()} {MORE} Search x"),
+    (f"<nav><ul><li><a href=a>One</a></ul><main><p>{BODY}</p><p>{MORE}</p></main>", f"{BODY.strip()} {MORE}"),  # an open nav
+    (f"<header><h1>Site</h1>{ARTICLE}", TEXT),
+    (f"{ARTICLE}<article class=comment><p>{MORE * 30}</p></article>", TEXT),
+    (f"<main><p>{BODY}</p><article class='comment-body'><p>{MORE}</p></article></main>", BODY.strip()),
+    (f"<div><article><p>{MORE}</p></article><div id=comments><article><p>{BODY * 9}</p></article></div></div>", MORE),
+    (f"{ARTICLE}<aside><article><p>{MORE}</p></article></aside><div class='related-posts'><p>{MORE}</p></div>", TEXT),
+    (f"<article><p>{BODY}</p><form><p>{MORE}</p><input></form><p>End.</p></article>", f"{BODY.strip()} End."),
+    ("<div class=cookie-notice><p>We use cookies to make this site work for you.</p></div>", "")])
+def test_extraction_judges_furniture(html, text):
+    assert html_extract.main_text(html) == text
+
+
+@pytest.mark.parametrize("value, words", [
+    ("content no-sidebar", ""), ("related-work", ""), ("search-algorithms", ""), ("with-footer", ""), ("hasNav", ""), ("adapted", ""),
+    ("site-nav", "nav"), ("left sidebar-2", "sidebar"), ("relatedPosts", "related"), ("comment-list", "comment"), ("cookieNotice", "cookie notice"),
+    ("post-comments", "comments"), ("article", ""), ("menu_item active", "menu")])
+def test_names_of_furniture(value, words):
+    assert html_extract.furniture_words(value) == frozenset(words.split())
+
+
+@pytest.mark.parametrize("html", ["<b>a " * 250_000, "<div>" * 200_000 + "x", "<div><p>a <li>b " * 60_000, "<nav><i>a" * 100_000,
+                                  "<article><a>b</i> " * 50_000, "<td>x" * 150_000, "</p>" * 200_000, "<div class=ad>x" * 60_000])
+def test_a_megabyte_of_open_tags_takes_seconds(html):
+    began = time.process_time()
+    html_extract.main_text(html)
+    assert time.process_time() - began < 5
