@@ -61,47 +61,70 @@ class _Parts(dict):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
-        self.extra: dict[str, bytes] = {}
         self[""] = b""
 
-    def keep(self, part: str, ids: bytes) -> bytes:
-        (self if len(self) < _CACHE_PARTS and len(part) <= _CACHE_LETTERS else self.extra)[part] = ids
-        return ids
-
     def one(self, run: str) -> bytes:
-        """Ids of one pre-token of Latin-1 letters or of ASCII marks: lower case there is by letter, NFC the text itself."""
+        """Ids of one pre-token of lower-case Latin-1 letters or of ASCII marks, which normalisation leaves as it is."""
         ids = self.get(run)
         if ids is None:
-            shown = run.lower() if run.isascii() else run.lower().encode().decode("latin-1").translate(self.alphabet)
-            ids = self.keep(run, array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes())
+            shown = run if run.isascii() else run.encode().decode("latin-1").translate(self.alphabet)
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            if len(self) < _CACHE_PARTS and len(run) <= _CACHE_LETTERS:
+                self[run] = ids
         return ids
 
-    def learn(self, parts: set[str]) -> None:
+    def learned(self, parts: set[str]) -> dict[str, bytes]:
         """Ids of parts not met before."""
-        self.extra = {}
-        rest = []
+        out, rest = {}, []
         for p in parts:
             letters = p.rstrip(_MARKS)
-            if (letters.isalpha() or not letters) and (p.isascii() or max(p) <= "\xff"):
+            if (letters.isalpha() and letters.islower() or not letters) and _latin(p):
                 ids = self.one(letters) if letters else b""
-                if len(letters) < len(p):
-                    self.keep(p, ids + self.one(p[len(letters):]))
+                out[p] = ids + self.one(p[len(letters):]) if len(letters) < len(p) else ids
             else:
                 rest.append(p)
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.keep(p, array("I", e.ids).tobytes())
+            out[p] = array("I", e.ids).tobytes()
+        for p, ids in out.items():
+            if len(self) >= _CACHE_PARTS:
+                break
+            if len(p) <= _CACHE_LETTERS:
+                self[p] = ids
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        # lower case is by letter in Latin-1, so such texts are lowered at once and share more parts
+        split = [(t.lower() if _latin(t) else t).replace("\n", " ").split(" ") for t in texts]
         ids = [list(map(self.get, parts)) for parts in split]
-        new = [(i, k) for i, of in enumerate(ids) if None in of for k, x in enumerate(of) if x is None]
-        self.learn({split[i][k] for i, k in new})
-        for i, k in new:
-            part = split[i][k]
-            ids[i][k] = self.extra[part] if part in self.extra else self[part]
+        gaps = [_gaps(of) for of in ids]
+        new = self.learned({parts[k] for parts, at in zip(split, gaps) for k in at})
+        for parts, of, at in zip(split, ids, gaps):
+            for k in at:
+                of[k] = new[parts[k]]
         return [b"".join(of) for of in ids]
 
 
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _gaps(values: list) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 _LOADED: dict[str, _Parts] = {}
 
 
