@@ -1,6 +1,7 @@
 """Source divergence audit: how far the term use of a language's sources lies apart.
 
-Terms are counted by (lang, source) in one pass over whole texts. A language
+Terms are counted by (lang, source) in one pass over whole texts; a task adds
+up its own counts before they are shuffled. A language
 keeps the terms of enough documents. Each source then has a column of counts
 over the kept vocabulary, long runs of which are equal once the vocabulary is
 ordered by its row of counts:
@@ -37,9 +38,9 @@ TOP_TERMS = 200
 
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _PART = 1 << 20          # bytes of a text that are split at once
-_HELD = 200_000          # counts that a task holds before it writes them
+_HELD = 600_000          # counts that a task holds before it writes them
 _BLOCK = 4096            # vocabulary entries whose columns are held at once
-_SOURCES_AT_ONCE = 2048  # sources of a language whose pairs are made by one job
+_HELD_DOCS, _HELD_BYTES = 1 << 22, 1 << 39  # and documents and bytes: a value below holds both counts
 
 COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                        T.StructField("term", T.StringType()), T.StructField("n", T.LongType()),
@@ -59,49 +60,44 @@ def _parts(raw: bytes) -> Iterator[list[bytes]]:
     yield (text[at:] if at else text).split()
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that hold the term, of each task's stretch of rows.
+_DOC = 1 << 40  # one document in a value that holds occurrences below it
 
-    One row with a null term stands for a (lang, source) group itself.
-    """
+
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences, and documents that hold the term, of stretches of each task's rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, str], Counter] = {}
-        holds: dict[tuple[str, str], Counter] = {}
-        held = 0
-
-        def rows() -> pa.RecordBatch:
-            keys, terms, n, of = [], [], [], []
-            for key, found in counts.items():
-                keys += [key] * (len(found) + 1)
-                terms += [*found.keys(), None]
-                n += [*found.values(), 0]
-                of += [*map(holds[key].__getitem__, found), 0]
-            langs, sources = ([k[i] for k in keys] for i in (0, 1))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()),
-                 pa.array(n, pa.int64()), pa.array(of, pa.int64())], names=COUNTS.names)
+        counts: dict[tuple[str, str], dict[bytes, int]] = {}
+        held = seen = size = 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (lang, source), found in counts.items():
+                if found:
+                    both = np.fromiter(found.values(), np.int64, len(found))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(found), np.int32))),
+                         pa.array([source], pa.string()).take(pa.array(np.zeros(len(found), np.int32))),
+                         pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(both % _DOC), pa.array(both // _DOC)],
+                        names=COUNTS.names)
 
         for batch in batches:
             for raw, lang, source in zip(*(c.to_pylist() for c in batch.columns)):
-                key = (lang, source)
-                if key not in counts:
-                    counts[key], holds[key] = Counter(), Counter()
-                found, own = counts[key], Counter()
-                before = len(found)
+                found, own = counts.setdefault((lang, source), {}), Counter()
                 for part in _parts(raw):
                     own.update(part)
-                found.update(own)
-                holds[key].update(own.keys())
-                held += len(found) - before + 1
-                if held > _HELD:
-                    yield rows()
-                    counts, holds, held = {}, {}, 0
-        if counts:
-            yield rows()
+                before, get = len(found), found.get
+                for term, n in own.items():
+                    found[term] = get(term, 0) + n + _DOC
+                held, seen, size = held + len(found) - before, seen + 1, size + len(raw)
+                if held > _HELD or seen >= _HELD_DOCS or size >= _HELD_BYTES:
+                    yield from rows()
+                    counts, held, seen, size = {}, 0, 0, 0
+        yield from rows()
+
+    return _read(docs, F.coalesce("text", F.lit("")).cast("binary").alias("raw")).mapInArrow(run, COUNTS)
+
 
-    texts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("raw"),
-                        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
-    return texts.mapInArrow(run, COUNTS)
+def _read(docs: DataFrame, *columns: Column) -> DataFrame:
+    return docs.select(*columns, F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -117,8 +113,7 @@ def divergence(p: Column, q: Column) -> Column:
 
 def vocabulary(counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(lang, term, total, row): the kept terms, each with its row of counts, (source, n) by source, zeros left out."""
-    own = counts.where(F.col("term").isNotNull()).groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    own = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     terms = own.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"),
                                             F.sort_array(F.collect_list(F.struct("source", "n"))).alias("row"))
     return terms.where(F.col("docs") >= least_docs).select("lang", "term", "total", "row")
@@ -178,7 +173,8 @@ def run_length_columns(vocab: DataFrame) -> DataFrame:
                 start = end
 
     entries = vocab.groupBy("lang", "row").agg(F.count("*").alias("length"))
-    return entries.repartitionByRange("lang", "row").sortWithinPartitions("lang", "row").mapInArrow(run, COLUMNS)
+    # ranges by the first counts of a row: the sample for their edges goes to the driver, and whole rows are long
+    return entries.repartitionByRange("lang", F.slice("row", 1, 2)).sortWithinPartitions("lang", "row").mapInArrow(run, COLUMNS)
 
 
 def pair_sums(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
@@ -244,10 +240,8 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_TE
     Repeated rows count as often as they occur; ties are ranked by item in
     UTF-8 order. Other columns are not read. Empty table: no row.
     """
-    counts = stored(term_counts(docs), "term-counts", "zstd")
-    vocab = stored(vocabulary(counts, least_docs), "vocabulary", "zstd")
-    groups = counts.where(F.col("term").isNull()).select("lang", "source").distinct()
-    totals = stored(group_totals(groups, vocab), "group-totals")  # one row a group
+    vocab = stored(vocabulary(term_counts(docs), least_docs), "vocabulary", "zstd")
+    totals = stored(group_totals(_read(docs).distinct(), vocab), "group-totals")  # one row a group
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     pairs = pair_divergence(vocab, totals).select("lang", "source", F.lit("pair").alias("part"), "item", "value", rank.alias("rank"))
     terms = term_divergence(vocab, totals).select("lang", "source", F.lit("term").alias("part"), "item", "value", rank.alias("rank"))

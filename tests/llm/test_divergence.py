@@ -78,9 +78,11 @@ def test_long_texts_are_split_between_terms(monkeypatch):
 
 
 def test_tasks_write_counts_before_they_hold_too_many(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "_HELD", 3)
     rows = texts(2, 60, 30, 3)
-    assert audited(spark, rows) == plain(rows)
+    for name in ("_HELD", "_HELD_DOCS", "_HELD_BYTES"):
+        with monkeypatch.context() as m:
+            m.setattr(divergence, name, 3)
+            assert audited(spark, rows) == plain(rows)
 
 
 def test_pair_sums_equal_the_sum_over_terms():
