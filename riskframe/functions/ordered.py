@@ -141,13 +141,3 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: list[float], group_cols:
     frac = F.col("pos") - F.floor("pos").cast("double")
     val = F.when(frac == 0, F.col("v_lo")).otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac)
     return res.select(*g, "q", val.alias("value"))
-
-
-def median_map(df: DataFrame, value_cols: list[str], group_cols: list[str] | tuple = (),
-               cfg: RiskConfig = DEFAULT, q: float = 0.5) -> DataFrame:
-    """Quantile q of many columns at once: unpivot to (column, value) and group by column too."""
-    g = list(group_cols)
-    stacked = df.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in value_cols])).alias("s")) \
-        .select(*g, "s.column", "s.v")
-    return exact_quantiles(stacked.where(F.col("v").isNotNull()), "v", [q], g + ["column"], cfg)

@@ -11,7 +11,7 @@ from riskframe.config import DEFAULT, RiskConfig
 from riskframe.session import cached
 from riskframe.functions.derive import (class_label, count_if, dbl, fan_in_band, pct, risk_type,
                                         sql_amount_band, velocity_band)
-from riskframe.functions.ordered import exact_quantiles, median_map
+from riskframe.functions.radix import profiles, quantile_rows
 from riskframe.operators.features import MODEL_COLUMNS
 
 
@@ -24,19 +24,18 @@ def _fraud():
 
 
 def feature_coverage(features: DataFrame, columns: list[str] | None = None, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """B1: per feature -- % defined, % non-zero, mean, median (unpivot, then one grouped pass)."""
+    """B1: per feature -- % defined, % non-zero, mean, median; counts, sums and medians of all features come from the
+    same radix passes, one row per transaction."""
     columns = columns or MODEL_COLUMNS
-    stacked = features.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), dbl(c).alias("v")) for c in columns])).alias("s")).select("s.*")
-    stacked = cached(stacked)  # read by the aggregate and the quantile branch
-    g = stacked.groupBy("feature").agg(
-        _n().alias("_n"), F.count("v").alias("_def"), count_if(F.coalesce("v", F.lit(0.0)) != 0).alias("_nz"),
-        F.avg("v").alias("_mean"))
-    med = exact_quantiles(stacked.where(F.col("v").isNotNull()), "v", [0.5], ["feature"], cfg) \
-        .select("feature", F.round("value", 6).alias("median"))
-    return g.join(med, "feature", "left").select(
+    found = profiles(features, columns, [0.5])
+    rows = []
+    for c in columns:
+        p = found.get((c, ""))
+        rows.append((c, p.n, p.n - p.zeros, p.total, p.quantiles[0.5]) if p else (c, 0, 0, None, None))
+    table = features.sparkSession.createDataFrame(rows, "feature string, _def long, _nz long, _sum double, _med double")
+    return table.crossJoin(features.agg(_n().alias("_n"))).where("_n > 0").select(
         "feature", pct("_def", "_n").alias("defined_pct"), pct("_nz", "_n").alias("nonzero_pct"),
-        F.round("_mean", 6).alias("mean"), "median")
+        F.round(F.col("_sum") / F.when(F.col("_def") > 0, dbl("_def")), 6).alias("mean"), F.round("_med", 6).alias("median"))
 
 
 def leakage_self_check(features: DataFrame) -> DataFrame:
@@ -51,7 +50,9 @@ def class_separation(features: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFram
     """B3 (Q1): per class medians/averages of the behavioural features."""
     def avg_int(c):
         return dbl(F.sum(c)) / dbl(_n())
-    features = cached(features)  # aggregate + median branch
+    features = cached(features.select("is_fraud", "amount", "dest_prior_txn_count", "dest_prior_unique_senders", "dest_txn_prev_24h",
+                                      "dest_txn_prev_168h", "pair_prior_txn_count", "pair_is_new", "dest_is_new",
+                                      "dest_is_merchant", "amount_to_type_prior_avg"))  # aggregate + median passes
     g = features.groupBy(class_label().alias("class")).agg(
         _n().alias("transactions"),
         avg_int("dest_prior_txn_count").alias("avg_dest_prior_txns"),
@@ -63,7 +64,7 @@ def class_separation(features: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFram
         (F.lit(100.0) * avg_int("dest_is_new")).alias("pct_new_destination"),
         (F.lit(100.0) * avg_int("dest_is_merchant")).alias("pct_to_merchant"),
         F.round(F.avg("amount_to_type_prior_avg"), 6).alias("avg_amount_vs_type_avg"))
-    med = exact_quantiles(features.select(class_label().alias("class"), "amount"), "amount", [0.5], ["class"], cfg) \
+    med = quantile_rows(features.select(class_label().alias("class"), "amount"), ["amount"], [0.5], "class") \
         .select("class", F.round("value", 9).alias("median_amount"))
     return g.join(med, "class")
 
@@ -144,7 +145,7 @@ NOTEBOOK_MEDIAN_COLUMNS = ["amount", "dest_prior_txn_count", "dest_prior_unique_
 
 def class_medians(features: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Medians of nine features by class, long form (column, is_fraud, median)."""
-    m = median_map(features, NOTEBOOK_MEDIAN_COLUMNS, ["is_fraud"], cfg)
+    m = quantile_rows(features, NOTEBOOK_MEDIAN_COLUMNS, [0.5], "is_fraud")
     return m.select("column", "is_fraud", F.round("value", 9).alias("median"))
 
 

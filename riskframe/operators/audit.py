@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from riskframe.config import DEFAULT, RiskConfig
 from riskframe.functions.derive import balance_residuals, class_label, count_if, dbl, pct, risk_type
 from riskframe.functions.ordered import exact_quantiles
+from riskframe.functions.radix import quantile_rows
 from riskframe.operators import ranking
+from riskframe.session import small_table
 
 CANONICAL = ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "old_balance_orig",
              "new_balance_orig", "old_balance_dest", "new_balance_dest", "is_fraud", "is_flagged_fraud"]
@@ -26,9 +28,16 @@ def _n():
 
 
 def duplicate_rows(txns: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """A2: exact-duplicate groups over the business columns and surplus rows (reported, not deleted)."""
+    """A2: exact-duplicate groups over the business columns and surplus rows (reported, not deleted).
+
+    A 16-byte hash of the key is grouped first; only rows whose hash occurs
+    twice are grouped by the key itself, so the key columns of unique rows are
+    not shuffled (while the repeated hashes are few enough to broadcast)."""
     key = key or [c for c in DUPLICATE_KEY if c in txns.columns]
-    g = txns.groupBy(*key).agg(_n().alias("occurrences")).where(F.col("occurrences") > 1)
+    rows = txns.select(*key, F.xxhash64(*key).alias("_h1"), F.xxhash64(F.lit(1), *key).alias("_h2"))
+    twice, _ = small_table(rows.groupBy("_h1", "_h2").agg(_n().alias("n")).where(F.col("n") > 1).select("_h1", "_h2"))
+    met = rows.join(twice, ["_h1", "_h2"], "left_semi")
+    g = met.groupBy(*key).agg(_n().alias("occurrences")).where(F.col("occurrences") > 1)
     return g.agg(_n().alias("duplicate_groups"),
                  F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("bigint").alias("surplus_rows"))
 
@@ -44,12 +53,13 @@ def quality_counts(txns: DataFrame) -> DataFrame:
     d = duplicate_rows(txns)
     out = a.crossJoin(d)
     total_missing = sum((F.col(f"null_{c}") for c in cols), F.lit(0).cast("bigint"))
+    counted = lambda c, text: F.when(F.col(c) > 0, F.concat(F.format_number(c, 0), F.lit(f" {text}")))
     # fixed values: issue wording
     issues = F.concat_ws("; ",
                          F.when(F.col("negative_amount") > 0, F.lit("negative transaction amounts present")),
-                         F.when(F.col("zero_amount") > 0, F.lit("transactions with amount = 0")),
+                         counted("zero_amount", "transactions with amount = 0"),
                          F.when(F.col("steps_below_1") > 0, F.lit("step values below 1")),
-                         F.when(F.col("surplus_rows") > 0, F.lit("exactly duplicated rows (may be genuine repeats)")))
+                         counted("surplus_rows", "exactly duplicated rows (may be genuine repeats)"))
     return out.select("*", total_missing.alias("total_missing_values"),
                       pct("surplus_rows", "total_rows").alias("duplicate_row_pct"),
                       F.when(issues == "", F.lit("no obvious structural problems detected")).otherwise(issues)
@@ -70,7 +80,7 @@ def profile_by_type(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """A4: per type volume, fraud, shares, total/mean/median amount (window over the <=5-row aggregate)."""
     g = txns.groupBy("txn_type").agg(_n().alias("transactions"), F.sum("is_fraud").cast("bigint").alias("fraud"),
                                      F.sum("amount").alias("_sum"))
-    med = exact_quantiles(txns, "amount", [0.5], ["txn_type"], cfg).select("txn_type", F.round("value", 9)
+    med = quantile_rows(txns, ["amount"], [0.5], "txn_type").select("txn_type", F.round("value", 9)
                                                                             .alias("median_amount"))
     all_ = Window.partitionBy()  # the aggregate has one row per type
     out = g.join(med, "txn_type").select(
@@ -89,7 +99,7 @@ def amount_stats(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
                                   F.stddev_samp(dbl("amount")).alias("_std"),
                                   F.min("amount").alias("_min"), F.max("amount").alias("_max"))
     qs = {0.25: "q1", 0.5: "median", 0.75: "q3", 0.9: "p90", 0.99: "p99"}
-    q = exact_quantiles(rows, "amount", list(qs), ["class"], cfg) \
+    q = quantile_rows(rows, ["amount"], list(qs), "class") \
         .groupBy("class").pivot("q", list(qs)).agg(F.first("value"))
     q = q.select("class", *[F.round(F.col(f"`{k}`"), 9).alias(v) for k, v in qs.items()])
     fv = txns.agg(F.sum("amount").alias("_tv"), F.sum(F.when(F.col("is_fraud") == 1, F.col("amount"))).alias("_fv"))
@@ -280,23 +290,28 @@ def univariate_auc(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
                     F.col("pr_auc").alias("pr_auc_single_feature"))
 
 
-# fixed values: the leakage decision table (column, risk, decision)
+_SIMULATED = "a balance before the event, known in time, but shaped by how the simulator books and reverses payments"
+_AFTERWARDS = "a balance after the event, so nobody has it when the payment must be let through or stopped"
+
+# fixed values: the leakage decision table (column, risk, decision); the reasons are this library's words
 LEAKAGE_DECISIONS = [
-    ("old_balance_orig", "MEDIUM", "EXCLUDE"),
-    ("new_balance_orig", "HIGH", "EXCLUDE"),
-    ("old_balance_dest", "MEDIUM", "EXCLUDE"),
-    ("new_balance_dest", "HIGH", "EXCLUDE"),
-    ("is_flagged_fraud", "HIGH", "EXCLUDE (kept as a benchmark baseline)"),
-    ("amount", "LOW", "INCLUDE"),
-    ("txn_type", "LOW", "INCLUDE"),
-    ("step", "LOW (use with care)", "INCLUDE as hour_of_day only"),
+    ("old_balance_orig", "MEDIUM", "EXCLUDE", _SIMULATED),
+    ("new_balance_orig", "HIGH", "EXCLUDE", _AFTERWARDS),
+    ("old_balance_dest", "MEDIUM", "EXCLUDE", _SIMULATED),
+    ("new_balance_dest", "HIGH", "EXCLUDE", _AFTERWARDS),
+    ("is_flagged_fraud", "HIGH", "EXCLUDE (kept as a benchmark baseline)",
+     "the verdict of another control, not something observed about the payment"),
+    ("amount", "LOW", "INCLUDE", "part of the payment request itself"),
+    ("txn_type", "LOW", "INCLUDE", "part of the payment request itself"),
+    ("step", "LOW (use with care)", "INCLUDE as hour_of_day only",
+     "known in time, but as a running number it only says how far the recording has come"),
 ]
 
 
 def leakage_decisions(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Static decision table left-joined with the measured single-column AUCs."""
+    """Static decision table with a reason each, left-joined with the measured single-column AUCs."""
     spark = txns.sparkSession
-    d = spark.createDataFrame(LEAKAGE_DECISIONS, "column string, leakage_risk string, primary_model_decision string")
+    d = spark.createDataFrame(LEAKAGE_DECISIONS, "column string, leakage_risk string, primary_model_decision string, reason string")
     return d.join(F.broadcast(univariate_auc(txns, cfg)), "column", "left")
 
 
@@ -316,7 +331,7 @@ def flag_rule_audit(txns: DataFrame) -> DataFrame:
 
 def amount_p99(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """J1 helper: the one-row p99 cutoff of amount."""
-    return exact_quantiles(txns, "amount", [0.99], [], cfg).select(F.col("value").alias("p99_amount_cutoff"))
+    return quantile_rows(txns, ["amount"], [0.99]).select(F.col("value").alias("p99_amount_cutoff"))
 
 
 def cutoff_cross_join(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
@@ -381,21 +396,40 @@ def _failure(txns: DataFrame, exc: Exception) -> DataFrame:
     return txns.sparkSession.createDataFrame([(f"{type(exc).__name__}: {exc}"[:500],)], "error string")
 
 
+# the column that names a section's rows; the other sections have one row
+SECTION_ITEM = {"structure": "column", "transaction_type": "txn_type", "amount": "class",
+                "account_repetition": "side", "leakage_audit": "check", "honest_baselines": "rule"}
+
+
+def _long(section: str, df: DataFrame) -> DataFrame:
+    """(section, item, metric, value, text): one row per cell of a section, numbers in value and strings in text."""
+    item = SECTION_ITEM.get(section)
+    cells = []
+    for f in df.schema.fields:
+        if f.name == item and item in df.columns:
+            continue
+        text = f.dataType.simpleString() == "string"
+        cells.append(F.struct(F.lit(f.name).alias("metric"),
+                              (F.lit(None) if text else F.col(f.name)).cast("double").alias("value"),
+                              (F.col(f.name) if text else F.lit(None)).cast("string").alias("text")))
+    named = F.col(item) if item in df.columns else F.lit("")
+    return df.select(F.lit(section).alias("section"), named.alias("item"), F.explode(F.array(*cells)).alias("c")).select(
+        "section", "item", "c.metric", "c.value", "c.text")
+
+
 def audit_report(sections: dict[str, DataFrame]) -> DataFrame:
-    """A22 as one table: (section, row, values, error), a section's rows as JSON.
+    """A22 as one table of typed cells: (section, item, metric, value, text).
 
     Every section is a report of a few rows (types, columns, rules, classes), so
-    it is run here; one that fails at run time gives its error and costs no other."""
+    it is run here; one that fails at run time gives its error as text and costs no other."""
     out = []
     spark = next(iter(sections.values())).sparkSession
     for name, df in sections.items():
         try:
-            rows = [r[0] for r in df.select(F.to_json(F.struct("*"))).collect()]
-            broken = df.columns == ["error"]
-            out += [(name, i, None if broken else v, v if broken else None) for i, v in enumerate(sorted(rows))]
+            out += [tuple(r) for r in _long(name, df).collect()]
         except Exception as exc:  # noqa: BLE001
-            out.append((name, 0, None, f"{type(exc).__name__}: {exc}"[:500]))
-    return spark.createDataFrame(out, "section string, row int, values string, error string")
+            out.append((name, "", "error", None, f"{type(exc).__name__}: {exc}"[:500]))
+    return spark.createDataFrame(out, "section string, item string, metric string, value double, text string")
 
 
 def share_over_total(txns: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
 from riskframe.functions.derive import dbl, with_score
-from riskframe.functions.ordered import exact_quantiles
+from riskframe.functions.radix import quantile_rows
 
 
 def linspace(start: float, stop: float, num: int) -> list[float]:
@@ -41,7 +41,7 @@ def threshold_grid(scored: DataFrame, score: str = "score", cfg: RiskConfig = DE
     fixed = spark.createDataFrame([(t, "fixed") for t in cfg.fixed_thresholds()], "threshold double, grid_source string")
     grid = fixed
     if use_quantiles:
-        qv = exact_quantiles(scored, score, quantile_levels(cfg), [], cfg)
+        qv = quantile_rows(scored, [score], quantile_levels(cfg))
         qt = qv.select(F.greatest(F.least(F.round("value", 9), F.lit(0.999999)), F.lit(1e-6)).alias("threshold")).distinct()
         qt = qt.join(F.broadcast(fixed.select(F.col("threshold").alias("f"))), F.round("threshold", 4) == F.col("f"),
                      "left_anti").withColumn("grid_source", F.lit("quantile"))
@@ -175,16 +175,25 @@ BAND_ACTIONS = [("LOW", "allow without friction"), ("MEDIUM", "step-up verificat
                 ("HIGH", "block / hard decline")]
 
 
+def band_rationale(cfg: RiskConfig = DEFAULT) -> dict[str, str]:
+    """Why each band gets its action, from the costs it was derived with."""
+    return {"LOW": f"expected loss stays below the {cfg.cost_verify:.0f} that even a verification costs",
+            "MEDIUM": f"expected loss is worth a verification at {cfg.cost_verify:.0f}, not a wrong block at {cfg.cost_fp:.0f}",
+            "HIGH": f"expected loss is above the {cfg.cost_fp:.0f} that a wrong block costs"}
+
+
 def risk_bands(scored: DataFrame, score: str = "score", label: str = "is_fraud", cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Three bands with numeric bounds [lower, upper) and actions (D17: bounds, not 2-dp text)."""
+    """Three bands with numeric bounds [lower, upper), actions and rationale (D17: bounds, not 2-dp text)."""
     t = risk_band_thresholds(scored, score, label, cfg)
     spark = scored.sparkSession
-    acts = spark.createDataFrame([(i, b, a) for i, (b, a) in enumerate(BAND_ACTIONS)], "band_order int, band string, action string")
+    why = band_rationale(cfg)
+    acts = spark.createDataFrame([(i, b, a, why[b]) for i, (b, a) in enumerate(BAND_ACTIONS)],
+                                 "band_order int, band string, action string, rationale string")
     v, h = F.col("medium_risk_threshold_verify"), F.col("high_risk_threshold_block")
     j = acts.crossJoin(t)
     lower = F.when(F.col("band") == "LOW", F.lit(0.0)).when(F.col("band") == "MEDIUM", v).otherwise(h)
     upper = F.when(F.col("band") == "LOW", v).when(F.col("band") == "MEDIUM", h).otherwise(F.lit(None).cast("double"))
-    return j.select("band_order", "band", lower.alias("lower_bound"), upper.alias("upper_bound"), "action",
+    return j.select("band_order", "band", lower.alias("lower_bound"), upper.alias("upper_bound"), "action", "rationale",
                     "medium_risk_threshold_verify", "high_risk_threshold_block")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskframe.config import DEFAULT, RiskConfig, TXN_TYPES
 from riskframe.functions.derive import (amount_band, count_if, dbl, outcome_class, pct, risk_band)
 from riskframe.functions.ordered import exact_quantiles
+from riskframe.functions.radix import quantile_rows
 from riskframe.operators import cost as co
 from riskframe.operators import ranking as rk
 from riskframe.operators.model import split_steps
@@ -318,35 +319,41 @@ def top_scored(d: DataFrame, n: int = 10) -> DataFrame:
     return d.orderBy(F.col("fraud_probability").desc(), "txn_id").limit(n)
 
 
-def explain_examples(d: DataFrame, features: list[str], n: int = 10, cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Top-n rows with each leading feature vs the population median (broadcast 1-row medians)."""
-    top = top_scored(d, n)
-    stacked_all = d.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), dbl(c).alias("v")) for c in features])).alias("s")).select("s.*")
-    med = exact_quantiles(stacked_all.where(F.col("v").isNotNull()), "v", [0.5], ["feature"], cfg) \
-        .select("feature", F.col("value").alias("population_median"))
-    ex = top.select("txn_id", "step", "txn_type", dbl("amount").alias("amount"), "fraud_probability", "risk_band",
-                    F.col("is_fraud").alias("actual_label"), F.explode(F.array(*[
-                        F.struct(F.lit(c).alias("feature"), dbl(c).alias("value")) for c in features])).alias("s")) \
-        .select("*", "s.feature", "s.value").drop("s").where(F.col("value").isNotNull())
-    j = ex.join(F.broadcast(med), "feature")
+def leading_features(importance: DataFrame, d: DataFrame, k: int = 5) -> list[str]:
+    """The k most important features of an importance table (feature, importance) that d has: k names for the driver."""
+    known = importance.where(F.col("feature").isin(d.columns))
+    return [r["feature"] for r in known.orderBy(F.col("importance").desc(), "feature").limit(k).collect()]
+
+
+def _medians(d: DataFrame, names: list[str]) -> DataFrame:
+    return quantile_rows(d, names, [0.5]).select(F.col("column").alias("feature"), F.col("value").alias("population_median"))
+
+
+def explain_examples(d: DataFrame, importance: DataFrame, n: int = 10, k: int = 5) -> DataFrame:
+    """The top-n rows with each of the k leading features against the population median.
+
+    The features come from the importance table of a fitted model, at run time."""
+    names = leading_features(importance, d, k)
+    ex = top_scored(d, n).select(
+        "txn_id", "step", "txn_type", dbl("amount").alias("amount"), "fraud_probability", "risk_band",
+        F.col("is_fraud").alias("actual_label"), F.explode(F.array(*[
+            F.struct(F.lit(i + 1).alias("feature_rank"), F.lit(c).alias("feature"), dbl(c).alias("value"))
+            for i, c in enumerate(names)])).alias("s")).select("*", "s.*").drop("s").where(F.col("value").isNotNull())
+    j = ex.join(F.broadcast(_medians(d, names)), "feature")  # k rows
     pos = F.when(F.col("value") > F.col("population_median"), "above") \
            .when(F.col("value") < F.col("population_median"), "below").otherwise("at")
-    return j.select("txn_id", "step", "txn_type", "amount", "fraud_probability", "risk_band", "actual_label",
+    return j.select("txn_id", "step", "txn_type", "amount", "fraud_probability", "risk_band", "actual_label", "feature_rank",
                     "feature", "value", F.round("population_median", 9).alias("population_median"),
                     pos.alias("relative_position"))
 
 
-def values_above_median(d: DataFrame, features: list[str], cfg: RiskConfig = DEFAULT) -> DataFrame:
-    """Every row's features against the population medians (1-row broadcast cross join)."""
-    med = exact_quantiles(d.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), dbl(c).alias("v")) for c in features])).alias("s")).select("s.*")
-        .where(F.col("v").isNotNull()), "v", [0.5], ["feature"], cfg)
-    wide = med.groupBy().pivot("feature", features).agg(F.first("value"))
-    wide = wide.select(*[F.col(f"`{c}`").alias(f"med_{c}") for c in features])
-    j = d.crossJoin(F.broadcast(wide))
-    return j.select("txn_id", *[F.when(dbl(c) > F.col(f"med_{c}"), 1).otherwise(0).alias(f"{c}_above_median")
-                                for c in features])
+def values_above_median(d: DataFrame, importance: DataFrame, k: int = 5) -> DataFrame:
+    """Every row's k leading features against the population medians (k rows, broadcast); NULL values give no row."""
+    names = leading_features(importance, d, k)
+    long = d.select("txn_id", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), dbl(c).alias("value")) for c in names]))
+                    .alias("s")).select("txn_id", "s.*").where(F.col("value").isNotNull())
+    return long.join(F.broadcast(_medians(d, names)), "feature").select(
+        "txn_id", "feature", F.when(F.col("value") > F.col("population_median"), 1).otherwise(0).alias("above_median"))
 
 
 TYPE_LIST = list(TXN_TYPES)

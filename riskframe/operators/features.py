@@ -11,19 +11,20 @@ families share that layout), by destination once, and by (type, step) once.
 
 A plain `Window.partitionBy(key)` puts all rows of a key in one task, and one
 receiver may hold a third of all rows.  Each family therefore counts rows per
-key first (partial aggregation); keys above `hot_key_rows` (at most
-rows / hot_key_rows of them) are split, the rest take one plain window:
-
-  L1  one row per (key, step): bounded by the number of steps whatever the ids
-      are.  A (key, step) group above `history_block` rows (B) is cut into
-      n div B + 1 ranges of txn_id, in order, so L1 holds at most
-      steps + rows / B rows of a key;
-  L2  prefix sums and RANGE frames over L1 per key;
-  L3  rows join their group's prefix and add a window inside the group for the
-      history within the step.
-
-Keys are compared as structs, so a NULL key is a key like any other on both
-paths.
+key first (partial aggregation).  Without a key above `hot_key_rows` (at most
+rows / hot_key_rows keys are) the plain window is the plan.  Otherwise all rows
+take one branch, with a window keyed by (key, chunk): the chunk is empty for
+cold keys, and the step for hot ones, so hot keys are dealt by step.
+
+  L1  of the hot keys alone, one row per (key, step): bounded by the number of
+      steps whatever the ids are.  A (key, step) group above `history_block`
+      rows (B) is cut into ranges of txn_id of about B rows, by edges from a
+      hash sample of its ids, so clustered ids cut as evenly as dense ones;
+  L2  prefix sums and RANGE frames over L1 per key: the history before a chunk.
+      The table is written once and joined to the rows from the left;
+  L3  the history of a row is that of its chunk plus a window inside it.
+
+Keys are compared as structs, so a NULL key is a key like any other.
 """
 
 from __future__ import annotations
@@ -32,49 +33,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, TXN_TYPES, RiskConfig
+from riskframe.session import materialized, small_table
 
 _UNB = Window.unboundedPreceding
-_SMALL_TABLE = 1 << 18  # rows of a control table that may be broadcast
+_PER_EDGE = 64  # sampled ids per range of a large (key, step) group
 
 
 def _dbl(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def _small(df: DataFrame) -> tuple[DataFrame, int]:
-    """df with a broadcast hint if its counted size allows one, and that count (one small job)."""
-    n = df.count()
-    return (F.broadcast(df) if n <= _SMALL_TABLE else df), n
-
-
 def history(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, *, source: DataFrame | None = None,
             split_all: bool = False, prefix: str = "k", want_max: bool = False, want_prev: bool = False,
-            prev_type: bool = False, flag_col: str | None = None,
+            prev_type: bool = False, flag_col: str | None = None, flagged: DataFrame | None = None,
             ranges: dict[str, tuple[int, int, str]] | None = None) -> DataFrame:
     """rows plus expanding past-only statistics per key: `{prefix}_n`, `_s` and, as asked, `_mx`, `_prev_step`,
     `_prev_type`, `_f` (sum of flag_col); `ranges` maps a column name to (lo, hi, "count" | "sum") over steps
     [step-lo, step-hi].
 
     `source` is a cheaper frame with the same transactions (and the columns
-    read here) for the key counts and L1.  `split_all` skips the key count and
-    takes the split plan for every key (few keys, each with many rows).
+    read here) for the key counts and L1; where it lacks flag_col, `flagged`
+    has the keys, step and txn_id of the rows whose flag is 1.  `split_all`
+    takes every key for hot without counting (few keys, each with many rows).
     """
     opts = dict(prefix=prefix, want_max=want_max, want_prev=want_prev, prev_type=prev_type, flag_col=flag_col,
                 ranges=ranges or {})
+    own_flag = [flag_col] if flag_col and flagged is None else []
     src = (rows if source is None else source).select(
-        "txn_id", "step", "amount", F.struct(*keys).alias("_key"), *(["txn_type"] if prev_type else []),
-        *([flag_col] if flag_col else []))
-    if split_all:
-        return _split(rows, src, keys, cfg, **opts)
-    hot, n = _small(src.groupBy("_key").agg(F.count(F.lit(1)).alias("_kn"))
-                    .where(F.col("_kn") > cfg.hot_key_rows).select(F.col("_key").alias("_hot")))
-    if not n:
-        return _plain(rows, keys, **opts)
-    is_hot = F.struct(*[rows[k] for k in keys]) == F.col("_hot")
-    cold = _plain(rows.join(hot, is_hot, "left_anti"), keys, **opts)
-    split = _split(rows.join(hot, is_hot, "left_semi"), src.join(hot, src["_key"] == F.col("_hot"), "left_semi"),
-                   keys, cfg, **opts)
-    return cold.unionByName(split)
+        "txn_id", "step", "amount", F.struct(*keys).alias("_key"), *(["txn_type"] if prev_type else []), *own_flag)
+    hot = None
+    if not split_all:
+        counted = materialized(src.groupBy("_key").agg(F.count(F.lit(1)).alias("_kn"))
+                               .where(F.col("_kn") > cfg.hot_key_rows).select(F.col("_key").alias("_hot")), "hot-keys")
+        hot, n = small_table(counted)
+        if not n:
+            return _plain(rows, keys, **opts)
+        src = src.join(hot, src["_key"] == F.col("_hot"), "left_semi")
+    if flagged is not None:
+        marks = flagged.select("txn_id", "step", F.struct(*keys).alias("_key"))
+        if hot is not None:
+            marks = marks.join(hot, marks["_key"] == F.col("_hot"), "left_semi")
+        flagged = marks
+    block = _blocked(src, cfg)
+    table = _prefixes(chunk_table(src, block, want_max=want_max, prev_type=prev_type, flag_col=flag_col, flagged=flagged),
+                      **{k: v for k, v in opts.items() if k != "prefix"})
+    if hot is not None:
+        table = materialized(table, "prefixes")  # hot keys x (steps + rows / B) at most
+    return _chunked(rows, keys, hot, block, table, **opts)
 
 
 def past_only(rows: DataFrame, keys: list[str], cfg: RiskConfig = DEFAULT, **opts) -> DataFrame:
@@ -105,36 +110,50 @@ def _plain(rows: DataFrame, keys: list[str], *, prefix, want_max, want_prev, pre
 
 
 def _blocked(src: DataFrame, cfg: RiskConfig):
-    """A function that adds `_blk`, the txn_id range of a row inside its (key, step) group, to frames with `_key`."""
-    big, n = _small(src.groupBy("_key", "step")
-                    .agg(F.count(F.lit(1)).alias("_n"), F.min("txn_id").alias("_lo"), F.max("txn_id").alias("_hi"))
-                    .where(F.col("_n") > cfg.history_block)
-                    .select(F.col("_key").alias("_bk"), F.col("step").alias("_bs"), "_lo",
-                            F.expr(f"(_hi - _lo) div (_n div {int(cfg.history_block)} + 1) + 1").alias("_wide")))
+    """A function that adds `_blk`, the range of txn_id of a row inside its (key, step) group, to frames with `_key`.
+
+    Groups of up to history_block rows are one range.  The edges of larger ones
+    are every 64th of a hash sample of their ids, about history_block rows apart."""
+    big = src.groupBy("_key", "step").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cfg.history_block)
+    big, n = small_table(materialized(big.select(F.col("_key").alias("_bk"), F.col("step").alias("_bs")), "large-groups"))
     if not n:
         return lambda df: df.withColumn("_blk", F.lit(0).cast("long"))
-    return lambda df: df.join(big, (df["_key"] == F.col("_bk")) & (df["step"] == F.col("_bs")), "left").withColumn(
-        "_blk", F.coalesce(F.expr("(txn_id - _lo) div _wide"), F.lit(0).cast("long"))).drop("_bk", "_bs", "_lo", "_wide")
+    one_in = max(1, cfg.history_block // _PER_EDGE)
+    sample = src.where(F.pmod(F.xxhash64("txn_id"), F.lit(one_in)) == 0)
+    sample = sample.join(big, (sample["_key"] == F.col("_bk")) & (sample["step"] == F.col("_bs")))
+    per_edge = max(1, cfg.history_block // one_in)
+    ids = F.sort_array(F.collect_list("txn_id"))
+    at = F.sequence(F.lit(per_edge), F.size("_ids"), F.lit(per_edge))
+    edges = sample.groupBy("_bk", "_bs").agg(ids.alias("_ids")).where(F.size("_ids") >= per_edge).select(
+        "_bk", "_bs", F.transform(at, lambda i: F.get("_ids", i - 1)).alias("_edges"))
+    edges, _ = small_table(materialized(edges, "id-edges"), F.size("_edges"))
+
+    def add(df: DataFrame) -> DataFrame:
+        inside = F.size(F.filter("_edges", lambda e: e <= F.col("txn_id"))).cast("long")
+        return df.join(edges, (df["_key"] == F.col("_bk")) & (df["step"] == F.col("_bs")), "left").withColumn(
+            "_blk", F.when(F.col("_edges").isNull(), F.lit(0).cast("long")).otherwise(inside)).drop("_bk", "_bs", "_edges")
 
+    return add
 
-def chunk_table(src: DataFrame, block, *, want_max=False, prev_type=False, flag_col=None) -> DataFrame:
+
+def chunk_table(src: DataFrame, block, *, want_max=False, prev_type=False, flag_col=None, flagged=None) -> DataFrame:
     """L1: one row per (key, step), or per txn_id range of a large (key, step) group."""
-    aggs = [F.count(F.lit(1)).alias("c_n"), F.sum("amount").alias("c_s")]
+    aggs = [F.sum("c_one").cast("long").alias("c_n"), F.sum("amount").alias("c_s")]
+    rows = src.withColumn("c_one", F.lit(1))
     if want_max:
         aggs.append(F.max("amount").alias("c_mx"))
     if prev_type:
         aggs.append(F.max_by("txn_type", "txn_id").alias("c_last_type"))
     if flag_col:
+        if flagged is not None:  # marks come as rows of their own that count for nothing else
+            marks = flagged.select("txn_id", "step", "_key", F.lit(0).alias("c_one"), F.lit(1).alias(flag_col))
+            rows = rows.unionByName(marks, allowMissingColumns=True)
         aggs.append(F.sum(flag_col).alias("c_f"))
-    return block(src).groupBy("_key", "step", "_blk").agg(*aggs)
-
+    return block(rows).groupBy("_key", "step", "_blk").agg(*aggs)
 
-def _split(rows: DataFrame, src: DataFrame, keys: list[str], cfg: RiskConfig, *, prefix, want_max, want_prev, prev_type,
-           flag_col, ranges) -> DataFrame:
-    """The three-level plan of the module text; src has `_key` and the aggregated columns of the same transactions."""
-    block = _blocked(src, cfg)
-    l1 = chunk_table(src, block, want_max=want_max, prev_type=prev_type, flag_col=flag_col)
 
+def _prefixes(l1: DataFrame, *, want_max, want_prev, prev_type, flag_col, ranges) -> DataFrame:
+    """L2: (t_key, t_step, t_blk) with the history of the key before the chunk."""
     wk = Window.partitionBy("_key").orderBy("step", "_blk")
     ex = wk.rowsBetween(_UNB, -1)
     l2 = [F.coalesce(F.sum("c_n").over(ex), F.lit(0)).alias("p_n"), F.sum("c_s").over(ex).alias("p_s")]
@@ -150,27 +169,45 @@ def _split(rows: DataFrame, src: DataFrame, keys: list[str], cfg: RiskConfig, *,
     for name, (lo, hi, measure) in ranges.items():
         frame = ws.rangeBetween(-lo, -hi)
         l2.append((F.coalesce(F.sum("c_n").over(frame), F.lit(0)) if measure == "count"
-                   else F.sum("c_s").over(frame).cast("decimal(38,2)")).alias(name))
-    table = l1.select(F.col("_key").alias("t_key"), F.col("step").alias("t_step"), F.col("_blk").alias("t_blk"), *l2)
-
-    keyed = block(rows.withColumn("_key", F.struct(*keys)))
-    j = keyed.join(table, (keyed["_key"] == table["t_key"]) & (keyed["step"] == table["t_step"]) & (keyed["_blk"] == table["t_blk"]))
-    w3 = Window.partitionBy("_key", "step", "_blk").orderBy("txn_id")
-    e3 = w3.rowsBetween(_UNB, -1)
-    rn = F.row_number().over(w3)
-    n = F.col("p_n") + rn - 1
+                   else F.sum("c_s").over(frame)).alias(f"p_{name}"))
+    return l1.select(F.col("_key").alias("t_key"), F.col("step").alias("t_step"), F.col("_blk").alias("t_blk"), *l2)
+
+
+def _chunked(rows: DataFrame, keys: list[str], hot: DataFrame | None, block, table: DataFrame, *, prefix, want_max, want_prev,
+             prev_type, flag_col, ranges) -> DataFrame:
+    """L3 for all rows: one window keyed by (key, chunk) on top of the chunk's prefix; hot None: every key is hot."""
+    keyed = rows.withColumn("_key", F.struct(*keys))
+    if hot is not None:
+        keyed = keyed.join(hot, keyed["_key"] == F.col("_hot"), "left")
+    is_hot = F.col("_hot").isNotNull() if hot is not None else F.lit(True)
+    keyed = block(keyed)
+    keyed = keyed.withColumns({"_cs": F.when(is_hot, F.col("step")), "_cb": F.when(is_hot, F.col("_blk"))})
+    j = keyed.join(table, (keyed["_key"] == table["t_key"]) & (keyed["_cs"] == table["t_step"]) & (keyed["_cb"] == table["t_blk"]),
+                   "left" if hot is not None else "inner")
+    chunk = Window.partitionBy("_key", "_cs", "_cb")
+    w = chunk.orderBy("step", "txn_id")
+    ex = w.rowsBetween(_UNB, -1)
+    first = F.row_number().over(w) == 1
+    n = F.coalesce(F.col("p_n"), F.lit(0)) + F.count(F.lit(1)).over(ex)
+    zero = F.lit(0).cast("decimal(18,2)")
     out = [n.alias(f"{prefix}_n"),
-           F.when(n > 0, F.coalesce(F.col("p_s"), F.lit(0)) + F.coalesce(F.sum("amount").over(e3), F.lit(0)))
-           .cast("decimal(38,2)").alias(f"{prefix}_s")]
+           F.when(n > 0, F.coalesce(F.col("p_s"), zero) + F.coalesce(F.sum("amount").over(ex), zero)).cast("decimal(38,2)")
+           .alias(f"{prefix}_s")]
     if want_max:
-        out.append(F.greatest(F.col("p_mx"), F.max("amount").over(e3)).alias(f"{prefix}_mx"))
+        out.append(F.greatest(F.col("p_mx"), F.max("amount").over(ex)).alias(f"{prefix}_mx"))
     if want_prev:
-        out.append(F.when(rn > 1, F.col("step")).otherwise(F.col("p_prev_step")).alias(f"{prefix}_prev_step"))
+        out.append(F.when(first, F.col("p_prev_step")).otherwise(F.lag("step").over(w)).alias(f"{prefix}_prev_step"))
     if prev_type:
-        out.append(F.when(rn > 1, F.lag("txn_type").over(w3)).otherwise(F.col("p_prev_type")).alias(f"{prefix}_prev_type"))
+        out.append(F.when(first, F.col("p_prev_type")).otherwise(F.lag("txn_type").over(w)).alias(f"{prefix}_prev_type"))
     if flag_col:
-        out.append((F.col("p_f") + F.coalesce(F.sum(flag_col).over(e3), F.lit(0))).cast("bigint").alias(f"{prefix}_f"))
-    return j.select(*[keyed[c] for c in rows.columns], *out, *ranges)
+        out.append((F.coalesce(F.col("p_f"), F.lit(0)) + F.coalesce(F.sum(flag_col).over(ex), F.lit(0))).cast("bigint").alias(f"{prefix}_f"))
+    by_step = chunk.orderBy("step")
+    for name, (lo, hi, measure) in ranges.items():
+        frame = by_step.rangeBetween(-lo, -hi)  # holds nothing inside one step of a hot key
+        cold = F.count(F.lit(1)).over(frame) if measure == "count" else F.sum("amount").over(frame)
+        value = F.col(f"p_{name}") if hot is None else F.when(is_hot, F.col(f"p_{name}")).otherwise(cold)
+        out.append((value if measure == "count" else value.cast("decimal(38,2)")).alias(name))
+    return j.select(*[keyed[c] for c in rows.columns], *out)
 
 
 def _avg(s: str, n: str) -> Column:
@@ -223,9 +260,10 @@ def _add_dest(df: DataFrame, cfg: RiskConfig, source: DataFrame, fan_in: bool) -
     rng = {f"d_v{h}": (h, 1, "count") for h in cfg.velocity_windows}
     rng["d_a24"] = (24, 1, "sum")
     rng["d_v1"] = (1, 1, "count")
-    # the first-contact flag is on the growing row only, so the split of a hot receiver reads that
-    df = history(df, ["name_dest"], cfg, source=None if fan_in else source, prefix="d", want_max=True, want_prev=True,
-                 flag_col="is_first_contact" if fan_in else None, ranges=rng)
+    # the first-contact flag is on the growing row only; the split of a hot receiver finds it by aggregation
+    first = source.groupBy("name_orig", "name_dest").agg(F.min(F.struct("step", "txn_id")).alias("f")).select("name_dest", "f.*")
+    df = history(df, ["name_dest"], cfg, source=source, prefix="d", want_max=True, want_prev=True,
+                 flag_col="is_first_contact" if fan_in else None, flagged=first if fan_in else None, ranges=rng)
     long_w = max(cfg.velocity_windows)
     v24, vlong = F.col("d_v24"), F.col(f"d_v{long_w}")
     avg = _avg("d_s", "d_n")

@@ -70,6 +70,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import StandardScaler, VectorAssembler  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
+from riskframe.models.compiled import Linear, changed_nodes, changed_scores, compiled, linear_terms, score, score_parts  # noqa: E402
 from riskframe.operators.features import MODEL_COLUMNS, fill_missing  # noqa: E402
 
 RF_FULL = dict(numTrees=120, maxDepth=14, minInstancesPerNode=40, subsamplingRate=1.0)
@@ -185,32 +186,29 @@ def top_importance(importance: DataFrame, k: int = 25) -> DataFrame:
     return importance.orderBy(F.col("importance").desc(), "feature").limit(k)
 
 
-def linear_attribution(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS) -> DataFrame:
+def linear_attribution(model: PipelineModel | Linear, rows: DataFrame, columns=MODEL_COLUMNS) -> DataFrame:
     """Mean |coef_j * (x_j - mean_j) / sd_j| over all rows -- exact SHAP for a linear model
     with independent features, as one distributed aggregate (no sampling, no per-row library)."""
-    scaler, lr = model.stages[1], model.stages[-1]
-    mean, std = scaler.mean.toArray().tolist(), scaler.std.toArray().tolist()
-    coef = lr.coefficients.toArray().tolist()
-    x = fill_missing(rows, list(columns))
-    aggs = []
-    for c, m, s, w in zip(columns, mean, std, coef):
-        z = (dbl(c) - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
-        aggs.append(F.avg(F.abs(F.lit(w) * z)).alias(c))
-    wide = x.agg(*aggs)
-    long = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_attribution"))
-                                           for c in columns])).alias("s")).select("s.*")
-    return long
+    plain = model if isinstance(model, Linear) else compiled(model, columns)
+    terms = linear_terms(plain)
+    wide = rows.agg(*[F.avg(F.abs(F.expr(terms[c]) if c in terms else F.lit(0.0))).alias(c) for c in plain.columns])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_attribution"))
+                                           for c in plain.columns])).alias("s")).select("s.*")
 
 
 def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, repeats: int = 3,
-                           sample_fraction: float | None = None, bucket_rows: int = 20_000,
+                           sample_fraction: float | None = None, bucket_rows: int = 20_000, most_nodes: int = 1_000,
                            cfg: RiskConfig = DEFAULT) -> DataFrame:
     """AP drop when one feature is shuffled, over all rows (sample_fraction: a hash sample of both classes, opt-in).
 
     A feature is permuted inside random buckets of about bucket_rows rows, by
     the order of a hash of (txn_id, feature, repeat, seed), so a retried task
     gives the same permutation.  Only (row, feature, repeat, value) is dealt
-    out; the wide copies exist where they are scored and leave as one score.
+    out, and a row meets all its new values at once.  A linear model, and trees
+    whose changes take up to most_nodes nodes (more would not compile), are
+    scored by what a new value changes: the margin by one term, the sum of
+    trees by those that use the feature.  Larger forests are scored on a wide
+    copy of the row for each value.
     """
     from riskframe.operators.ranking import ranking_metrics
     columns = list(columns)
@@ -228,12 +226,23 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_
         "pair", F.explode(F.arrays_zip("own", "other")).alias("z")).select(
         F.col("z.own").alias("t"), "pair", F.col("z.other.v").alias("v"))
     by_row = dealt.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("pair", "v"))).alias("given"))
-    wide = x.join(by_row, x["txn_id"] == by_row["t"]).select("is_fraud", *columns, F.explode("given").alias("g"))
-    of = {c: [i for i, (f, _) in enumerate(pairs) if f == c] for c in columns}
-    wide = wide.select("is_fraud", F.col("g.pair").alias("pair"),
-                       *[F.when(F.col("g.pair").isin(of[c]), F.col("g.v")).otherwise(F.col(c)).alias(c) for c in columns])
-    scored = model.transform(wide).select("pair", "is_fraud", vector_to_array("probability")[1].alias("score"))
-    base = model.transform(x).select("is_fraud", vector_to_array("probability")[1].alias("score"))
+    met = x.join(by_row, x["txn_id"] == by_row["t"])
+    plain = compiled(model, columns)
+    if changed_nodes(plain, [c for c, _ in pairs]) <= most_nodes:
+        base = x.select("is_fraud", score(plain).alias("score"))
+        given = {i: F.col("given")[i]["v"] for i in range(len(pairs))}
+        scores = F.array(*[F.struct(F.lit(i).alias("pair"), s.alias("score")) for i, s in
+                           changed_scores(plain, [(c, given[i]) for i, (c, _) in enumerate(pairs)]).items()])
+        # the margin, or the trees' sums, once a row; then each score from what its one feature changes
+        with_parts = met.select("is_fraud", "given", *columns, *score_parts(plain))
+        scored = with_parts.select("is_fraud", F.explode(scores).alias("s")).select("is_fraud", "s.pair", "s.score")
+    else:
+        wide = met.select("is_fraud", *columns, F.explode("given").alias("g"))
+        of = {c: [i for i, (f, _) in enumerate(pairs) if f == c] for c in columns}
+        wide = wide.select("is_fraud", F.col("g.pair").alias("pair"),
+                           *[F.when(F.col("g.pair").isin(of[c]), F.col("g.v")).otherwise(F.col(c)).alias(c) for c in columns])
+        scored = model.transform(wide).select("pair", "is_fraud", vector_to_array("probability")[1].alias("score"))
+        base = model.transform(x).select("is_fraud", vector_to_array("probability")[1].alias("score"))
     base_ap = ranking_metrics(base, cfg=cfg).select(F.col("pr_auc").alias("base_ap"))
     ap = ranking_metrics(scored, group_cols=["pair"], cfg=cfg)
     name = F.element_at(F.array(*[F.lit(c) for c, _ in pairs]), F.col("pair") + 1)

@@ -25,3 +25,8 @@ def exchanges(df: DataFrame) -> list[str]:
     """Shuffle exchanges in the (pre-AQE) physical plan, as printed."""
     plan = df._jdf.queryExecution().executedPlan().toString()
     return re.findall(r"Exchange (?:hash|range)partitioning\([^\n]*|Exchange SinglePartition[^\n]*", plan)
+
+
+def plan_text(df: DataFrame) -> str:
+    """The (pre-AQE) physical plan as printed."""
+    return df._jdf.queryExecution().executedPlan().toString()

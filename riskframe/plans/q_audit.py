@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from riskframe.operators import audit as au
 from riskframe.oracles.base import TXN, cnt, pct, q, with_ctes
-from riskframe.plans.catalog import register
+from riskframe.plans.catalog import CATALOG, register
 from riskframe.sources.fixtures import events_transactions
 
 T = events_transactions
@@ -32,9 +32,9 @@ SELECT * EXCLUDE (issues), {_TOTAL_MISSING} AS total_missing_values, {pct('surpl
 FROM (
   SELECT *, concat_ws('; ',
       CASE WHEN negative_amount > 0 THEN 'negative transaction amounts present' END,
-      CASE WHEN zero_amount > 0 THEN 'transactions with amount = 0' END,
+      CASE WHEN zero_amount > 0 THEN format('{{:,}}', zero_amount) || ' transactions with amount = 0' END,
       CASE WHEN steps_below_1 > 0 THEN 'step values below 1' END,
-      CASE WHEN surplus_rows > 0 THEN 'exactly duplicated rows (may be genuine repeats)' END) AS issues
+      CASE WHEN surplus_rows > 0 THEN format('{{:,}}', surplus_rows) || ' exactly duplicated rows (may be genuine repeats)' END) AS issues
   FROM (SELECT COUNT(*) AS total_rows, {_NULLS}, {cnt('amount = 0')} AS zero_amount,
                {cnt('amount < 0')} AS negative_amount, {cnt('step < 1')} AS steps_below_1 FROM transactions) a,
        (SELECT CAST(COUNT(*) AS BIGINT) AS duplicate_groups, CAST(COALESCE(SUM(occurrences - 1), 0) AS BIGINT) AS surplus_rows
@@ -260,12 +260,12 @@ def q_univariate_auc(spark, sf):
     return au.univariate_auc(T(spark, sf))
 
 
-_DECISIONS_VALUES = ", ".join(f"('{c}', '{r}', '{d}')" for c, r, d in au.LEAKAGE_DECISIONS)
+_DECISIONS_VALUES = ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in au.LEAKAGE_DECISIONS)
 
 
 @register("leakage_decisions", with_ctes(f"""
-SELECT d."column", d.leakage_risk, d.primary_model_decision, u.roc_auc AS roc_auc_single_feature, u.pr_auc AS pr_auc_single_feature
-FROM (VALUES {_DECISIONS_VALUES}) d("column", leakage_risk, primary_model_decision)
+SELECT d."column", d.leakage_risk, d.primary_model_decision, d.reason, u.roc_auc AS roc_auc_single_feature, u.pr_auc AS pr_auc_single_feature
+FROM (VALUES {_DECISIONS_VALUES}) d("column", leakage_risk, primary_model_decision, reason)
 LEFT JOIN rm u ON u."column" = d."column" """, TXN, _RESID, ranking_sql(_SUSPECT_UNION, '"column"')))
 def q_leakage_decisions(spark, sf):
     return au.leakage_decisions(T(spark, sf))
@@ -336,14 +336,58 @@ def q_amount_ranking(spark, sf):
     return au.amount_ranking(T(spark, sf))
 
 
-@register("structure")
+# fixed values: the canonical schema, in order
+_STRUCTURE = [("txn_id", "bigint"), ("step", "int"), ("txn_type", "string"), ("amount", "decimal(18,2)"), ("name_orig", "string"),
+              ("name_dest", "string"), *((f"{a}_balance_{b}", "decimal(18,2)") for b in ("orig", "dest") for a in ("old", "new")),
+              ("is_fraud", "int"), ("is_flagged_fraud", "int")]
+_STRUCTURE_SQL = (
+    'SELECT s.position, s."column", s.dtype, n_rows, ' + f"{len(_STRUCTURE)} AS n_columns FROM (VALUES "
+    + ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(_STRUCTURE))
+    + ') s(position, "column", dtype), (SELECT COUNT(*) AS n_rows FROM transactions)')
+
+
+@register("structure", _sql(_STRUCTURE_SQL))
 def q_structure(spark, sf):
     return au.structure(T(spark, sf))
 
 
-@register("full_audit")
+# section -> (query, numbers, texts); the item column is named in operators.audit
+_SECTIONS = {
+    "structure": ("structure", "position n_rows n_columns", "dtype"),
+    "data_quality": ("quality_counts", " ".join(["total_rows", *(f"null_{c}" for c, _ in _STRUCTURE)])
+                     + " zero_amount negative_amount steps_below_1 duplicate_groups surplus_rows total_missing_values"
+                     " duplicate_row_pct", "data_quality_issues"),
+    "step_and_time": ("step_profile", "step_min step_max unique_steps missing_steps_in_range implied_steps implied_days"
+                      " transactions_per_step_mean transactions_per_step_min transactions_per_step_max daily_volume_min"
+                      " daily_volume_max", ""),
+    "transaction_type": ("profile_by_type", "transactions pct_of_volume fraud fraud_rate_pct share_of_all_fraud_pct total_amount"
+                         " mean_amount median_amount has_fraud", ""),
+    "amount": ("amount_stats", "count sum mean median std min q1 q3 p90 p99 max fraud_value_share_pct", ""),
+    "target": ("class_balance", "transactions fraud legitimate fraud_rate_pct legit_per_fraud always_legit_accuracy_pct", ""),
+    "flagged": ("flag_rule_audit", "flagged_count flagged_pct flagged_and_fraud flagged_and_legitimate fraud_not_flagged"
+                " share_of_fraud_flagged_pct min_flagged_amount", "types_flagged"),
+    "account_repetition": ("account_repetition", "unique_accounts repeat_accounts pct_accounts_repeat pct_txns_from_repeat"
+                           " mean_txns_per_account median_txns_per_account max_txns_one_account accounts_1_txn accounts_2_txns"
+                           " accounts_3_to_5_txns accounts_6_to_20_txns accounts_21_plus_txns", ""),
+    "leakage_audit": ("leakage_checks", "fraud_pct legitimate_pct separation_pct_points", ""),
+    "honest_baselines": ("rule_baselines", "TP FP FN TN accuracy precision recall fraud_capture_rate f1 false_positive_rate"
+                         " alert_volume alert_rate", ""),
+}
+
+
+def _section_sql(section: str) -> str:
+    """The cells of a section's own SQL: numbers in value, strings in text."""
+    query, numbers, texts = _SECTIONS[section]
+    item = f's."{au.SECTION_ITEM[section]}"' if section in au.SECTION_ITEM else "''"
+    cells = [f"{{'metric': '{c}', 'value': CAST(s.\"{c}\" AS DOUBLE), 'text': CAST(NULL AS VARCHAR)}}" for c in numbers.split()]
+    cells += [f"{{'metric': '{c}', 'value': CAST(NULL AS DOUBLE), 'text': s.\"{c}\"}}" for c in texts.split()]
+    return (f"SELECT section, item, cell.metric AS metric, cell.value AS value, cell.text AS text FROM (SELECT '{section}' AS section, "
+            f"{item} AS item, unnest([{', '.join(cells)}]) AS cell FROM ({CATALOG[query][1]}) s)")
+
+
+@register("full_audit", " UNION ALL ".join(map(_section_sql, _SECTIONS)))
 def q_full_audit(spark, sf):
-    """The rows of every section; a failing section shows its error."""
+    """The cells of every section; a failing section shows its error."""
     return au.audit_report(au.full_audit(T(spark, sf)))
 
 

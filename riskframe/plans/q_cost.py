@@ -74,16 +74,18 @@ def q_summarise_at(spark, sf):
     return co.summarise_at(co.threshold_sweep(tst, extra_thresholds=[t]), t)
 
 
+_BAND_VALUES = ", ".join(f"({i}, '{b}', '{a}', '{co.band_rationale()[b]}')" for i, (b, a) in enumerate(co.BAND_ACTIONS))
+
+
 def _band_sql() -> str:
     block = "SELECT threshold FROM b_sweep ORDER BY total_cost, threshold LIMIT 1"
     verify = "SELECT threshold FROM r_sweep ORDER BY total_cost, threshold LIMIT 1"
     return with_ctes(f"""
 SELECT band_order, band, CASE band WHEN 'LOW' THEN 0.0 WHEN 'MEDIUM' THEN v ELSE h END AS lower_bound,
-  CASE band WHEN 'LOW' THEN v WHEN 'MEDIUM' THEN h ELSE NULL END AS upper_bound, action,
+  CASE band WHEN 'LOW' THEN v WHEN 'MEDIUM' THEN h ELSE NULL END AS upper_bound, action, rationale,
   v AS medium_risk_threshold_verify, h AS high_risk_threshold_block
 FROM (SELECT ({block}) AS h, least(({verify}), ({block})) AS v) t,
-     (VALUES (0, 'LOW', 'allow without friction'), (1, 'MEDIUM', 'step-up verification / manual review'),
-             (2, 'HIGH', 'block / hard decline')) a(band_order, band, action)""",
+     (VALUES {_BAND_VALUES}) a(band_order, band, action, rationale)""",
         TXN, SCORED, FIXED, grid_ctes("scored", ""), counts_cte("scored", ""),
         metrics_cte("", DEFAULT.cost_fn, DEFAULT.cost_fp, "b_sweep"),
         metrics_cte("", DEFAULT.cost_fn, DEFAULT.cost_verify, "r_sweep"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from riskframe.config import DEFAULT
+from riskframe.models import compiled as cm
+from riskframe.models import frozen
 from riskframe.operators import dashboard as db
 from riskframe.operators import features as fe
 from riskframe.oracles.base import FEATURES, LINEITEM_TXN, TXN, cnt, pct, with_ctes
@@ -305,29 +307,29 @@ def q_top_scored_examples(spark, sf):
         "risk_band", "is_fraud")
 
 
-EXAMPLE_FEATURES = fe.MODEL_COLUMNS[:5]
-_EX_UNION = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM scd" for c in EXAMPLE_FEATURES)
-_EX_TOP = " UNION ALL ".join(
-    f"SELECT txn_id, step, txn_type, CAST(amount AS DOUBLE) AS amount, fraud_probability, risk_band, is_fraud AS actual_label, "
-    f"'{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM top" for c in EXAMPLE_FEATURES)
+# the importance table of the frozen forest, as SQL and (at run time) as a table
+_IMPORTANCE = "imp AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', {cm.number(v)})" for c, v in cm.importance(frozen.forest()).items()) + ") i(feature, importance))"
+_LEAD = "lead AS (SELECT feature, ROW_NUMBER() OVER (ORDER BY importance DESC, feature) AS feature_rank FROM imp)"
+_LONG = "long AS (" + " UNION ALL ".join(
+    f"SELECT txn_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM scd" for c in frozen.forest().columns) + ")"
+_MED = """med AS (SELECT l.feature, CAST(feature_rank AS INTEGER) AS feature_rank, quantile_cont(value, 0.5) AS m
+          FROM long l JOIN lead ON lead.feature = l.feature WHERE feature_rank <= 5 AND value IS NOT NULL GROUP BY ALL)"""
 
 
-@register("explain_examples", _ev_sql(f"""
-WITH top AS (SELECT * FROM scd ORDER BY fraud_probability DESC, txn_id LIMIT 10),
-med AS (SELECT feature, quantile_cont(v, 0.5) AS m FROM ({_EX_UNION}) s WHERE v IS NOT NULL GROUP BY feature)
-SELECT e.txn_id, e.step, e.txn_type, e.amount, e.fraud_probability, e.risk_band, e.actual_label, e.feature, e.value,
-  round(m, 9) AS population_median,
-  CASE WHEN e.value > m THEN 'above' WHEN e.value < m THEN 'below' ELSE 'at' END AS relative_position
-FROM ({_EX_TOP}) e JOIN med ON e.feature = med.feature WHERE e.value IS NOT NULL"""))
+@register("explain_examples", _ev_sql("""
+SELECT t.txn_id, t.step, t.txn_type, CAST(t.amount AS DOUBLE) AS amount, t.fraud_probability, t.risk_band, t.is_fraud AS actual_label,
+  med.feature_rank, l.feature, l.value, round(m, 9) AS population_median,
+  CASE WHEN l.value > m THEN 'above' WHEN l.value < m THEN 'below' ELSE 'at' END AS relative_position
+FROM (SELECT * FROM scd ORDER BY fraud_probability DESC, txn_id LIMIT 10) t JOIN long l ON l.txn_id = t.txn_id
+JOIN med ON med.feature = l.feature WHERE l.value IS NOT NULL""", _IMPORTANCE, _LEAD, _LONG, _MED))
 def q_explain_examples(spark, sf):
-    return db.explain_examples(_ev(spark, sf).scored_test, EXAMPLE_FEATURES)
+    """I4: the leading features come from the importance table of a forest (frozen, so that SQL can follow)."""
+    return db.explain_examples(_ev(spark, sf).scored_test, cm.importance_table(spark, frozen.forest()))
 
 
-_VAM_FEATS = ["amount", "dest_prior_txn_count", "dest_txn_prev_24h"]
-
-
-@register("values_above_median", _ev_sql(
-    "SELECT txn_id, " + ", ".join(f"CASE WHEN CAST({c} AS DOUBLE) > (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM scd) "
-                                  f"THEN 1 ELSE 0 END AS {c}_above_median" for c in _VAM_FEATS) + " FROM scd"))
+@register("values_above_median", _ev_sql("""
+SELECT l.txn_id, l.feature, CASE WHEN l.value > m THEN 1 ELSE 0 END AS above_median
+FROM long l JOIN med ON med.feature = l.feature WHERE l.value IS NOT NULL""", _IMPORTANCE, _LEAD, _LONG, _MED))
 def q_values_above_median(spark, sf):
-    return db.values_above_median(_ev(spark, sf).scored_test, _VAM_FEATS)
+    return db.values_above_median(_ev(spark, sf).scored_test, cm.importance_table(spark, frozen.forest()))

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskframe.models import compiled as cm
+from riskframe.models import frozen
 from riskframe.operators import dashboard as db
 from riskframe.operators import features as fe
 from riskframe.operators import model as md
 from riskframe.operators.ranking import ranking_metrics
-from riskframe.oracles.base import TXN, pct, with_ctes
+from riskframe.oracles.base import FEATURES, TXN, pct, with_ctes
 from riskframe.plans.catalog import register
 from riskframe.plans.q_analysis import SPLIT_SQL
+from riskframe.plans.q_audit import ranking_sql
 from riskframe.sources.fixtures import events_transactions
 
 T = events_transactions
@@ -148,6 +151,41 @@ def q_permutation_importance(spark, sf):
     return md.permutation_importance(m, test, repeats=3)
 
 
+_FROZEN = {"logistic_regression": frozen.logreg, "random_forest": frozen.forest, "boosted_trees": frozen.boosted}
+
+
+@register("frozen_score_rows", with_ctes(
+    "SELECT txn_id, " + ", ".join(f"round({cm.score_sql(m())}, 12) AS {name}" for name, m in _FROZEN.items()) + " FROM features",
+    TXN, FEATURES))
+def q_frozen_score_rows(spark, sf):
+    """M12 with models fitted once: every transaction scored by the compiled logistic regression, forest and boosted trees."""
+    rows = fe.build_features(T(spark, sf))
+    return rows.select("txn_id", *[F.round(cm.score(m()), 12).alias(name) for name, m in _FROZEN.items()])
+
+
+@register("frozen_linear_attribution", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(AVG(abs({t})), 9) AS mean_abs_attribution FROM features"
+    for c, t in cm.linear_terms(frozen.logreg()).items()), TXN, FEATURES))
+def q_frozen_linear_attribution(spark, sf):
+    """I3 for the frozen logistic regression, over all transactions; features without weight or spread are left out."""
+    found = md.linear_attribution(frozen.logreg(), fe.build_features(T(spark, sf)))
+    return found.where(F.col("feature").isin(list(cm.linear_terms(frozen.logreg())))).select(
+        "feature", F.round("mean_abs_attribution", 9).alias("mean_abs_attribution"))
+
+
+@register("frozen_model_comparison", with_ctes(
+    "SELECT model, roc_auc, pr_auc, pr_auc_no_skill_baseline, pr_auc_lift_over_no_skill FROM rm",
+    TXN, FEATURES, ranking_sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS model, round({cm.score_sql(m())}, 12) AS value, is_fraud AS y FROM features" for name, m in _FROZEN.items()),
+        "model")))
+def q_frozen_model_comparison(spark, sf):
+    """M6, M7 and M9 on model scores: PR-AUC and ROC-AUC of each frozen model over all transactions."""
+    rows = fe.build_features(T(spark, sf))
+    long = rows.select("is_fraud", F.explode(F.array(*[F.struct(F.lit(name).alias("model"), F.round(cm.score(m()), 12).alias("score"))
+                                                       for name, m in _FROZEN.items()])).alias("s")).select("is_fraud", "s.*")
+    return ranking_metrics(long, group_cols=["model"])
+
+
 @register("linear_attribution")
 def q_linear_attribution(spark, sf):
     _, train, _, test = _split_features(spark, sf)

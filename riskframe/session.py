@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "riskframe") -> SparkSession:
@@ -67,3 +69,21 @@ def release_cached() -> None:
         df = _HELD.pop()
         if df.sparkSession.sparkContext._jsc is not None:  # a stopped session has nothing to release
             df.unpersist(blocking=False)
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet under the shared checkpoint folder and read back: for small tables that several plans
+    read, so that none computes them again and none depends on an executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskframe-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_SMALL_TABLE = 1 << 18  # rows of a control table that may be broadcast
+
+
+def small_table(df: DataFrame, weight: Column | None = None) -> tuple[DataFrame, int]:
+    """df with a broadcast hint if its counted size allows one, and its rows (one small job); weight: values in a row."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight if weight is not None else F.lit(1)), F.lit(0))).first()
+    return (F.broadcast(df) if size <= _SMALL_TABLE else df), n

@@ -146,8 +146,8 @@ def test_a_failing_section_costs_no_other(txns):
     ok = txns.agg(F.count("*").alias("n"))
     boom = txns.select(F.raise_error(F.lit("boom")).cast("int").alias("x"))
     rows = {r["section"]: r for r in audit_report({"a": ok, "b": boom, "c": ok}).collect()}
-    assert rows["b"]["error"] and "boom" in rows["b"]["error"] and rows["b"]["values"] is None
-    assert rows["a"]["error"] is None and rows["c"]["values"] == rows["a"]["values"]
+    assert rows["b"]["metric"] == "error" and "boom" in rows["b"]["text"] and rows["b"]["value"] is None
+    assert rows["a"]["text"] is None and rows["c"]["value"] == rows["a"]["value"] > 0
 
 
 def test_hour_calendar_has_every_hour(txns):

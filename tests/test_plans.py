@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from riskframe.config import RiskConfig
+from riskframe.operators import audit as au
 from riskframe.operators import features as fe
-from riskframe.plans.inspect import exchanges, scan_summary
+from riskframe.plans.inspect import exchanges, plan_text, scan_summary
 from riskframe.sources import contract
 from riskframe.sources.fixtures import events_transactions, lineitem_transactions
 
@@ -68,6 +69,43 @@ def test_feature_chain_deals_full_rows_three_times(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # the type prefix alone is joined
 
 
+def test_feature_chain_with_hot_keys_keeps_one_branch(spark):
+    """Rows are dealt once a family, hot keys or not; every family's windows stand once in the plan."""
+    txns = events_transactions(spark, "/root/testdata/sf0.001")
+    df = fe.build_features(txns, RiskConfig(hot_key_rows=3))
+    assert len(exchanges(df)) <= 8
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window")]
+    cold = fe.build_features(txns)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(windows) <= 1 + sum(line.lstrip(" :+-").startswith("Window") for line in cold.splitlines())
+    assert sum("is_first_contact" in line for line in windows) == 1  # the sum over it; found by one pair window
+
+
+def test_large_groups_are_cut_evenly_whatever_their_ids(spark):
+    """Ids in two far clusters and one far outlier: no range holds more than twice history_block rows."""
+    ids = [*range(1000, 9000), *range(10 ** 12, 10 ** 12 + 9000), 2 ** 62]
+    df = spark.createDataFrame([(i, 5, "C1") for i in ids] + [(i, 6, "C1") for i in range(500)], "txn_id long, step int, name_orig string")
+    src = df.select("txn_id", "step", F.struct("name_orig").alias("_key"))
+    block = 512
+    out = fe._blocked(src, RiskConfig(history_block=block))(src)
+    ranges = out.groupBy("step", "_blk").agg(F.count("*").alias("n"), F.min("txn_id").alias("lo"), F.max("txn_id").alias("hi")).collect()
+    big = sorted((r for r in ranges if r["step"] == 5), key=lambda r: r["_blk"])
+    assert len(big) > 20 and all(r["n"] <= 2 * block for r in big) and sum(r["n"] for r in big) == len(ids)
+    assert all(a["hi"] < b["lo"] for a, b in zip(big, big[1:]))
+    assert [r["_blk"] for r in ranges if r["step"] == 6] == [0]
+
+
+def test_duplicates_shuffle_no_key_columns_of_unique_rows(spark):
+    txns = events_transactions(spark, "/root/testdata/sf0.001")
+    both = txns.unionByName(txns.where("txn_id % 10 = 0")).unionByName(txns.where("txn_id % 10 = 0").limit(1))
+    assert tuple(au.duplicate_rows(both).first()) == (100, 101)
+    nulls = spark.createDataFrame([(1, None, "a"), (1, "a", None), (1, None, "a"), (None, None, None), (None, None, None)], "x int, y string, z string")
+    assert tuple(au.duplicate_rows(nulls, ["x", "y", "z"]).first()) == (2, 2)
+    plan = plan_text(au.duplicate_rows(both))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
 def test_one_family_queries_build_no_other_family(spark):
     for name, other in (("orig_gap", "name_dest"), ("velocity", "name_orig"), ("dest_gap", "name_orig"), ("type_baseline", "name_dest")):
         plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
