@@ -103,7 +103,7 @@ def q_rename_and_cast(spark, sf):
 def q_txn_id(spark, sf):
     """Order-preserving surrogate key built from file splits (events file order = event order)."""
     ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").drop("event_id")
-    keyed = ct.with_txn_id(ev)
+    keyed = ct.sequential_ids(ev)
     # rebuild the canonical columns on the keyed scan: same derivation, new key
     from riskframe.sources.fixtures import EVENT_TYPE_MAP, _case
     return keyed.select(

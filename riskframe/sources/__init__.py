@@ -2,7 +2,7 @@
 
 from riskframe.sources.contract import (  # noqa: F401
     ContractError, RAW_SCHEMA, load_summary, rename_and_cast, scan_contract,
-    validate_columns, with_txn_id, early_window, raw_from_canonical,
+    validate_columns, early_window, raw_from_canonical,
 )
 from riskframe.sources.fixtures import (  # noqa: F401
     events_transactions, lineitem_transactions, scorecard, transactions_for,

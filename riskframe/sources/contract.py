@@ -10,8 +10,11 @@ step needs a global single-task row_number.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,21 +55,41 @@ def validate_columns(columns, required=RAW_COLUMNS) -> list[str]:
     return list(required)
 
 
+def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, value): the first line of each file that has one.
+
+    Each file is a limit of its own, so a task opens it and stops after a line.
+    A session of its own keeps files from being split, as every split would be
+    opened for a first line."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1t")
+    session.conf.set("spark.sql.files.openCostInBytes", "1t")
+    lines = [session.read.text(f).limit(1).select(F.lit(f).alias("file"), "value") for f in files]
+    return reduce(DataFrame.unionAll, lines)
+
+
+_FILES_A_JOB = 64
+_JOBS = 4  # at a time
+
+
 def files_by_header(spark: SparkSession, path: str, sep: str = ",", required=RAW_COLUMNS) -> dict[str, list[str]]:
     """Header line -> files under `path` that begin with it, for headers that hold every required column.
 
-    The lines are read and filtered by Spark; a header names all required
-    columns, which no data row does.  The driver gets one path per file, as any
-    read of a list of files needs.  Other files are skipped.
+    The driver gets one path and header per file, as any read of a list of
+    files needs; the data is not read.  Other files are skipped.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"),
-                                         F.col("_metadata.file_block_start").alias("at"), "value")
-    names = F.transform(F.split("value", f"\\Q{sep}\\E"), lambda c: F.trim(F.regexp_replace(c, '"', "")))
-    found = F.size(F.array_intersect(names, F.array(*map(F.lit, required)))) == len(required)
-    rows = lines.where((F.col("at") == 0) & found).groupBy("value").agg(F.sort_array(F.collect_set("file")).alias("files")).collect()
-    if not rows:
+    files = sorted(map(unquote, spark.read.text(path).inputFiles()))  # the listing gives escaped names
+    parts = [files[i:i + _FILES_A_JOB] for i in range(0, len(files), _FILES_A_JOB)]
+    out: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(_JOBS) as pool:
+        for rows in pool.map(lambda part: first_lines(spark, part).collect(), parts):
+            for r in rows:
+                names = {c.strip().replace('"', "") for c in r["value"].split(sep)}
+                if names.issuperset(required):
+                    out.setdefault(r["value"], []).append(r["file"])
+    if not out:
         raise ContractError(f"no file under {path} carries all required columns {list(required)}")
-    return {r["value"]: r["files"] for r in sorted(rows)}
+    return {header: sorted(out[header]) for header in sorted(out)}
 
 
 def scan_contract(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -115,43 +138,18 @@ def rename_and_cast(raw: DataFrame) -> DataFrame:
     return raw.select(*extra, *cols)
 
 
-def with_txn_id(df: DataFrame, id_col: str = "txn_id") -> DataFrame:
-    """Order-preserving surrogate key (1-based) for file sources without an id.
-
-    Position inside a split comes from monotonically_increasing_id (consecutive
-    within a scan partition); split offsets come from a prefix sum over the
-    per-split row counts, a table with one row per file split (AQE broadcasts
-    it at runtime only if it is small).  Must be applied directly on a scan.
-    """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_fp"),
-        F.col("_metadata.file_block_start").alias("_fb"),
-        F.monotonically_increasing_id().alias("_mono"),
-    )
-    splits = tagged.groupBy("_fp", "_fb").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_m0"))
-    # one row per split: a window without partitioning is fine on this table
-    from pyspark.sql import Window as W
-    splits = splits.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(W.orderBy("_fp", "_fb").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    out = (tagged.join(splits.select("_fp", "_fb", "_m0", "_off"), ["_fp", "_fb"])
-           .withColumn(id_col, (F.col("_off") + F.col("_mono") - F.col("_m0") + 1).cast("bigint")))
-    return out.drop("_fp", "_fb", "_mono", "_m0", "_off")
-
-
 def sequential_ids(df: DataFrame, base: int = 0, id_col: str = "txn_id") -> DataFrame:
-    """Load-order ids base+1.. for rows fresh from a file read (also inside a streaming micro-batch).
+    """Load-order ids base+1.. for rows fresh from a file read (also inside a streaming micro-batch).
 
     Groups are (scan partition, file): within one, monotonically_increasing_id
     is consecutive; the group table (one row per split/file) gets a prefix sum
     and is joined back, so no step orders the whole batch in one task.
     """
-    from pyspark.sql import Window as W
     tagged = df.select("*", F.spark_partition_id().alias("_p"), F.input_file_name().alias("_f"),
                        F.monotonically_increasing_id().alias("_mono"))
     groups = tagged.groupBy("_p", "_f").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_m0"))
     groups = groups.withColumn("_off", F.coalesce(
-        F.sum("_n").over(W.orderBy("_f", "_m0").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        F.sum("_n").over(Window.orderBy("_f", "_m0").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     out = tagged.join(groups.select("_p", "_f", "_m0", "_off"), ["_p", "_f"]) \
         .withColumn(id_col, (F.lit(base) + F.col("_off") + F.col("_mono") - F.col("_m0") + 1).cast("bigint"))
     return out.drop("_p", "_f", "_mono", "_m0", "_off")

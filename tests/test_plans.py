@@ -121,10 +121,48 @@ def test_sequential_ids_are_dense_in_file_order(spark):
     assert r[0] == r[1] == r[3] and r[2] == 1 and r[4] == 0
 
 
-def test_metadata_txn_id_matches_file_order(spark):
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    got = contract.with_txn_id(ev)
-    assert got.where(F.col("txn_id") != F.col("event_id") + 1).count() == 0
+def test_sequential_ids_follow_files_and_splits(spark, tmp_path):
+    """Many files of many splits each: ids run in the order of file name and line."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    at = 0
+    for i, n in enumerate((900, 20, 1500, 1)):
+        (tmp_path / f"part-{i}.csv").write_text("x\n" + "".join(f"{at + k}\n" for k in range(n)))
+        at += n
+    df = session.read.option("header", True).schema("x long").csv(str(tmp_path))
+    assert df.rdd.getNumPartitions() > 5
+    got = contract.sequential_ids(df)
+    assert got.count() == at and got.where("txn_id <> x + 1").count() == 0
+
+
+def _read_by_scans(df):
+    """Rows that the scans of a collected plan have put out."""
+    def walk(node):
+        if "Scan text" in node.nodeName() or node.nodeName().startswith("Scan "):
+            metric = node.metrics().get("numOutputRows")
+            yield metric.get().value() if metric.isDefined() else 0
+        inner = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            inner = [node.executedPlan()]
+        elif "QueryStage" in node.nodeName():
+            inner = [node.plan()]
+        for child in inner:
+            yield from walk(child)
+    return sum(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_headers_are_found_without_reading_the_data(spark, tmp_path, monkeypatch):
+    header, row = ",".join(contract.RAW_COLUMNS), "1,TRANSFER,1.00,C1,0.1,0.2,C2,,9.99,1,0\n"
+    for name, first in (("a", header), ("b", ",".join(reversed(contract.RAW_COLUMNS))), ("c", "step,amount"), ("d d", header)):
+        (tmp_path / f"{name}.csv").write_text(first + "\n" + row * 120_000)
+    (tmp_path / "e.csv").write_text("")
+    lines = contract.first_lines(spark, [f"{tmp_path}/{n}.csv" for n in "abce"])
+    found = {r["file"].rsplit("/", 1)[1]: r["value"] for r in lines.collect()}
+    assert sorted(found) == ["a.csv", "b.csv", "c.csv"] and found["a.csv"] == header
+    assert 3 <= _read_by_scans(lines) < 100
+    monkeypatch.setattr(contract, "_FILES_A_JOB", 2)
+    by = contract.files_by_header(spark, str(tmp_path))
+    assert sorted(len(f) for f in by.values()) == [1, 2]
 
 
 def test_scan_contract_skips_nonconforming_files(spark):
