@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -71,3 +72,32 @@ def least_hashed(rows: DataFrame, k: int, *cols: str, by: str | None = None) ->
         cut = F.when(F.col(by) == value, F.lit(share(n))).otherwise(cut)
     nth = F.row_number().over(Window.partitionBy(by).orderBy(_hash(*cols), *cols))
     return rows.where(_hash(*cols) < cut).withColumn("__nth", nth).where(F.col("__nth") <= k).drop("__nth")
+
+
+def spark_hash(column: str) -> Column:
+    """The order of LeastHashed, in Spark."""
+    return F.md5(F.col(column).cast("binary"))
+
+
+class LeastHashed:
+    """The k distinct strings of least hash of each kind, of all that a task adds."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.held: dict[str, dict[str, str]] = {}   # kind -> string -> hash
+        self.most: dict[str, str] = {}              # kind -> hash above which nothing is kept
+
+    def add(self, kind: str, text: str) -> None:
+        held = self.held.setdefault(kind, {})
+        if text in held:
+            return
+        h = hashlib.md5(text.encode()).hexdigest()
+        if h <= self.most.get(kind, "g"):
+            held[text] = h
+            if len(held) >= 4 * self.k:
+                kept = sorted(held.items(), key=lambda x: (x[1], x[0]))[:self.k]
+                self.held[kind], self.most[kind] = dict(kept), kept[-1][1]
+
+    def rows(self) -> list[tuple[str, str]]:
+        return [(kind, text) for kind, held in self.held.items()
+                for text, _ in sorted(held.items(), key=lambda x: (x[1], x[0]))[:self.k]]

@@ -4,8 +4,10 @@ Credentials that the patterns find are the labelled examples, one automaton per
 kind; other candidates are the background, one automaton of those with a digit
 and one of those without (long words). Every candidate of the whole corpus, any
 run of 12 or more credential characters, is scored by its likelihood per
-character under each kind's automaton against its background's; it becomes a
-span of the best kind when that is above LEAST_MARGIN, however many others are.
+character under each kind's automaton. It becomes a span of the best kind when
+that is as high as labelled strings of the kind reach themselves, held back
+from the fit, with an end where some of them end, and above its background's
+by LEAST_MARGIN, however many others are.
 Background examples that a kind explains better than the rest of the background
 does are unlabelled credentials, and the background is fitted without them.
 
@@ -18,18 +20,20 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.automaton import CLASSES, Automaton
-from riskframe.llm.common import id_and_text, least_hashed
+from riskframe.llm.common import LeastHashed, id_and_text, spark_hash, stored
 from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked, ordered, pattern_spans
 
 KINDS = ["assign", "access", "hex"]
 LEAST = 12
-LEAST_MARGIN = 0.5  # nats a character
+LEAST_MARGIN = 0.5  # nats a character over the background
+FLOOR_SLACK = 0.1   # nats a character below what labelled strings reach
 GROUNDS = ["", "word"]  # backgrounds: candidates with a digit and without
 FOLDS = 5
 _CACHE = 200_000  # scored strings kept by one worker: speed only
@@ -68,8 +72,9 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 
 def beside(text: str, base: list[Span]) -> tuple[list[Span], list[tuple[int, int]]]:
-    """(runs that hold a base span and more, runs that touch none). base is in order. The value of an assignment ends
-    with its run, so what is left of such a run is the name."""
+    """(runs that hold a key and more, runs and parts of runs to be scored). base is in order.
+
+    The value of an assignment ends with its run; what lies before its name is scored like a run of its own."""
     more, free, at = [], [], 0
     for s, e in candidates(text):
         while at < len(base) and base[at][2] <= s:
@@ -81,7 +86,15 @@ def beside(text: str, base: list[Span]) -> tuple[list[Span], list[tuple[int, int
             i += 1
         if not touched:
             free.append((s, e))
-        elif not any(k == "assign" or a <= s and e <= b for k, a, b in touched):
+        elif any(k == "assign" for k, _, _ in touched):
+            for _, a, b in touched:
+                end = s + len(text[s:a].rstrip("/._-"))
+                if end - s >= LEAST:
+                    free.append((s, end))
+                s = max(s, b)
+            if e - s >= LEAST:
+                free.append((s, e))
+        elif not any(a <= s and e <= b for _, a, b in touched):
             more.append((touched[0][0], s, e))
     return more, free
 
@@ -103,9 +116,11 @@ def examples(text: str) -> list[tuple[str, str]]:
 
 @dataclass
 class Grammar:
-    """Automata by kind and by background. No automata: patterns alone."""
+    """Automata by kind and by background, and the least likelihood a character that a kind's own strings have. No
+    automata: patterns alone."""
     kinds: dict[str, Automaton]
     grounds: dict[str, Automaton]
+    floors: dict[str, float] = field(default_factory=dict)
     cache: dict[str, tuple[float, str]] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
@@ -116,7 +131,8 @@ class Grammar:
         if got is None:
             n = len(symbols) + 1
             ground = self.grounds[ground_of(symbols)].log_likelihood(symbols)
-            got = max(((a.log_likelihood(symbols) - ground) / n, kind) for kind, a in self.kinds.items())
+            own = {k: a.log_likelihood(symbols) if a.may_end(symbols) else -inf for k, a in self.kinds.items()}
+            got = max(((own[k] - ground) / n if own[k] / n >= self.floors.get(k, -inf) else -inf, k) for k in own)
             if len(symbols) < 100:
                 if len(self.cache) >= _CACHE:
                     self.cache.clear()
@@ -162,23 +178,35 @@ def background(kinds: dict[str, Automaton], name: str, strings: list[str]) -> Au
     return Automaton().fit(forms(strings) or ["l9"])
 
 
+def floor(strings: list[str]) -> float:
+    """Likelihood a character that nearly all strings of a kind reach under an automaton fitted without them."""
+    own = []
+    for k in range(min(FOLDS, len(strings))):
+        rest = Automaton().fit([x for i, x in enumerate(strings) if i % FOLDS != k] or strings)
+        own += [rest.log_likelihood(x) / (len(x) + 1) for x in strings[k::FOLDS]]
+    return sorted(own)[len(own) // 50] - FLOOR_SLACK
+
+
 def learn(docs: DataFrame, fit_rows: int = 400, text_col: str = "text") -> Grammar:
     """Grammar from at most fit_rows distinct examples of each kind and of each background, those of least hash over all
-    documents. Kinds without an example get no automaton."""
+    documents. Kinds without an example get no automaton. A task sends no more than that many of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = LeastHashed(fit_rows)
         for batch in batches:
-            got = {x for t in batch.column(0).to_pylist() if t for x in examples(t)}
-            kind, symbols = zip(*got) if got else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(symbols, pa.string())],
-                                             names=["kind", "symbols"])
-
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, symbols string").distinct().persist()
-    strings: dict[str, list[str]] = {kind: [] for kind in [*KINDS, *GROUNDS]}
-    for r in least_hashed(found, fit_rows, "symbols", by="kind").orderBy("symbols").collect():
-        strings[r["kind"]].append(r["symbols"])
-    found.unpersist()
+            for t in batch.column(0).to_pylist():
+                for kind, symbols in examples(t) if t else ():
+                    least.add(kind, symbols)
+        kind, symbols = zip(*least.rows()) if least.held else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(symbols, pa.string())], names=["kind", "symbols"])
+
+    found = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, symbols string").distinct(), "examples")
+    strings: dict[str, list[str]] = {}
+    for kind in [*KINDS, *GROUNDS]:
+        rows = found.where(F.col("kind") == kind).orderBy(spark_hash("symbols"), "symbols").limit(fit_rows).collect()
+        strings[kind] = sorted(r["symbols"] for r in rows)
     kinds = {k: Automaton().fit(strings[k]) for k in KINDS if strings[k]}
-    return Grammar(kinds, {name: background(kinds, name, strings[name]) for name in GROUNDS} if kinds else {})
+    grounds = {name: background(kinds, name, strings[name]) for name in GROUNDS} if kinds else {}
+    return Grammar(kinds, grounds, {k: floor(strings[k]) for k in kinds})
 
 
 def scan(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

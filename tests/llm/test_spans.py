@@ -157,6 +157,92 @@ def test_automaton_tells_formats_apart():
     assert abs(sum(np.exp(a.log_likelihood(s)) for s in {*keys})) <= 1
 
 
+HEX, ALNUM = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def strings(make, n=400, seed=0):
+    random.seed(seed)
+    return [make(lambda abc, k: "".join(random.choices(abc, k=k))).translate(CLASSES) for _ in range(n)]
+
+
+@pytest.mark.parametrize("make, other, states", [
+    (lambda r: r(HEX, 40), lambda r: r(HEX, random.choice([12, 52])), 41),                      # one length
+    (lambda r: "AKIA" + r(ALNUM, 16), lambda r: r(ALNUM, 4) + "9" + r(ALNUM, 15), 21),                  # a prefix and a length
+    (lambda r: "sk_" + r(HEX, 24), lambda r: r(HEX, 24) + "_sk", 28),                                   # order
+    (lambda r: r(HEX, 8) + "-" + r(HEX, 4), lambda r: r(HEX, 4) + "-" + r(HEX, 8), 14)])
+def test_automata_keep_length_prefix_and_order(make, other, states):
+    a = Automaton().fit(strings(make))
+    assert states - 1 <= len(a.passed) <= states + 4
+    own = [a.log_likelihood(x) / (len(x) + 1) for x in strings(make, 100, 1)]
+    odd = [a.log_likelihood(x) / (len(x) + 1) for x in strings(other, 100, 2)]
+    assert min(own) > max(odd)
+    for x in strings(make, 20, 3):  # one character more or less, or two changed over, costs
+        assert a.log_likelihood(x) > max(a.log_likelihood(x[:-1]), a.log_likelihood(x + x[-1]), a.log_likelihood(x[1:])) + 2
+
+
+def test_automata_fold_what_repeats():
+    """Any number of hexadecimal characters, and groups of any number, become loops."""
+    a = Automaton().fit(strings(lambda r: r(HEX, 12 + int(random.expovariate(0.1)))))
+    b = Automaton().fit(strings(lambda r: "-".join(r(HEX, 2) for _ in range(1 + int(random.expovariate(0.3))))))
+    assert len(a.passed) <= 3 and len(b.passed) <= 8
+    assert a.log_likelihood("9" * 200) > -400
+
+
+def test_likelihoods_of_all_strings_sum_to_one():
+    import itertools
+    a = Automaton().fit(strings(lambda r: r("1a", 3), 60))
+    symbols = "9xlXU+/_.=-"
+    total = sum(np.exp(a.log_likelihood("".join(w))) for k in range(5) for w in itertools.product(symbols, repeat=k))
+    assert 0.9 < total < 1 + 1e-9
+
+
+@pytest.mark.parametrize("make", [lambda r: r(HEX, 40), lambda r: r(ALNUM + ALNUM.lower(), 24), lambda r: "sk_live_" + r(ALNUM + ALNUM.lower(), 24),
+                                  lambda r: "ghp_" + r(ALNUM + ALNUM.lower(), 36)])
+def test_recall_of_labelled_formats_and_false_alarms(spark, make):
+    """Nine of ten unlabelled keys of a labelled format are found; identifiers, versions, addresses, dates and words are not."""
+    raw = lambda seed, n: [make(lambda abc, k: "".join(random.choices(abc, k=k))) for _ in range(n)]
+    random.seed(3)
+    rows = [(i, f"token={k} see mail{i % 40}.example.com or release-{i % 9}.{i % 7}.{i % 5}-rc and internationalisation") for i, k in enumerate(raw(0, 300))]
+    grammar = secret_scan.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = [bool(grammar.spans(f"a bare {k} here")[1]) for k in raw(1, 100)]
+    assert sum(found) >= 90
+    say = lambda n: "".join(random.choices(["con", "si", "de", "ra", "tion", "al", "ly", "inter", "o", "pe"], k=n))
+    r = lambda k: "".join(random.choices(HEX, k=k))
+    plain = [x for _ in range(50) for x in (
+        "-".join(r(k) for k in (8, 4, 4, 4, 12)), f"release-{random.randint(1, 20)}.{random.randint(0, 30)}.{random.randint(0, 99)}-rc1",
+        f"www.{say(2)}.com/{say(2)}/{say(3)}.html", f"2024-{random.randint(10, 12)}-{random.randint(10, 28)}T10.{random.randint(10, 59)}",
+        say(6), f"mail{random.randint(1, 30)}.{say(3)}.example.net", "".join(random.choices("0123456789", k=14)))]
+    alarms = [x for x in plain if grammar.spans(f"a bare {x} here")[1]]
+    assert len(alarms) <= 0.03 * len(plain), alarms[:5]
+
+
+def test_parts_beside_an_assignment_are_scored(spark):
+    random.seed(4)
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda: "".join(random.choice(mixed) for _ in range(20))
+    rows = [(i, f"api_key = {key()} on mail{i % 30}.example.com") for i in range(200)]
+    grammar = secret_scan.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    text = f"x {key()}/password=abcdefghijkl y"
+    base, every = grammar.spans(text)
+    assert base == [("assign", 23, 44)] and [s[1:] for s in every] == [(2, 22), (23, 44)]
+    assert grammar.spans("production_database_password=abcdefghijkl")[1] == [("assign", 20, 41)]
+
+
+def test_least_hashed_in_tasks_is_least_hashed_of_all(spark):
+    from riskframe.llm.common import LeastHashed, spark_hash
+    words = [f"w{i % 700}" for i in range(3000)]
+    parts = [LeastHashed(9) for _ in range(4)]
+    for i, w in enumerate(words):
+        parts[i % 4].add("k" if int(w[1:]) % 2 else "l", w)
+    rows = {r for p in parts for r in p.rows()}
+    df = spark.createDataFrame(sorted({(("k" if int(w[1:]) % 2 else "l"), w) for w in words}), "kind string, text string")
+    for kind in "kl":
+        want = [r["text"] for r in df.where(F.col("kind") == kind).orderBy(spark_hash("text"), "text").limit(9).collect()]
+        import hashlib
+        got = sorted((t for k, t in rows if k == kind), key=lambda t: (hashlib.md5(t.encode()).hexdigest(), t))[:9]
+        assert got == want
+
+
 def test_unlabelled_form_is_found_by_likelihood(spark):
     random.seed(5)
     word = lambda n, abc: "".join(random.choice(abc) for _ in range(n))
