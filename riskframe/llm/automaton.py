@@ -177,11 +177,12 @@ class Automaton:
             q = self.next[q].get(c, q)
         return self.stopped[q] > 0 or self.passed[q] < _FEW
 
-    def log_likelihood(self, string: str) -> float:
-        """Natural log of the probability of a string; unseen symbols and stops get a small share (add-half)."""
+    def log_likelihood(self, string: str, stops: bool = True) -> float:
+        """Natural log of the probability of a string, or of all that begin with it; unseen symbols and stops get a small
+        share (add-half)."""
         q, total = 0, 0.0
         for c in string:
             n = self.passed[q] + 0.5 * (SYMBOLS + 1)
             total += log((self.count[q].get(c, 0) + 0.5) / n)
             q = self.next[q].get(c, q)
-        return total + log((self.stopped[q] + 0.5) / (self.passed[q] + 0.5 * (SYMBOLS + 1)))
+        return total if not stops else total + log((self.stopped[q] + 0.5) / (self.passed[q] + 0.5 * (SYMBOLS + 1)))

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import inf
 
 import pyarrow as pa
@@ -33,6 +33,7 @@ from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked
 KINDS = ["assign", "access", "hex"]
 LEAST = 12
 LEAST_MARGIN = 0.5  # nats a character over the background
+MANY_LENGTHS = 3    # of labelled strings: others between them are of the format too
 FLOOR_SLACK = 0.1   # nats a character below what labelled strings reach
 GROUNDS = ["", "word"]  # backgrounds: candidates with a digit and without
 FOLDS = 5
@@ -121,6 +122,7 @@ class Grammar:
     kinds: dict[str, Automaton]
     grounds: dict[str, Automaton]
     floors: dict[str, float] = field(default_factory=dict)
+    lengths: dict[str, tuple[int, int]] = field(default_factory=dict)  # of kinds of many lengths: the least and the greatest
     cache: dict[str, tuple[float, str]] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
@@ -131,7 +133,7 @@ class Grammar:
         if got is None:
             n = len(symbols) + 1
             ground = self.grounds[ground_of(symbols)].log_likelihood(symbols)
-            own = {k: a.log_likelihood(symbols) if a.may_end(symbols) else -inf for k, a in self.kinds.items()}
+            own = {kind: self.likelihood(kind, symbols) for kind in self.kinds}
             got = max(((own[k] - ground) / n if own[k] / n >= self.floors.get(k, -inf) else -inf, k) for k in own)
             if len(symbols) < 100:
                 if len(self.cache) >= _CACHE:
@@ -139,6 +141,13 @@ class Grammar:
                 self.cache[symbols] = got
         return got
 
+    def likelihood(self, kind: str, symbols: str) -> float:
+        """Of a string under a kind. It ends where an example ended; a kind of many lengths may end between them."""
+        automaton, (least, most) = self.kinds[kind], self.lengths.get(kind, (1, 0))
+        if automaton.may_end(symbols):
+            return automaton.log_likelihood(symbols)
+        return automaton.log_likelihood(symbols, stops=False) if least <= len(symbols) <= most else -inf
+
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """(base, all) spans of a whole text, in order."""
         base = ordered(base_spans(text), KINDS)
@@ -162,7 +171,7 @@ def cased(words: list[str]) -> list[str]:
     return [*words, *small, *(x[:1].translate(_GREAT) + x[1:] for x in small), *(x.translate(_GREAT) for x in words)]
 
 
-def background(kinds: dict[str, Automaton], name: str, strings: list[str]) -> Automaton:
+def background(formats: Grammar, name: str, strings: list[str]) -> Automaton:
     """Automaton of background examples, without those that a kind explains better than the examples of the other folds
     do: these are credentials as well. Without them others show, so this is repeated while any go."""
     forms = cased if name == "word" else list
@@ -170,7 +179,7 @@ def background(kinds: dict[str, Automaton], name: str, strings: list[str]) -> Au
         clean = []
         for k in range(FOLDS):
             rest = [x for i, x in enumerate(strings) if i % FOLDS != k]
-            other = Grammar(kinds, {name: Automaton().fit(forms(rest) or ["l9"])})
+            other = replace(formats, grounds={name: Automaton().fit(forms(rest) or ["l9"])}, cache={})
             clean += [x for x in strings[k::FOLDS] if other.best(x)[0] <= 0]
         if len(clean) == len(strings):
             break
@@ -205,8 +214,10 @@ def learn(docs: DataFrame, fit_rows: int = 400, text_col: str = "text") -> Gramm
         rows = found.where(F.col("kind") == kind).orderBy(spark_hash("symbols"), "symbols").limit(fit_rows).collect()
         strings[kind] = sorted(r["symbols"] for r in rows)
     kinds = {k: Automaton().fit(strings[k]) for k in KINDS if strings[k]}
-    grounds = {name: background(kinds, name, strings[name]) for name in GROUNDS} if kinds else {}
-    return Grammar(kinds, grounds, {k: floor(strings[k]) for k in kinds})
+    sizes = {k: {len(x) for x in strings[k]} for k in kinds}
+    formats = Grammar(kinds, {}, {k: floor(strings[k]) for k in kinds},
+                      {k: (min(n), max(n)) for k, n in sizes.items() if len(n) >= MANY_LENGTHS})
+    return replace(formats, grounds={name: background(formats, name, strings[name]) for name in GROUNDS} if kinds else {})
 
 
 def scan(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -64,6 +64,6 @@ def test_stages_keep_the_columns_and_stand_odd_rows(spark, odd, labels, benchmar
 def test_registry():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if re.match(r"op\d", n)} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if re.match(r"op\d", n)} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
     assert np.all([callable(f) for _, f in corpus_pipeline.STAGES])
