@@ -68,13 +68,20 @@ def test_table_against_all_pairs(spark):
     p = "/root/testdata/sf0.001"
     docs = [(i, t) for i, t in duckdb.sql(f"select doc_id, text from '{p}/documents.parquet'").fetchall() if len(t) < 1500]
     items = duckdb.sql(f"select item_id, text from '{p}/benchmark.parquet'").fetchall()
-    index = decontam.build_index([(i, t.encode()) for i, t in items])
-    numbers = [index.numbers(decontam.words_of(t.encode())) for _, t in docs]
+    han = ["光合作用把光能变成化学能", "北京是中华人民共和国的首都", "ภาษาไทยไม่มีเว้นวรรค"]
+    items += [(9001, han[0]), (9002, han[1]), (9003, han[2]), (9004, "Photosynthesis equation"), (9005, "Kilimanjaro"), (9006, "a b"),
+              (9007, "水")]
+    docs += [(8000, "前言" + han[0] + "后记"), (8001, han[1].replace("中华", "")), (8002, "x " + han[2] + " y"),
+             (8003, "the PHOTOSYNTHESIS, equation is"), (8004, "photosynthesis is an equation"), (8005, "on kilimanjaro."),
+             (8006, "北京的天气很好 a b 水"), (8007, "光合 作用 把 光能 变成 化学能")]
     want = set()
-    for (d, _), y in zip(docs, numbers):
-        for i, x in index.items:
-            if decontam.align([x], [y])[0][0] / (decontam.MATCH * len(x)) >= 0.4:
-                want.add((d, i))
+    for index in decontam.build_indexes([(i, t.encode()) for i, t in items]):
+        numbers = [index.numbers(decontam.words_of(t.encode())) for _, t in docs]
+        for (d, _), y in zip(docs, numbers):
+            for i, x in index.items:
+                if len(y) and decontam.align([x], [y])[0][0] / (decontam.MATCH * len(x)) >= index.threshold:
+                    want.add((d, i))
+    assert {(8000, 9001), (8001, 9002), (8002, 9003), (8003, 9004), (8005, 9005), (8007, 9001)} == {w for w in want if w[0] >= 8000}
     got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
 
@@ -113,6 +120,27 @@ def test_edited_copies_beside_a_verbatim_one(spark):
         assert [r.doc_id for r in decontam.without_leaks(df, bench).collect()] == [200]
 
 
+def test_rarest_hits_come_first_and_all_where_they_fail():
+    item = np.array([0, 0, 0, 0, 0, 0, 1, 1])
+    held = np.array([9, 1, 5, 2, 2, 7, 3, 3])
+    assert decontam.rarest(item, held, 2).tolist() == [False, True, False, True, True, False, True, True]
+    words = [b"w%d" % i for i in range(30)]
+    index = decontam.build_index([(1, words)])
+    index.held[:] = 100
+    stray = index.hits(index.numbers(words[20:23]))[1]
+    index.held[stray] = 1  # the rarest n-gram stands far from the copy, which holds common ones alone
+    text = [b"w0", b"x", *words[:15], *[b"y"] * 300, *words[20:23], b"z"]
+    (found,) = decontam.matches(index, [index.numbers(text)])
+    assert found[1:3] == (1, 0.5) and found[4] == 17
+
+
+def test_held_counts_every_document_once(spark):
+    docs = spark.createDataFrame([(i, "a b c d a b c" if i % 3 else "b c d") for i in range(30)], "doc_id long, text string").repartition(4)
+    (index,) = decontam.build_indexes([(1, b"a b c d")])
+    decontam.count_held(index, docs, "doc_id", "text")
+    assert sorted(index.held.tolist()) == [20, 30]
+
+
 def test_the_bound_is_above_every_alignment():
     rng = np.random.default_rng(3)
     for _ in range(500):
