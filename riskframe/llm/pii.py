@@ -1,14 +1,16 @@
 """Personal data: patterns for the known forms, and a character BiLSTM with a CRF for the others.
 
 The network is trained in numpy, from spans that the patterns label in a bounded
-sample of documents, and from altered copies of them (a phone number without its
-country code, other separators, letters outside ASCII in an address). Every kind
-of span holds a digit or an @, so the network reads all text within CONTEXT
-characters of one and on to the next white space, as overlapping windows; the
-CRF decodes each window, each character takes the label of the window in which
-it lies deepest, and the labels of the whole text are read as spans. An address
-goes on to the ends of its run. Found spans are kept if they pass the check of
-their kind; of one that meets spans of the patterns, the parts outside them are.
+sample of documents, and from copies of them in forms that the patterns miss: a
+phone number without its country code, with brackets or a double zero, a card
+with dots or wide gaps, letters outside ASCII in an address, digits of other
+scripts. Every kind of span holds a digit or an at sign, of any script, so the
+network reads all text within CONTEXT characters of one and on to the next
+white space, as overlapping windows. Each character takes its emissions from the
+window in which it lies deepest, and one Viterbi pass over the whole stretch
+decides its labels, so windows never disagree. An address goes on to the ends of
+its run. Found spans are kept if they pass the check of their kind; of one that
+meets spans of the patterns, the parts outside them are.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import chunks, id_and_text, least_hashed
+from riskframe.llm.common import LeastHashed, chunks, id_and_text, spark_hash, stored
 from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked, ordered, pattern_spans
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -32,6 +34,7 @@ WIDTH, STEP, CONTEXT = 64, 32, 16
 HIDDEN = 12
 _BATCH_CHARS = 1 << 22
 _BATCH_WINDOWS = 1024
+_BATCH_PLACES = 1 << 17  # characters whose emissions are held at once, or one stretch
 
 
 def luhn(digits: str) -> bool:
@@ -87,7 +90,7 @@ RULES: list[Rule] = [
     ("card", _has_digit, found_by(re.compile(r"[0-9](?:[\x20-]?[0-9])+"), _is_card)),
     ("phone", lambda t: "+" in t, found_by(re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 10 <= len(_digits(m[0])) <= 15)),
 ]
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile("[\\d@\uff20]")
 _REST = re.compile(r"\S*")
 _ADDRESS = re.compile(r"[\w.%+-]*")
 
@@ -96,8 +99,17 @@ def base_spans(text: str) -> list[Span]:
     return pattern_spans(text, RULES)
 
 
+def folded(text: str) -> str:
+    """The text with digits of all scripts and full-width marks as ASCII, character by character."""
+    if text.isascii():
+        return text
+    return "".join(c if c < "\x80" else chr(ord(c) - 0xFEE0) if "\uff01" <= c <= "\uff5e" else
+                   str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
 def plausible(kind: str, text: str) -> bool:
     """Check of a span that only the network found."""
+    text = folded(text)
     if kind == "email":
         local, at, host = text.partition("@")
         return bool(local and at and "." in host.strip(".")) and not re.search(r"[\s@,;:!?\"'<>|]", local + host) and "@" not in host
@@ -118,7 +130,11 @@ def char_codes(text: str) -> np.ndarray:
     out[(p >= 97) & (p < 123)] = 97
     out[(p >= 65) & (p < 91)] = 65
     for i in np.flatnonzero(p >= 128).tolist():
-        out[i] = {"L": 2, "Z": 32, "N": 3}.get(unicodedata.category(text[i])[0], 1)
+        c = folded(text[i])
+        if c < "\x80":
+            out[i] = 48 if c.isdigit() else 97 if c.islower() else 65 if c.isupper() else ord(c)
+        else:
+            out[i] = {"L": 2, "Z": 32, "N": 3}.get(unicodedata.category(c)[0], 1)
     return out
 
 
@@ -210,9 +226,8 @@ class Tagger:
                   (node[:, 0] - truth[:, 0]).sum(0) / n]
         return float((z.sum() - gold) / n), grads
 
-    def decode(self, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Viterbi tags of windows; places past a window's size repeat its last tag."""
-        emit = self.run(codes)[0]
+    def decode(self, emit: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Viterbi tags of stretches from their emissions (n, T, TAGS); places past a stretch's size repeat its last tag."""
         n, steps, _ = emit.shape
         best, back = self.start + emit[:, 0], np.empty((steps, n, TAGS), np.int8)
         same = np.arange(TAGS, dtype=np.int8)
@@ -244,7 +259,7 @@ def tag_row(size: int, spans: list[Span]) -> np.ndarray:
     return tags
 
 
-def train(windows: list[tuple[str, list[Span]]], epochs: int = 16, batch: int = 96, rate: float = 0.02, seed: int = 5) -> Tagger | None:
+def train(windows: list[tuple[str, list[Span]]], epochs: int = 12, batch: int = 96, rate: float = 0.02, seed: int = 5) -> Tagger | None:
     """Tagger from labelled windows (text, spans in it) by Adam; None without a labelled span."""
     windows = [(t[:WIDTH], s) for t, s in windows if t]
     if not any(s for _, s in windows):
@@ -323,38 +338,57 @@ def whole_address(text: str, s: int, e: int) -> tuple[int, int]:
     return s, _ADDRESS.match(text, e).end()
 
 
-def network_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
-    """Plausible spans that the network finds in each text."""
-    jobs, stretches = [], []
-    for i, text in enumerate(texts):
-        for lo, hi in regions(text):
-            stretches.append((i, lo, hi, len(jobs)))
-            jobs += [(i, a, b) for a, b in windows_of(lo, hi)]
-    tags = np.empty((len(jobs), WIDTH), np.int8)
-    for at in range(0, len(jobs), _BATCH_WINDOWS):
-        part = jobs[at:at + _BATCH_WINDOWS]
+def merged_emissions(model: Tagger, jobs: list[tuple[str, int, int]]) -> list[np.ndarray]:
+    """Emissions (characters, TAGS) of each stretch (text, from, to): a character has those of the window it is deepest in."""
+    windows = [(k, a, b) for k, (_, lo, hi) in enumerate(jobs) for a, b in windows_of(lo, hi)]
+    out = [np.empty((hi - lo, TAGS), np.float32) for _, lo, hi in jobs]
+    deep = [np.full(hi - lo, -1) for _, lo, hi in jobs]
+    for at in range(0, len(windows), _BATCH_WINDOWS):
+        part = windows[at:at + _BATCH_WINDOWS]
         codes = np.full((len(part), WIDTH), 32)
-        for row, (i, a, b) in enumerate(part):
-            codes[row, :b - a] = char_codes(texts[i][a:b])
-        tags[at:at + len(part)] = model.decode(codes, np.array([b - a for _, a, b in part]))
-    out: list[list[Span]] = [[] for _ in texts]
-    for i, lo, hi, first in stretches:
-        merged, deep = np.zeros(hi - lo, np.int8), np.full(hi - lo, -1)
-        for j, (a, b) in enumerate(windows_of(lo, hi), first):
+        for row, (k, a, b) in enumerate(part):
+            codes[row, :b - a] = char_codes(jobs[k][0][a:b])
+        emit = model.run(codes)[0]
+        for row, (k, a, b) in enumerate(part):
+            _, lo, hi = jobs[k]
             place = np.arange(b - a)
             depth = np.minimum(place if a > lo else place + WIDTH, place[::-1] if b < hi else place + WIDTH)
             own = slice(a - lo, b - lo)
-            better = depth > deep[own]
-            merged[own][better] = tags[j, :b - a][better]
-            deep[own][better] = depth[better]
-        for kind, s, e in read_tags(merged, lo):
-            if kind == "email" and "@" in texts[i][s:e]:
-                s, e = whole_address(texts[i], s, e)
-            body = texts[i][s:e]
-            lead = len(body) - len(body.lstrip(" .,;:-"))
-            body = body.strip(" .,;:-")
-            if plausible(kind, body):
-                out[i].append((kind, s + lead, s + lead + len(body)))
+            better = depth > deep[k][own]
+            out[k][own][better] = emit[row, :b - a][better]
+            deep[k][own][better] = depth[better]
+    return out
+
+
+def decoded(model: Tagger, jobs: list[tuple[str, int, int]]) -> list[np.ndarray]:
+    """Tags of each stretch, by one Viterbi pass over all of it."""
+    emit = merged_emissions(model, jobs)
+    out: list[np.ndarray] = [np.empty(0, np.int8)] * len(jobs)
+    order = sorted(range(len(jobs)), key=lambda k: len(emit[k]))
+    for _, part in chunks(order, lambda k: len(emit[k]), _BATCH_PLACES):
+        size = np.array([len(emit[k]) for k in part])
+        padded = np.zeros((len(part), int(size.max()), TAGS), np.float32)
+        for row, k in enumerate(part):
+            padded[row, :size[row]] = emit[k]
+        for row, tags in enumerate(model.decode(padded, size)):
+            out[part[row]] = tags[:size[row]]
+    return out
+
+
+def network_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
+    """Plausible spans that the network finds in each text."""
+    jobs = [(i, lo, hi) for i, text in enumerate(texts) for lo, hi in regions(text)]
+    out: list[list[Span]] = [[] for _ in texts]
+    for _, part in chunks(jobs, lambda j: j[2] - j[1], _BATCH_PLACES):
+        for (i, lo, _), tags in zip(part, decoded(model, [(texts[i], lo, hi) for i, lo, hi in part])):
+            for kind, s, e in read_tags(tags, lo):
+                if kind == "email" and re.search("[@\uff20]", texts[i][s:e]):
+                    s, e = whole_address(texts[i], s, e)
+                body = texts[i][s:e]
+                lead = len(body) - len(body.lstrip(" .,;:-"))
+                body = body.strip(" .,;:-")
+                if plausible(kind, body):
+                    out[i].append((kind, s + lead, s + lead + len(body)))
     return out
 
 
@@ -392,43 +426,78 @@ def examples(text: str) -> list[str]:
     return [text[a:b] for lo, hi in regions(text) for a, b in windows_of(lo, hi)]
 
 
-def altered(window: str, spans: list[Span]) -> list[tuple[str, list[Span]]]:
-    """Copies of a window with its first span in a form that the patterns miss, labelled alike."""
+_SCRIPTS = [str.maketrans("0123456789@.-", "".join(chr(0xFEE0 + ord(c)) for c in "0123456789@.-")),
+            str.maketrans("0123456789", "".join(chr(0x0660 + d) for d in range(10))),
+            str.maketrans("0123456789", "".join(chr(0x0966 + d) for d in range(10)))]
+
+
+def forms(kind: str, body: str, n: int) -> list[str]:
+    """Other ways to write a labelled span, which the patterns miss; n turns through those that exclude each other."""
+    d = _digits(body)
+    if kind == "phone":
+        x, y, z = d[-10:-7], d[-7:-4], d[-4:]
+        land = ["49", "44", "33", "1", "351"][n % 5]
+        return [[f"({x}) {y}-{z}", f"{x}-{y}-{z}", f"{x}.{y}.{z}", f"({x}) {y} {z}", re.sub(r"^\+[0-9]+[ .-]?", "", body)][n % 5],
+                [f"00{land} {x[:2]} {y}{z}", f"00{land} {x} {y} {z}", f"00{land}-{x}-{y}-{z}", f"00{land} {x[:2]} {y} {z}"][n % 4],
+                [f"+{land} {x} {y} {z}", f"{x}-{y}-{z}", body][n % 3].translate(_SCRIPTS[n // 3 % 3])]
+    if kind == "card":
+        four = re.findall("....", d[:16])
+        return [".".join(four), "  ".join(four), [" - ", "/", "--"][n % 3].join(four), body.translate(_SCRIPTS[n % 3])]
+    if kind == "email":
+        local, _, host = body.partition("@")
+        odd, top = "üéøłñ"[n % 5], ["com", "de", "fr", "org", "co.uk", "example.net"][n % 6]
+        name = re.sub("[^a-z]", "", local) or "info"
+        firm = (re.sub("[^a-z]", "", host) or "mail")[: 3 + n % 7]
+        return [odd + body, [f"{name}{odd}@{firm}.{top}", f"{name}.{odd}{firm}@{host}", f"{name[:2]}{odd}{name[2:]}@{firm}.{top}",
+                             f"{local}{odd}@{host}"][n % 4],
+                f"{name}@{firm[:1]}{odd}{firm[1:]}.{top}" if n % 2 else f"{local}@{odd}{firm}.{top}",
+                f"{name}\uff20{firm}.{top}" if n % 2 else body.replace("@", "\uff20")]
+    return [body.translate(_SCRIPTS[n % 3])]
+
+
+def lookalike(body: str, n: int) -> str:
+    """What holds the digits of a span and is none: a book number, a list, a date with a time, amounts, a range."""
+    d = (_digits(body) * 3)[:16].ljust(13, "7")
+    return [f"978-{d[0]}-{d[1:5]}-{d[5:9]}-{d[9]}", f"{d[:3]},{d[3:6]},{d[6:9]}", f"20{d[:2]}-0{d[2]}-1{d[3]} 1{d[4]}:2{d[5]}:3{d[6]}",
+            f"{d[:3]}.{d[3:5]} {d[5:8]}.{d[8:10]}", f"19{d[:2]}-20{d[2:4]}", f"{d[:5]}, {d[5:9]}, {d[9:12]}", f"@{'abcdefg'[n % 7]}ndre"][n % 7]
+
+
+def altered(window: str, spans: list[Span], n: int = 0) -> list[tuple[str, list[Span]]]:
+    """Copies of a window with its first span in forms that the patterns miss, labelled alike, and one with a look-alike."""
     if not spans:
         return []
     kind, s, e = spans[0]
     body = window[s:e]
-    forms = {"phone": [re.sub(r"^\+[0-9]+[ .-]?", "", body)], "card": [".".join(re.findall("....", _digits(body)[:16]))],
-             "email": ["é" + body, body.replace("@", "ö@", 1)]}.get(kind, [])
     out = []
-    for form in forms:
-        if form != body and form:
+    for form in dict.fromkeys(forms(kind, body, n)):
+        if form != body and plausible(kind, form):
             moved = [(k, a + len(form) - len(body), b + len(form) - len(body)) for k, a, b in spans[1:]]
             out.append((window[:s] + form + window[e:], [(kind, s, s + len(form)), *moved]))
-    return out
+    other = lookalike(body, n)
+    return [*out, (window[:s] + other + window[e:], [(k, a + len(other) - len(body), b + len(other) - len(body)) for k, a, b in spans[1:]])]
 
 
 def learn(docs: DataFrame, fit_rows: int = 300, text_col: str = "text") -> Tagger | None:
     """Tagger from at most fit_rows windows of each first kind of span and of windows without one, those of least hash
-    over all documents."""
+    over all documents. A task sends no more than that many of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = LeastHashed(fit_rows)
         for batch in batches:
-            rows = set()
             for t in batch.column(0).to_pylist():
-                if t and _TRIGGER.search(t):
-                    for w in examples(t):
-                        found = base_spans(w)
-                        rows.add((min(found, key=lambda x: x[1])[0] if found else "", w))
-            cols = list(zip(*sorted(rows))) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["kind", "piece"])
-
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, piece string").distinct().persist()
+                for w in examples(t) if t and _TRIGGER.search(t) else ():
+                    found = base_spans(w)
+                    least.add(min(found, key=lambda x: x[1])[0] if found else "", w)
+        cols = list(zip(*least.rows())) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["kind", "piece"])
+
+    found = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(run, "kind string, piece string").distinct(), "windows")
     windows: list[tuple[str, list[Span]]] = []
-    for r in least_hashed(found, fit_rows, "piece", by="kind").orderBy("kind", "piece").collect():
-        spans = ordered(base_spans(r["piece"]), KINDS)
-        windows.append((r["piece"], spans))
-        windows += altered(r["piece"], spans)
-    found.unpersist()
+    for kind in ["", *KINDS]:
+        rows = found.where(F.col("kind") == kind).orderBy(spark_hash("piece"), "piece").limit(fit_rows).collect()
+        for n, piece in enumerate(sorted(r["piece"] for r in rows)):
+            spans = ordered(base_spans(piece), KINDS)
+            windows.append((piece, spans))
+            windows += altered(piece, spans, n)
     return train(windows)
 
 
