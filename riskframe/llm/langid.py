@@ -11,6 +11,8 @@ most letters is the document's.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,7 +26,6 @@ from riskframe.llm.common import chunks, id_and_text, least_hashed
 
 UNKNOWN = "und"
 SWITCH = 6.0           # nats lost where the language changes
-_LETTER = re.compile(r"[^\W\d_]")
 _LONGEST = 40          # letters of a word; a longer run is as many words as it takes
 _UNSPACED = 8          # the same for scripts that put no space between words
 UNSPACED = frozenset(("thai", "lao", "khmer", "kana", "han"))
@@ -52,28 +53,36 @@ def script(char: str) -> str:
     return "other"
 
 
+def _ranges(first: int, last: int, kind: str, but: frozenset[int] = frozenset()) -> str:
+    """The code points of a general category (its first letter) as ranges of a character class."""
+    out, start = [], None
+    for c in range(first, last + 2):
+        if c <= last and c not in but and unicodedata.category(chr(c))[0] == kind:
+            start = c if start is None else start
+        elif start is not None:
+            out.append(f"{chr(start)}-{chr(c - 1)}")
+            start = None
+    return "".join(out)
+
+
 def _words() -> re.Pattern:
-    """Runs of letters of one script, in pieces."""
+    """Runs of letters of one script with the marks on them, in pieces. Numbers and signs that look like letters are none."""
+    marks = _ranges(0, sys.maxunicode, "M")
     letters: dict[str, str] = {}
     for first, last, name in SCRIPTS:
-        here, start = [], None
-        for c in range(first, last + 2):
-            if c <= last and _LETTER.match(chr(c)):
-                start = c if start is None else start
-            elif start is not None:
-                here.append(f"{chr(start)}-{chr(c - 1)}")
-                start = None
-        letters[name] = letters.get(name, "") + "".join(here)
-    parts = [f"[{own}]{{1,{_UNSPACED if name in UNSPACED else _LONGEST}}}" for name, own in letters.items()]
-    return re.compile("|".join([*parts, rf"[^\W\d_{''.join(letters.values())}]{{1,{_LONGEST}}}"]))
+        letters[name] = letters.get(name, "") + _ranges(first, last, "L")
+    named = frozenset(c for first, last, _ in SCRIPTS for c in range(first, last + 1))
+    parts = [(own, _UNSPACED if name in UNSPACED else _LONGEST) for name, own in letters.items()]
+    parts.append((_ranges(0, sys.maxunicode, "L", named), _LONGEST))
+    return re.compile("|".join(f"(?:[{own}][{marks}]*+){{1,{n}}}" for own, n in parts))
 
 
 _WORD = _words()
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters of one script, lower-cased. Every letter is in one: long runs, and those of scripts without
-    spaces, are cut into pieces."""
+    """Runs of letters (category L) of one script with their marks, lower-cased. Every letter is in one: long runs, and
+    those of scripts without spaces, are cut into pieces."""
     return _WORD.findall(text.lower()) if text else []
 
 

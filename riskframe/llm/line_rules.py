@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 1500, id_col: str =
 
     # at most 2 * fit_rows documents' line features come to the driver
     rows = (id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
-            .mapInArrow(run, "doc_id long, x array<array<double>>").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()) if wanted else []
+            .mapInArrow(run, "doc_id long, x array<array<double>>").groupBy("doc_id").agg(F.min("x").alias("x")).orderBy("doc_id").collect()) if wanted else []
     lines, tags = [], []
     for r in rows:
         x = np.array(r["x"]).reshape(-1, N_FEATURES)

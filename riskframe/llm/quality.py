@@ -72,13 +72,33 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+DECAY = 1e-3  # of the weights
+
+
+def risk(params: list[np.ndarray], p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, list[np.ndarray]]:
+    """(risk, gradients of a step) of a batch of positives and one of unlabelled rows, with the logistic loss.
+
+    The risk is prior * loss(positives as such) + max(0, loss(unlabelled as
+    negatives) - prior * loss(positives as negatives)). Where the second part
+    is below zero, the step goes up on that part alone, as in the published
+    rule, so that it can't be driven negative."""
+    z = np.vstack([p, u])
+    h = np.tanh(z @ params[0] + params[1])
+    f = h @ params[2] + params[3][0]
+    fp, fu = f[:len(p)], f[len(p):]
+    neg = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+    gp_pos = -prior * (1 - _sigmoid(fp)) / len(p)
+    gp_neg, gu_neg = -prior * _sigmoid(fp) / len(p), _sigmoid(fu) / len(u)
+    g = np.concatenate([gp_pos + gp_neg, gu_neg] if neg >= 0 else [-gp_neg, -gu_neg])
+    back = np.outer(g, params[2]) * (1 - h * h)
+    decay = DECAY / 2 * ((params[0] ** 2).sum() + (params[2] ** 2).sum())
+    return (float(prior * np.logaddexp(0, -fp).mean() + max(0.0, neg) + decay),
+            [z.T @ back + DECAY * params[0], back.sum(0), h.T @ g + DECAY * params[2], np.array([g.sum()])])
+
+
 def train(pos: np.ndarray, unl: np.ndarray, prior: float, hidden: int = 12, epochs: int = 80, batch: int = 256,
           rate: float = 0.01, seed: int = 7) -> Model:
-    """Minimise the non-negative PU risk with the logistic loss by Adam, one mixed batch of both samples a step.
-
-    When the negative part of a batch is below zero, the step goes up on that
-    part alone, as in the published rule, so that it can't be driven negative.
-    """
+    """Minimise the non-negative PU risk by Adam, one mixed batch of both samples a step."""
     rng = np.random.default_rng(seed)
     m = Model(unl.mean(0), unl.std(0) + 1e-6, rng.normal(0, 0.3, (unl.shape[1], hidden)), np.zeros(hidden),
               rng.normal(0, 0.3, hidden), 0.0, prior)
@@ -94,16 +114,7 @@ def train(pos: np.ndarray, unl: np.ndarray, prior: float, hidden: int = 12, epoc
             u = zu[ou[k * len(zu) // steps:(k + 1) * len(zu) // steps]]
             if not len(p) or not len(u):
                 continue
-            z = np.vstack([p, u])
-            h = np.tanh(z @ params[0] + params[1])
-            f = h @ params[2] + params[3][0]
-            fp, fu = f[:len(p)], f[len(p):]
-            neg = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-            gp_pos = -prior * (1 - _sigmoid(fp)) / len(p)
-            gp_neg, gu_neg = -prior * _sigmoid(fp) / len(p), _sigmoid(fu) / len(u)
-            g = np.concatenate([gp_pos + gp_neg, gu_neg] if neg >= 0 else [-gp_neg, -gu_neg])
-            back = np.outer(g, params[2]) * (1 - h * h)
-            grads = [z.T @ back + 1e-3 * params[0], back.sum(0), h.T @ g + 1e-3 * params[2], np.array([g.sum()])]
+            grads = risk(params, p, u, prior)[1]
             t += 1
             for i, gr in enumerate(grads):
                 first[i] = 0.9 * first[i] + 0.1 * gr
@@ -152,8 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int =
     """Train on the documents for which `learn_from` (a condition on doc_id) holds.
 
     At most fit_rows positives and fit_rows unlabelled documents are read.
-    With fewer than LEAST_ROWS of either, nothing is learned and the model
-    scores everything 0.5.
+    Of several texts with one id, the one of least features is read. With
+    fewer than LEAST_ROWS of either, nothing is learned and the model scores
+    everything 0.5.
     """
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where(learn_from & F.col("doc_id").isNotNull())
     good = (labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id"))
@@ -174,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, fit_rows: int =
 
     # at most 2 * fit_rows ids go out with the task and as many rows of 18 numbers come back
     rows = id_and_bytes(docs, id_col, text_col).where(F.col("doc_id").isNotNull() & learn_from).mapInArrow(
-        run, "doc_id long, x array<double>").dropDuplicates(["doc_id"]).collect()
+        run, "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x")).collect()
     x = {r["doc_id"]: np.array(r["x"]) for r in rows}
     p, u = (np.array([x[i] for i in own]) for own in (pos, unl))
     return committee(p, u, estimate_prior(p, u))
@@ -194,7 +206,8 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, that score at or above the threshold."""
+    """The documents, all columns, that score at or above the threshold. Null, empty and blank texts are scored like a
+    text without words, repeated rows like any; an empty table stays empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raws = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()

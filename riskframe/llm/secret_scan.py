@@ -239,7 +239,8 @@ def scan(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: st
 
 
 def redacted(docs: DataFrame, grammar: Grammar, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The documents, all columns, with every secret replaced by a mark; an n_chars column follows the new text."""
+    """The documents, all columns, with every secret replaced by a mark; an n_chars column follows the new text. Null and
+    empty texts stay as they are; every row stays, repeated ones too; an empty table stays empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)

@@ -5,12 +5,14 @@
    agree on at least one of 4 blocks of 16 bits. Rows meet per block value and
    the Hamming distance is verified there.
 3. A block value with more than `group_rows` distinct fingerprints is not
-   compared directly: the 48 other bits are split into 6 blocks, 3 of which
-   must agree as well (20 choices), and once more on the 24 bits left then. In
-   that last level at most 12 bits are free, so a group holds at most 4096
-   distinct fingerprints whatever the data. Every pair within 3 bits is still
-   met, no pair list of a group is written: a group emits one edge per member
-   to the least member of its local component.
+   compared directly: the 48 other bits are cut into 4 blocks, one of which
+   must agree as well, so groups share 28 bits and a fingerprint has 16 copies
+   where a table is merely large. Groups that are still too large are cut by 3
+   of 6 blocks of the other bits (20 choices), and once more. In that last level
+   9 bits are free, so a group holds at most 512 distinct fingerprints
+   whatever the data. Every pair within 3 bits is still met, no pair list of a
+   group is written: a group emits one edge per member to the least member of
+   its local component.
 4. Connected components over these edges (components.star_forest).
 
 Copies are collapsed first: only distinct fingerprints are compared.
@@ -82,17 +84,19 @@ def _cut(bits: list[int], n: int) -> list[list[int]]:
     return [bits[i * size:(i + 1) * size] for i in range(n)]
 
 
-def _masks(max_bits: int) -> tuple[list[int], dict[int, list[int]]]:
-    """First-level masks, and for each mask the masks of the level below: kept bits on which a close pair agrees."""
-    blocks = _cut(list(range(BITS)), max_bits + 1)
-    first = [_bits([b]) for b in blocks]
+def _masks(max_bits: int) -> tuple[list[int], list[dict[int, list[int]]]]:
+    """First-level masks, and for each level below the masks that each mask is cut into: kept bits on which a close pair
+    agrees. With all differing bits among the free ones, one of max_bits + 1 blocks agrees, and max_bits of twice as many."""
+    def below(mask: int, blocks: int, keep: int) -> list[int]:
+        parts = _cut([b for b in range(BITS) if not mask >> b & 1], blocks)
+        return [mask | _bits(list(c)) for c in combinations(parts, keep)]
 
-    def below(mask: int) -> list[int]:
-        free = [b for b in range(BITS) if not mask >> b & 1]
-        parts = _cut(free, 2 * max_bits)
-        return [mask | _bits(list(keep)) for keep in combinations(parts, max_bits)]
-
-    return first, {m: below(m) for m in first}
+    masks = first = below(0, max_bits + 1, 1)
+    levels = []
+    for blocks, keep in ((max_bits + 1, 1), (2 * max_bits, max_bits), (2 * max_bits, max_bits)):
+        levels.append({m: below(m, blocks, keep) for m in masks})
+        masks = sorted({x for ms in levels[-1].values() for x in ms})
+    return first, levels
 
 
 def _split_rows(masks_of: dict[int, list[int]] | None, masks: list[int], max_bits: int):
@@ -169,16 +173,10 @@ def _group_edges(max_bits: int):
 
 def near_edges(fps: DataFrame, max_bits: int = 3, group_rows: int = 1024) -> DataFrame:
     """Edges (a, b) whose connected components are those of all pairs of distinct fp within max_bits."""
-    first, second = _masks(max_bits)
-    third: dict[int, list[int]] = {}
-    for ms in second.values():
-        for m in ms:
-            free = [b for b in range(BITS) if not m >> b & 1]
-            parts = _cut(free, 2 * max_bits)
-            third[m] = [m | _bits(list(keep)) for keep in combinations(parts, max_bits)]
+    first, levels = _masks(max_bits)
     out = None
     rows = fps.select("fp").mapInArrow(_split_rows(None, first, max_bits), "mask long, key long, fp long")
-    for below in (second, third, None):
+    for below in (*levels, None):
         if below is None:
             here = rows
         else:
@@ -226,14 +224,18 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The documents, all columns, with one row left of each near-duplicate group.
 
     The row with the least id stays (rows without an id last; among rows of one
-    id the first as read). The rows are numbered and stored once, and all later
+    id the first as read), all other columns as they are. Null and empty
+    texts are one group; an empty table stays empty. The rows are numbered and stored once, and all later
     jobs read the numbers from there: another reading of docs could be split
     over other partitions and number its rows anew.
     """
-    numbered = stored(docs.select("*", F.monotonically_increasing_id().alias("__row")), "numbered")
-    rows = numbered.select(F.col("__row").alias("doc_id"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    number = "__row"
+    while number in docs.columns:
+        number += "_"
+    numbered = stored(docs.select("*", F.monotonically_increasing_id().alias(number)), "numbered")
+    rows = numbered.select(F.col(number).alias("doc_id"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     groups = near_groups(rows, shingle_words=shingle_words, max_bits=max_bits, group_rows=group_rows)
     member = groups.join(rows.select(F.col("doc_id").alias("__r"), "id"), F.col("doc_id") == F.col("__r"))
     first = member.groupBy("component_id").agg(
-        F.min_by("doc_id", F.struct(F.col("id").isNull(), F.col("id"), F.col("doc_id"))).alias("__kept"))
-    return numbered.join(first.select("__kept"), F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
+        F.min_by("doc_id", F.struct(F.col("id").isNull(), F.col("id"), F.col("doc_id"))).alias("kept"))
+    return numbered.join(first.select(F.col("kept").alias(number)), number, "left_semi").select(*docs.columns)

@@ -77,6 +77,41 @@ def test_links_of_every_level(spark, group_rows):
     assert len(set(got_root)) == len(set(want))
 
 
+def test_copies_of_a_fingerprint_by_level(spark):
+    """4 copies, 16 where first blocks are full, 320 and 6400 below; the last groups are bounded by their free bits."""
+    first, levels = simhash._masks(3)
+    assert [len(first)] + [sum(map(len, m.values())) // len(m) for m in levels] == [4, 4, 20, 20]
+    kept = [{m.bit_count() for m in first}] + [{x.bit_count() for ms in level.values() for x in ms} for level in levels]
+    assert kept == [{16}, {28}, {46}, {55}]
+    random.seed(5)
+    prints = [random.getrandbits(48) << 16 for _ in range(60)]  # one full block, all else random
+    rows = spark.createDataFrame([(p - (1 << 64) if p >= 1 << 63 else p,) for p in prints], "fp long")
+    one = rows.mapInArrow(simhash._split_rows(None, first, 3), "mask long, key long, fp long")
+    two = one.mapInArrow(simhash._split_rows(levels[0], [], 3), "mask long, key long, fp long")
+    assert one.count() == 4 * 60 and two.count() == 16 * 60
+    full = two.groupBy("mask", "key").count().where("count > 20").count()
+    assert full == 0 and one.groupBy("mask", "key").count().where("count > 20").count() == 1
+
+
+def test_stars_are_told_exactly(spark):
+    from riskframe.llm.components import _is_stars
+    of = lambda rows: _is_stars(spark.createDataFrame(rows, "a long, b long"))
+    assert of([(3, 1), (2, 1), (9, 8)]) and of([]) and not of([(3, 2), (2, 1)]) and not of([(3, 1), (3, 2)])
+    random.seed(2)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(260)]
+    root = list(range(300))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for x, y in edges:
+        x, y = sorted((find(x), find(y)))
+        root[y] = x
+    got = {r.node: r.root for r in star_forest(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for i in range(300) if find(i) != i}
+
+
 def test_groups_match_brute_force(spark, odd):
     got = sorted(((r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_groups(odd).collect()), key=str)
     prints = [(r.doc_id, plain_print(r.text)) for r in odd.collect()]
@@ -91,8 +126,9 @@ def test_table_matches_brute_force(spark):
 
 
 def test_one_row_stays_of_each_group(spark, odd):
+    odd = odd.selectExpr("*", "7 AS __row", "9 AS id")
     kept = simhash.one_per_group(odd)
-    assert kept.columns == odd.columns
+    assert kept.columns == odd.columns and {r["__row"] for r in kept.collect()} == {7}
     rows = kept.collect()
     prints = [(r.doc_id, plain_print(r.text)) for r in odd.collect()]
     assert len(rows) == len(set(zip(classes(prints), [p == 0 for _, p in prints])))

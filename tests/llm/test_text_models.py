@@ -1,7 +1,9 @@
 """Quality classifier, line rules, language and extraction: brute force, held-out accuracy, odd rows."""
 import itertools
+import math
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter
 from html import unescape
@@ -49,6 +51,55 @@ def test_quality_of_odd_rows(spark, odd, labels):
     assert {r.score for r in quality.scored(odd, quality.fit(odd, labels.where("false"), F.lit(True))).collect()} == {0.5}
 
 
+def plain_features_and_score(text, model):
+    """The score of a text by its definition: features one by one, then the network in plain Python."""
+    x = [max(-6.0, min(6.0, (a - m) / s)) for a, m, s in zip(quality.features(None if text is None else text.encode()), model.mean, model.scale)]
+    hidden = [math.tanh(sum(a * w for a, w in zip(x, col)) + b) for col, b in zip(model.w1.T, model.b1)]
+    return 1 / (1 + math.exp(-(sum(h * w for h, w in zip(hidden, model.w2)) + model.b2)))
+
+
+def test_scores_equal_the_network_by_hand(spark, odd):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels, remainder("doc_id", 5) != 0, fit_rows=200)
+    texts = {r.doc_id: r.text for r in odd.where("doc_id is not null").collect()}
+    for r in quality.scored(odd.where("doc_id is not null"), model).collect():
+        assert r.score == pytest.approx(plain_features_and_score(texts[r.doc_id], model), abs=1e-9)
+
+
+@pytest.mark.parametrize("prior, shift", [(0.4, 0.0), (0.9, 4.0)])
+def test_gradients_of_the_non_negative_risk(prior, shift):
+    """Numeric gradients; with a negative part below zero the step climbs on it: minus its own gradient."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(shift, 1, (30, 4)), rng.normal(-shift, 1, (40, 4))
+    params = [np.abs(rng.normal(0, 0.5, (4, 3))), 0.1 * rng.normal(size=3), np.ones(3) + 0.1 * rng.normal(size=3), np.zeros(1)]
+
+    def loss(q):
+        f = lambda z: np.tanh(z @ q[0] + q[1]) @ q[2] + q[3][0]
+        soft = lambda v: np.log1p(np.exp(v)).mean()
+        neg = soft(f(u)) - prior * soft(f(p))
+        return prior * soft(-f(p)), neg, quality.DECAY / 2 * ((q[0] ** 2).sum() + (q[2] ** 2).sum())
+
+    own, neg, decay = loss(params)
+    value, grads = quality.risk(params, p, u, prior)
+    assert shift == 0 or neg < 0
+    assert value == pytest.approx(own + max(0, neg) + decay)
+    target = (lambda q: loss(q)[0] + loss(q)[1] + loss(q)[2]) if neg >= 0 else (lambda q: -loss(q)[1] + loss(q)[2])
+    for i, g in enumerate(grads):
+        for at in np.ndindex(*params[i].shape):
+            up, down = ([x.copy() for x in params] for _ in range(2))
+            up[i][at] += 1e-5
+            down[i][at] -= 1e-5
+            assert g[at] == pytest.approx((target(up) - target(down)) / 2e-5, abs=1e-6)
+
+
+def test_repeated_ids_fit_alike_in_any_layout(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    twice = docs.select("doc_id", "text").unionAll(docs.selectExpr("doc_id", "reverse(text)"))
+    a = quality.fit(twice.repartition(3), labels, F.lit(True), fit_rows=100)
+    b = quality.fit(twice.repartition(7, "text"), labels, F.lit(True), fit_rows=100)
+    assert np.array_equal(a.w1, b.w1) and a.prior == b.prior
+
+
 def plain_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
@@ -156,10 +207,28 @@ def test_every_letter_of_a_long_run_counts(spark):
     assert [s.lang for s in got[0].spans] == ["en", "zh"] and got[0].lang_pred == "zh"
     assert got[1].lang_pred == "ja" and {s.lang for s in got[1].spans} == {"ja", "zh"}
     for t in [*texts, "aµb ªº ǅ ﬁnal ᏣᎳᎩ IBM公司 ไทยລາວ кот_1"]:
-        assert "".join(langid.words_of(t)) == "".join(re.findall(r"[^\W\d_]", t.lower()))
+        assert "".join(langid.words_of(t)) == "".join(c for c in t.lower() if unicodedata.category(c)[0] == "L")
         assert all(len({langid.script(c) for c in w}) == 1 for w in langid.words_of(t))
 
 
+@pytest.mark.parametrize("text, words", [
+    ("हिन्दी में", ["हिन्दी", "में"]), ("ภาษาไทยที่", ["ภาษาไทยที", "่"][:1]), ("²³ ½ ⅷ ① 五", ["五"]), ("e\u0301te\u0301 na\u00efve", ["e\u0301te\u0301", "na\u00efve"]),
+    ("x²y", ["x", "y"]), ("தமிழ் மொழி", ["தமிழ்", "மொழி"]), ("\u0301\u0301", []), ("a\u0301" * 45, ["a\u0301" * 40, "a\u0301" * 5])])
+def test_words_keep_their_marks(text, words):
+    found = langid.words_of(text)
+    if "ไ" in text:  # pieces of eight letters, each with its marks
+        assert "".join(found) == text and all(unicodedata.category(w[0])[0] == "L" for w in found)
+    else:
+        assert found == words
+
+
+def test_signs_that_look_like_letters_are_none(spark, odd):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    docs = spark.createDataFrame([(1, "²³ ¼ ⅷ"), (2, "①②"), (3, "_ 12 \u0301")], "doc_id long, text string")
+    assert {(r.lang_pred, r.score) for r in langid.identified(docs, model).collect()} == {("und", 0.0)}
+
+
 def test_language_of_odd_rows(spark, odd):
     got = langid.identified(odd, langid.fit(odd, F.lit(True))).collect()
     assert len(got) == odd.count()
