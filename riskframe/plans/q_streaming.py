@@ -10,7 +10,7 @@ from riskframe.plans.q_sources import _RAW_SQL, _raw_dbl
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources.contract import raw_from_canonical
 from riskframe.sources.fixtures import events_transactions
-from riskframe.streaming.ingest import ingest
+from riskframe.streaming.ingest import ingest, ingested
 
 
 @register("stream_ingest", with_ctes(f"SELECT {_RAW_SQL} FROM transactions", TXN))
@@ -20,4 +20,4 @@ def q_stream_ingest(spark, sf):
     raw_from_canonical(events_transactions(spark, sf)).write.option("header", True).csv(f"{base}/raw")
     q = ingest(spark, f"{base}/raw", f"{base}/sink", f"{base}/ckpt")
     q.awaitTermination()
-    return _raw_dbl(raw_from_canonical(spark.read.parquet(f"{base}/sink")))
+    return _raw_dbl(raw_from_canonical(ingested(spark, f"{base}/sink")))

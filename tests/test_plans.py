@@ -10,6 +10,7 @@ from riskframe.operators import features as fe
 from riskframe.plans.inspect import exchanges, plan_text, scan_summary
 from riskframe.sources import contract
 from riskframe.sources.fixtures import events_transactions, lineitem_transactions
+from riskframe.streaming import ingest
 
 SF = "/root/testdata/sf0.01"
 
@@ -181,26 +182,73 @@ def test_money_is_exact_to_sixteen_digits(spark, tmp_path):
 
 
 def test_stream_refuses_a_reordered_header(spark, tmp_path):
-    from riskframe.streaming.ingest import ingest
     raw = contract.raw_from_canonical(events_transactions(spark, "/root/testdata/sf0.001"))
     raw.select(*reversed(raw.columns)).write.option("header", True).csv(f"{tmp_path}/raw")
     with pytest.raises(Exception, match="(?i)header"):
-        ingest(spark, f"{tmp_path}/raw", f"{tmp_path}/sink", f"{tmp_path}/ckpt").awaitTermination()
+        ingest.ingest(spark, f"{tmp_path}/raw", f"{tmp_path}/sink", f"{tmp_path}/ckpt").awaitTermination()
+
+
+def _raw_files(spark, path, files=4):
+    raw = contract.raw_from_canonical(events_transactions(spark, "/root/testdata/sf0.001"))
+    raw.repartition(files).write.option("header", True).csv(path)
+
+
+def _ids(df):
+    return tuple(df.agg(F.count("*"), F.countDistinct("txn_id"), F.min("txn_id"), F.max("txn_id")).first())
 
 
 def test_stream_restart_writes_each_file_once(spark, tmp_path):
-    from riskframe.streaming.ingest import ingest
     raw = contract.raw_from_canonical(events_transactions(spark, "/root/testdata/sf0.001"))
     args = (spark, f"{tmp_path}/raw", f"{tmp_path}/sink")
     for part in (raw.where("step <= 200"), raw.where("step > 200")):
         part.write.mode("append").option("header", True).csv(args[1])
         for _ in range(2):
-            ingest(*args).awaitTermination()
-    out = spark.read.parquet(args[2])
-    r = out.agg(F.count("*"), F.countDistinct("txn_id"), F.min("txn_id"), F.max("txn_id")).first()
-    assert tuple(r) == (1000, 1000, 1, 1000)
-    with pytest.raises(ValueError):  # the checkpoint is lost: nothing is written twice
-        ingest(*args, checkpoint=f"{tmp_path}/other")
+            ingest.ingest(*args).awaitTermination()
+    assert _ids(ingest.ingested(spark, args[2])) == (1000, 1000, 1, 1000)
+
+
+def test_a_second_writer_and_a_lost_checkpoint_are_refused(spark, tmp_path):
+    _raw_files(spark, f"{tmp_path}/raw")
+    args = (spark, f"{tmp_path}/raw", f"{tmp_path}/sink")
+    ingest.ingest(*args, checkpoint=f"{tmp_path}/one").awaitTermination()
+    with pytest.raises(ValueError, match="is written from"):
+        ingest.ingest(*args, checkpoint=f"{tmp_path}/two")
+    (tmp_path / "one").rename(tmp_path / "gone")
+    with pytest.raises(ValueError, match="does not exist"):
+        ingest.ingest(*args, checkpoint=f"{tmp_path}/one")
+    assert _ids(ingest.ingested(spark, args[2])) == (1000, 1000, 1, 1000)
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_a_batch_killed_between_write_and_commit_is_not_seen(spark, tmp_path, monkeypatch, late):
+    """The attempt is complete and no manifest names it, or (late) the manifest is there and the query has not noted it."""
+    _raw_files(spark, f"{tmp_path}/raw")
+    args = (spark, f"{tmp_path}/raw", f"{tmp_path}/sink", f"{tmp_path}/ckpt")
+    commit, calls = ingest._commit, []
+
+    def killed(*a):
+        calls.append(a[2])
+        if len(calls) == 2:
+            if late:
+                commit(*a)
+            raise RuntimeError("killed")
+        commit(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_commit", killed)
+        with pytest.raises(Exception, match="killed"):
+            ingest.ingest(*args, max_files_per_trigger=1).awaitTermination()
+    seen = ingest.ingested(spark, args[2])
+    assert len(list((tmp_path / "sink" / "batches").glob("*/attempt=*/_SUCCESS"))) == 2
+    assert [r["batch_id"] for r in seen.select("batch_id").distinct().orderBy("batch_id").collect()] == ([0, 1] if late else [0])
+    ingest.ingest(*args, max_files_per_trigger=1).awaitTermination()
+    out = ingest.ingested(spark, args[2])
+    assert _ids(out) == (1000, 1000, 1, 1000) and out.select("batch_id").distinct().count() == 4
+    assert len(list((tmp_path / "sink" / "batches").glob("*/attempt=*"))) == (4 if late else 5)
+
+
+def test_a_sink_without_a_batch_has_no_rows(spark, tmp_path):
+    assert ingest.ingested(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_stream_ingest_appends_every_row_once(spark):
@@ -209,13 +257,8 @@ def test_stream_ingest_appends_every_row_once(spark):
 
 
 def test_stream_ingest_many_batches_unique_ids(spark, tmp_path):
-    from riskframe.sources.contract import raw_from_canonical
-    from riskframe.sources.fixtures import events_transactions
-    from riskframe.streaming.ingest import ingest
     base = str(tmp_path)
-    raw_from_canonical(events_transactions(spark, "/root/testdata/sf0.001")).repartition(4) \
-        .write.option("header", True).csv(f"{base}/raw")
-    ingest(spark, f"{base}/raw", f"{base}/sink", f"{base}/ckpt", max_files_per_trigger=1).awaitTermination()
-    out = spark.read.parquet(f"{base}/sink")
-    r = out.agg(F.count("*"), F.countDistinct("txn_id"), F.countDistinct("batch_id"), F.max("txn_id")).first()
-    assert r[0] == r[1] == r[3] == 1000 and r[2] == 4
+    _raw_files(spark, f"{base}/raw")
+    ingest.ingest(spark, f"{base}/raw", f"{base}/sink", f"{base}/ckpt", max_files_per_trigger=1).awaitTermination()
+    out = ingest.ingested(spark, f"{base}/sink")
+    assert _ids(out) == (1000, 1000, 1, 1000) and out.select("batch_id").distinct().count() == 4
