@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.config import DEFAULT, RiskConfig
-from riskframe.session import cached
+from riskframe.session import cached, small_table
 
 _PER_EDGE = 64  # sampled values per edge
 _DEEP_FANOUT = 64  # buckets that a bucket is cut into on deeper levels
@@ -64,6 +64,7 @@ def _with_bucket(dv: DataFrame, value_col: str, cfg: RiskConfig) -> DataFrame:
             F.sort_array(F.collect_list(F.col(value_col).cast("double"))).alias("s"))
         at = [F.get("s", (F.size("s") * i / k).cast("int")) for i in range(1, k)]
         own = own.select(F.col("__bk").alias("__of"), F.array(*at).alias("__e"))
+        own, _ = small_table(cached(own), F.size("__e"))  # broadcast while small, so rows are not dealt by bucket
         inside = F.size(F.filter("__e", lambda e: e <= F.col(value_col).cast("double")))
         dv = (dv.join(own, F.col("__bk") == F.col("__of"), "left")
               .withColumn("__bk", F.col("__bk") * (k + 1) + F.when(F.col("__e").isNull(), 0).otherwise(inside))

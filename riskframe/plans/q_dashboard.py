@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskframe.config import DEFAULT
 from riskframe.models import compiled as cm
 from riskframe.models import frozen
@@ -20,10 +22,10 @@ _SCORE = ("CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + CAST(250 AS DOUBLE
 _BEST = "SELECT threshold FROM {t} ORDER BY total_cost, threshold LIMIT 1"
 
 
-def decide_ctes(base: str) -> list[str]:
+def decide_ctes(base: str, score: str = _SCORE) -> list[str]:
     """SQL twin of operators.dashboard.decide over relation `base`."""
     return [
-        f"sc AS (SELECT b.*, {_SCORE} AS score FROM {base} b)", SPLIT_SQL,
+        f"sc AS (SELECT b.*, {score} AS score FROM {base} b)", SPLIT_SQL,
         "val AS (SELECT s.* FROM sc s, bounds WHERE s.step > bounds.train_end_step AND s.step <= bounds.validation_end_step)",
         "tst AS (SELECT s.* FROM sc s, bounds WHERE s.step > bounds.validation_end_step)",
         FIXED, grid_ctes("val", "v_"), counts_cte("val", "v_"),
@@ -73,7 +75,7 @@ def q_scored_table(spark, sf):
 _T_SWEEP = sweep_ctes("tst", "t_", extra="SELECT h AS threshold FROM dec")
 
 
-@register("kpi_summary", _ev_sql(f"""
+_KPI = f"""
 SELECT k.total_transactions, k.total_fraud_transactions, {pct('k.total_fraud_transactions', 'k.total_transactions')} AS fraud_rate_pct,
   k.total_transaction_value, k.fraudulent_transaction_value, o.optimal_threshold AS selected_threshold,
   CAST(100 AS DOUBLE) * o.fraud_capture_rate AS fraud_capture_rate_pct,
@@ -87,12 +89,37 @@ FROM (SELECT COUNT(*) AS total_transactions, CAST(SUM(is_fraud) AS BIGINT) AS to
         CAST(SUM(amount) AS DOUBLE) AS total_transaction_value,
         CAST(SUM(amount) FILTER (WHERE is_fraud = 1) AS DOUBLE) AS fraudulent_transaction_value,
         CAST(SUM(predicted_flag) AS BIGINT) AS alerts_raised FROM scd) k,
-     ({summary_sql('t_sweep', 'SELECT * FROM t_sweep ORDER BY abs(threshold - (SELECT h FROM dec)), threshold LIMIT 1')}) o, rm""",
-    *_T_SWEEP, ranking_sql("SELECT 1 AS grp, score AS value, is_fraud AS y FROM tst", None)))
+     ({summary_sql('t_sweep', 'SELECT * FROM t_sweep ORDER BY abs(threshold - (SELECT h FROM dec)), threshold LIMIT 1')}) o, rm"""
+_KPI_CTES = (*_T_SWEEP, ranking_sql("SELECT 1 AS grp, score AS value, is_fraud AS y FROM tst", None))
+
+
+@register("kpi_summary", _ev_sql(_KPI, *_KPI_CTES))
 def q_kpi_summary(spark, sf):
     return db.kpi_summary(_ev(spark, sf))
 
 
+def _frozen(spark, sf):
+    """The decision context of the frozen logistic regression: thresholds and bands from its validation scores."""
+    rows = fe.build_features(events_transactions(spark, sf)).withColumn("score", F.round(cm.score(frozen.logreg()), 9))
+    return db.decide(cached(rows))
+
+
+def _frozen_sql(body: str, *more: str) -> str:
+    return with_ctes(body, TXN, FEATURES, *decide_ctes("features", f"round({cm.score_sql(frozen.logreg())}, 9)"), *more)
+
+
+@register("frozen_kpi_summary", _frozen_sql(_KPI, *_KPI_CTES))
+def q_frozen_kpi_summary(spark, sf):
+    """D2 on a model's scores instead of the scorecard's."""
+    return db.kpi_summary(_frozen(spark, sf))
+
+
+@register("frozen_scored_table", _frozen_sql(f"SELECT {_D1_COLS} FROM scd"))
+def q_frozen_scored_table(spark, sf):
+    """D1 on a model's scores instead of the scorecard's."""
+    return db.scored_table(_frozen(spark, sf))
+
+
 @register("threshold_cost_curve", _ev_sql("SELECT * FROM t_sweep", *_T_SWEEP))
 def q_threshold_cost_curve(spark, sf):
     return db.threshold_cost_curve(_ev_txn(spark, sf))
@@ -301,7 +328,6 @@ def q_analyst_queue(spark, sf):
     "SELECT txn_id, step, txn_type, CAST(amount AS DOUBLE) AS amount, fraud_probability, risk_band, is_fraud "
     "FROM scd ORDER BY fraud_probability DESC, txn_id LIMIT 10"))
 def q_top_scored_examples(spark, sf):
-    from pyspark.sql import functions as F
     return db.top_scored(_ev_txn(spark, sf).scored_test).select(
         "txn_id", "step", "txn_type", F.col("amount").cast("double").alias("amount"), "fraud_probability",
         "risk_band", "is_fraud")
