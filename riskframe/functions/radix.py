@@ -8,8 +8,8 @@ in wanted prefixes alone. A pass goes straight to whole keys when few rows are
 left, so a table takes two passes as a rule and five at most.
 
 Nothing is unpivoted, shuffled whole or persisted: tasks send (column, group,
-prefix) counts, at most 2^16 prefixes a column and group in the first pass, and
-the driver gets the counts around the wanted positions only.
+prefix) counts, at most 2^16 prefixes a column and group in the first pass. The
+driver gets a pass's counts if they are few, else those at wanted positions.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ _FIRST_BITS = 16
 _STEP_BITS = 16
 _WHOLE_ROWS = 4_000_000   # rows in wanted prefixes, over all columns, that one pass may count by whole key
 _HELD = 1 << 18           # counts that a task keeps apart before it adds them up
+_DRIVER_COUNTS = 1 << 18  # counts of one pass that the driver may search itself
 _MOST_TARGETS = 100_000   # (column, group, position) control values on the driver
 
 COUNTS = "col int, grp string, prefix long, n long, lo long, hi long, total double, zeros long"
@@ -127,19 +129,45 @@ def _histogram(df: DataFrame, columns: list[str], group: Column | None, bits: in
         F.sum("zeros").alias("zeros"))
 
 
-def _at_positions(hist: DataFrame, parent_shift: int | None, targets: DataFrame) -> DataFrame:
-    """Each target (col, grp, parent, at, base) with the prefix that holds position `at`, the rows before it, n, lo and hi.
+Found = tuple[int, str, int, int, int, int, int, int]  # column, group, position, rows before the prefix, prefix, n, lo, hi
 
-    Counts run inside a parent, the prefix wanted by the pass before; `base` rows lie before the parent.
-    """
+
+def _positions(hist: DataFrame, parent_shift: int | None, open_: dict[tuple[int, str, int], tuple[int, int]]) -> list[Found]:
+    """For each (column, group, position) -> (parent, rows before it): the prefix that holds the position.
+
+    Counts run inside a parent, the prefix wanted by the pass before. A small
+    histogram is searched on the driver, a large one by a join."""
+    held = _small(hist)
+    if held is not None:
+        return _in_memory(held, parent_shift, open_)
+    targets = hist.sparkSession.createDataFrame([(c, g, parent, at, base) for (c, g, at), (parent, base) in open_.items()],
+                                                "t_col int, t_grp string, t_parent long, at long, base long")
     parent = F.lit(0).cast("long") if parent_shift is None else F.shiftright("prefix", parent_shift)
     before = Window.partitionBy("col", "grp", "parent").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     run = hist.withColumn("parent", parent).withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    t = targets.select(*[F.col(c).alias(f"t_{c}") for c in ("col", "grp", "parent")], "at", "base")
     same = [F.col(c) == F.col(f"t_{c}") for c in ("col", "grp", "parent")]
     place = F.col("at") - F.col("base") - F.col("off")
-    return run.join(F.broadcast(t), [*same, place >= 0, place < F.col("n")]).select(
-        "col", "grp", "at", (F.col("off") + F.col("base")).alias("base"), "prefix", "n", "lo", "hi")
+    met = run.join(F.broadcast(targets), [*same, place >= 0, place < F.col("n")])  # at most _MOST_TARGETS targets
+    return [tuple(r) for r in met.select("col", "grp", "at", F.col("off") + F.col("base"), "prefix", "n", "lo", "hi").collect()]
+
+
+def _small(hist: DataFrame) -> pd.DataFrame | None:
+    """The histogram on the driver if it has at most _DRIVER_COUNTS counts."""
+    rows = hist.limit(_DRIVER_COUNTS + 1).toPandas()
+    return rows if len(rows) <= _DRIVER_COUNTS else None
+
+
+def _in_memory(held: pd.DataFrame, parent_shift: int | None, open_) -> list[Found]:
+    held = held.assign(parent=0 if parent_shift is None else held["prefix"].to_numpy(np.int64) >> parent_shift)
+    by = {key: part.sort_values("prefix") for key, part in held.groupby(["col", "grp", "parent"], sort=False)}
+    out = []
+    for (c, g, at), (parent, base) in open_.items():
+        part = by[c, g, parent]
+        upto = part["n"].to_numpy().cumsum()
+        k = int(np.searchsorted(upto, at - base, "right"))
+        row = part.iloc[k]
+        out.append((c, g, at, base + int(upto[k] - row["n"]), int(row["prefix"]), int(row["n"]), int(row["lo"]), int(row["hi"])))
+    return out
 
 
 @dataclass(frozen=True)
@@ -164,27 +192,31 @@ def profiles(df: DataFrame, columns: list[str], qs: list[float], group: Column |
     """
     spark = df.sparkSession
     rows = df.where(group.isNotNull()) if group is not None else df
-    # at most 2^16 counts a column and group, read twice: once for the totals, once for the wanted prefixes
-    hist = cached(_histogram(rows, columns, group, _FIRST_BITS, None))
-    totals = {(r["col"], r["grp"]): r for r in hist.groupBy("col", "grp").agg(
-        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("zeros").alias("zeros")).limit(_MOST_TARGETS + 1).collect()}
+    hist = _histogram(rows, columns, group, _FIRST_BITS, None)  # at most 2^16 counts a column and group
+    held = _small(hist)
+    if held is None:
+        hist = cached(hist)  # read for the totals and for the wanted prefixes
+        sums = hist.groupBy("col", "grp").agg(*[F.sum(c).alias(c) for c in ("n", "total", "zeros")])
+        held_totals = sums.limit(_MOST_TARGETS + 1).toPandas()
+    else:
+        held_totals = held.groupby(["col", "grp"], as_index=False)[["n", "total", "zeros"]].sum()
+    totals = {(int(r.col), r.grp): r for r in held_totals.itertuples()}
     if len(totals) * max(1, 2 * len(qs)) > _MOST_TARGETS:
         raise TooManyTargets(f"{len(totals)} columns and groups with {len(qs)} quantiles")
     # (column, group, position) -> (wanted prefix, rows before it)
     open_ = {(*key, at): (0, 0) for key, r in totals.items() for q in qs
-             for at in (math.floor(q * (r["n"] - 1)), math.ceil(q * (r["n"] - 1)))}
+             for at in (math.floor(q * (int(r.n) - 1)), math.ceil(q * (int(r.n) - 1)))}
     found: dict[tuple[int, str, int], int] = {}
-    bits, shift = _FIRST_BITS, None
+    bits, shift, first = _FIRST_BITS, None, held
     while open_:
-        targets = spark.createDataFrame([(c, g, parent, at, base) for (c, g, at), (parent, base) in open_.items()],
-                                        "col int, grp string, parent long, at long, base long")
-        open_, sizes = {}, {}
-        for r in _at_positions(hist, shift, targets).collect():
-            if r["lo"] == r["hi"]:
-                found[r["col"], r["grp"], r["at"]] = r["lo"]
+        places = _in_memory(first, shift, open_) if first is not None else _positions(hist, shift, open_)
+        open_, sizes, first = {}, {}, None
+        for c, g, at, base, prefix, n, lo, hi in places:
+            if lo == hi:
+                found[c, g, at] = lo
             else:
-                open_[r["col"], r["grp"], r["at"]] = (r["prefix"], r["base"])
-                sizes.setdefault((r["col"], r["grp"]), {})[r["prefix"]] = r["n"]
+                open_[c, g, at] = (prefix, base)
+                sizes.setdefault((c, g), {})[prefix] = n
         if open_:
             wanted = Wanted(bits, {k: np.array(sorted(p), np.int64) for k, p in sizes.items()})
             few = sum(sum(p.values()) for p in sizes.values()) <= _WHOLE_ROWS
@@ -195,11 +227,11 @@ def profiles(df: DataFrame, columns: list[str], qs: list[float], group: Column |
     for (c, g), r in totals.items():
         of = {}
         for q in qs:
-            pos = q * (r["n"] - 1)
+            pos = q * (int(r.n) - 1)
             lo, hi = (value_of(found[c, g, at]) for at in (math.floor(pos), math.ceil(pos)))
             d = pos - math.floor(pos)
             of[q] = lo if d == 0 else lo + (hi - lo) * d
-        out[columns[c], g] = Profile(r["n"], r["zeros"], r["total"], of)
+        out[columns[c], g] = Profile(int(r.n), int(r.zeros), float(r.total), of)
     return out
 
 

@@ -25,8 +25,9 @@ def _fraud():
 
 def feature_coverage(features: DataFrame, columns: list[str] | None = None, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """B1: per feature -- % defined, % non-zero, mean, median; counts, sums and medians of all features come from the
-    same radix passes, one row per transaction."""
+    same radix passes over one row per transaction, which is kept while they run."""
     columns = columns or MODEL_COLUMNS
+    features = cached(features.select(*[dbl(c).alias(c) for c in columns]))
     found = profiles(features, columns, [0.5])
     rows = []
     for c in columns:
@@ -145,6 +146,7 @@ NOTEBOOK_MEDIAN_COLUMNS = ["amount", "dest_prior_txn_count", "dest_prior_unique_
 
 def class_medians(features: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """Medians of nine features by class, long form (column, is_fraud, median)."""
+    features = cached(features.select("is_fraud", *[dbl(c).alias(c) for c in NOTEBOOK_MEDIAN_COLUMNS]))  # read by each pass
     m = quantile_rows(features, NOTEBOOK_MEDIAN_COLUMNS, [0.5], "is_fraud")
     return m.select("column", "is_fraud", F.round("value", 9).alias("median"))
 

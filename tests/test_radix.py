@@ -31,9 +31,10 @@ def _frame(spark, n=4000, seed=0):
 QS = [0.0, 0.01, 0.5, 0.77, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("whole", [4_000_000, 3])  # 3: sixteen bits a pass, down to whole keys
-def test_quantiles_equal_numpy(spark, monkeypatch, whole):
+@pytest.mark.parametrize("whole, driver", [(4_000_000, 1 << 18), (3, 1 << 18), (3, 2)])  # 3: sixteen bits a pass, down to whole keys
+def test_quantiles_equal_numpy(spark, monkeypatch, whole, driver):
     monkeypatch.setattr(radix, "_WHOLE_ROWS", whole)
+    monkeypatch.setattr(radix, "_DRIVER_COUNTS", driver)  # 2: positions are found by a join
     df, rows, cols = _frame(spark)
     for group in (None, F.col("g")):
         found = radix.profiles(df, cols, QS, group)
