@@ -26,7 +26,7 @@ from riskframe.llm.common import chunks, id_and_text, least_hashed
 
 UNKNOWN = "und"
 SWITCH = 6.0           # nats lost where the language changes
-_LONGEST = 40          # letters of a word; a longer run is as many words as it takes
+_LONGEST = 40          # letters and marks of a word; a longer run is as many words as it takes
 _UNSPACED = 8          # the same for scripts that put no space between words
 UNSPACED = frozenset(("thai", "lao", "khmer", "kana", "han"))
 _CACHE_WORDS = 300_000  # scored words kept by one worker: speed only
@@ -74,7 +74,8 @@ def _words() -> re.Pattern:
     named = frozenset(c for first, last, _ in SCRIPTS for c in range(first, last + 1))
     parts = [(own, _UNSPACED if name in UNSPACED else _LONGEST) for name, own in letters.items()]
     parts.append((_ranges(0, sys.maxunicode, "L", named), _LONGEST))
-    return re.compile("|".join(f"(?:[{own}][{marks}]*+){{1,{n}}}" for own, n in parts))
+    # a piece ends after n letters and marks, and after the marks on its last letter
+    return re.compile("|".join(f"[{own}][{own}{marks}]{{0,{n - 1}}}[{marks}]*" for own, n in parts))
 
 
 _WORD = _words()
