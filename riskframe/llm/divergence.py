@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,13 @@ TOP_TERMS = 200
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _PART = 1 << 20          # bytes of a text that are split at once
 _HELD = 600_000          # counts that a task holds before it writes them
+_HELD_DOCS, _HELD_BYTES = 1 << 22, 1 << 39  # and documents and bytes: one value holds both counts
+_ROWS = 256              # texts that a task copies out of Arrow at once
 _BLOCK = 4096            # vocabulary entries whose columns are held at once
 _HELD_DOCS, _HELD_BYTES = 1 << 22, 1 << 39  # and documents and bytes: a value below holds both counts
 
-COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
-                       T.StructField("term", T.StringType()), T.StructField("n", T.LongType()),
-                       T.StructField("docs", T.LongType())])
+COUNTS = T.StructType([T.StructField("grp", T.StringType()), T.StructField("term", T.StringType()),
+                       T.StructField("n", T.LongType()), T.StructField("docs", T.LongType())])
 
 
 def _parts(raw: bytes) -> Iterator[list[bytes]]:
@@ -64,7 +66,10 @@ _DOC = 1 << 40  # one document in a value that holds occurrences below it
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that hold the term, of stretches of each task's rows."""
+    """(grp, term, n, docs): occurrences, and documents that hold the term, of stretches of each task's rows.
+
+    grp is a language and a source as one string, which is hashed and moved
+    once: the length of the language, a colon, the language, the source."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, str], dict[bytes, int]] = {}
         held = seen = size = 0
@@ -73,14 +78,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
             for (lang, source), found in counts.items():
                 if found:
                     both = np.fromiter(found.values(), np.int64, len(found))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(found), np.int32))),
-                         pa.array([source], pa.string()).take(pa.array(np.zeros(len(found), np.int32))),
-                         pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(both % _DOC), pa.array(both // _DOC)],
-                        names=COUNTS.names)
+                    grp = pa.array([f"{len(lang)}:{lang}{source}"]).take(pa.array(np.zeros(len(found), np.int32)))
+                    yield pa.RecordBatch.from_arrays([grp, pa.array(list(found), pa.binary()).cast(pa.string()),
+                                                      pa.array(both % _DOC), pa.array(both // _DOC)], names=COUNTS.names)
 
-        for batch in batches:
-            for raw, lang, source in zip(*(c.to_pylist() for c in batch.columns)):
+        for part_of in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
+            for raw, lang, source in zip(*(c.to_pylist() for c in part_of.columns)):
                 found, own = counts.setdefault((lang, source), {}), Counter()
                 for part in _parts(raw):
                     own.update(part)
@@ -113,7 +116,11 @@ def divergence(p: Column, q: Column) -> Column:
 
 def vocabulary(counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(lang, term, total, row): the kept terms, each with its row of counts, (source, n) by source, zeros left out."""
-    own = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    own = counts.groupBy("grp", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    size = F.substring_index("grp", ":", 1)
+    start = F.length(size) + 2
+    own = own.select("term", "n", "docs", F.substr("grp", start, size.cast("int")).alias("lang"),
+                     F.substr("grp", start + size.cast("int")).alias("source"))
     terms = own.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"),
                                             F.sort_array(F.collect_list(F.struct("source", "n"))).alias("row"))
     return terms.where(F.col("docs") >= least_docs).select("lang", "term", "total", "row")
@@ -129,25 +136,26 @@ def group_totals(groups: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 COLUMNS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("length", T.LongType()),
+    T.StructField("lang", T.StringType()), T.StructField("sizes", T.ArrayType(T.LongType())),
     T.StructField("columns", T.ArrayType(T.StructType([
-        T.StructField("source", T.StringType()), T.StructField("ends", T.ArrayType(T.LongType())),
+        T.StructField("source", T.StringType()), T.StructField("ends", T.ArrayType(T.IntegerType())),
         T.StructField("counts", T.ArrayType(T.LongType()))])))])
-_ARROW_COLUMNS = pa.schema([("lang", pa.string()), ("length", pa.int64()), ("columns", pa.list_(pa.struct(
-    [("source", pa.string()), ("ends", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])))])
+_ARROW_COLUMNS = pa.schema([("lang", pa.string()), ("sizes", pa.list_(pa.int64())), ("columns", pa.list_(pa.struct(
+    [("source", pa.string()), ("ends", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])))])
 
 
-def runs(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, values) of the runs of a column whose entries stand for `lengths` terms each."""
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(last entry, value) of each run of a column."""
     last = np.flatnonzero(np.append(values[1:] != values[:-1], True))
-    return np.cumsum(lengths)[last], values[last]
+    return last, values[last]
 
 
 def run_length_columns(vocab: DataFrame) -> DataFrame:
-    """(lang, length, columns): blocks of the reordered vocabulary, a run-length encoded column of counts per source.
+    """(lang, sizes, columns): blocks of the reordered vocabulary, a run-length encoded column of counts per source.
 
-    Terms of equal rows are one entry, and entries are ordered by row, so equal
-    counts lie side by side. A source without a column has count 0 all along.
+    Terms of equal rows are one entry, of their number as size, and entries are
+    ordered by row, so equal counts lie side by side. A source without a column
+    has count 0 all along.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,9 +174,9 @@ def run_length_columns(vocab: DataFrame) -> DataFrame:
                         columns[cell["source"]][i] = cell["n"]
                 coded = []
                 for source, column in columns.items():
-                    ends, counts = runs(column, lengths[start:end])
+                    ends, counts = runs(column)
                     coded.append({"source": source, "ends": ends.tolist(), "counts": counts.tolist()})
-                yield pa.RecordBatch.from_pylist([{"lang": langs[start], "length": int(lengths[start:end].sum()),
+                yield pa.RecordBatch.from_pylist([{"lang": langs[start], "sizes": lengths[start:end].tolist(),
                                                    "columns": coded}], _ARROW_COLUMNS)
                 start = end
 
@@ -177,11 +185,26 @@ def run_length_columns(vocab: DataFrame) -> DataFrame:
     return entries.repartitionByRange("lang", F.slice("row", 1, 2)).sortWithinPartitions("lang", "row").mapInArrow(run, COLUMNS)
 
 
-def pair_sums(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
-    """Sums of f over the terms of two run-length columns of p: with b's p below the line, and with a's."""
-    bounds = np.union1d(a[0], b[0])
-    p, q = a[1][np.searchsorted(a[0], bounds)], b[1][np.searchsorted(b[0], bounds)]
-    times, square = np.diff(bounds, prepend=0), (p - q) ** 2
+@dataclass
+class Coded:
+    """A run-length encoded column of p: where its runs end, and p by entry."""
+    ends: np.ndarray   # whether a run ends at an entry
+    p: np.ndarray
+
+    @classmethod
+    def of(cls, ends: np.ndarray, p: np.ndarray, entries: int) -> Coded:
+        mask = np.zeros(entries, bool)
+        mask[ends] = True
+        return cls(mask, np.repeat(p, np.diff(ends, prepend=-1)))
+
+
+def pair_sums(a: Coded, b: Coded, upto: np.ndarray) -> tuple[int, int]:
+    """Sums of f over the terms of two columns: with b's p below the line, and with a's. upto: terms up to each entry.
+
+    The run boundaries of both cut the column into stretches of one p each; f is made once a stretch."""
+    at = np.flatnonzero(a.ends | b.ends)
+    p, q = a.p[at], b.p[at]
+    times, square = np.diff(upto[at], prepend=0), (p - q) ** 2
     return int((square // q * times).sum()), int((square // p * times).sum())
 
 
@@ -197,16 +220,16 @@ SUMS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("sourc
 
 def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, length, columns, kept, groups in zip(*(c.to_pylist() for c in batch.columns)):
+        for lang, sizes, columns, kept, groups in zip(*(c.to_pylist() for c in batch.columns)):
             coded = {c["source"]: (c["ends"], c["counts"]) for c in columns}
-            shares = []
+            upto, shares = np.cumsum(sizes), []
             for g in groups:
-                ends, counts = coded.get(g["source"], ([length], [0]))
-                shares.append((np.array(ends, np.int64), _shares(counts, g["n"] + kept)))
+                ends, counts = coded.get(g["source"], ([len(sizes) - 1], [0]))
+                shares.append(Coded.of(np.array(ends, np.int64), _shares(counts, g["n"] + kept), len(sizes)))
             names = [g["source"] for g in groups]
             for i, name in enumerate(names):
                 if rest := names[i + 1:]:
-                    sums = [pair_sums(shares[i], shares[j]) for j in range(i + 1, len(names))]
+                    sums = [pair_sums(shares[i], shares[j], upto) for j in range(i + 1, len(names))]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * 2 * len(rest), pa.string()), pa.array([name] * len(rest) + rest, pa.string()),
                          pa.array(rest + [name] * len(rest), pa.string()),
@@ -216,7 +239,7 @@ def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pair_divergence(vocab: DataFrame, totals: DataFrame) -> DataFrame:
     """(lang, source, item, value) for each ordered pair of sources of a language; 0 where no term is kept."""
     langs = totals.groupBy("lang", "kept").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("groups"))
-    blocks = run_length_columns(vocab).join(langs, "lang").select("lang", "length", "columns", "kept", "groups")
+    blocks = run_length_columns(vocab).join(langs, "lang").select("lang", "sizes", "columns", "kept", "groups")
     sums = blocks.mapInArrow(_block_sums, SUMS).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     bare = totals.where("kept = 0")
     pairs = bare.select("lang", "source").join(bare.select("lang", F.col("source").alias("item")), "lang")

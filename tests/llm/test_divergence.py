@@ -58,7 +58,7 @@ def test_odd_rows(spark):
     rows = texts(1, 40, 10, 3, ("en",)) + [
         (None, "en", "s0"), (None, None, None), ("", "fr", "lone"), ("one word", "xx", "a"), ("Other Words", "xx", "b"), ("x", "xx", None),
         ("Ünïcode 日本 語 ÀB àB É É É \x7f[^]`{}~ it's", "uu", "a"), ("ÀB é 日本", "uu", "b"), ("àb ÀB 日本 É", "uu", "c"),
-        ("ab CD " * 200_000, "long", "a"), ("ab", "long", "b"), ("ab cd", "long", "b")]
+        ("ab CD " * 200_000, "long", "a"), ("ab", "long", "b"), ("ab cd", "long", "b"), ("ab", "3:x", "7:é"), ("ab", "3:x", ""), ("ab", "日本:", "é"), ("ab", "日本:", ":")]
     rows += rows[:5]
     found = audited(spark, rows)
     assert found == plain(rows)
@@ -79,8 +79,10 @@ def test_long_texts_are_split_between_terms(monkeypatch):
 
 def test_tasks_write_counts_before_they_hold_too_many(spark, monkeypatch):
     rows = texts(2, 60, 30, 3)
-    monkeypatch.setattr(divergence, "_HELD", 3)
-    assert audited(spark, rows) == plain(rows)
+    for name in ("_HELD", "_HELD_DOCS", "_HELD_BYTES", "_ROWS"):
+        with monkeypatch.context() as m:
+            m.setattr(divergence, name, 3)
+            assert audited(spark, rows) == plain(rows)
 
 
 def test_pair_sums_equal_the_sum_over_terms():
