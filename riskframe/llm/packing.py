@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import chunks, stored
+from riskframe.llm.common import chunks, places_of_none, stored
 
 _BATCH_CHARS = 1 << 21
 _CACHE_ROWS = 700_000   # of each token cache in one worker: speed only
@@ -86,9 +86,6 @@ class _Words(dict):
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __missing__(self, part: str) -> bytes:
-        return self.extra[part]
-
     def line(self, text: str, lead: str) -> bytes:
         """Ids of lead + a text without white space."""
         body = text.rstrip(_CLOSING)
@@ -115,10 +112,15 @@ class _Words(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. A single space opens a new pre-token, so the parts between single spaces are independent."""
         split = [t.split(" ") if _plain(t) else None for t in texts]
-        self.learn(set().union(*(words for words in split if words)).difference(self))
         whole = self.ids([t if words is None else words[0] for t, words in zip(texts, split)])
-        get = self.__getitem__
-        return [ids if words is None else ids + b"".join(map(get, words[1:])) for ids, words in zip(whole, split)]
+        found = [list(map(self.get, words[1:])) if words else [] for words in split]
+        gaps = [places_of_none(ids) for ids in found]
+        self.learn({words[k + 1] for words, at in zip(split, gaps) for k in at})
+        for words, ids, at in zip(split, found, gaps):
+            for k in at:
+                part = words[k + 1]
+                ids[k] = self.extra[part] if part in self.extra else self[part]
+        return [first + b"".join(ids) for first, ids in zip(whole, found)]
 
 
 _LOADED: dict[str, _Words] = {}
