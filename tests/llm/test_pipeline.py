@@ -27,7 +27,7 @@ def test_rows_match_the_plain_stages(spark):
                 root[a] = root[b] = min(root[a], root[b])
                 changed = True
     docs = [(i, t) for i, t in docs if root[i] == i]
-    index = decontam.build_index([(r.item_id, r.text.encode()) for r in table(spark, SF, "benchmark").collect()])
+    index = decontam.build_index([(r.item_id, decontam.words_of(r.text.encode())) for r in table(spark, SF, "benchmark").collect()])
     numbers = {i: index.numbers(decontam.words_of(t.encode())) for i, t in docs}
     leaked = {i for i, y in numbers.items() for _, x in index.items
               if len(set(x) & set(y)) > 4 and decontam.align([x], [y])[0][0] / (2 * len(x)) >= 0.4}
