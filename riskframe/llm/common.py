@@ -51,16 +51,6 @@ def chunks(values: list, weight: Callable, most: int) -> Iterator[tuple[int, lis
         yield first, run
 
 
-def places_of_none(values: list) -> list[int]:
-    out, at = [], -1
-    try:
-        while True:
-            at = values.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
-
-
 _HASHES = 1 << 40
 
 
