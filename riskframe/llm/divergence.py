@@ -39,7 +39,7 @@ TOP_TERMS = 200
 
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _PART = 1 << 20          # bytes of a text that are split at once
-_HELD = 600_000          # counts that a task holds before it writes them
+_HELD = 300_000          # counts that a task holds before it writes them
 _HELD_DOCS, _HELD_BYTES = 1 << 22, 1 << 39  # and documents and bytes: one value holds both counts
 _ROWS = 256              # texts that a task copies out of Arrow at once
 _BLOCK = 4096            # vocabulary entries whose columns are held at once
