@@ -6,8 +6,10 @@ current row; RANGE (velocity) frames cover steps [step-h, step-1] and so
 exclude the whole current step.
 
 Plan shape.  `history` adds the columns of one key family to the growing row,
-so nothing is joined back: rows are dealt by origin once (origin and pair
-families share that layout), by destination once, and by (type, step) once.
+so nothing is joined back: rows are dealt by (type, step) once, while they are
+narrow, by origin once (origin and pair families share that layout), and by
+destination once. A row carries plain statistics; the features made of them
+are added after the last exchange.
 
 A plain `Window.partitionBy(key)` puts all rows of a key in one task, and one
 receiver may hold a third of all rows.  Each family therefore counts rows per
@@ -232,9 +234,13 @@ def base_expressions(cfg: RiskConfig = DEFAULT) -> list[Column]:
     ]
 
 
-def _add_origin(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
-    df = history(df, ["name_orig"], cfg, source=source, prefix="o", want_max=True, want_prev=True, prev_type=True,
-                 ranges={"o_v24": (24, 1, "count")})
+def _origin_stats(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
+    out = history(df, ["name_orig"], cfg, source=source, prefix="o", want_max=True, want_prev=True, prev_type=True,
+                  ranges={"o_v24": (24, 1, "count")})
+    return out.withColumn("o_s", _dbl("o_s"))  # a third of a wide decimal's bytes
+
+
+def _origin_columns(df: DataFrame) -> DataFrame:
     amt, avg, mx = _dbl("amount"), _avg("o_s", "o_n"), _dbl("o_mx")
     return df.select(
         *[c for c in df.columns if not c.startswith("o_")],
@@ -247,23 +253,28 @@ def _add_origin(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
         _ratio(amt, mx).alias("orig_amount_to_prior_max"))
 
 
-def _add_pair(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
-    df = history(df, ["name_orig", "name_dest"], cfg, source=source, prefix="p")
-    new = F.when(F.col("p_n") == 0, 1).otherwise(0)
+def _pair_stats(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
+    out = history(df, ["name_orig", "name_dest"], cfg, source=source, prefix="q")
+    return out.withColumn("q_s", _dbl("q_s")).withColumn("is_first_contact", F.when(F.col("q_n") == 0, 1).otherwise(0))
+
+
+def _pair_columns(df: DataFrame) -> DataFrame:
     return df.select(
-        *[c for c in df.columns if not c.startswith("p_")], F.col("p_n").alias("pair_prior_txn_count"),
-        new.alias("pair_is_new"), F.coalesce(_dbl("p_s"), F.lit(0.0)).alias("pair_prior_total_amount"),
-        new.alias("is_first_contact"))
+        *[c for c in df.columns if not c.startswith("q_")], F.col("q_n").alias("pair_prior_txn_count"),
+        F.col("is_first_contact").alias("pair_is_new"), F.coalesce("q_s", F.lit(0.0)).alias("pair_prior_total_amount"))
 
 
-def _add_dest(df: DataFrame, cfg: RiskConfig, source: DataFrame, fan_in: bool) -> DataFrame:
+def _dest_stats(df: DataFrame, cfg: RiskConfig, source: DataFrame, fan_in: bool) -> DataFrame:
     rng = {f"d_v{h}": (h, 1, "count") for h in cfg.velocity_windows}
     rng["d_a24"] = (24, 1, "sum")
     rng["d_v1"] = (1, 1, "count")
     # the first-contact flag is on the growing row only; the split of a hot receiver finds it by aggregation
     first = source.groupBy("name_orig", "name_dest").agg(F.min(F.struct("step", "txn_id")).alias("f")).select("name_dest", "f.*")
-    df = history(df, ["name_dest"], cfg, source=source, prefix="d", want_max=True, want_prev=True,
-                 flag_col="is_first_contact" if fan_in else None, flagged=first if fan_in else None, ranges=rng)
+    return history(df, ["name_dest"], cfg, source=source, prefix="d", want_max=True, want_prev=True,
+                   flag_col="is_first_contact" if fan_in else None, flagged=first if fan_in else None, ranges=rng)
+
+
+def _dest_columns(df: DataFrame, cfg: RiskConfig, fan_in: bool) -> DataFrame:
     long_w = max(cfg.velocity_windows)
     v24, vlong = F.col("d_v24"), F.col(f"d_v{long_w}")
     avg = _avg("d_s", "d_n")
@@ -284,34 +295,37 @@ def _add_dest(df: DataFrame, cfg: RiskConfig, source: DataFrame, fan_in: bool) -
         _ratio(_dbl("amount"), avg).alias("dest_amount_to_prior_avg"))
 
 
-def _add_type(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
+def _type_stats(df: DataFrame, cfg: RiskConfig, source: DataFrame) -> DataFrame:
     """Five keys would be five tasks as a plain window, so every type takes the split plan."""
-    df = history(df, ["txn_type"], cfg, source=source, split_all=True, prefix="t")
-    avg = _avg("t_s", "t_n")
-    return df.select(*[c for c in df.columns if not c.startswith("t_")], avg.alias("type_prior_avg_amount"),
-                     _ratio(_dbl("amount"), avg).alias("amount_to_type_prior_avg"))
+    out = history(df, ["txn_type"], cfg, source=source, split_all=True, prefix="t")
+    return out.select(*df.columns, _avg("t_s", "t_n").alias("type_prior_avg_amount"))
+
+
+def _type_columns(df: DataFrame) -> DataFrame:
+    return df.withColumn("amount_to_type_prior_avg", _ratio(_dbl("amount"), F.col("type_prior_avg_amount")))
 
 
 def origin_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The input with expanding origin history, gap, ratios, previous type, 24h origin velocity."""
-    return _add_origin(txns, cfg, txns)
+    return _origin_columns(_origin_stats(txns, cfg, txns))
 
 
 def pair_history(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The input with expanding (origin, destination) history and first-contact flag."""
-    return _add_pair(txns, cfg, txns)
+    return _pair_columns(_pair_stats(txns, cfg, txns))
 
 
 def dest_history(txns: DataFrame, fan_in: bool = True, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The input with destination history, RANGE velocity and, unless fan_in is off, fan-in.
 
     Only fan-in needs the pair family."""
-    return _add_dest(_add_pair(txns, cfg, txns) if fan_in else txns, cfg, txns, fan_in)
+    rows = pair_history(txns, cfg) if fan_in else txns
+    return _dest_columns(_dest_stats(rows, cfg, txns, fan_in), cfg, fan_in)
 
 
 def type_baseline(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The input with the expanding past-only average amount per transaction type and the ratio to it."""
-    return _add_type(txns, cfg, txns)
+    return _type_columns(_type_stats(txns, cfg, txns))
 
 
 def one_hot_type(txn_type: str = "txn_type") -> list[Column]:
@@ -358,13 +372,15 @@ NARROW = ["txn_id", "step", "txn_type", "amount", "name_orig", "name_dest", "is_
 def build_features(txns: DataFrame, cfg: RiskConfig = DEFAULT) -> DataFrame:
     """The full feature table, one row per transaction, target last.
 
-    One chain on the growing row: origin and pair windows on the layout by
-    origin, destination windows on the layout by destination, then the type
-    prefix."""
+    One chain on the growing row: the type prefix on the input's columns, origin
+    and pair windows on the layout by origin, then destination windows on the
+    layout by destination."""
     from riskframe.session import cached
     narrow = cached(txns.select(*NARROW))  # read by the key counts, the type prefix and the chain
-    f = _add_pair(_add_origin(narrow, cfg, narrow), cfg, narrow)
-    f = _add_type(_add_dest(f, cfg, narrow, True), cfg, narrow)
+    f = _type_stats(narrow, cfg, narrow)
+    f = _pair_stats(_origin_stats(f, cfg, narrow), cfg, narrow)
+    f = _dest_stats(f, cfg, narrow, True)
+    f = _dest_columns(_pair_columns(_origin_columns(_type_columns(f))), cfg, True)
     return f.select("*", *base_expressions(cfg), *one_hot_type()).select(*FEATURE_ORDER)
 
 

@@ -66,6 +66,8 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scale fixture: daily-step transactions from lineitem (aggregated first) joined with orders."""
     li = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
+    # dealt by order once: the lines of an order and the order itself meet there
+    li = li.select("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice", "l_returnflag").repartition("l_orderkey")
     lines = li.groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_shipdate").alias("shipdate"), F.min("l_suppkey").alias("suppkey"),
         F.sum(F.col("l_extendedprice").cast(_DEC)).alias("price"), F.max("l_returnflag").alias("rf"))

@@ -1,5 +1,7 @@
 """Plan-shape checks: pruning and pushdown reach the scan; the split path and ids behave at small scale."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,25 @@ def test_feature_chain_deals_full_rows_three_times(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # the type prefix alone is joined
 
 
+def _dealt_columns(df):
+    """The widths of a plan's exchanges, in columns."""
+    return [int(n) for n in re.findall(r"\) Exchange\nInput \[(\d+)\]", df._explain_string(mode="formatted"))]
+
+
+def test_feature_chain_deals_statistics_not_features(spark):
+    """No exchange carries more than the input, the flag and the plain statistics of the families before it."""
+    txns = events_transactions(spark, "/root/testdata/sf0.001").where("txn_id >= 0")
+    for cfg in (RiskConfig(), RiskConfig(hot_key_rows=3)):
+        widths = _dealt_columns(fe.build_features(txns, cfg))
+        assert widths and max(widths) <= 24, widths  # the key, its chunk and the row's 17 columns
+        assert sum(w > 7 for w in widths) <= 3
+
+
+def test_lineitem_fixture_deals_lines_once(spark):
+    by = exchanges(lineitem_transactions(spark, SF))
+    assert sum("l_orderkey" in x for x in by) == 1 and not any("l_linenumber" in x for x in by)
+
+
 def test_feature_chain_with_hot_keys_keeps_one_branch(spark):
     """Rows are dealt once a family, hot keys or not; every family's windows stand once in the plan."""
     txns = events_transactions(spark, "/root/testdata/sf0.001")
