@@ -86,6 +86,14 @@ def test_feature_chain_deals_statistics_not_features(spark):
         assert sum(w > 7 for w in widths) <= 3
 
 
+def test_rows_without_a_step_count_for_accounts(spark):
+    data = [(1, None, "DEBIT", 5.0, "C1", "D1", 0), (2, 3, "DEBIT", 7.0, "C1", "D1", 0), (3, 4, "DEBIT", 9.0, "C1", "D1", 1)]
+    df = spark.createDataFrame(data, "txn_id long, step int, txn_type string, amount double, name_orig string, name_dest string, "
+                                     "is_fraud int").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    got = fe.build_features(df).select("txn_id", "orig_prior_txn_count", "dest_prior_txn_count", "pair_prior_txn_count").collect()
+    assert sorted(tuple(r) for r in got) == [(2, 1, 1, 1), (3, 2, 2, 2)]
+
+
 def test_lineitem_fixture_deals_lines_once(spark):
     by = exchanges(lineitem_transactions(spark, SF))
     assert sum("l_orderkey" in x for x in by) == 1 and not any("l_linenumber" in x for x in by)
