@@ -22,7 +22,7 @@ sequence and offset.
 from __future__ import annotations
 
 import re
-import string
+import unicodedata
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -37,97 +37,78 @@ from pyspark.sql import types as T
 from riskframe.llm.common import chunks, stored
 
 _BATCH_CHARS = 1 << 21
-_CACHE_ROWS = 700_000   # of each token cache in one worker: speed only
+_CACHE_ROWS = 250_000   # of each half of the token cache in one worker: speed only
 _CACHE_WORD = 48
-_CLOSING = string.punctuation.replace("'", "")  # an apostrophe may open a contraction
 
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+# the byte-level pre-tokens, of the characters that Python and the tokenizer class alike: see _Pieces.made
+_PIECE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]++| ?\d++| ?(?:[^\w\s]|_)++|\s+(?!\S)|\s+")
+_UNSURE = {"Nl", "No", "Cn"}  # numerals that are no digits, and what this Python's Unicode does not know
 
 
-def _plain(text: str) -> bool:
-    """No white space but single spaces, single line feeds and pairs of them inside a text: all are pre-tokens' ends."""
-    return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith((" ", "\n"))
-                or _OTHER_SPACE.search(text))
+class _Whole(Exception):
+    """A text with characters that Python may class differently: it goes through the whole tokenizer."""
 
 
 class _Pieces(dict):
-    """Pre-token -> its ids as little-endian uint32 bytes, from the tokenizer's model."""
+    """Pre-token -> its ids as little-endian uint32 bytes, from the tokenizer's model.
 
-    def __init__(self, model):
-        self.model = model
+    A cache of two halves of at most _CACHE_ROWS pre-tokens: a full one becomes
+    the old one, and what is met again moves back, so frequent pre-tokens stay
+    however many rare ones a worker meets.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.old: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         # the byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
-    def __missing__(self, piece: str) -> bytes:
+    def made(self, piece: str) -> bytes:
+        if not piece.lstrip(" ").isalpha() and (piece.isspace() and piece.strip(" \n") or not piece.isascii() and any(
+                unicodedata.category(c) in _UNSURE for c in piece)):
+            raise _Whole
         tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))
-        ids = array("I", [t.id for t in tokens]).tobytes()
-        if len(self) < _CACHE_ROWS and len(piece) <= _CACHE_WORD:
-            self[piece] = ids
-        return ids
-
-
-class _Words(dict):
-    """Part between single spaces -> the ids of ' ' + part.
+        return array("I", [t.id for t in tokens]).tobytes()
 
-    A part met for the first time is cut where a pre-token surely ends (a line
-    feed, a run of punctuation after letters): words recur far more often than
-    words with what follows them. Other parts go through the whole tokenizer.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pieces = _Pieces(self.tokenizer.model)
-        self.extra: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __missing__(self, part: str) -> bytes:
-        return self.extra[part]
-
-    def line(self, text: str, lead: str) -> bytes:
-        """Ids of lead + a text without white space."""
-        body = text.rstrip(_CLOSING)
-        if body.isalpha():
-            ids = self.pieces[lead + body]
-            return ids + self.pieces[text[len(body):]] if len(body) < len(text) else ids
-        return self.ids([lead + text])[0] if text else b""
-
-    def learn(self, parts: set[str]) -> None:
-        """Ids of parts not met before."""
-        self.extra = {}
-        for p in parts:
-            if "\n" in p:
-                first, *rest = p.split("\n")
-                ids = (self.line(first, " ") if first else self.pieces[" "]) + b"".join(
-                    self.pieces["\n"] + self.line(x, "") for x in rest)
-            else:
-                ids = self.line(p, " ")
-            if len(p) <= _CACHE_WORD and len(self) < _CACHE_ROWS:
-                self[p] = ids
-            else:
-                self.extra[p] = ids
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.made(piece)
+            if len(piece) > _CACHE_WORD:
+                return ids
+        if len(self) >= _CACHE_ROWS:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. A single space opens a new pre-token, so the parts between single spaces are independent."""
-        split = [t.split(" ") if _plain(t) else None for t in texts]
-        self.learn(set().union(*(words for words in split if words)).difference(self))
-        whole = self.ids([t if words is None else words[0] for t, words in zip(texts, split)])
-        get = self.__getitem__
-        return [ids if words is None else ids + b"".join(map(get, words[1:])) for ids, words in zip(whole, split)]
+        """Ids of each text."""
+        get, found, whole = self.__getitem__, [], []
+        for i, text in enumerate(texts):
+            try:
+                found.append(b"".join(map(get, _PIECE.findall(text))))
+            except _Whole:
+                found.append(b"")
+                whole.append(i)
+        if whole:
+            for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+                found[i] = array("I", e.ids).tobytes()
+        return found
 
 
-_LOADED: dict[str, _Words] = {}
+_LOADED: dict[str, _Pieces] = {}
 
 
-def encoder(path: str) -> _Words:
+def encoder(path: str) -> _Pieces:
     """The tokenizer of a vocabulary file, kept for the life of a worker process."""
     if path not in _LOADED:
-        _LOADED[path] = _Words(path)
+        _LOADED[path] = _Pieces(path)
     return _LOADED[path]
 
 
@@ -279,23 +260,24 @@ def plan(histogram: dict[int, int], capacity: int = 1024) -> Plan:
     return Plan(slots, bins + at // capacity + bin(at % capacity).count("1"), at, capacity)
 
 
-PACKED = T.StructType([*PIECES.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+PARTS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("at", "size", "sequence_id", "offset")]))
 
 
-def _placed(how: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols: list[list] = [[] for _ in PACKED]
-            for doc_id, start, length, ids, n, rank in zip(*(c.to_pylist() for c in batch.columns)):
-                at = 0
-                for k, seq, offset in how.parts(length, rank):
-                    for col, v in zip(cols, (doc_id, start + at, k, ids[4 * at:4 * (at + k)], n, seq, offset)):
-                        col.append(v)
-                    at += k
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=PACKED.names)
+def _parts_of(how: Plan):
+    """A function of (length, rank) that gives a piece's parts; the ids themselves stay in the JVM."""
+    def run(lengths: pa.Array, ranks: pa.Array) -> pa.Array:
+        cols, ends = ([], [], [], []), [0]
+        for length, rank in zip(lengths.to_pylist(), ranks.to_pylist()):
+            at = 0
+            for size, seq, offset in how.parts(length, rank):
+                for col, v in zip(cols, (at, size, seq, offset)):
+                    col.append(v)
+                at += size
+            ends.append(len(cols[0]))
+        names = PARTS.elementType.names
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names))
 
-    return run
+    return F.arrow_udf(run, PARTS)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, id_col: str = "doc_id",
@@ -316,7 +298,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
     bases = counts.select(F.col("length").alias("l"), F.col("part").alias("p"),
                           F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     short = pieces.where(F.col("length") < capacity).join(bases, (F.col("length") == F.col("l")) & (F.col("part") == F.col("p")))
-    placed = short.select(*PIECES.names[:5], (F.col("base") + F.col("nth")).alias("rank")).mapInArrow(_placed(how), PACKED)
+    placed = short.select(*PIECES.names[:5], F.explode(_parts_of(how)("length", F.col("base") + F.col("nth"))).alias("p"))
+    placed = placed.select("doc_id", (F.col("start") + F.col("p.at")).alias("start"), F.col("p.size").alias("length"),
+                           F.expr("substring(ids, CAST(4 * p.at + 1 AS INT), CAST(4 * p.size AS INT))").alias("ids"), "doc_tokens",
+                           "p.sequence_id", "p.offset")
     full = pieces.where(F.col("length") == capacity).select(
         *PIECES.names[:5], ((F.col("part") + 1) * F.lit(1 << 33) + F.col("nth")).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"))

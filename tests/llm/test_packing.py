@@ -30,6 +30,24 @@ def test_cached_parts_give_the_tokenizers_ids():
         assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == reference_ids(texts)
 
 
+def test_the_token_cache_is_bounded_and_keeps_what_is_frequent(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE_ROWS", 50)
+    random.seed(1)
+    rare = lambda: "".join(random.choice("abcdefghij") for _ in range(9))
+    texts = [" ".join([*(rare() for _ in range(20)), "often,\nand again"]) for _ in range(40)]
+    texts += ["a\u00a0often", "often\u2171 x", "x \u00b2often", "often \U000e0fff often"]  # classes that Python may not share
+    words = type(packing.encoder(tokenizer_path()))(tokenizer_path())
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == reference_ids(texts)
+    assert len(words) <= 50 and len(words.old) <= 50
+    assert " again" in {**words, **words.old}  # rare words that came first do not fill the cache for good
+
+
+def test_placement_keeps_the_ids_out_of_python(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    plan = packing.pack(docs, tokenizer_path())._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
 def best_sum(counts, capacity):
     reach = {0}
     for k, n in counts.items():
