@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe.config import DEFAULT, RiskConfig
 from riskframe.functions.derive import dbl, pct
@@ -213,6 +217,65 @@ def linear_attribution(model: PipelineModel | Linear, rows: DataFrame, columns=M
                                            for c in plain.columns])).alias("s")).select("s.*")
 
 
+_GIVEN_ROWS = 2_000  # rows of a batch that carries all new values
+
+
+def _permuted(columns: list[str], pairs: list[tuple[str, int]], shared: bool):
+    """Batches of (bucket, hashes, txn_id, is_fraud, columns), sorted by bucket and txn_id (nulls last) -> the rows that have
+    a txn_id, with `given`: for each pair, the value that falls to the row in the order of the pair's hash.
+
+    shared: rows of one txn_id all get the first of their values in the order of (pair, value)."""
+    at = {c: 3 + i for i, c in enumerate(["is_fraud", *columns])}
+
+    def bucket(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        hashes = rows.column(1).combine_chunks().flatten().to_numpy().reshape(-1, len(pairs))
+        values = {c: rows.column(at[c]).to_numpy() for c in columns}
+        n = rows.num_rows - rows.column(2).null_count
+        given = np.empty((n, len(pairs)))
+        for i, (c, _) in enumerate(pairs):
+            given[:, i] = values[c][np.lexsort((values[c], hashes[:, i]))][:n]
+        if shared and n:
+            ids = rows.column(2).slice(0, n).to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1], [True]]))
+            for a, b in zip(edges[:-1][np.diff(edges) > 1], edges[1:][np.diff(edges) > 1]):
+                given[a:b] = np.sort(given[a:b], axis=0).T.ravel()[:len(pairs)]
+        for first in range(0, n, _GIVEN_ROWS):
+            part = rows.slice(first, min(_GIVEN_ROWS, n - first)).select(range(2, rows.num_columns)).combine_chunks()
+            flat = given[first:first + part.num_rows].ravel()
+            ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * len(pairs))
+            yield from part.append_column("given", pa.ListArray.from_arrays(ends, pa.array(flat))).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            ends = [*(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), batch.num_rows]
+            first = 0
+            for end in ends:
+                if first < end:
+                    if held and held[-1].column(0)[0] != batch.column(0)[first]:
+                        yield from bucket(pa.Table.from_batches(held))
+                        held = []
+                    held.append(batch.slice(first, end - first))
+                first = end
+        if held:
+            yield from bucket(pa.Table.from_batches(held))
+
+    return run
+
+
+def _dealt(x: DataFrame, columns: list[str], pairs: list[tuple[str, int]], buckets: int, shared: bool, cfg: RiskConfig) -> DataFrame:
+    """x's rows with `given`, an array of the new value of each (feature, repeat)."""
+    x = x.select("txn_id", "is_fraud", *[dbl(c).alias(c) for c in columns])
+    parts = max(min(buckets, 2 * x.sparkSession.sparkContext.defaultParallelism), buckets // 8)  # a row grows after this: not by its bytes
+    dealt = x.withColumn("pb", F.pmod(F.xxhash64("txn_id", F.lit(cfg.seed + 1)), F.lit(buckets))).repartition(parts, "pb")
+    dealt = dealt.sortWithinPartitions("pb", F.col("txn_id").asc_nulls_last(), "is_fraud", *columns)
+    # hashed after the rows are dealt and sorted, so that no hash is shuffled
+    hashes = F.array(*[F.xxhash64("txn_id", F.lit(i), F.lit(cfg.seed)) for i in range(len(pairs))])
+    schema = T.StructType([*x.schema.fields, T.StructField("given", T.ArrayType(T.DoubleType()))])
+    return dealt.select("pb", hashes.alias("hashes"), *x.columns).mapInArrow(_permuted(columns, pairs, shared), schema)
+
+
 def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_COLUMNS, repeats: int = 3,
                            sample_fraction: float | None = None, bucket_rows: int = 20_000, most_nodes: int = 1_000,
                            cfg: RiskConfig = DEFAULT) -> DataFrame:
@@ -220,8 +283,8 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_
 
     A feature is permuted inside random buckets of about bucket_rows rows, by
     the order of a hash of (txn_id, feature, repeat, seed), so a retried task
-    gives the same permutation.  Only (row, feature, repeat, value) is dealt
-    out, and a row meets all its new values at once.  A linear model, and trees
+    gives the same permutation.  Rows are dealt by bucket once, and a task holds
+    one bucket while its rows get their new values.  A linear model, and trees
     whose changes take up to most_nodes nodes (more would not compile), are
     scored by what a new value changes: the margin by one term, the sum of
     trees by those that use the feature.  Larger forests are scored on a wide
@@ -234,30 +297,21 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, columns=MODEL_
         x = x.where(F.pmod(F.xxhash64("txn_id", F.lit(cfg.seed)), F.lit(1_000_000)) < F.lit(int(sample_fraction * 1_000_000)))
     buckets = -(-x.count() // bucket_rows) or 1
     pairs = [(c, r) for c in columns for r in range(repeats)]
-    value = F.array(*[F.struct(F.lit(i).alias("pair"), dbl(c).alias("v")) for i, (c, _) in enumerate(pairs)])
-    long = x.select("txn_id", F.pmod(F.xxhash64("txn_id", F.lit(cfg.seed + 1)), F.lit(buckets)).alias("pb"), F.explode(value).alias("s"))
-    long = long.select("txn_id", "pb", "s.pair", "s.v")
-    own = F.sort_array(F.collect_list("txn_id"))
-    other = F.sort_array(F.collect_list(F.struct(F.xxhash64("txn_id", "pair", F.lit(cfg.seed)).alias("h"), "txn_id", "v")))
-    dealt = long.groupBy("pb", "pair").agg(own.alias("own"), other.alias("other")).select(
-        "pair", F.explode(F.arrays_zip("own", "other")).alias("z")).select(
-        F.col("z.own").alias("t"), "pair", F.col("z.other.v").alias("v"))
-    by_row = dealt.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("pair", "v"))).alias("given"))
-    met = x.join(by_row, x["txn_id"] == by_row["t"])
     plain = compiled(model, columns)
-    if changed_nodes(plain, [c for c, _ in pairs]) <= most_nodes:
+    by_change = changed_nodes(plain, [c for c, _ in pairs]) <= most_nodes
+    met = _dealt(x, columns, pairs, buckets, by_change, cfg)
+    if by_change:
         base = x.select("is_fraud", score(plain).alias("score"))
-        given = {i: F.col("given")[i]["v"] for i in range(len(pairs))}
+        given = {i: F.col("given")[i] for i in range(len(pairs))}
         scores = F.array(*[F.struct(F.lit(i).alias("pair"), s.alias("score")) for i, s in
                            changed_scores(plain, [(c, given[i]) for i, (c, _) in enumerate(pairs)]).items()])
         # the margin, or the trees' sums, once a row; then each score from what its one feature changes
         with_parts = met.select("is_fraud", "given", *columns, *score_parts(plain))
         scored = with_parts.select("is_fraud", F.explode(scores).alias("s")).select("is_fraud", "s.pair", "s.score")
     else:
-        wide = met.select("is_fraud", *columns, F.explode("given").alias("g"))
+        wide = met.select("is_fraud", *columns, F.posexplode("given").alias("pair", "v"))
         of = {c: [i for i, (f, _) in enumerate(pairs) if f == c] for c in columns}
-        wide = wide.select("is_fraud", F.col("g.pair").alias("pair"),
-                           *[F.when(F.col("g.pair").isin(of[c]), F.col("g.v")).otherwise(F.col(c)).alias(c) for c in columns])
+        wide = wide.select("is_fraud", "pair", *[F.when(F.col("pair").isin(of[c]), F.col("v")).otherwise(F.col(c)).alias(c) for c in columns])
         scored = model.transform(wide).select("pair", "is_fraud", vector_to_array("probability")[1].alias("score"))
         base = model.transform(x).select("is_fraud", vector_to_array("probability")[1].alias("score"))
     base_ap = ranking_metrics(base, cfg=cfg).select(F.col("pr_auc").alias("base_ap"))

@@ -157,6 +157,24 @@ def test_hour_calendar_has_every_hour(txns):
     assert all(r["transactions"] == 0 and r["fraud_rate_pct"] is None for r in rows[5:]) and rows[0]["transactions"] > 0
 
 
+def test_permutation_deals_each_row_once(spark):
+    from riskframe.config import DEFAULT
+    from riskframe.operators import model
+    rows = [(i, i % 2, float(i), float(-i)) for i in range(300)] + [(None, 1, 500.0, 500.0), (7, 1, 600.0, 600.0)]
+    x = spark.createDataFrame(rows, "txn_id long, is_fraud int, a double, b double").repartition(3)
+    pairs = [(c, r) for c in ("a", "b") for r in range(2)]
+    dealt = model._dealt(x, ["a", "b"], pairs, 4, False, DEFAULT)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Generate" not in plan  # a row's values travel with the row, not one by one
+    got = dealt.collect()
+    assert sorted(r["txn_id"] for r in got) == sorted([*range(300), 7])
+    assert {(r["txn_id"], r["a"]) for r in got} == {(i, a) for i, _, a, _ in rows if i is not None}
+    for i, (c, _) in enumerate(pairs):
+        given = [r["given"][i] for r in got]  # each value of a bucket once; a row without an id may give its own
+        assert len(set(given)) == 301 and set(given) <= {r[2 if c == "a" else 3] for r in rows}
+    assert [r["given"][0] for r in got] != [r["given"][1] for r in got]
+
+
 def test_permutation_importance_with_many_positives(spark):
     """Half of all rows positive: the strong feature keeps its importance, and a rerun gives the same numbers."""
     from pyspark.ml import Pipeline
