@@ -51,6 +51,15 @@ def chunks(values: list, weight: Callable, most: int) -> Iterator[tuple[int, lis
         yield first, run
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in slices of about `most` bytes of a column, one row at least: bounds the Python objects that a
+    worker holds besides a batch."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(1, batch.column(column).nbytes))
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 _HASHES = 1 << 40
 
 

@@ -29,13 +29,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import id_and_bytes
+from riskframe.llm.common import id_and_bytes, small_batches
 
 #: letters of scripts without spaces between words (fixed values: Thai, Lao, Myanmar, Khmer, kana, Han)
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
@@ -253,7 +254,7 @@ def count_held(index: Index, docs: DataFrame, id_col: str, text_col: str) -> Non
     """Fill in how many documents hold each n-gram of the index: partial sums of each task, one row an n-gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(len(index.grams), np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             for raw in batch.column(1).to_pylist():
                 held[np.unique(index.hits(index.numbers(words_of(raw)))[1])] += 1
         some = np.flatnonzero(held)
@@ -279,11 +280,13 @@ FOUND = "doc_id long, item_id long, score double, start_word long, end_word long
 
 
 def _indexes(docs: DataFrame, benchmark: DataFrame, threshold: float, n: int, slice_mb: int, id_col: str, text_col: str,
-             item_col: str, item_text: str) -> Iterator[Index]:
+             item_col: str, item_text: str) -> Iterator[list[Index]]:
+    """Of one slice after the other, with the counts."""
     for rows in slices(benchmark, item_col, item_text, slice_mb):
-        for index in build_indexes(rows, n, threshold):
+        indexes = build_indexes(rows, n, threshold)
+        for index in indexes:
             count_held(index, docs, id_col, text_col)
-            yield index
+        yield indexes
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int = 3, slice_mb: int = 8,
@@ -297,7 +300,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, n: int
     items each give their rows. No item or no document: no row.
     """
     out = docs.sparkSession.createDataFrame([], FOUND)
-    for index in _indexes(docs, benchmark, threshold, n, slice_mb, id_col, text_col, item_col, item_text):
+    for index in chain.from_iterable(
+            _indexes(docs, benchmark, threshold, n, slice_mb, id_col, text_col, item_col, item_text)):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -318,13 +322,16 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4,
 
     Documents with a null or empty text, repeated ones and ones without an id stay or go like any other, by their text;
     an empty benchmark or table changes nothing."""
-    kept = docs
-    for index in _indexes(docs, benchmark, threshold, n, slice_mb, id_col, text_col, item_col, item_text):
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                raws = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
-                bad = {f[0] for f in matches(index, [index.numbers(words_of(raw)) for raw in raws])}
+    kept, at = docs, docs.columns.index(text_col)
+    for indexes in _indexes(docs, benchmark, threshold, n, slice_mb, id_col, text_col, item_col, item_text):
+        if not indexes:
+            continue
+
+        # one map for all indexes of a slice: each map of a chain would keep a Python worker of its own at every core
+        def run(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
+            for batch in small_batches(batches, at):
+                words = [words_of(raw) for raw in batch.column(at).cast(pa.binary()).to_pylist()]
+                bad = {f[0] for index in indexes for f in matches(index, [index.numbers(ws) for ws in words])}
                 yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 
         kept = kept.mapInArrow(run, docs.schema)

@@ -27,6 +27,7 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import chunks, stored
+from riskframe.llm.common import chunks, small_batches, stored
 
-_BATCH_CHARS = 1 << 21
+_BATCH_CHARS = 1 << 20
 _CACHE_ROWS = 250_000   # of each half of the token cache in one worker: speed only
 _CACHE_WORD = 48
 
 # the byte-level pre-tokens, of the characters that Python and the tokenizer class alike: see _Pieces.made
-_PIECE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]++| ?\d++| ?(?:[^\w\s]|_)++|\s+(?!\S)|\s+")
+# (letters first, ASCII ones apart: a set of few characters is tested faster than a class)
+_PIECE = re.compile(r" ?(?:[A-Za-z]++|[^\W\d_]++)++|'(?:[stmd]|re|ve|ll)| ?\d++| ?(?:[^\w\s]|_)++|\s+(?!\S)|\s+")
 _UNSURE = {"Nl", "No", "Cn"}  # numerals that are no digits, and what this Python's Unicode does not know
 
 
@@ -69,11 +71,14 @@ class _Pieces(dict):
         self.alphabet = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
     def made(self, piece: str) -> bytes:
-        if not piece.lstrip(" ").isalpha() and (piece.isspace() and piece.strip(" \n") or not piece.isascii() and any(
-                unicodedata.category(c) in _UNSURE for c in piece)):
-            raise _Whole
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))
-        return array("I", [t.id for t in tokens]).tobytes()
+        if piece.isascii() and piece.isprintable() and (first := piece.lstrip(" ")):
+            text = self.alphabet[32] * (len(piece) - len(first)) + first  # printable ASCII stands for itself
+        else:
+            if not piece.lstrip(" ").isalpha() and (piece.isspace() and piece.strip(" \n") or not piece.isascii() and any(
+                    unicodedata.category(c) in _UNSURE for c in piece)):
+                raise _Whole
+            text = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -88,15 +93,28 @@ class _Pieces(dict):
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        get, found, whole = self.__getitem__, [], []
-        for i, text in enumerate(texts):
-            try:
-                found.append(b"".join(map(get, _PIECE.findall(text))))
-            except _Whole:
-                found.append(b"")
-                whole.append(i)
-        if whole:
+        """Ids of each text. Each distinct pre-token is looked up once, the frequent ones last, so that the cache keeps them."""
+        pieces, ends = [], [0]
+        for text in texts:
+            pieces += _PIECE.findall(text)
+            ends.append(len(pieces))
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        codes = np.asarray(coded.indices)  # numbered as they come
+        words = [pieces[i] for i in np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1)).tolist()]
+        del pieces
+        ids, unsure = list(map(self.get, words)), np.zeros(len(words), bool)
+        for i in np.argsort(np.bincount(codes, minlength=len(words)), kind="stable").tolist():
+            if ids[i] is None:
+                try:
+                    ids[i] = self[words[i]]
+                except _Whole:
+                    unsure[i] = True
+        joined = pa.array(ids, pa.binary()).take(coded.indices)
+        at, data = np.frombuffer(joined.buffers()[1], np.int32)[ends].tolist(), memoryview(joined.buffers()[2] or b"")
+        found = [bytes(data[a:b]) for a, b in pairwise(at)]
+        if unsure.any():
+            seen = np.append(0, np.cumsum(unsure[codes]))[ends]
+            whole = np.flatnonzero(seen[1:] > seen[:-1]).tolist()
             for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
                 found[i] = array("I", e.ids).tobytes()
         return found
@@ -127,7 +145,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_
         part = TaskContext.get().partitionId()
         words, seen = encoder(tokenizer), np.zeros(capacity + 1, np.int64)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in small_batches(batches):
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, run_of in chunks(texts, len, _BATCH_CHARS):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import id_and_bytes, least_hashed
+from riskframe.llm.common import id_and_bytes, least_hashed, small_batches
 
 _SYMBOLS = np.frombuffer(b"#*$%&|<>{}[]^~\\_=+@", np.uint8)
 _PAUSES = np.frombuffer(b".,;:'\"()-", np.uint8)
@@ -198,7 +198,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     Null, empty and blank texts are scored like a text without words.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             x = np.array([features(raw) for raw in batch.column(1).to_pylist()]).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
 
@@ -208,9 +208,11 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The documents, all columns, that score at or above the threshold. Null, empty and blank texts are scored like a
     text without words, repeated rows like any; an empty table stays empty."""
+    at = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raws = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
+        for batch in small_batches(batches, at):
+            raws = batch.column(at).cast(pa.binary()).to_pylist()
             x = np.array([features(raw) for raw in raws]).reshape(-1, N_FEATURES)
             yield batch.filter(pa.array(model.score(x) >= threshold))
 

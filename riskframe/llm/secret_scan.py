@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.automaton import CLASSES, Automaton
-from riskframe.llm.common import LeastHashed, id_and_text, spark_hash, stored
+from riskframe.llm.common import LeastHashed, id_and_text, small_batches, spark_hash, stored
 from riskframe.llm.spans import ARROW_SPANS, SPANS, Rule, Span, found_by, masked, ordered, pattern_spans
 
 KINDS = ["assign", "access", "hex"]
@@ -201,7 +201,7 @@ def learn(docs: DataFrame, fit_rows: int = 400, text_col: str = "text") -> Gramm
     documents. Kinds without an example get no automaton. A task sends no more than that many of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = LeastHashed(fit_rows)
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             for t in batch.column(0).to_pylist():
                 for kind, symbols in examples(t) if t else ():
                     least.add(kind, symbols)
@@ -241,9 +241,10 @@ def scan(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: st
 def redacted(docs: DataFrame, grammar: Grammar, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents, all columns, with every secret replaced by a mark; an n_chars column follows the new text. Null and
     empty texts stay as they are; every row stays, repeated ones too; an empty table stays empty."""
+    at = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
+        for batch in small_batches(batches, at):
             texts = [t if not t else masked(t, grammar.spans(t)[1], lambda kind: mark) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 

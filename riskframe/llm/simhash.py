@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import id_and_bytes, stored
+from riskframe.llm.common import id_and_bytes, small_batches, stored
 from riskframe.llm.components import star_forest
 
 BITS = 64
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  seed: int = 42) -> DataFrame:
     """(doc_id, fp): one row per input row; fp is the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             fp = [fingerprint(raw, shingle_words, seed) for raw in batch.column(1).to_pylist()]
             fps = np.array(fp, np.uint64).view(np.int64) if fp else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
