@@ -147,3 +147,24 @@ def test_the_bound_is_above_every_alignment():
         x, y = rng.integers(1, 9, rng.integers(3, 15)), rng.integers(0, 9, rng.integers(1, 30))
         share = decontam.align([x], [y])[0][0] / (decontam.MATCH * len(x))
         assert decontam.may_reach(x, y, share)
+
+
+def test_indexes_of_one_slice_share_a_map(spark):
+    """Items of several sizes: one Python map drops what any of them finds."""
+    docs = spark.createDataFrame([(1, "x photosynthesis y"), (2, "one two three four five"), (3, "other words"), (4, None)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "photosynthesis"), (2, "one two three four five"), (3, "quantum entanglement")],
+                                  "item_id long, text string")
+    kept = decontam.without_leaks(docs, items)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4]
+
+
+def test_small_batches_keep_all_rows_in_order():
+    import pyarrow as pa
+
+    from riskframe.llm.common import small_batches
+    texts = ["x" * n for n in (0, 5, 3000, 0, 7, 900)] + [None]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(7)), "t": texts})
+    parts = list(small_batches(iter([batch, batch.slice(0, 0)]), 1, 1000))
+    assert len(parts) > 3 and [t for p in parts for t in p.column(1).to_pylist()] == texts and parts[-1].num_rows == 0

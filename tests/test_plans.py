@@ -124,6 +124,18 @@ def test_large_groups_are_cut_evenly_whatever_their_ids(spark):
     assert [r["_blk"] for r in ranges if r["step"] == 6] == [0]
 
 
+def test_edges_of_large_groups_stay_few_however_small_a_block_is(spark, monkeypatch):
+    """A block far too small for the rows: edges are still broadcast, so finding a row's range deals no rows."""
+    monkeypatch.setattr("riskframe.session._SMALL_TABLE", 64)
+    monkeypatch.setattr(fe, "_MOST_EDGES", 32, raising=False)
+    df = spark.createDataFrame([(i * i, 5 + i % 2, "C1", 1) for i in range(6000)], "txn_id long, step int, name_orig string, a int")
+    src = df.select("txn_id", "step", F.struct("name_orig").alias("_key"))
+    out = fe._blocked(src, RiskConfig(history_block=4))(src)
+    assert exchanges(out) == []
+    sizes = [r["count"] for r in out.groupBy("step", "_blk").count().collect()]
+    assert len(sizes) > 16 and sum(sizes) == 6000 and max(sizes) <= 2 * 6000 / 32
+
+
 def test_duplicates_shuffle_no_key_columns_of_unique_rows(spark):
     txns = events_transactions(spark, "/root/testdata/sf0.001")
     both = txns.unionByName(txns.where("txn_id % 10 = 0")).unionByName(txns.where("txn_id % 10 = 0").limit(1))
