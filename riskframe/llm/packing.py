@@ -27,7 +27,6 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -93,28 +92,15 @@ class _Pieces(dict):
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. Each distinct pre-token is looked up once, the frequent ones last, so that the cache keeps them."""
-        pieces, ends = [], [0]
-        for text in texts:
-            pieces += _PIECE.findall(text)
-            ends.append(len(pieces))
-        coded = pa.array(pieces, pa.string()).dictionary_encode()
-        codes = np.asarray(coded.indices)  # numbered as they come
-        words = [pieces[i] for i in np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1)).tolist()]
-        del pieces
-        ids, unsure = list(map(self.get, words)), np.zeros(len(words), bool)
-        for i in np.argsort(np.bincount(codes, minlength=len(words)), kind="stable").tolist():
-            if ids[i] is None:
-                try:
-                    ids[i] = self[words[i]]
-                except _Whole:
-                    unsure[i] = True
-        joined = pa.array(ids, pa.binary()).take(coded.indices)
-        at, data = np.frombuffer(joined.buffers()[1], np.int32)[ends].tolist(), memoryview(joined.buffers()[2] or b"")
-        found = [bytes(data[a:b]) for a, b in pairwise(at)]
-        if unsure.any():
-            seen = np.append(0, np.cumsum(unsure[codes]))[ends]
-            whole = np.flatnonzero(seen[1:] > seen[:-1]).tolist()
+        """Ids of each text."""
+        get, found, whole = self.__getitem__, [], []
+        for i, text in enumerate(texts):
+            try:
+                found.append(b"".join(map(get, _PIECE.findall(text))))
+            except _Whole:
+                found.append(b"")
+                whole.append(i)
+        if whole:
             for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
                 found[i] = array("I", e.ids).tobytes()
         return found
