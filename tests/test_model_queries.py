@@ -19,7 +19,7 @@ def events_dir(spark, tmp_path_factory):
     return str(out)
 
 
-@pytest.mark.parametrize("query", [q_model.q_model_kpi_summary, q_model.q_model_scored_table])
+@pytest.mark.parametrize("query", [q_model.q_model_kpi_summary, q_model.q_model_scored_table, q_model.q_model_selection])
 def test_a_failed_fit_is_no_result(spark, events_dir, monkeypatch, query):
     """With one of the two models missing, the other one would be reported as the selected model."""
     def broken(_):
